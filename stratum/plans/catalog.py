@@ -10,13 +10,18 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratum import schemas
 from stratum.functions import rules
 from stratum.functions.casts import conform
 from stratum.operators import bronze, fraud, gold, reports, silver
+from stratum.plans.flow import Feeds, Layout, run_all_layers
 from stratum.plans.present import present
+from stratum.session import scratch_path
+from stratum.sources import feeds
 from stratum.sources.adapters import view
+from stratum.sources.tables import export_json_lines, export_monthly_csv, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,4 +100,68 @@ def build() -> dict[str, Query]:
         "fraud_scores": lambda s, d: present(_fraud_checked(s, d)),
         "fraud_scores_default": lambda s, d: present(fraud.fraud_scores(_events(s, d))),
         "fraud_high_risk": lambda s, d: present(fraud.high_risk(_fraud_checked(s, d))),
+        **build_io(),
+    }
+
+
+# ---- feeds written to shared scratch space and ingested back -----------------
+_RUNS: dict[tuple[str, str, str], object] = {}
+
+
+def export_feeds(spark: SparkSession, d: str, root: str) -> Feeds:
+    """Write the adapter views as raw feeds the way a producer would.
+
+    JSON lines with pandas-style types (1/0 flags, epoch-millis dates, ints
+    as floats); monthly CSV whose header layout drifts:
+    months from 1998 on are written with the columns in reverse order.  Every row is written.
+    """
+    export_json_lines(view(spark, d, "customers_raw"), f"{root}/customers", legacy_types=True)
+    export_json_lines(view(spark, d, "merchants_raw"), f"{root}/merchants", legacy_types=True)
+    tx = view(spark, d, "transactions_raw")
+    early = F.coalesce(F.col("transaction_date") < F.lit("1998-01-01"), F.lit(False))
+    export_monthly_csv(tx.filter(early), f"{root}/transactions", "transaction_date", legacy_types=True)
+    late = tx.filter(~early)
+    export_monthly_csv(late.select(*reversed(late.columns)), f"{root}/transactions", "transaction_date",
+                       legacy_types=True, mode="append")
+    return Feeds(f"{root}/customers", f"{root}/merchants", f"{root}/transactions")
+
+
+def _feeds(spark: SparkSession, d: str) -> Feeds:
+    key = (spark.sparkContext.applicationId, d, "feeds")
+    if key not in _RUNS:
+        _RUNS[key] = export_feeds(spark, d, scratch_path(spark, "feeds"))
+    return _RUNS[key]
+
+
+def _full_run(spark: SparkSession, d: str) -> Layout:
+    key = (spark.sparkContext.applicationId, d, "layers")
+    if key not in _RUNS:
+        _RUNS[key] = run_all_layers(spark, _feeds(spark, d), Layout(scratch_path(spark, "layers")))
+    return _RUNS[key]
+
+
+def _json_roundtrip(spark, d):
+    feed = feeds.read_json_feed(spark, _feeds(spark, d).customers, schemas.CUSTOMERS)
+    return present(bronze.bronze_customers(feeds.without_corrupt(feed)))
+
+
+def _csv_roundtrip(spark, d):
+    feed = feeds.read_csv_feed(spark, _feeds(spark, d).transactions, schemas.TRANSACTIONS)
+    return present(bronze.bronze_transactions(feeds.without_corrupt(feed)))
+
+
+def _stored(name: str) -> Query:
+    def q(spark, d):
+        out = _full_run(spark, d)
+        return present(read_table(spark, out.path("gold", name), out.fmt))
+    return q
+
+
+def build_io() -> dict[str, Query]:
+    return {
+        "bronze_customers_json_roundtrip": _json_roundtrip,
+        "bronze_transactions_csv_roundtrip": _csv_roundtrip,
+        "full_run_customer_metrics": _stored("customer_metrics"),
+        "full_run_transaction_metrics": _stored("transaction_metrics"),
+        "full_run_merchant_performance": _stored("merchant_performance"),
     }

@@ -277,7 +277,7 @@ def invalid_counts_sql() -> str:
 
 def build() -> dict[str, str]:
     """Oracle SQL per checked query name."""
-    return {
+    out = {
         "bronze_customers_flags": with_views(_valid("bronze_customers"), "customers_raw", ctes=BRONZE_C),
         "bronze_merchants_default": with_views("select *, true as is_valid from bronze_merchants",
                                                "merchants_raw", ctes=BRONZE_M),
@@ -305,3 +305,10 @@ def build() -> dict[str, str]:
         "fraud_scores_default": fraud_sql(3600, 5, 5.0),
         "fraud_high_risk": fraud_high_risk_sql(86400, 5, 3.0),
     }
+    # ingestion round trips and the full run must reproduce the direct results
+    out["bronze_customers_json_roundtrip"] = out["bronze_customers_flags"]
+    out["bronze_transactions_csv_roundtrip"] = out["bronze_transactions_flags"]
+    out["full_run_customer_metrics"] = out["gold_customer_metrics"]
+    out["full_run_transaction_metrics"] = out["gold_transaction_metrics"]
+    out["full_run_merchant_performance"] = out["gold_merchant_performance"]
+    return out
