@@ -44,7 +44,9 @@ def epoch_seconds(c: Column, dtype: T.DataType) -> Column:
     on its wall clock, so the result never depends on the session zone.
     """
     if isinstance(dtype, T.TimestampNTZType):
-        return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+        # days and clock fields of the wall clock: no zone conversion anywhere
+        days = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+        return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
     if isinstance(dtype, T.TimestampType):
         return F.unix_seconds(c)
     if isinstance(dtype, T.DateType):

@@ -37,15 +37,13 @@ class Layout:
 
 def run_bronze(spark: SparkSession, src: Feeds, out: Layout) -> None:
     jobs = [
-        ("customers", feeds.read_json_feed(spark, src.customers, schemas.CUSTOMERS), "customer_id",
-         bronze.bronze_customers),
-        ("merchants", feeds.read_json_feed(spark, src.merchants, schemas.MERCHANTS), "merchant_id",
-         bronze.bronze_merchants),
-        ("transactions", feeds.read_csv_feed(spark, src.transactions, schemas.TRANSACTIONS), "transaction_id",
+        ("customers", feeds.read_json_feed(spark, src.customers, schemas.CUSTOMERS), bronze.bronze_customers),
+        ("merchants", feeds.read_json_feed(spark, src.merchants, schemas.MERCHANTS), bronze.bronze_merchants),
+        ("transactions", feeds.read_csv_feed(spark, src.transactions, schemas.TRANSACTIONS),
          bronze.bronze_transactions),
     ]
-    for entity, feed, key, to_bronze in jobs:
-        write_table(feeds.quarantine(feed, key), out.path("quarantine", entity), out.fmt)
+    for entity, feed, to_bronze in jobs:
+        write_table(feeds.quarantine(feed), out.path("quarantine", entity), out.fmt)
         write_table(to_bronze(feeds.without_corrupt(feed)), out.path("bronze", entity), out.fmt)
 
 

@@ -116,9 +116,14 @@ def read_csv_feed(spark: SparkSession, path: str | list[str], schema: T.StructTy
     return union_all(parts)
 
 
-def quarantine(feed: DataFrame, key: str) -> DataFrame:
-    """Malformed records: ``(source_file, key, _corrupt_record)`` where text was kept."""
-    return feed.filter(F.col(CORRUPT).isNotNull()).select(SOURCE, key, CORRUPT)
+def quarantine(feed: DataFrame) -> DataFrame:
+    """Malformed records with every parsed field, their file and their text.
+
+    All columns are kept on purpose: Spark judges a CSV row malformed only
+    on the columns a query requests, so a narrow projection would let rows
+    with extra or missing fields through.
+    """
+    return feed.filter(F.col(CORRUPT).isNotNull())
 
 
 def without_corrupt(feed: DataFrame) -> DataFrame:

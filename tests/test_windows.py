@@ -1,0 +1,128 @@
+"""Skew-safe window operators against the plain Spark window and a brute force."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from stratum.operators import fraud
+from stratum.operators.windows import trailing_sum
+
+EPOCH = dt.datetime(2024, 1, 1)
+
+
+def _random_rows(n, keys, span, seed, null_ts=0.03, null_key=0.02, hot=None):
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        k = hot if hot is not None and rnd.random() < 0.4 else rnd.choice(keys)
+        if rnd.random() < null_key:
+            k = None
+        sec = rnd.randrange(span)
+        # clumps of same-second peers and exact window edges
+        if rnd.random() < 0.2 and rows:
+            sec = rows[-1][2] if rows[-1][2] is not None else sec
+        ts = None if rnd.random() < null_ts else EPOCH + dt.timedelta(seconds=sec, microseconds=rnd.randrange(10**6))
+        amount = round(rnd.uniform(1, 500), 2)
+        rows.append((i, k, sec if ts is not None else None, ts, amount))
+    return rows
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame(
+        [(i, k, ts, a) for i, k, _, ts, a in rows],
+        "transaction_id long, customer_id string, transaction_date timestamp_ntz, amount double")
+
+
+@pytest.mark.parametrize("window", [0, 1, 60, 3600])
+def test_trailing_count_equals_plain_range_window(spark, window):
+    rows = _random_rows(1500, ["a", "b", "c", "d"], 4 * 3600, seed=window, hot="a")
+    df = _frame(spark, rows).withColumn("sec", F.expr(
+        "timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', transaction_date)"))
+    plain = Window.partitionBy("customer_id").orderBy("sec").rangeBetween(-window, 0)
+    expected = {r["transaction_id"]: r["c"] for r in
+                df.select("transaction_id", F.count("transaction_id").over(plain).alias("c")).collect()}
+    got = {r["transaction_id"]: r["txn_count_1h"] for r in
+           fraud.with_window_features(df.drop("sec"), window_seconds=window).collect()}
+    assert got == expected
+
+
+def test_trailing_sum_brute_force(spark):
+    rnd = random.Random(7)
+    per_sec = {}
+    for _ in range(800):
+        k, s = rnd.choice(["x", "y"]), rnd.randrange(20000)
+        per_sec[(k, s)] = per_sec.get((k, s), 0) + rnd.randrange(1, 4)
+    df = spark.createDataFrame([(k, s, n) for (k, s), n in per_sec.items()], "k string, s long, n long")
+    w = 500
+    got = {(r["k"], r["s"]): r["t"] for r in trailing_sum(df, "k", "s", "n", w, "t").collect()}
+    for (k, s), _ in per_sec.items():
+        want = sum(n for (k2, s2), n in per_sec.items() if k2 == k and s - w <= s2 <= s)
+        assert got[(k, s)] == want
+
+
+def test_customer_average_is_whole_history(spark):
+    rows = _random_rows(600, ["a", "b", "c"], 86400, seed=3, hot="b")
+    got = {r["transaction_id"]: r["customer_avg_amount"] for r in
+           fraud.with_window_features(_frame(spark, rows)).collect()}
+    for i, k, _, _, _ in rows:
+        amounts = [a for _, k2, _, _, a in rows if k2 == k]
+        assert got[i] == pytest.approx(sum(amounts) / len(amounts), rel=1e-12)
+
+
+def test_fraud_scores_brute_force(spark):
+    rows = _random_rows(800, ["a", "b", "c", "d", "e"], 6 * 3600, seed=11, null_ts=0.0, null_key=0.0)
+    # one large amount per customer so the amount indicator fires
+    rows = [(i, k, s, ts, a * 40 if i % 97 == 0 else a) for i, k, s, ts, a in rows]
+    out = {r["transaction_id"]: r for r in
+           fraud.fraud_scores(_frame(spark, rows), window_seconds=600, velocity_min=5, amount_factor=5.0).collect()}
+    levels = set()
+    for i, k, s, ts, a in rows:
+        cnt = sum(1 for _, k2, s2, _, _ in rows if k2 == k and s - 600 <= s2 <= s)
+        avg = sum(a2 for _, k2, _, _, a2 in rows if k2 == k) / sum(1 for r in rows if r[1] == k)
+        v, h, m = int(cnt >= 5), int(0 <= ts.hour <= 5), int(a > avg * 5)
+        score = 40 * v + 30 * h + 30 * m
+        r = out[i]
+        assert (r["txn_count_1h"], r["is_high_velocity"], r["is_unusual_hour"], r["is_high_amount"]) == (cnt, v, h, m)
+        assert r["fraud_score"] == score
+        assert r["risk_level"] == ("HIGH" if score >= 70 else "MEDIUM" if score >= 40 else "LOW")
+        levels.add(r["risk_level"])
+    assert levels == {"HIGH", "MEDIUM", "LOW"}
+
+
+def test_session_zone_timestamps(spark):
+    # session-zone timestamps use epoch seconds; the result matches the plain window
+    rows = _random_rows(300, ["a", "b"], 7200, seed=5, null_ts=0.0, null_key=0.0)
+    df = _frame(spark, rows).withColumn("transaction_date", F.col("transaction_date").cast("timestamp"))
+    plain = Window.partitionBy("customer_id").orderBy(F.col("transaction_date").cast("long")).rangeBetween(-3600, 0)
+    expected = {r[0]: r[1] for r in df.select("transaction_id", F.count("transaction_id").over(plain)).collect()}
+    got = {r["transaction_id"]: r["txn_count_1h"] for r in fraud.fraud_scores(df).collect()}
+    assert got == expected
+
+
+def test_high_risk_projection_and_order(spark):
+    rows = _random_rows(400, ["a", "b"], 3 * 3600, seed=2, null_ts=0.0, null_key=0.0)
+    df = _frame(spark, rows).withColumn("is_fraud", F.col("amount") > 400)
+    scored = fraud.fraud_scores(df, window_seconds=3600, velocity_min=3)
+    alerts = fraud.high_risk(scored, 40).collect()
+    assert alerts and all(r["fraud_score"] >= 40 for r in alerts)
+    assert list(alerts[0].asDict()) == fraud.HIGH_RISK_COLUMNS
+    scores = [r["fraud_score"] for r in alerts]
+    assert scores == sorted(scores, reverse=True)
+
+
+def test_window_partitions_are_bounded(spark):
+    # a single key holding every row: no window partition exceeds 5 x window distinct seconds
+    rows = [(i, "hot", None, EPOCH + dt.timedelta(seconds=i * 7), 1.0) for i in range(3000)]
+    df = _frame(spark, rows)
+    sec = F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', transaction_date)")
+    per_sec = df.groupBy("customer_id", sec.alias("s")).agg(F.count("transaction_id").alias("n"))
+    w = 300
+    width = w * 4
+    sizes = (per_sec.withColumn("b", F.floor(F.col("s") / width))
+             .groupBy("customer_id", "b").count().agg(F.max("count")).collect()[0][0])
+    assert sizes <= width
+    got = trailing_sum(per_sec, "customer_id", "s", "n", w, "t").agg(F.max("t")).collect()[0][0]
+    assert got == w // 7 + 1
