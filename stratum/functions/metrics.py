@@ -1,8 +1,13 @@
 """Aggregate and scalar helpers shared by gold and fraud.
 
-Sums of money go through ``decimal``: the result is exact, so it is the same
-on every partitioning, retry and engine (a ``double`` sum depends on the order
-rows arrive in).  It is reported back as ``double``.
+Sums of money are exact: each value is counted in whole units of the scale
+(cents for money), summed as ``bigint`` and reported back as ``double``.  The
+result is the same on every partitioning, retry and engine (a ``double`` sum
+depends on the order rows arrive in), and a ``bigint`` sum runs as fast as a
+``double`` one (a ``decimal(18,2)`` sum widens to ``decimal(28,2)`` and runs
+on big-decimal arithmetic, about 2x slower).  A group total overflows only
+past 9.2e16 currency units, and then the job fails under ANSI instead of
+wrapping.  NaN / infinite values are left out of sums, averages and counts.
 """
 
 from __future__ import annotations
@@ -15,19 +20,20 @@ MONEY_SCALE = 2      # currency amounts
 SCORE_SCALE = 6      # scores and ratios in [0, 1]
 
 
-def _dec(c: Column | str, scale: int) -> Column:
+def units(c: Column | str, scale: int = MONEY_SCALE) -> Column:
+    """``c`` in whole units of ``10^-scale`` as bigint (HALF_UP); NULL when not finite."""
     c = F.col(c) if isinstance(c, str) else c
-    return c.try_cast(f"decimal(18,{scale})")
+    return F.round(c.cast("double") * F.lit(10.0 ** scale)).try_cast("bigint")
 
 
 def exact_sum(c: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """``sum`` through ``decimal(18, scale)``, as double; NULL for no rows."""
-    return F.sum(_dec(c, scale)).cast("double")
+    """Exact sum, as double; NULL when there are no values."""
+    return F.sum(units(c, scale)).cast("double") / F.lit(10.0 ** scale)
 
 
 def exact_avg(c: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """``avg`` = exact sum / count of non-NULL values, as double."""
-    return F.try_divide(exact_sum(c, scale), F.count(_dec(c, scale)).cast("double"))
+    """``avg`` = exact sum / count of the values summed, as double."""
+    return F.try_divide(exact_sum(c, scale), F.count(units(c, scale)).cast("double"))
 
 
 def ratio(num: Column | str, den: Column | str) -> Column:

@@ -6,8 +6,8 @@ make both engines produce identical values:
 
 * issues are ``concat_ws(',', case when <fires> then '<name>' end, ...)``
   (NULL branches are skipped; no issue gives ``''``);
-* money sums go through ``decimal(18,2)``, scores through ``decimal(18,6)``,
-  averages are that sum as double divided by the count;
+* money is summed in whole cents (scores in millionths) as integers, then
+  divided back; averages are that sum divided by the count;
 * DuckDB's HUGEINT sums and BIGINT hours are cast back to BIGINT / INTEGER.
 """
 
@@ -125,13 +125,17 @@ def _metric_flags(metrics: list[str]) -> str:
     return "concat_ws(',', " + ", ".join(parts) + ")"
 
 
+def _units(col: str, scale: int) -> str:
+    return f"try_cast(round(cast({col} as double) * {10 ** scale}.0) as bigint)"
+
+
 def _dec_avg(col: str, scale: int = 2, over: str = "") -> str:
-    d = f"cast({col} as decimal(18,{scale}))"
-    return f"cast(sum({d}){over} as double) / nullif(count({d}){over}, 0)"
+    u = _units(col, scale)
+    return f"(cast(sum({u}){over} as double) / {10 ** scale}.0) / nullif(count({u}){over}, 0)"
 
 
 def _dec_sum(col: str, scale: int = 2) -> str:
-    return f"cast(sum(cast({col} as decimal(18,{scale}))) as double)"
+    return f"cast(sum({_units(col, scale)}) as double) / {10 ** scale}.0"
 
 
 GOLD_CUSTOMER = f"""
