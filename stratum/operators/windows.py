@@ -72,3 +72,77 @@ def join_on_nullsafe(left: DataFrame, right: DataFrame, keys: list[str], how: st
         cond = c if cond is None else cond & c
     joined = left.join(renamed, cond, how)
     return joined.drop(*[f"_r_{k}" for k in keys])
+
+
+def _bucketed_running_sum(deltas: DataFrame, key: str, sec: str, value: str, width: int, out: str) -> DataFrame:
+    """Running sum of ``value`` over ``sec`` per key, bounded per task.
+
+    Per-(key, bucket) totals are prefixed over buckets (one row per bucket),
+    then each bucket runs its own sum from that offset.
+    """
+    b = _bucket(F.col(sec), width)
+    with_b = deltas.withColumn("_bucket", b)
+    totals = with_b.groupBy(key, "_bucket").agg(F.sum(value).alias("_total"))
+    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumn("_offset", F.coalesce(F.sum("_total").over(before), F.lit(0))).drop("_total")
+    inside = Window.partitionBy(key, "_bucket").orderBy(sec).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        join_on_nullsafe(with_b, offsets, [key, "_bucket"], "inner")
+        .select(key, sec, (F.col("_offset") + F.sum(value).over(inside)).alias(out))
+    )
+
+
+def trailing_distinct(rows: DataFrame, key: str, sec: str, item: str, window_seconds: int,
+                      out: str) -> DataFrame:
+    """Distinct non-NULL ``item`` values of the key in ``[sec - w, sec]``.
+
+    Exact, and every task stays bounded whatever one key or item holds:
+
+    1. occurrences = distinct ``(key, item, sec)`` (a partial aggregate);
+    2. an occurrence at ``s`` covers ``[s, min(next, s + w + 1))`` where
+       ``next`` is the item's next occurrence; ``next`` only matters when it
+       is within ``w``, so a ``lead`` over ``(key, item, bucket)`` partitions
+       (plus the first ``w`` seconds of the next bucket) finds it;
+    3. +1 at the start and -1 at the end of every cover, summed per
+       ``(key, second)``; the count at ``t`` is the running sum up to ``t``.
+
+    Rows with a NULL ``sec`` are peers of each other: they count the distinct
+    items among the key's NULL-time rows.  Returns ``(key, sec, out)`` for
+    every ``(key, sec)`` present in ``rows``.
+    """
+    w = int(window_seconds)
+    width = max(w, 1) * BUCKET_FACTOR
+    timed = rows.filter(F.col(sec).isNotNull())
+    occ = timed.filter(F.col(item).isNotNull()).select(key, item, sec).distinct()
+    b = _bucket(F.col(sec), width)
+    own = occ.select(key, item, sec, b.alias("_bucket"), F.lit(True).alias("_own"))
+    ahead = (occ.filter(F.col(sec) < b * F.lit(width) + F.lit(w) + F.lit(1))
+             .select(key, item, sec, (b - 1).alias("_bucket"), F.lit(False).alias("_own")))
+    nxt = Window.partitionBy(key, item, "_bucket").orderBy(sec)
+    covers = (
+        own.unionByName(ahead)
+        .withColumn("_next", F.lead(sec).over(nxt))
+        .filter(F.col("_own"))
+        .select(key, sec, F.least(F.coalesce(F.col("_next"), F.col(sec) + w + 1),
+                                  F.col(sec) + w + 1).alias("_end"))
+    )
+    events = reduce_union([
+        covers.select(key, sec, F.lit(1).cast("bigint").alias("_d")),
+        covers.select(key, F.col("_end").alias(sec), F.lit(-1).cast("bigint").alias("_d")),
+        timed.select(key, sec, F.lit(0).cast("bigint").alias("_d")),     # every asked second
+    ])
+    deltas = events.groupBy(key, sec).agg(F.sum("_d").alias("_d"))
+    counts = _bucketed_running_sum(deltas, key, sec, "_d", width, out)
+    asked = timed.select(key, sec).distinct()
+    timed_counts = join_on_nullsafe(asked, counts, [key, sec], "left")
+    untimed = (rows.filter(F.col(sec).isNull()).groupBy(key)
+               .agg(F.count_distinct(item).alias(out))
+               .select(key, F.lit(None).cast("bigint").alias(sec), out))
+    return timed_counts.select(key, sec, F.col(out).cast("bigint").alias(out)).unionByName(untimed)
+
+
+def reduce_union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from stratum import schemas
 from stratum.functions import rules
 from stratum.functions.casts import conform
-from stratum.operators import bronze, fraud, gold, reports, silver
+from stratum.operators import bronze, fraud, fraud_extended, gold, reports, silver
 from stratum.plans.flow import Feeds, Layout, run_all_layers
 from stratum.plans.present import present
 from stratum.session import scratch_path
@@ -83,6 +83,17 @@ def _fraud_checked(spark, d):
                               velocity_min=CHECK_VELOCITY, amount_factor=CHECK_FACTOR)
 
 
+# Coverage variant of the seven-indicator scorer: with the specified
+# thresholds four indicators never fire on the test data; these make all fire.
+SEVEN_CHECK = dict(large_amount=50000.0, spend_factor=1.8, velocity_seconds=86400, velocity_over=2,
+                   merchant_seconds=30 * 86400, merchants_over=3, location_seconds=30 * 86400, locations_over=3)
+
+
+def _seven(spark, d, **params):
+    tx = silver.silver_transactions(bronze.bronze_transactions(view(spark, d, "transactions_located")))
+    return fraud_extended.seven_indicator_scores(tx, _silver_customers(spark, d), **params)
+
+
 def build() -> dict[str, Query]:
     return {
         "bronze_customers_flags": lambda s, d: present(_bronze_customers(s, d)),
@@ -100,6 +111,10 @@ def build() -> dict[str, Query]:
         "fraud_scores": lambda s, d: present(_fraud_checked(s, d)),
         "fraud_scores_default": lambda s, d: present(fraud.fraud_scores(_events(s, d))),
         "fraud_high_risk": lambda s, d: present(fraud.high_risk(_fraud_checked(s, d))),
+        "fraud_seven_indicators": lambda s, d: present(_seven(s, d, **SEVEN_CHECK)),
+        "fraud_seven_indicators_default": lambda s, d: present(_seven(s, d)),
+        "fraud_seven_alerts": lambda s, d: present(fraud_extended.alerts(_seven(s, d, **SEVEN_CHECK))),
+        "fraud_seven_summary": lambda s, d: present(fraud_extended.summary(_seven(s, d, **SEVEN_CHECK))),
         **build_io(),
     }
 

@@ -315,4 +315,73 @@ def build() -> dict[str, str]:
     out["full_run_customer_metrics"] = out["gold_customer_metrics"]
     out["full_run_transaction_metrics"] = out["gold_transaction_metrics"]
     out["full_run_merchant_performance"] = out["gold_merchant_performance"]
+    from stratum.plans.catalog import SEVEN_CHECK
+    out["fraud_seven_indicators"] = seven_indicator_query("select * from scored", **SEVEN_CHECK)
+    out["fraud_seven_indicators_default"] = seven_indicator_query("select * from scored")
+    out["fraud_seven_alerts"] = seven_indicator_query(SEVEN_ALERTS, **SEVEN_CHECK)
+    out["fraud_seven_summary"] = seven_indicator_query(SEVEN_SUMMARY, **SEVEN_CHECK)
     return out
+
+
+# ---- seven-indicator scoring over located transactions -----------------------
+BRONZE_TX_LOCATED = BRONZE_TRANSACTIONS.replace(
+    "cast(null as double) as location_lat, cast(null as double) as location_lon",
+    "location_lat, location_lon").replace("from transactions_raw", "from transactions_located")
+
+
+def seven_indicator_sql(large_amount=10000.0, spend_factor=3.0, night=(2, 5), velocity_seconds=3600,
+                        velocity_over=5, merchant_seconds=86400, merchants_over=10, location_seconds=86400,
+                        locations_over=5, risk_over=0.7, points=2) -> str:
+    avg = _dec_avg("t.amount", over=" over (partition by t.customer_id)")
+    rng = "over (partition by t.customer_id order by t.epoch_sec range between {} preceding and current row)"
+    features = f"""
+select t.*, cast(hour(transaction_date) as integer) as transaction_hour,
+ count(transaction_id) {rng.format(int(velocity_seconds))} as txn_count_1h,
+ count(distinct merchant_id) {rng.format(int(merchant_seconds))} as merchants_24h,
+ count(distinct loc) {rng.format(int(location_seconds))} as locations_24h,
+ {avg} as customer_avg_amount,
+ r.customer_risk_score
+from (select *, quality_issues = '' as is_valid, cast(floor(epoch(transaction_date)) as bigint) as epoch_sec,
+       case when location_lat is not null and location_lon is not null
+            then concat(cast(location_lat as varchar), ',', cast(location_lon as varchar)) end as loc
+      from silver_transactions) t
+left join (select customer_id, max(risk_score) as customer_risk_score from silver_customers group by customer_id) r
+ on t.customer_id = r.customer_id
+"""
+    flags = f"""
+select * exclude (epoch_sec, loc),
+ case when amount > {float(large_amount)} then 1 else 0 end as is_large_amount,
+ case when amount > customer_avg_amount * {float(spend_factor)} then 1 else 0 end as is_unusual_spend,
+ case when transaction_hour between {night[0]} and {night[1]} then 1 else 0 end as is_night,
+ case when txn_count_1h > {velocity_over} then 1 else 0 end as is_high_velocity,
+ case when merchants_24h > {merchants_over} then 1 else 0 end as is_merchant_hopping,
+ case when locations_24h > {locations_over} then 1 else 0 end as is_location_hopping,
+ case when customer_risk_score > {float(risk_over)} then 1 else 0 end as is_risky_customer
+from features f
+"""
+    scored = f"""
+select *, case when fraud_score >= 8 then 'CRITICAL' when fraud_score >= 6 then 'HIGH'
+               when fraud_score >= 4 then 'MEDIUM' else 'LOW' end as risk_level,
+ fraud_score >= 4 and fraud_score < 8 as requires_review, fraud_score >= 8 as should_block
+from (select *, (is_large_amount + is_unusual_spend + is_night + is_high_velocity + is_merchant_hopping
+                 + is_location_hopping + is_risky_customer) * {points} as fraud_score from flags) s
+"""
+    ctes = ([("bronze_transactions", BRONZE_TX_LOCATED), ("silver_transactions", SILVER_TRANSACTIONS)]
+            + SILVER_C + [("features", features), ("flags", flags), ("scored", scored)])
+    return ctes
+
+
+def seven_indicator_query(final: str, **params) -> str:
+    return with_views(final, "transactions_located", "customers_raw", ctes=seven_indicator_sql(**params))
+
+
+SEVEN_ALERTS = ("select transaction_id, customer_id, transaction_date, amount, fraud_score, risk_level, "
+                "requires_review, should_block, is_fraud from scored where risk_level in ('CRITICAL', 'HIGH')")
+SEVEN_SUMMARY = f"""
+select *, cast(confirmed_fraud as double) / nullif(transactions, 0) as confirmed_fraud_rate from (
+ select risk_level, count(transaction_id) as transactions, count(distinct customer_id) as customers,
+  {_dec_sum('amount')} as total_amount,
+  cast(sum(fraud_score) as double) / nullif(count(fraud_score), 0) as avg_fraud_score,
+  cast(sum(cast(is_fraud as integer)) as bigint) as confirmed_fraud
+ from scored group by risk_level) g
+"""

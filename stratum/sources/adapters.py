@@ -60,8 +60,18 @@ select event_id as transaction_id, user_id as customer_id, ts as transaction_dat
  from {events}
 """
 
+# Transactions with a place (ours): a deterministic (lat, lon) grid from the
+# supplier and part keys; line 7 of an order has no location.
+TRANSACTIONS_LOCATED = TRANSACTIONS_RAW.replace(
+    " l_tax as processing_fee\n from",
+    " l_tax as processing_fee,\n"
+    " case when l_linenumber = 7 then null else -12.2 + cast(l_suppkey % 7 as double) * 0.05 end as location_lat,\n"
+    " case when l_linenumber = 7 then null else -77.2 + cast(l_partkey % 9 as double) * 0.05 end as location_lon\n"
+    " from")
+
 VIEWS = {
     "customers_raw": CUSTOMERS_RAW,
+    "transactions_located": TRANSACTIONS_LOCATED,
     "merchants_raw": MERCHANTS_RAW,
     "transactions_raw": TRANSACTIONS_RAW,
     "events_tx": EVENTS_AS_TRANSACTIONS,

@@ -58,7 +58,10 @@ def compare(spark, sf_dir: str, name: str, query, sql: str | None, con=None) ->
                         f"oracle-only={sorted(set(d_names) - set(s_names))}"
         return out
     a, b = rows_of(s_names, s_rows), rows_of(d_names, d_rows)
-    if a == b:
+    types = type_mismatches(df, res.description)
+    if types:
+        out["status"] = f"types differ: {types}"
+    elif a == b:
         out["status"] = "match"
     else:
         only_s = list((a - b).elements())[:3]
@@ -86,5 +89,23 @@ def main(argv):
     return bad
 
 
+
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE", "smallint": "SMALLINT", "float": "FLOAT"}
+
+
+def type_mismatches(df, description) -> list:
+    """Columns whose Spark type does not map to the DuckDB result type."""
+    duck_types = {c[0]: str(c[1]).upper() for c in description}
+    bad = []
+    for f in df.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+        got = duck_types.get(f.name)
+        if got is not None and got != want:
+            bad.append((f.name, f.dataType.simpleString(), got))
+    return bad
+
+
 if __name__ == "__main__":
     sys.exit(main(sys.argv))

@@ -126,3 +126,44 @@ def test_window_partitions_are_bounded(spark):
     assert sizes <= width
     got = trailing_sum(per_sec, "customer_id", "s", "n", w, "t").agg(F.max("t")).collect()[0][0]
     assert got == w // 7 + 1
+
+
+@pytest.mark.parametrize("window", [0, 1, 500, 3600])
+def test_trailing_distinct_brute_force(spark, window):
+    from stratum.operators.windows import trailing_distinct
+    rnd = random.Random(window + 1)
+    rows = []
+    for _ in range(1500):
+        k = "hot" if rnd.random() < 0.4 else rnd.choice(["a", "b", None])
+        s = None if rnd.random() < 0.03 else rnd.randrange(30000)
+        if rows and rnd.random() < 0.2:
+            s = rows[-1][1]
+        it = None if rnd.random() < 0.05 else f"m{rnd.randrange(25)}"
+        rows.append((k, s, it))
+    df = spark.createDataFrame(rows, "k string, s long, it string")
+    got = {(r["k"], r["s"]): r["c"] for r in trailing_distinct(df, "k", "s", "it", window, "c").collect()}
+    assert len(got) == len({(k, s) for k, s, _ in rows})
+    for k, s in {(k, s) for k, s, _ in rows}:
+        if s is None:
+            want = {it for k2, s2, it in rows if k2 == k and s2 is None and it is not None}
+        else:
+            want = {it for k2, s2, it in rows
+                    if k2 == k and s2 is not None and s - window <= s2 <= s and it is not None}
+        assert got[(k, s)] == len(want), (k, s)
+
+
+def test_seven_indicator_levels(spark):
+    from stratum.operators.fraud_extended import seven_indicator_scores
+    rows = [(i, "c1", EPOCH + dt.timedelta(hours=3, minutes=i), 20000.0 if i == 5 else 10.0, f"m{i}",
+             -12.0 + i * 0.01, -77.0) for i in range(12)]
+    tx = spark.createDataFrame(rows, "transaction_id long, customer_id string, transaction_date timestamp_ntz, "
+                                     "amount double, merchant_id string, location_lat double, location_lon double")
+    cust = spark.createDataFrame([("c1", 0.9)], "customer_id string, risk_score double")
+    out = {r["transaction_id"]: r for r in seven_indicator_scores(tx, cust).collect()}
+    last = out[11]
+    # night + velocity (12 in an hour) + 12 merchants + 12 locations + risky customer = 5 indicators
+    assert (last["txn_count_1h"], last["merchants_24h"], last["locations_24h"]) == (12, 12, 12)
+    assert last["fraud_score"] == 10 and last["risk_level"] == "CRITICAL" and last["should_block"]
+    assert out[5]["is_large_amount"] == 1 and out[5]["is_unusual_spend"] == 1
+    first = out[0]
+    assert first["fraud_score"] == 4 and first["risk_level"] == "MEDIUM" and first["requires_review"]
