@@ -179,4 +179,29 @@ def build_io() -> dict[str, Query]:
         "full_run_customer_metrics": _stored("customer_metrics"),
         "full_run_transaction_metrics": _stored("transaction_metrics"),
         "full_run_merchant_performance": _stored("merchant_performance"),
+        "bronze_customers_stream": _streamed("customers"),
+        "bronze_transactions_stream": _streamed("transactions"),
     }
+
+
+# ---- incremental (streaming) ingestion of the same feeds ----------------------
+def _streamed(entity: str) -> Query:
+    from stratum.streaming import ingest
+
+    def q(spark, d):
+        key = (spark.sparkContext.applicationId, d, f"stream-{entity}")
+        if key not in _RUNS:
+            src = _feeds(spark, d)
+            root = scratch_path(spark, f"stream-{entity}")
+            if entity == "customers":
+                query = ingest.json_to_bronze(spark, src.customers, schemas.CUSTOMERS, bronze.bronze_customers,
+                                              f"{root}/table", f"{root}/checkpoint", max_files_per_trigger=2)
+            else:
+                query = ingest.csv_to_bronze(spark, src.transactions, schemas.TRANSACTIONS,
+                                             bronze.bronze_transactions, f"{root}/table", f"{root}/checkpoint",
+                                             max_files_per_trigger=16)
+            ingest.run_to_completion(query)
+            _RUNS[key] = f"{root}/table"
+        table = read_table(spark, _RUNS[key])
+        return present(table.drop("batch_id") if "batch_id" in table.columns else table)
+    return q

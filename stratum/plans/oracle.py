@@ -315,6 +315,8 @@ def build() -> dict[str, str]:
     out["full_run_customer_metrics"] = out["gold_customer_metrics"]
     out["full_run_transaction_metrics"] = out["gold_transaction_metrics"]
     out["full_run_merchant_performance"] = out["gold_merchant_performance"]
+    out["bronze_customers_stream"] = out["bronze_customers_flags"]
+    out["bronze_transactions_stream"] = out["bronze_transactions_flags"]
     from stratum.plans.catalog import SEVEN_CHECK
     out["fraud_seven_indicators"] = seven_indicator_query("select * from scored", **SEVEN_CHECK)
     out["fraud_seven_indicators_default"] = seven_indicator_query("select * from scored")
