@@ -45,16 +45,16 @@ def trailing_sum(per_sec: DataFrame, key: str, sec: str, value: str, window_seco
         raise ValueError("window_seconds must be >= 0")
     width = max(w, 1) * BUCKET_FACTOR
     b = _bucket(F.col(sec), width)
-    own = per_sec.select(key, sec, value, b.alias("_bucket"), F.lit(True).alias("_own"))
-    # the tail of each bucket also feeds the first `w` seconds of the next
-    spill = (
-        per_sec.filter(F.col(sec).isNotNull()
-                       & (F.col(sec) >= (b + 1) * F.lit(width) - F.lit(w)))
-        .select(key, sec, value, (b + 1).alias("_bucket"), F.lit(False).alias("_own"))
-    )
+    # each row once for its own bucket and, if it is in the bucket's last `w`
+    # seconds, once more for the next bucket -- one pass, no second scan
+    spill = F.col(sec).isNotNull() & (F.col(sec) >= (b + 1) * F.lit(width) - F.lit(w))
+    copies = F.array_compact(F.array(
+        F.struct(b.alias("_bucket"), F.lit(True).alias("_own")),
+        F.when(spill, F.struct((b + 1).alias("_bucket"), F.lit(False).alias("_own"))),
+    ))
     frame = Window.partitionBy(key, "_bucket").orderBy(sec).rangeBetween(-w, 0)
     return (
-        own.unionByName(spill)
+        per_sec.select(key, sec, value, F.inline(copies))
         .withColumn(out, F.sum(value).over(frame))
         .filter(F.col("_own"))
         .select(key, sec, out)
@@ -74,24 +74,6 @@ def join_on_nullsafe(left: DataFrame, right: DataFrame, keys: list[str], how: st
     return joined.drop(*[f"_r_{k}" for k in keys])
 
 
-def _bucketed_running_sum(deltas: DataFrame, key: str, sec: str, value: str, width: int, out: str) -> DataFrame:
-    """Running sum of ``value`` over ``sec`` per key, bounded per task.
-
-    Per-(key, bucket) totals are prefixed over buckets (one row per bucket),
-    then each bucket runs its own sum from that offset.
-    """
-    b = _bucket(F.col(sec), width)
-    with_b = deltas.withColumn("_bucket", b)
-    totals = with_b.groupBy(key, "_bucket").agg(F.sum(value).alias("_total"))
-    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_offset", F.coalesce(F.sum("_total").over(before), F.lit(0))).drop("_total")
-    inside = Window.partitionBy(key, "_bucket").orderBy(sec).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        join_on_nullsafe(with_b, offsets, [key, "_bucket"], "inner")
-        .select(key, sec, (F.col("_offset") + F.sum(value).over(inside)).alias(out))
-    )
-
-
 def trailing_distinct(rows: DataFrame, key: str, sec: str, item: str, window_seconds: int,
                       out: str) -> DataFrame:
     """Distinct non-NULL ``item`` values of the key in ``[sec - w, sec]``.
@@ -99,12 +81,17 @@ def trailing_distinct(rows: DataFrame, key: str, sec: str, item: str, window_sec
     Exact, and every task stays bounded whatever one key or item holds:
 
     1. occurrences = distinct ``(key, item, sec)`` (a partial aggregate);
-    2. an occurrence at ``s`` covers ``[s, min(next, s + w + 1))`` where
-       ``next`` is the item's next occurrence; ``next`` only matters when it
-       is within ``w``, so a ``lead`` over ``(key, item, bucket)`` partitions
-       (plus the first ``w`` seconds of the next bucket) finds it;
-    3. +1 at the start and -1 at the end of every cover, summed per
-       ``(key, second)``; the count at ``t`` is the running sum up to ``t``.
+    2. an occurrence at ``s`` *covers* ``[s, end)`` with
+       ``end = min(next, s + w + 1)``, ``next`` being the item's next
+       occurrence; ``next`` only matters within ``w``, so a ``lead`` over
+       ``(key, item, bucket)`` partitions (plus the first ``w + 1`` seconds of
+       the next bucket) finds it.  Covers of one item never overlap, so the
+       count at ``t`` is the number of covers containing ``t``;
+    3. only covers starting in ``[t - w, t]`` can contain ``t`` and any cover
+       starting earlier has closed by ``t``; so within a ``(key, bucket)``
+       partition -- the bucket's own covers plus the covers of the previous
+       bucket's last ``w`` seconds -- the count at ``t`` is the running sum
+       of +1 (cover starts) and -1 (cover ends) up to ``t``.
 
     Rows with a NULL ``sec`` are peers of each other: they count the distinct
     items among the key's NULL-time rows.  Returns ``(key, sec, out)`` for
@@ -115,30 +102,46 @@ def trailing_distinct(rows: DataFrame, key: str, sec: str, item: str, window_sec
     timed = rows.filter(F.col(sec).isNotNull())
     occ = timed.filter(F.col(item).isNotNull()).select(key, item, sec).distinct()
     b = _bucket(F.col(sec), width)
-    own = occ.select(key, item, sec, b.alias("_bucket"), F.lit(True).alias("_own"))
-    ahead = (occ.filter(F.col(sec) < b * F.lit(width) + F.lit(w) + F.lit(1))
-             .select(key, item, sec, (b - 1).alias("_bucket"), F.lit(False).alias("_own")))
+    # own bucket, plus the previous bucket when within its look-ahead
+    look_back = F.col(sec) < b * F.lit(width) + F.lit(w) + F.lit(1)
+    occ_copies = F.array_compact(F.array(
+        F.struct(b.alias("_bucket"), F.lit(True).alias("_own")),
+        F.when(look_back, F.struct((b - 1).alias("_bucket"), F.lit(False).alias("_own"))),
+    ))
     nxt = Window.partitionBy(key, item, "_bucket").orderBy(sec)
     covers = (
-        own.unionByName(ahead)
+        occ.select(key, item, sec, F.inline(occ_copies))
         .withColumn("_next", F.lead(sec).over(nxt))
         .filter(F.col("_own"))
-        .select(key, sec, F.least(F.coalesce(F.col("_next"), F.col(sec) + w + 1),
-                                  F.col(sec) + w + 1).alias("_end"))
+        .select(key, sec, "_bucket",
+                F.least(F.coalesce(F.col("_next"), F.col(sec) + w + 1), F.col(sec) + w + 1).alias("_end"))
+    )
+    # a cover's start and end, in its own bucket and -- when it starts in the
+    # bucket's last `w` seconds -- in the next one too
+    spill = F.col(sec) >= (F.col("_bucket") + 1) * F.lit(width) - F.lit(w)
+
+    def ev(bucket, t, d):
+        return F.struct(bucket.alias("_bucket"), t.alias("_t"), F.lit(d).alias("_d"), F.lit(False).alias("_ask"))
+
+    nb = F.col("_bucket") + 1
+    cover_events = covers.select(key, F.inline(F.array_compact(F.array(
+        ev(F.col("_bucket"), F.col(sec), 1), ev(F.col("_bucket"), F.col("_end"), -1),
+        F.when(spill, ev(nb, F.col(sec), 1)), F.when(spill, ev(nb, F.col("_end"), -1)),
+    ))))
+    asked = (timed.select(key, sec).distinct()
+             .select(key, _bucket(F.col(sec), width).alias("_bucket"), F.col(sec).alias("_t"),
+                     F.lit(0).alias("_d"), F.lit(True).alias("_ask")))
+    upto = Window.partitionBy(key, "_bucket").orderBy("_t").rangeBetween(Window.unboundedPreceding, 0)
+    timed_counts = (
+        cover_events.unionByName(asked)
+        .withColumn(out, F.sum("_d").over(upto).cast("bigint"))
+        .filter(F.col("_ask"))
+        .select(key, F.col("_t").alias(sec), out)
     )
-    events = reduce_union([
-        covers.select(key, sec, F.lit(1).cast("bigint").alias("_d")),
-        covers.select(key, F.col("_end").alias(sec), F.lit(-1).cast("bigint").alias("_d")),
-        timed.select(key, sec, F.lit(0).cast("bigint").alias("_d")),     # every asked second
-    ])
-    deltas = events.groupBy(key, sec).agg(F.sum("_d").alias("_d"))
-    counts = _bucketed_running_sum(deltas, key, sec, "_d", width, out)
-    asked = timed.select(key, sec).distinct()
-    timed_counts = join_on_nullsafe(asked, counts, [key, sec], "left")
     untimed = (rows.filter(F.col(sec).isNull()).groupBy(key)
                .agg(F.count_distinct(item).alias(out))
                .select(key, F.lit(None).cast("bigint").alias(sec), out))
-    return timed_counts.select(key, sec, F.col(out).cast("bigint").alias(out)).unionByName(untimed)
+    return timed_counts.unionByName(untimed)
 
 
 def reduce_union(frames: list[DataFrame]) -> DataFrame:
