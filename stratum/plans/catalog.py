@@ -65,12 +65,12 @@ def _invalid_counts(spark, d):
     m = conform(view(spark, d, "merchants_raw"), schemas.MERCHANTS)
     t = conform(view(spark, d, "transactions_raw"), schemas.TRANSACTIONS)
     return reports.union_all([
-        reports.issue_counts(rules.bronze_customer_flags(c), entity="customers", layer="bronze"),
-        reports.issue_counts(rules.bronze_transaction_flags(t), entity="transactions", layer="bronze"),
-        reports.issue_counts(rules.silver_customer_flags(c, stamp=False), entity="customers", layer="silver_rules"),
-        reports.issue_counts(rules.silver_merchant_flags(m, stamp=False), entity="merchants", layer="silver_rules"),
-        reports.issue_counts(rules.silver_transaction_flags(t, stamp=False), entity="transactions",
-                             layer="silver_rules"),
+        reports.layered_issue_counts(c, "customers", {
+            "bronze": (rules.BRONZE_CUSTOMER_RULES, True), "silver_rules": (rules.SILVER_CUSTOMER_RULES, False)}),
+        reports.layered_issue_counts(t, "transactions", {
+            "bronze": (rules.BRONZE_TRANSACTION_RULES, True),
+            "silver_rules": (rules.SILVER_TRANSACTION_RULES, False)}),
+        reports.layered_issue_counts(m, "merchants", {"silver_rules": (rules.SILVER_MERCHANT_RULES, False)}),
     ])
 
 
