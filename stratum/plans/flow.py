@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from stratum import schemas
-from stratum.operators import bronze, gold, silver
+from stratum.operators import bronze, fraud, fraud_extended, gold, silver
 from stratum.sources import feeds
 from stratum.sources.tables import DEFAULT_FORMAT, read_table, write_table
 
@@ -66,8 +66,28 @@ def run_gold(spark: SparkSession, out: Layout) -> None:
                 out.path("gold", "merchant_performance"), out.fmt)
 
 
-def run_all_layers(spark: SparkSession, src: Feeds, out: Layout) -> Layout:
+def run_fraud(spark: SparkSession, out: Layout, **params) -> None:
+    """Fraud outputs from silver: scored transactions, alerts and a summary.
+
+    The three-indicator scorer's alerts, and the seven-indicator scorer's
+    three tables (``fraud_detection``, ``_alerts``, ``_summary``).  The scored
+    table is written once and the alerts and summary read it back, so the
+    windows are computed once.
+    """
+    transactions = read_table(spark, out.path("silver", "transactions"), out.fmt)
+    customers = read_table(spark, out.path("silver", "customers"), out.fmt)
+    write_table(fraud.high_risk(fraud.fraud_scores(transactions)), out.path("gold", "fraud_alerts"), out.fmt)
+    scored_path = out.path("gold", "fraud_detection")
+    write_table(fraud_extended.seven_indicator_scores(transactions, customers, **params), scored_path, out.fmt)
+    scored = read_table(spark, scored_path, out.fmt)
+    write_table(fraud_extended.alerts(scored), out.path("gold", "fraud_detection_alerts"), out.fmt)
+    write_table(fraud_extended.summary(scored), out.path("gold", "fraud_detection_summary"), out.fmt)
+
+
+def run_all_layers(spark: SparkSession, src: Feeds, out: Layout, with_fraud: bool = False) -> Layout:
     run_bronze(spark, src, out)
     run_silver(spark, out)
     run_gold(spark, out)
+    if with_fraud:
+        run_fraud(spark, out)
     return out

@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import csv
 import io
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +74,16 @@ def feed_headers(spark: SparkSession, path: str | list[str]) -> dict[str, list[s
     return {r["header"]: list(r["files"]) for r in lines.collect()}
 
 
+_GLOB_CHARS = re.compile(r"([\\\[\]{}*?])")
+
+
+def literal_path(uri: str) -> str:
+    """A file URI as Spark reports it (``_metadata.file_path``, ``binaryFile``'s
+    ``path``: percent-encoded) -> a path the readers take literally (decoded,
+    glob characters escaped)."""
+    return _GLOB_CHARS.sub(r"\\\1", unquote(uri))
+
+
 def _unique(names: list[str]) -> list[str]:
     seen: dict[str, int] = {}
     out = []
@@ -106,7 +118,7 @@ def read_csv_feed(spark: SparkSession, path: str | list[str], schema: T.StructTy
             .option("multiLine", multi_line)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
-            .csv(files)
+            .csv([literal_path(f) for f in files])
             .select("*", F.col("_metadata.file_path").alias(SOURCE))
         )
         parts.append(type_strings(df, schema, keep=(SOURCE, CORRUPT)))

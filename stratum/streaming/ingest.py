@@ -71,7 +71,7 @@ def csv_to_bronze(spark: SparkSession, feed_path: str, schema: T.StructType, to_
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
         # as many paths as files in this micro-batch (bounded by maxFilesPerTrigger)
-        paths = sorted(r["path"] for r in batch.collect())
+        paths = sorted(feeds.literal_path(r["path"]) for r in batch.collect())
         if not paths:
             return
         feed = feeds.read_csv_feed(batch.sparkSession, paths, schema)

@@ -78,3 +78,24 @@ def test_gold_sort_orders(spark):
                                       "merchant_id string, merchant_name string, category string, country string")
     revs = [r["total_revenue"] for r in gold.merchant_performance(_tx(spark), merchants).collect()]
     assert revs == sorted(revs, reverse=True)
+
+
+def test_full_run_with_fraud_outputs(spark):
+    from conftest import SF_SMALL
+    from stratum.plans import catalog
+    from stratum.plans.flow import Layout, run_fraud, run_gold, run_silver, run_bronze
+    from stratum.session import scratch_path
+    from stratum.sources.tables import read_table
+    out = Layout(scratch_path(spark, "test-flow"))
+    src = catalog._feeds(spark, SF_SMALL)
+    run_bronze(spark, src, out)
+    run_silver(spark, out)
+    run_gold(spark, out)
+    run_fraud(spark, out)
+    scored = read_table(spark, out.path("gold", "fraud_detection"))
+    assert scored.count() == read_table(spark, out.path("silver", "transactions")).count()
+    levels = {r["risk_level"]: r["transactions"] for r in read_table(spark, out.path("gold", "fraud_detection_summary")).collect()}
+    assert sum(levels.values()) == scored.count()
+    alerts = read_table(spark, out.path("gold", "fraud_detection_alerts"))
+    assert alerts.count() == scored.filter(F.col("risk_level").isin("CRITICAL", "HIGH")).count()
+    assert read_table(spark, out.path("quarantine", "transactions")).count() == 0

@@ -106,3 +106,10 @@ def test_table_sink_overwrite_merges_schema(spark, tmp):
     write_table(spark.createDataFrame([(2, "x")], "a int, b string"), p)
     rows = read_table(spark, p).collect()
     assert [(r["a"], r["b"]) for r in rows] == [(2, "x")]
+
+
+def test_csv_paths_with_special_characters(spark, tmp):
+    # file paths come back percent-encoded and may hold glob characters
+    _write(f"{tmp}/a b%c/month=2024 01/x [y] {{z}} *.csv", "transaction_id,amount\nT1,1.5\n")
+    df = feeds.read_csv_feed(spark, f"{tmp}/a b%c", schemas.TRANSACTIONS)
+    assert [(r["transaction_id"], r["amount"]) for r in df.collect()] == [("T1", 1.5)]
