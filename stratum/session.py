@@ -73,3 +73,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         current = None
     if not current:
         spark.sparkContext.setCheckpointDir(root)
+
+
+def scale_settings(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings sized to the data, for a cluster run.
+
+    Shuffle partitions start at ~``partition_bytes`` of input each (AQE then
+    coalesces small ones and splits skewed ones), never below three waves of
+    the cluster's cores; scans read splits of the same size.  At 100 TB and
+    256 MiB that is ~400k initial shuffle partitions, coalesced by AQE to the
+    real post-filter volume.
+    """
+    partitions = max(3 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        # broadcast only what measures under this (Spark checks the size)
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
