@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from stratum import schemas
 from stratum.operators import bronze, fraud, fraud_extended, gold, silver
@@ -30,6 +31,9 @@ class Feeds:
 class Layout:
     root: str
     fmt: str = DEFAULT_FORMAT
+    # store silver transactions partitioned by the calendar day of the event
+    # (column ``event_day``): date-bounded reads then skip whole folders
+    partition_transactions_by_day: bool = False
 
     def path(self, layer: str, entity: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{entity}"
@@ -52,8 +56,12 @@ def run_silver(spark: SparkSession, out: Layout) -> None:
                 out.path("silver", "customers"), out.fmt)
     write_table(silver.silver_merchants(read_table(spark, out.path("bronze", "merchants"), out.fmt)),
                 out.path("silver", "merchants"), out.fmt)
-    write_table(silver.silver_transactions(read_table(spark, out.path("bronze", "transactions"), out.fmt)),
-                out.path("silver", "transactions"), out.fmt)
+    tx = silver.silver_transactions(read_table(spark, out.path("bronze", "transactions"), out.fmt))
+    if out.partition_transactions_by_day:
+        tx = tx.withColumn("event_day", F.to_date("transaction_date"))
+        write_table(tx, out.path("silver", "transactions"), out.fmt, partition_by=("event_day",))
+    else:
+        write_table(tx, out.path("silver", "transactions"), out.fmt)
 
 
 def run_gold(spark: SparkSession, out: Layout) -> None:

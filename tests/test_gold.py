@@ -99,3 +99,25 @@ def test_full_run_with_fraud_outputs(spark):
     alerts = read_table(spark, out.path("gold", "fraud_detection_alerts"))
     assert alerts.count() == scored.filter(F.col("risk_level").isin("CRITICAL", "HIGH")).count()
     assert read_table(spark, out.path("quarantine", "transactions")).count() == 0
+
+
+def test_day_partitioned_silver_prunes_and_matches(spark):
+    from conftest import SF_SMALL
+    from stratum.plans import catalog
+    from stratum.plans.flow import Layout, run_bronze, run_silver
+    from stratum.session import scratch_path
+    from stratum.sources.tables import read_table
+    src = catalog._feeds(spark, SF_SMALL)
+    plain, parted = Layout(scratch_path(spark, "t-plain")), Layout(scratch_path(spark, "t-parted"),
+                                                                 partition_transactions_by_day=True)
+    for out in (plain, parted):
+        run_bronze(spark, src, out)
+        run_silver(spark, out)
+    a = read_table(spark, plain.path("silver", "transactions"))
+    b = read_table(spark, parted.path("silver", "transactions"))
+    ga = {tuple(r) for r in gold.transaction_metrics(a, stamp=False).drop("quality_issues", "calculated_at").collect()}
+    gb = {tuple(r) for r in gold.transaction_metrics(b, stamp=False).drop("quality_issues", "calculated_at").collect()}
+    assert ga == gb
+    day = b.filter(F.col("event_day") == F.lit("1996-03-01").cast("date"))
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_day" in plan
