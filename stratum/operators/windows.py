@@ -78,29 +78,44 @@ def trailing_distinct(rows: DataFrame, key: str, sec: str, item: str, window_sec
                       out: str) -> DataFrame:
     """Distinct non-NULL ``item`` values of the key in ``[sec - w, sec]``.
 
+    See :func:`trailing_distinct_many`; returns ``(key, sec, out)``.
+    """
+    return trailing_distinct_many(rows, key, sec, [(item, out)], window_seconds)
+
+
+def trailing_distinct_many(rows: DataFrame, key: str, sec: str, items: list[tuple[str, str]],
+                           window_seconds: int) -> DataFrame:
+    """For several ``(item, out)`` pairs at once: distinct non-NULL ``item``
+    values of the key in ``[sec - w, sec]``, in one pass over the data.
+
     Exact, and every task stays bounded whatever one key or item holds:
 
-    1. occurrences = distinct ``(key, item, sec)`` (a partial aggregate);
+    1. occurrences = distinct ``(key, tag, value, sec)`` over all items (a
+       partial aggregate; ``tag`` says which item a value belongs to);
     2. an occurrence at ``s`` *covers* ``[s, end)`` with
-       ``end = min(next, s + w + 1)``, ``next`` being the item's next
+       ``end = min(next, s + w + 1)``, ``next`` being the value's next
        occurrence; ``next`` only matters within ``w``, so a ``lead`` over
-       ``(key, item, bucket)`` partitions (plus the first ``w + 1`` seconds of
-       the next bucket) finds it.  Covers of one item never overlap, so the
-       count at ``t`` is the number of covers containing ``t``;
+       ``(key, tag, value, bucket)`` partitions (plus the first ``w + 1``
+       seconds of the next bucket) finds it.  Covers of one value never
+       overlap, so the count at ``t`` is the number of covers containing ``t``;
     3. only covers starting in ``[t - w, t]`` can contain ``t`` and any cover
        starting earlier has closed by ``t``; so within a ``(key, bucket)``
        partition -- the bucket's own covers plus the covers of the previous
        bucket's last ``w`` seconds -- the count at ``t`` is the running sum
-       of +1 (cover starts) and -1 (cover ends) up to ``t``.
+       of +1 (cover starts) and -1 (cover ends) up to ``t``, per tag.
 
     Rows with a NULL ``sec`` are peers of each other: they count the distinct
-    items among the key's NULL-time rows.  Returns ``(key, sec, out)`` for
-    every ``(key, sec)`` present in ``rows``.
+    values among the key's NULL-time rows.  Returns ``(key, sec, out...)``
+    for every ``(key, sec)`` present in ``rows``.
     """
     w = int(window_seconds)
     width = max(w, 1) * BUCKET_FACTOR
+    outs = [o for _, o in items]
     timed = rows.filter(F.col(sec).isNotNull())
-    occ = timed.filter(F.col(item).isNotNull()).select(key, item, sec).distinct()
+    tagged = F.array_compact(F.array(*[
+        F.when(F.col(it).isNotNull(), F.struct(F.lit(i).alias("_tag"), F.col(it).cast("string").alias("_v")))
+        for i, (it, _) in enumerate(items)]))
+    occ = timed.select(key, sec, F.inline(tagged)).distinct()
     b = _bucket(F.col(sec), width)
     # own bucket, plus the previous bucket when within its look-ahead
     look_back = F.col(sec) < b * F.lit(width) + F.lit(w) + F.lit(1)
@@ -108,12 +123,12 @@ def trailing_distinct(rows: DataFrame, key: str, sec: str, item: str, window_sec
         F.struct(b.alias("_bucket"), F.lit(True).alias("_own")),
         F.when(look_back, F.struct((b - 1).alias("_bucket"), F.lit(False).alias("_own"))),
     ))
-    nxt = Window.partitionBy(key, item, "_bucket").orderBy(sec)
+    nxt = Window.partitionBy(key, "_tag", "_v", "_bucket").orderBy(sec)
     covers = (
-        occ.select(key, item, sec, F.inline(occ_copies))
+        occ.select(key, "_tag", "_v", sec, F.inline(occ_copies))
         .withColumn("_next", F.lead(sec).over(nxt))
         .filter(F.col("_own"))
-        .select(key, sec, "_bucket",
+        .select(key, "_tag", sec, "_bucket",
                 F.least(F.coalesce(F.col("_next"), F.col(sec) + w + 1), F.col(sec) + w + 1).alias("_end"))
     )
     # a cover's start and end, in its own bucket and -- when it starts in the
@@ -124,23 +139,25 @@ def trailing_distinct(rows: DataFrame, key: str, sec: str, item: str, window_sec
         return F.struct(bucket.alias("_bucket"), t.alias("_t"), F.lit(d).alias("_d"), F.lit(False).alias("_ask"))
 
     nb = F.col("_bucket") + 1
-    cover_events = covers.select(key, F.inline(F.array_compact(F.array(
+    cover_events = covers.select(key, "_tag", F.inline(F.array_compact(F.array(
         ev(F.col("_bucket"), F.col(sec), 1), ev(F.col("_bucket"), F.col("_end"), -1),
         F.when(spill, ev(nb, F.col(sec), 1)), F.when(spill, ev(nb, F.col("_end"), -1)),
     ))))
     asked = (timed.select(key, sec).distinct()
-             .select(key, _bucket(F.col(sec), width).alias("_bucket"), F.col(sec).alias("_t"),
-                     F.lit(0).alias("_d"), F.lit(True).alias("_ask")))
+             .select(key, F.lit(-1).alias("_tag"), _bucket(F.col(sec), width).alias("_bucket"),
+                     F.col(sec).alias("_t"), F.lit(0).alias("_d"), F.lit(True).alias("_ask")))
     upto = Window.partitionBy(key, "_bucket").orderBy("_t").rangeBetween(Window.unboundedPreceding, 0)
     timed_counts = (
         cover_events.unionByName(asked)
-        .withColumn(out, F.sum("_d").over(upto).cast("bigint"))
+        .select(key, "_t", "_ask", *[
+            F.sum(F.when(F.col("_tag") == i, F.col("_d")).otherwise(0)).over(upto).cast("bigint").alias(o)
+            for i, o in enumerate(outs)])
         .filter(F.col("_ask"))
-        .select(key, F.col("_t").alias(sec), out)
+        .select(key, F.col("_t").alias(sec), *outs)
     )
     untimed = (rows.filter(F.col(sec).isNull()).groupBy(key)
-               .agg(F.count_distinct(item).alias(out))
-               .select(key, F.lit(None).cast("bigint").alias(sec), out))
+               .agg(*[F.count_distinct(it).alias(o) for it, o in items])
+               .select(key, F.lit(None).cast("bigint").alias(sec), *outs))
     return timed_counts.unionByName(untimed)
 
 

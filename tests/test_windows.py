@@ -167,3 +167,17 @@ def test_seven_indicator_levels(spark):
     assert out[5]["is_large_amount"] == 1 and out[5]["is_unusual_spend"] == 1
     first = out[0]
     assert first["fraud_score"] == 4 and first["risk_level"] == "MEDIUM" and first["requires_review"]
+
+
+def test_trailing_distinct_many_equals_single(spark):
+    from stratum.operators.windows import trailing_distinct, trailing_distinct_many
+    rnd = random.Random(9)
+    rows = [(rnd.choice(["a", "b", None]), None if rnd.random() < 0.03 else rnd.randrange(20000),
+             None if rnd.random() < 0.1 else f"m{rnd.randrange(15)}",
+             None if rnd.random() < 0.1 else float(rnd.randrange(6))) for _ in range(1200)]
+    df = spark.createDataFrame(rows, "k string, s long, it string, loc double")
+    both = {(r["k"], r["s"]): (r["c1"], r["c2"]) for r in
+            trailing_distinct_many(df, "k", "s", [("it", "c1"), ("loc", "c2")], 700).collect()}
+    one = {(r["k"], r["s"]): r["c"] for r in trailing_distinct(df, "k", "s", "it", 700, "c").collect()}
+    two = {(r["k"], r["s"]): r["c"] for r in trailing_distinct(df, "k", "s", "loc", 700, "c").collect()}
+    assert both == {k: (one[k], two[k]) for k in one}
