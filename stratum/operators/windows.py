@@ -159,10 +159,3 @@ def trailing_distinct_many(rows: DataFrame, key: str, sec: str, items: list[tupl
                .agg(*[F.count_distinct(it).alias(o) for it, o in items])
                .select(key, F.lit(None).cast("bigint").alias(sec), *outs))
     return timed_counts.unionByName(untimed)
-
-
-def reduce_union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out

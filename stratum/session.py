@@ -64,17 +64,6 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable (reads the setting, sets only if unset)."""
-    root = checkpoint_root(spark)
-    try:
-        current = spark.sparkContext.getCheckpointDir()
-    except Exception:
-        current = None
-    if not current:
-        spark.sparkContext.setCheckpointDir(root)
-
-
 def scale_settings(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Session settings sized to the data, for a cluster run.
 
