@@ -18,7 +18,7 @@ from stratum.functions.casts import conform
 from stratum.operators import bronze, fraud, fraud_extended, gold, reports, silver
 from stratum.plans.flow import Feeds, Layout, run_all_layers
 from stratum.plans.present import present
-from stratum.session import scratch_path
+from stratum.session import scratch_path, session_key
 from stratum.sources import feeds
 from stratum.sources.adapters import view
 from stratum.sources.tables import export_json_lines, export_monthly_csv, read_table
@@ -142,14 +142,14 @@ def export_feeds(spark: SparkSession, d: str, root: str) -> Feeds:
 
 
 def _feeds(spark: SparkSession, d: str) -> Feeds:
-    key = (spark.sparkContext.applicationId, d, "feeds")
+    key = (session_key(spark), d, "feeds")
     if key not in _RUNS:
         _RUNS[key] = export_feeds(spark, d, scratch_path(spark, "feeds"))
     return _RUNS[key]
 
 
 def _full_run(spark: SparkSession, d: str) -> Layout:
-    key = (spark.sparkContext.applicationId, d, "layers")
+    key = (session_key(spark), d, "layers")
     if key not in _RUNS:
         _RUNS[key] = run_all_layers(spark, _feeds(spark, d), Layout(scratch_path(spark, "layers")))
     return _RUNS[key]
@@ -189,7 +189,7 @@ def _streamed(entity: str) -> Query:
     from stratum.streaming import ingest
 
     def q(spark, d):
-        key = (spark.sparkContext.applicationId, d, f"stream-{entity}")
+        key = (session_key(spark), d, f"stream-{entity}")
         if key not in _RUNS:
             src = _feeds(spark, d)
             root = scratch_path(spark, f"stream-{entity}")

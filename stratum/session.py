@@ -41,19 +41,38 @@ def checkpoint_root(spark: SparkSession) -> str:
     and registered, so lineage cuts and scratch tables always go to storage
     every executor can reach.
     """
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = sc.getCheckpointDir()
-        except Exception:  # older APIs
-            root = None
+    root = None
+    try:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:
+        root = None
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext (e.g. a Connect session)
+        sc = None
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None)
+        if not root:
+            try:
+                root = sc.getCheckpointDir()
+            except Exception:
+                root = None
     if not root:
         root = tempfile.mkdtemp(prefix="stratum-ckpt-")
-        sc.setCheckpointDir(root)
+        if sc is not None:
+            sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def session_key(spark: SparkSession) -> str:
+    """An id for the running application (for per-run memoisation)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return f"session-{id(spark)}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the checkpoint root for one run."""
     return f"{checkpoint_root(spark)}/stratum/{name}-{uuid.uuid4().hex[:12]}"

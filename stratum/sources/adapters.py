@@ -99,9 +99,12 @@ def rebalance(df: DataFrame) -> DataFrame:
     Planning only (no job): a large input already has at least that many
     splits and is returned unchanged, so no shuffle is added at scale.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            return df.repartition(target)
+    except Exception:  # no RDD API (e.g. a Connect session): leave the scan as is
+        pass
     return df
 
 
