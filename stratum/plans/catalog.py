@@ -199,7 +199,7 @@ def _streamed(entity: str) -> Query:
             else:
                 query = ingest.csv_to_bronze(spark, src.transactions, schemas.TRANSACTIONS,
                                              bronze.bronze_transactions, f"{root}/table", f"{root}/checkpoint",
-                                             max_files_per_trigger=16)
+                                             max_files_per_trigger=48)
             ingest.run_to_completion(query)
             _RUNS[key] = f"{root}/table"
         table = read_table(spark, _RUNS[key])

@@ -54,7 +54,11 @@ def export_json_lines(df: DataFrame, path: str, legacy_types: bool = False) -> N
 
 def export_monthly_csv(df: DataFrame, path: str, time_col: str, legacy_types: bool = False,
                        time_format: str = "yyyy-MM-dd HH:mm:ss", mode: str = "overwrite") -> None:
-    """One folder per month of ``time_col`` (``year_month=yyyy-MM``), header on."""
+    """One folder per month of ``time_col`` (``year_month=yyyy-MM``), header on.
+
+    Range-partitioned by (month, time) before writing, so a month has as
+    many files as tasks its rows span.
+    """
     dtype = df.schema[time_col].dataType
     ts = F.col(time_col) if not isinstance(dtype, T.StringType) else F.try_to_timestamp(F.col(time_col))
     out = df.withColumn("year_month", F.date_format(ts, "yyyy-MM"))
@@ -62,6 +66,10 @@ def export_monthly_csv(df: DataFrame, path: str, time_col: str, legacy_types: bo
         out = out.withColumn(time_col, F.date_format(F.col(time_col), time_format))
     if legacy_types:
         out = _legacy(out)
+    # contiguous time ranges per task: each task writes one or two months'
+    # files (not one per month per task), and a large month still spreads
+    # over several tasks
+    out = out.repartitionByRange(F.col("year_month"), F.col(time_col))
     (out.write.mode(mode).partitionBy("year_month").option("header", True)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .option("dateFormat", "yyyy-MM-dd").csv(path))
