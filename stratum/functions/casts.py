@@ -24,11 +24,18 @@ def lenient_bool(c: Column) -> Column:
     return _try_cast(F.trim(c), "boolean")
 
 
+EPOCH_DAY = "1970-01-01"
+MILLIS_PER_DAY = 86_400_000
+
+
 def lenient_date(c: Column) -> Column:
+    """ISO date text, or epoch milliseconds of a UTC midnight (pandas' JSON
+    dates); the day count is taken in UTC, whatever the session zone."""
     s = F.trim(c)
     millis = _try_cast(s, "bigint")
+    days = F.floor(millis / F.lit(MILLIS_PER_DAY)).try_cast("int")
     return F.coalesce(_try_cast(s, "date"),
-                      F.when(millis.isNotNull(), F.timestamp_millis(millis).cast("date")))
+                      F.when(millis.isNotNull(), F.date_add(F.lit(EPOCH_DAY).cast("date"), days)))
 
 
 def lenient_int(c: Column) -> Column:

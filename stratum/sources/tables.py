@@ -40,7 +40,8 @@ def _legacy(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, T.BooleanType):
             c = c.cast("int")
         elif isinstance(f.dataType, T.DateType):
-            c = F.unix_millis(c.cast("timestamp"))
+            # epoch milliseconds of the date's UTC midnight, whatever the session zone
+            c = F.datediff(c, F.lit("1970-01-01").cast("date")).cast("bigint") * F.lit(86_400_000)
         elif isinstance(f.dataType, T.IntegerType):
             c = c.cast("double")            # an int column with gaps, as pandas writes it
         cols.append(c.alias(f.name))

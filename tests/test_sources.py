@@ -113,3 +113,21 @@ def test_csv_paths_with_special_characters(spark, tmp):
     _write(f"{tmp}/a b%c/month=2024 01/x [y] {{z}} *.csv", "transaction_id,amount\nT1,1.5\n")
     df = feeds.read_csv_feed(spark, f"{tmp}/a b%c", schemas.TRANSACTIONS)
     assert [(r["transaction_id"], r["amount"]) for r in df.collect()] == [("T1", 1.5)]
+
+
+def test_epoch_millis_dates_ignore_session_zone(spark, tmp):
+    # pandas writes a date as the epoch milliseconds of its UTC midnight
+    _write(f"{tmp}/c/x.json", '{"customer_id":"C1","date_of_birth":946684800000}\n'
+                              '{"customer_id":"C2","date_of_birth":-86400000}\n')
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Lima")
+        rows = {r["customer_id"]: r["date_of_birth"]
+                for r in feeds.read_json_feed(spark, f"{tmp}/c", schemas.CUSTOMERS).collect()}
+        src = spark.createDataFrame([("M1", dt.date(2020, 3, 4))], "merchant_id string, registration_date date")
+        export_json_lines(src, f"{tmp}/m", legacy_types=True)
+        back = feeds.read_json_feed(spark, f"{tmp}/m", schemas.MERCHANTS).collect()[0]["registration_date"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert rows == {"C1": dt.date(2000, 1, 1), "C2": dt.date(1969, 12, 31)}
+    assert back == dt.date(2020, 3, 4)
