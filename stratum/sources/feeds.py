@@ -53,11 +53,12 @@ def feed_headers(spark: SparkSession, path: str | list[str]) -> dict[str, list[s
 
     One distributed pass over the text (no CSV parsing): within a scan task
     rows come in file order, so the first line of a file is the row with the
-    smallest id among that file's first split.  Only the distinct header
-    lines and their file names reach the driver (as many entries as files,
-    which the driver lists for any file scan anyway).
+    smallest id among that file's first split.  The per-file minimum is a
+    partial aggregate (one row per file per task), and the driver receives
+    one ``(file, header)`` row per file -- the same listing Spark's file index
+    already keeps on the driver.
     """
-    lines = (
+    first_lines = (
         spark.read.text(path)
         .select(
             F.col("_metadata.file_path").alias("file"),
@@ -68,10 +69,11 @@ def feed_headers(spark: SparkSession, path: str | list[str]) -> dict[str, list[s
         .filter(F.col("block_start") == 0)
         .groupBy("file")
         .agg(F.min_by("value", "rid").alias("header"))
-        .groupBy("header")
-        .agg(F.sort_array(F.collect_list("file")).alias("files"))
     )
-    return {r["header"]: list(r["files"]) for r in lines.collect()}
+    groups: dict[str, list[str]] = {}
+    for r in first_lines.toLocalIterator():
+        groups.setdefault(r["header"], []).append(r["file"])
+    return {h: sorted(files) for h, files in groups.items()}
 
 
 _GLOB_CHARS = re.compile(r"([\\\[\]{}*?])")

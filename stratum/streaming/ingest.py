@@ -61,12 +61,12 @@ def json_to_bronze(spark: SparkSession, feed_path: str, schema: T.StructType, to
 
 def csv_to_bronze(spark: SparkSession, feed_path: str, schema: T.StructType, to_bronze: ToBronze,
                   table_path: str, checkpoint: str, fmt: str = DEFAULT_FORMAT,
-                  max_files_per_trigger: int | None = None, available_now: bool = True,
+                  max_files_per_trigger: int = 1000, available_now: bool = True,
                   interval: str = "1 minute") -> StreamingQuery:
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    # bounds the file names one micro-batch hands to the driver
+    reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     files = reader.load(feed_path).select("path")
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
