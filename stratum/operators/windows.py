@@ -102,7 +102,9 @@ def trailing_distinct_many(rows: DataFrame, key: str, sec: str, items: list[tupl
        starting earlier has closed by ``t``; so within a ``(key, bucket)``
        partition -- the bucket's own covers plus the covers of the previous
        bucket's last ``w`` seconds -- the count at ``t`` is the running sum
-       of +1 (cover starts) and -1 (cover ends) up to ``t``, per tag.
+       of +1 (cover starts) and -1 (cover ends) up to ``t``, per tag.  The
+       +1/-1 events are first netted per second (a partial aggregate), so a
+       window partition holds at most one row per second of its span.
 
     Rows with a NULL ``sec`` are peers of each other: they count the distinct
     values among the key's NULL-time rows.  Returns ``(key, sec, out...)``
@@ -146,13 +148,21 @@ def trailing_distinct_many(rows: DataFrame, key: str, sec: str, items: list[tupl
     asked = (timed.select(key, sec).distinct()
              .select(key, F.lit(-1).alias("_tag"), _bucket(F.col(sec), width).alias("_bucket"),
                      F.col(sec).alias("_t"), F.lit(0).alias("_d"), F.lit(True).alias("_ask")))
-    upto = Window.partitionBy(key, "_bucket").orderBy("_t").rangeBetween(Window.unboundedPreceding, 0)
-    timed_counts = (
+    # net change per (key, bucket, second): a partial aggregate, so the window
+    # below holds at most one row per second of the bucket's span, however
+    # many distinct values one key has
+    net = (
         cover_events.unionByName(asked)
-        .select(key, "_t", "_ask", *[
-            F.sum(F.when(F.col("_tag") == i, F.col("_d")).otherwise(0)).over(upto).cast("bigint").alias(o)
-            for i, o in enumerate(outs)])
-        .filter(F.col("_ask"))
+        .groupBy(key, "_bucket", "_t")
+        .agg(F.max(F.col("_ask").cast("int")).alias("_ask"),
+             *[F.sum(F.when(F.col("_tag") == i, F.col("_d")).otherwise(0)).alias(f"_d{i}")
+               for i in range(len(outs))])
+    )
+    upto = Window.partitionBy(key, "_bucket").orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)
+    timed_counts = (
+        net.select(key, "_t", "_ask", *[F.sum(f"_d{i}").over(upto).cast("bigint").alias(o)
+                                         for i, o in enumerate(outs)])
+        .filter(F.col("_ask") == 1)
         .select(key, F.col("_t").alias(sec), *outs)
     )
     untimed = (rows.filter(F.col(sec).isNull()).groupBy(key)
