@@ -181,3 +181,19 @@ def test_trailing_distinct_many_equals_single(spark):
     one = {(r["k"], r["s"]): r["c"] for r in trailing_distinct(df, "k", "s", "it", 700, "c").collect()}
     two = {(r["k"], r["s"]): r["c"] for r in trailing_distinct(df, "k", "s", "loc", 700, "c").collect()}
     assert both == {k: (one[k], two[k]) for k in one}
+
+
+@pytest.mark.parametrize("window", [0, 7, 300])
+def test_trailing_windows_with_negative_seconds(spark, window):
+    # times before 1970: buckets use floor division, frames cross zero
+    from stratum.operators.windows import trailing_distinct
+    rnd = random.Random(window + 17)
+    rows = [(rnd.choice(["a", "b"]), rnd.randrange(-3000, 3000), f"m{rnd.randrange(8)}") for _ in range(600)]
+    df = spark.createDataFrame(rows, "k string, s long, it string")
+    per_sec = df.groupBy("k", "s").agg(F.count("it").alias("n"))
+    sums = {(r["k"], r["s"]): r["t"] for r in trailing_sum(per_sec, "k", "s", "n", window, "t").collect()}
+    dist = {(r["k"], r["s"]): r["c"] for r in trailing_distinct(df, "k", "s", "it", window, "c").collect()}
+    for k, s in {(k, s) for k, s, _ in rows}:
+        inside = [it for k2, s2, it in rows if k2 == k and s - window <= s2 <= s]
+        assert sums[(k, s)] == len(inside)
+        assert dist[(k, s)] == len(set(inside))
