@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.functions.metrics import MONEY_SCALE, epoch_seconds, units
+from stratum.functions.metrics import MONEY_SCALE, epoch_seconds, exact_avg
 from stratum.operators.windows import join_on_nullsafe, trailing_sum
 
 SCORED_COLUMNS = ["transaction_hour", "txn_count_1h", "customer_avg_amount", "is_high_velocity",
@@ -33,21 +33,17 @@ def with_window_features(df: DataFrame, *, key: str = "customer_id", ts: str = "
                          avg_out: str = "customer_avg_amount", amount_scale: int = MONEY_SCALE) -> DataFrame:
     """Add the trailing count and the whole-history average per key.
 
-    Plan: rows -> per (key, second) count and amount (partial aggregate);
-    that table feeds both the bucketed range window and the per-key average;
-    the two results are joined, then joined back to the rows on
-    (key, second) -- the only row-level shuffle.
+    Plan: rows -> per (key, second) counts (partial aggregate) -> bucketed
+    range window; rows -> per key average (partial aggregate); the two
+    results are joined, then joined back to the rows on (key, second) -- the
+    only shuffle of whole rows.
     """
     sec = epoch_seconds(F.col(ts), df.schema[ts].dataType)
     base = df.withColumn("_sec", sec)
-    cents = units(amount, amount_scale)
-    per_sec = base.groupBy(key, "_sec").agg(
-        F.count(id_col).alias("_n"), F.sum(cents).alias("_units"), F.count(cents).alias("_valued"))
-    counts = trailing_sum(per_sec.select(key, "_sec", "_n"), key, "_sec", "_n", window_seconds, count_out)
-    # the whole-history average comes from the per-second table, not from the rows again
-    averages = per_sec.groupBy(key).agg(
-        F.try_divide(F.sum("_units").cast("double") / F.lit(10.0 ** amount_scale),
-                     F.sum("_valued").cast("double")).alias(avg_out))
+    per_sec = base.groupBy(key, "_sec").agg(F.count(id_col).alias("_n"))
+    counts = trailing_sum(per_sec, key, "_sec", "_n", window_seconds, count_out)
+    # per key: a partial aggregate, so each task ships one row per customer
+    averages = base.groupBy(key).agg(exact_avg(amount, amount_scale).alias(avg_out))
     stats = join_on_nullsafe(counts, averages, [key], "left")
     out = join_on_nullsafe(base, stats, [key, "_sec"], "left")
     return out.drop("_sec")
