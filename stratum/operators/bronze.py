@@ -38,5 +38,12 @@ def bronze_merchants(raw: DataFrame, source_tag: str = schemas.JSON_SOURCE_TAG)
     return rules.default_valid(with_lineage(raw, schemas.MERCHANTS, source_tag))
 
 
-def bronze_transactions(raw: DataFrame, source_tag: str = schemas.CSV_SOURCE_TAG) -> DataFrame:
-    return rules.bronze_transaction_flags(with_lineage(raw, schemas.TRANSACTIONS, source_tag))
+def bronze_transactions(raw: DataFrame, source_tag: str = schemas.CSV_SOURCE_TAG,
+                        card_as_text: bool = False) -> DataFrame:
+    """``card_as_text`` keeps ``card_last_4`` as text (leading zeros kept, a
+    float suffix such as ``1234.0`` dropped) instead of the declared int."""
+    if not card_as_text:
+        return rules.bronze_transaction_flags(with_lineage(raw, schemas.TRANSACTIONS, source_tag))
+    typed = with_lineage(raw, schemas.TRANSACTIONS_CARD_TEXT, source_tag)
+    card = F.regexp_replace(F.trim(F.col("card_last_4")), r"\.0+$", "")
+    return rules.bronze_transaction_flags(typed.withColumn("card_last_4", card))

@@ -73,4 +73,10 @@ CHANNELS = ["online", "mobile", "atm", "branch", "pos", "agent"]
 JSON_SOURCE_TAG = "azure_json"
 CSV_SOURCE_TAG = "azure_csv"
 
+# Option (M6): card_last_4 as text keeps leading zeros ("0123"); the default
+# int type turns it into 123, which the 4-digit rule then flags.
+TRANSACTIONS_CARD_TEXT = T.StructType([
+    T.StructField(f.name, S, True) if f.name == "card_last_4" else f for f in TRANSACTIONS.fields
+])
+
 ENTITY_SCHEMAS = {"customers": CUSTOMERS, "merchants": MERCHANTS, "transactions": TRANSACTIONS}

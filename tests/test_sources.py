@@ -131,3 +131,15 @@ def test_epoch_millis_dates_ignore_session_zone(spark, tmp):
         spark.conf.set("spark.sql.session.timeZone", before)
     assert rows == {"C1": dt.date(2000, 1, 1), "C2": dt.date(1969, 12, 31)}
     assert back == dt.date(2020, 3, 4)
+
+
+def test_card_as_text_keeps_leading_zeros(spark, tmp):
+    from stratum.operators import bronze
+    _write(f"{tmp}/tx/a.csv", "transaction_id,card_last_4\nT1,0123\nT2,1234.0\nT3,12345\nT4,\n")
+    parity = {r["transaction_id"]: (r["card_last_4"], r["is_valid"]) for r in bronze.bronze_transactions(
+        feeds.without_corrupt(feeds.read_csv_feed(spark, f"{tmp}/tx", schemas.TRANSACTIONS))).collect()}
+    text = {r["transaction_id"]: (r["card_last_4"], r["is_valid"]) for r in bronze.bronze_transactions(
+        feeds.without_corrupt(feeds.read_csv_feed(spark, f"{tmp}/tx", schemas.TRANSACTIONS_CARD_TEXT)),
+        card_as_text=True).collect()}
+    assert parity == {"T1": (123, False), "T2": (1234, True), "T3": (12345, False), "T4": (None, True)}
+    assert text == {"T1": ("0123", True), "T2": ("1234", True), "T3": ("12345", False), "T4": (None, True)}
