@@ -197,3 +197,41 @@ def test_trailing_windows_with_negative_seconds(spark, window):
         inside = [it for k2, s2, it in rows if k2 == k and s - window <= s2 <= s]
         assert sums[(k, s)] == len(inside)
         assert dist[(k, s)] == len(set(inside))
+
+
+def test_seven_indicator_brute_force(spark):
+    from stratum.operators.fraud_extended import INDICATORS, seven_indicator_scores
+    rnd = random.Random(23)
+    rows = []
+    for i in range(400):
+        k = rnd.choice(["a", "b", "c"])
+        s = rnd.randrange(3 * 86400)
+        if rows and rnd.random() < 0.15:
+            s = rows[-1][2]                                    # same-second peers
+        merchant = None if rnd.random() < 0.1 else f"m{rnd.randrange(14)}"
+        lat = None if rnd.random() < 0.1 else -12.0 + rnd.randrange(8) * 0.01
+        lon = -77.0 + rnd.randrange(3) * 0.01
+        amount = 20000.0 if rnd.random() < 0.03 else round(rnd.uniform(1, 900), 2)
+        rows.append((i, k, s, amount, merchant, lat, lon))
+    tx = spark.createDataFrame(
+        [(i, k, EPOCH + dt.timedelta(seconds=s), a, m, la, lo) for i, k, s, a, m, la, lo in rows],
+        "transaction_id long, customer_id string, transaction_date timestamp_ntz, amount double, "
+        "merchant_id string, location_lat double, location_lon double")
+    cust = spark.createDataFrame([("a", 0.9), ("a", 0.2), ("b", 0.5)], "customer_id string, risk_score double")
+    params = dict(velocity_seconds=3600, velocity_over=2, merchant_seconds=86400, merchants_over=4,
+                  location_seconds=86400, locations_over=3, spend_factor=2.5)
+    got = {r["transaction_id"]: r for r in seven_indicator_scores(tx, cust, **params).collect()}
+    risk = {"a": 0.9, "b": 0.5}
+    for i, k, s, a, m, la, lo in rows:
+        mine = [r for r in rows if r[1] == k]
+        vel = sum(1 for r in mine if s - 3600 <= r[2] <= s)
+        merchants = {r[4] for r in mine if s - 86400 <= r[2] <= s and r[4] is not None}
+        places = {(r[5], r[6]) for r in mine if s - 86400 <= r[2] <= s and r[5] is not None}
+        avg = sum(r[3] for r in mine) / len(mine)
+        hour = (EPOCH + dt.timedelta(seconds=s)).hour
+        flags = [a > 10000, a > avg * 2.5, 2 <= hour <= 5, vel > 2, len(merchants) > 4, len(places) > 3,
+                 risk.get(k, 0) > 0.7]
+        g = got[i]
+        assert (g["txn_count_1h"], g["merchants_24h"], g["locations_24h"]) == (vel, len(merchants), len(places))
+        assert [g[n] for n in INDICATORS] == [int(f) for f in flags], i
+        assert g["fraud_score"] == 2 * sum(flags)
