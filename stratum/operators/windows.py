@@ -85,87 +85,125 @@ def trailing_distinct(rows: DataFrame, key: str, sec: str, item: str, window_sec
 
 def trailing_distinct_many(rows: DataFrame, key: str, sec: str, items: list[tuple[str, str]],
                            window_seconds: int) -> DataFrame:
-    """For several ``(item, out)`` pairs at once: distinct non-NULL ``item``
-    values of the key in ``[sec - w, sec]``, in one pass over the data.
+    """Several distinct counts over the same trailing window, in one pass."""
+    return trailing_metrics(rows, key, sec, distinct=[(it, o, window_seconds) for it, o in items])
+
+
+def trailing_metrics(rows: DataFrame, key: str, sec: str,
+                     distinct: list[tuple[str, str, int]] = (),
+                     counts: list[tuple[str, str, int]] = ()) -> DataFrame:
+    """Trailing-window metrics of each ``(key, sec)`` in one pass over the data.
+
+    * ``distinct``: ``(item, out, w)`` -- distinct non-NULL ``item`` values of
+      the key with ``sec' in [sec - w, sec]``;
+    * ``counts``: ``(column, out, w)`` -- non-NULL ``column`` values of the key
+      in the same kind of window (a range-window ``count``).
 
     Exact, and every task stays bounded whatever one key or item holds:
 
-    1. occurrences = distinct ``(key, tag, value, sec)`` over all items (a
-       partial aggregate; ``tag`` says which item a value belongs to);
-    2. an occurrence at ``s`` *covers* ``[s, end)`` with
+    1. occurrences = distinct ``(key, tag, value, sec)`` (a partial aggregate;
+       ``tag`` says which metric a value belongs to);
+    2. a distinct value's occurrence at ``s`` *covers* ``[s, end)`` with
        ``end = min(next, s + w + 1)``, ``next`` being the value's next
        occurrence; ``next`` only matters within ``w``, so a ``lead`` over
        ``(key, tag, value, bucket)`` partitions (plus the first ``w + 1``
        seconds of the next bucket) finds it.  Covers of one value never
-       overlap, so the count at ``t`` is the number of covers containing ``t``;
+       overlap, so the count at ``t`` is the number of covers containing
+       ``t``.  A plain count is a cover of weight ``n`` (rows in that second)
+       over ``[s, s + w + 1)``;
     3. only covers starting in ``[t - w, t]`` can contain ``t`` and any cover
        starting earlier has closed by ``t``; so within a ``(key, bucket)``
        partition -- the bucket's own covers plus the covers of the previous
-       bucket's last ``w`` seconds -- the count at ``t`` is the running sum
-       of +1 (cover starts) and -1 (cover ends) up to ``t``, per tag.  The
-       +1/-1 events are first netted per second (a partial aggregate), so a
-       window partition holds at most one row per second of its span.
-
-    Rows with a NULL ``sec`` are peers of each other: they count the distinct
-    values among the key's NULL-time rows.  Returns ``(key, sec, out...)``
-    for every ``(key, sec)`` present in ``rows``.
+       bucket's last ``w`` seconds -- the metric at ``t`` is the running sum
+       of cover starts (+) and ends (-) up to ``t``, per tag.  The events are
+       first netted per second (a partial aggregate), so a window partition
+       holds at most one row per second of its span.
+
+    Buckets are ``4 x`` the largest window; copies are made for the largest
+    window (a copied cover that closes before the next bucket starts nets to
+    zero there).  Rows with a NULL ``sec`` are peers of each other.  Returns
+    ``(key, sec, out...)`` for every ``(key, sec)`` present in ``rows``.
     """
-    w = int(window_seconds)
-    width = max(w, 1) * BUCKET_FACTOR
-    outs = [o for _, o in items]
+    specs = [("distinct", it, o, int(w)) for it, o, w in distinct] + \
+            [("count", c, o, int(w)) for c, o, w in counts]
+    if not specs:
+        raise ValueError("no metric requested")
+    if any(w < 0 for *_, w in specs):
+        raise ValueError("window seconds must be >= 0")
+    w_max = max(w for *_, w in specs)
+    width = max(w_max, 1) * BUCKET_FACTOR
+    outs = [o for _, _, o, _ in specs]
     timed = rows.filter(F.col(sec).isNotNull())
-    tagged = F.array_compact(F.array(*[
-        F.when(F.col(it).isNotNull(), F.struct(F.lit(i).alias("_tag"), F.col(it).cast("string").alias("_v")))
-        for i, (it, _) in enumerate(items)]))
-    occ = timed.select(key, sec, F.inline(tagged)).distinct()
     b = _bucket(F.col(sec), width)
-    # own bucket, plus the previous bucket when within its look-ahead
-    look_back = F.col(sec) < b * F.lit(width) + F.lit(w) + F.lit(1)
-    occ_copies = F.array_compact(F.array(
-        F.struct(b.alias("_bucket"), F.lit(True).alias("_own")),
-        F.when(look_back, F.struct((b - 1).alias("_bucket"), F.lit(False).alias("_own"))),
-    ))
-    nxt = Window.partitionBy(key, "_tag", "_v", "_bucket").orderBy(sec)
-    covers = (
-        occ.select(key, "_tag", "_v", sec, F.inline(occ_copies))
-        .withColumn("_next", F.lead(sec).over(nxt))
-        .filter(F.col("_own"))
-        .select(key, "_tag", sec, "_bucket",
-                F.least(F.coalesce(F.col("_next"), F.col(sec) + w + 1), F.col(sec) + w + 1).alias("_end"))
-    )
-    # a cover's start and end, in its own bucket and -- when it starts in the
-    # bucket's last `w` seconds -- in the next one too
-    spill = F.col(sec) >= (F.col("_bucket") + 1) * F.lit(width) - F.lit(w)
 
     def ev(bucket, t, d):
-        return F.struct(bucket.alias("_bucket"), t.alias("_t"), F.lit(d).alias("_d"), F.lit(False).alias("_ask"))
+        return F.struct(bucket.alias("_bucket"), t.alias("_t"), d.alias("_d"), F.lit(False).alias("_ask"))
 
     nb = F.col("_bucket") + 1
-    cover_events = covers.select(key, "_tag", F.inline(F.array_compact(F.array(
-        ev(F.col("_bucket"), F.col(sec), 1), ev(F.col("_bucket"), F.col("_end"), -1),
-        F.when(spill, ev(nb, F.col(sec), 1)), F.when(spill, ev(nb, F.col("_end"), -1)),
-    ))))
+    spill = F.col(sec) >= (F.col("_bucket") + 1) * F.lit(width) - F.lit(w_max)
+
+    def cover_events(covers: DataFrame) -> DataFrame:
+        # a cover's start and end, in its own bucket and -- when it starts in
+        # the bucket's last w_max seconds -- in the next one too
+        return covers.select(key, "_tag", F.inline(F.array_compact(F.array(
+            ev(F.col("_bucket"), F.col(sec), F.col("_n")), ev(F.col("_bucket"), F.col("_end"), -F.col("_n")),
+            F.when(spill, ev(nb, F.col(sec), F.col("_n"))), F.when(spill, ev(nb, F.col("_end"), -F.col("_n"))),
+        ))))
+
+    parts = []
+    dist = [(i, it, w) for i, (kind, it, _, w) in enumerate(specs) if kind == "distinct"]
+    if dist:
+        tagged = F.array_compact(F.array(*[
+            F.when(F.col(it).isNotNull(), F.struct(F.lit(i).alias("_tag"), F.lit(w).alias("_w"),
+                                                   F.col(it).cast("string").alias("_v")))
+            for i, it, w in dist]))
+        occ = timed.select(key, sec, F.inline(tagged)).distinct()
+        look_back = F.col(sec) < b * F.lit(width) + F.lit(w_max) + F.lit(1)
+        occ_copies = F.array_compact(F.array(
+            F.struct(b.alias("_bucket"), F.lit(True).alias("_own")),
+            F.when(look_back, F.struct((b - 1).alias("_bucket"), F.lit(False).alias("_own"))),
+        ))
+        nxt = Window.partitionBy(key, "_tag", "_v", "_bucket").orderBy(sec)
+        last = F.col(sec) + F.col("_w") + 1
+        covers = (
+            occ.select(key, "_tag", "_w", "_v", sec, F.inline(occ_copies))
+            .withColumn("_next", F.lead(sec).over(nxt))
+            .filter(F.col("_own"))
+            .select(key, "_tag", sec, "_bucket", F.least(F.coalesce(F.col("_next"), last), last).alias("_end"),
+                    F.lit(1).cast("bigint").alias("_n"))
+        )
+        parts.append(cover_events(covers))
+    cnt = [(i, c, w) for i, (kind, c, _, w) in enumerate(specs) if kind == "count"]
+    if cnt:
+        per_sec = timed.groupBy(key, sec).agg(*[F.count(c).alias(f"_c{i}") for i, c, _ in cnt])
+        weighted = per_sec.select(key, sec, F.inline(F.array(*[
+            F.struct(F.lit(i).alias("_tag"), F.col(f"_c{i}").alias("_n"), (F.col(sec) + w + 1).alias("_end"))
+            for i, _, w in cnt])))
+        parts.append(cover_events(weighted.filter(F.col("_n") > 0).withColumn("_bucket", b)))
     asked = (timed.select(key, sec).distinct()
-             .select(key, F.lit(-1).alias("_tag"), _bucket(F.col(sec), width).alias("_bucket"),
-                     F.col(sec).alias("_t"), F.lit(0).alias("_d"), F.lit(True).alias("_ask")))
-    # net change per (key, bucket, second): a partial aggregate, so the window
-    # below holds at most one row per second of the bucket's span, however
-    # many distinct values one key has
+             .select(key, F.lit(-1).alias("_tag"), b.alias("_bucket"), F.col(sec).alias("_t"),
+                     F.lit(0).cast("bigint").alias("_d"), F.lit(True).alias("_ask")))
+    events = parts[0]
+    for p in parts[1:]:
+        events = events.unionByName(p)
     net = (
-        cover_events.unionByName(asked)
+        events.unionByName(asked)
         .groupBy(key, "_bucket", "_t")
         .agg(F.max(F.col("_ask").cast("int")).alias("_ask"),
              *[F.sum(F.when(F.col("_tag") == i, F.col("_d")).otherwise(0)).alias(f"_d{i}")
-               for i in range(len(outs))])
+               for i in range(len(specs))])
     )
     upto = Window.partitionBy(key, "_bucket").orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)
-    timed_counts = (
+    timed_out = (
         net.select(key, "_t", "_ask", *[F.sum(f"_d{i}").over(upto).cast("bigint").alias(o)
                                          for i, o in enumerate(outs)])
         .filter(F.col("_ask") == 1)
         .select(key, F.col("_t").alias(sec), *outs)
     )
-    untimed = (rows.filter(F.col(sec).isNull()).groupBy(key)
-               .agg(*[F.count_distinct(it).alias(o) for it, o in items])
-               .select(key, F.lit(None).cast("bigint").alias(sec), *outs))
-    return timed_counts.unionByName(untimed)
+    untimed = (
+        rows.filter(F.col(sec).isNull()).groupBy(key)
+        .agg(*[(F.count_distinct(c) if kind == "distinct" else F.count(c)).alias(o)
+               for kind, c, o, _ in specs])
+        .select(key, F.lit(None).cast("bigint").alias(sec), *outs)
+    )
+    return timed_out.unionByName(untimed)
