@@ -235,3 +235,23 @@ def test_seven_indicator_brute_force(spark):
         assert (g["txn_count_1h"], g["merchants_24h"], g["locations_24h"]) == (vel, len(merchants), len(places))
         assert [g[n] for n in INDICATORS] == [int(f) for f in flags], i
         assert g["fraud_score"] == 2 * sum(flags)
+
+
+def test_trailing_metrics_counts_and_mixed_windows(spark):
+    from stratum.operators.windows import trailing_metrics
+    rnd = random.Random(31)
+    rows = [(rnd.choice(["a", "b", None]), None if rnd.random() < 0.03 else rnd.randrange(5000),
+             None if rnd.random() < 0.1 else f"m{rnd.randrange(9)}", None if rnd.random() < 0.2 else 1)
+            for _ in range(700)]
+    df = spark.createDataFrame(rows, "k string, s long, it string, x int")
+    got = {(r["k"], r["s"]): (r["d"], r["c"]) for r in
+           trailing_metrics(df, "k", "s", distinct=[("it", "d", 40)], counts=[("x", "c", 300)]).collect()}
+    for k, s in {(k, s) for k, s, _, _ in rows}:
+        if s is None:
+            peers = [r for r in rows if r[0] == k and r[1] is None]
+            want = (len({r[2] for r in peers if r[2] is not None}), sum(1 for r in peers if r[3] is not None))
+        else:
+            mine = [r for r in rows if r[0] == k and r[1] is not None]
+            want = (len({r[2] for r in mine if s - 40 <= r[1] <= s and r[2] is not None}),
+                    sum(1 for r in mine if s - 300 <= r[1] <= s and r[3] is not None))
+        assert got[(k, s)] == want, (k, s)
