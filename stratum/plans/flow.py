@@ -99,3 +99,42 @@ def run_all_layers(spark: SparkSession, src: Feeds, out: Layout, with_fraud: boo
     if with_fraud:
         run_fraud(spark, out)
     return out
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Job entry point, e.g. ``spark-submit -m``-style::
+
+        python -m stratum.plans.flow --customers URI --merchants URI \\
+            --transactions URI --root URI [--format parquet] [--fraud] \\
+            [--partition-by-day] [--input-bytes N --cores N]
+
+    The platform supplies the master and resources; ``--input-bytes`` and
+    ``--cores`` size shuffle partitions and splits with
+    :func:`stratum.session.scale_settings`.
+    """
+    import argparse
+
+    from stratum.session import scale_settings
+
+    ap = argparse.ArgumentParser(prog="stratum.plans.flow")
+    ap.add_argument("--customers", required=True)
+    ap.add_argument("--merchants", required=True)
+    ap.add_argument("--transactions", required=True)
+    ap.add_argument("--root", required=True)
+    ap.add_argument("--format", default=DEFAULT_FORMAT)
+    ap.add_argument("--fraud", action="store_true")
+    ap.add_argument("--partition-by-day", action="store_true")
+    ap.add_argument("--input-bytes", type=int, default=0)
+    ap.add_argument("--cores", type=int, default=0)
+    args = ap.parse_args(argv)
+    builder = SparkSession.builder.appName("stratum-layers")
+    if args.input_bytes and args.cores:
+        for k, v in scale_settings(args.input_bytes, args.cores).items():
+            builder = builder.config(k, v)
+    spark = builder.getOrCreate()
+    run_all_layers(spark, Feeds(args.customers, args.merchants, args.transactions),
+                   Layout(args.root, args.format, args.partition_by_day), with_fraud=args.fraud)
+
+
+if __name__ == "__main__":
+    main()

@@ -121,3 +121,18 @@ def test_day_partitioned_silver_prunes_and_matches(spark):
     day = b.filter(F.col("event_day") == F.lit("1996-03-01").cast("date"))
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_day" in plan
+
+
+def test_flow_entry_point(spark):
+    from conftest import SF_SMALL
+    from stratum.plans import catalog
+    from stratum.plans.flow import Layout, main
+    from stratum.session import scratch_path
+    from stratum.sources.tables import read_table
+    src = catalog._feeds(spark, SF_SMALL)
+    root = scratch_path(spark, "t-main")
+    main(["--customers", src.customers, "--merchants", src.merchants, "--transactions", src.transactions,
+          "--root", root, "--fraud", "--input-bytes", str(1 << 30), "--cores", "8"])
+    out = Layout(root)
+    assert read_table(spark, out.path("gold", "merchant_performance")).count() > 0
+    assert read_table(spark, out.path("gold", "fraud_detection_summary")).count() > 0
