@@ -102,9 +102,9 @@ def run_all_layers(spark: SparkSession, src: Feeds, out: Layout, with_fraud: boo
 
 
 def main(argv: list[str] | None = None) -> None:
-    """Job entry point, e.g. ``spark-submit -m``-style::
+    """Job entry point::
 
-        python -m stratum.plans.flow --customers URI --merchants URI \\
+        spark-submit --py-files stratum.zip stratum/plans/flow.py --customers URI --merchants URI \\
             --transactions URI --root URI [--format parquet] [--fraud] \\
             [--partition-by-day] [--input-bytes N --cores N]
 
