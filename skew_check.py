@@ -8,7 +8,9 @@ the rows; no row is dropped).  Runs the trailing-window scorer two ways:
 
 * ``plain_window``: ``Window.partitionBy(customer)`` range window + average
   (the direct formulation), and
-* ``stratum``: :func:`stratum.operators.fraud.fraud_scores`.
+* ``stratum``: :func:`stratum.operators.fraud.fraud_scores`, and
+* ``stratum_seven_indicators``: the seven-indicator scorer (trailing distinct
+  merchants and locations as well).
 
 For each, Spark's event log (written to a fresh scratch folder) gives the
 largest number of records a single task read from a shuffle; printed as one
@@ -31,7 +33,7 @@ sys.path.insert(0, ROOT)
 from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from stratum.operators import bronze, fraud, silver  # noqa: E402
+from stratum.operators import bronze, fraud, fraud_extended, silver  # noqa: E402
 from stratum.session import local_session, scratch_path  # noqa: E402
 from stratum.sources.adapters import view  # noqa: E402
 from stratum.sources.tables import read_table, write_table  # noqa: E402
@@ -82,7 +84,7 @@ def main():
                                  # sizes show the key distribution, not AQE's merging
                                  "spark.sql.adaptive.coalescePartitions.enabled": "false"})
     root = scratch_path(spark, "skew")
-    tx = silver.silver_transactions(bronze.bronze_transactions(view(spark, sf_dir, "transactions_raw")))
+    tx = silver.silver_transactions(bronze.bronze_transactions(view(spark, sf_dir, "transactions_located")))
     hot = tx.withColumn("customer_id", F.when(F.col("status") == "completed", F.lit("CUST_HOT"))
                         .otherwise(F.col("customer_id")))
     write_table(hot, root)
@@ -90,13 +92,15 @@ def main():
     rows = hot.count()
     hot_rows = hot.filter(F.col("customer_id") == "CUST_HOT").count()
     result = {"rows": rows, "hot_customer_rows": hot_rows, "shuffle_partitions": 16}
-    for name, fn in (("plain_window", plain_window), ("stratum", fraud.fraud_scores)):
+    runs = (("plain_window", plain_window), ("stratum", fraud.fraud_scores),
+            ("stratum_seven_indicators", fraud_extended.seven_indicator_scores))
+    for name, fn in runs:
         spark.sparkContext.setJobGroup(name, name)
         t0 = time.perf_counter()
         fn(hot).write.format("noop").mode("overwrite").save()
         result[name] = {"sec": round(time.perf_counter() - t0, 2)}
     spark.stop()
-    for name in ("plain_window", "stratum"):
+    for name, _ in runs:
         result[name].update(task_balance(log_dir, name))
     print(json.dumps(result))
 
