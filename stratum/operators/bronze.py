@@ -17,15 +17,20 @@ def with_lineage(df: DataFrame, schema: T.StructType, source_tag: str) -> DataFr
     """Declared fields in order, then ``ingestion_timestamp, source_file, data_source``.
 
     ``source_file`` comes from a ``source_file`` column the reader carried
-    (``_metadata.file_path``); frames built in memory get NULL.
+    (``_metadata.file_path``); frames built in memory get NULL.  A
+    ``_corrupt_record`` column, if present, is kept after ``data_source``.
     """
-    typed = conform(df, schema, keep=("source_file",))
+    typed = conform(df, schema, keep=("source_file", "_corrupt_record"))
     src = F.col("source_file") if "source_file" in typed.columns else F.lit(None).cast("string")
+    # a reader's malformed-record text rides along (NULL for good rows), so the
+    # quarantine can be cut from the stored bronze table without re-reading the feed
+    corrupt = [F.col("_corrupt_record")] if "_corrupt_record" in typed.columns else []
     return typed.select(
         *[F.col(f"`{f.name}`") for f in schema.fields],
         F.current_timestamp().alias("ingestion_timestamp"),
         src.alias("source_file"),
         F.lit(source_tag).alias("data_source"),
+        *corrupt,
     )
 
 

@@ -47,8 +47,11 @@ def run_bronze(spark: SparkSession, src: Feeds, out: Layout) -> None:
          bronze.bronze_transactions),
     ]
     for entity, feed, to_bronze in jobs:
-        write_table(feeds.quarantine(feed), out.path("quarantine", entity), out.fmt)
-        write_table(to_bronze(feeds.without_corrupt(feed)), out.path("bronze", entity), out.fmt)
+        # one pass over the raw feed: bronze keeps the malformed-record text,
+        # and the quarantine is cut from the stored table (pushed-down filter)
+        write_table(to_bronze(feed), out.path("bronze", entity), out.fmt)
+        stored = read_table(spark, out.path("bronze", entity), out.fmt)
+        write_table(feeds.quarantine(stored), out.path("quarantine", entity), out.fmt)
 
 
 def run_silver(spark: SparkSession, out: Layout) -> None:

@@ -136,3 +136,24 @@ def test_flow_entry_point(spark):
     out = Layout(root)
     assert read_table(spark, out.path("gold", "merchant_performance")).count() > 0
     assert read_table(spark, out.path("gold", "fraud_detection_summary")).count() > 0
+
+
+def test_bronze_keeps_corrupt_text_and_quarantine_from_table(spark):
+    import os
+    from stratum.plans.flow import Feeds, Layout, run_bronze
+    from stratum.session import local_path, scratch_path
+    from stratum.sources.tables import read_table
+    root = local_path(scratch_path(spark, "t-quarantine"))
+    os.makedirs(f"{root}/c", exist_ok=True)
+    os.makedirs(f"{root}/m", exist_ok=True)
+    os.makedirs(f"{root}/t", exist_ok=True)
+    open(f"{root}/c/a.json", "w").write('{"customer_id":"C1"}\n{"customer_id": broken\n')
+    open(f"{root}/m/a.json", "w").write('{"merchant_id":"M1","category":"Retail"}\n')
+    open(f"{root}/t/a.csv", "w").write("transaction_id,amount\nT1,1.0\nT2,2.0,EXTRA\n")
+    out = Layout(f"{root}/lake")
+    run_bronze(spark, Feeds(f"{root}/c", f"{root}/m", f"{root}/t"), out)
+    q = {r["_corrupt_record"] for r in read_table(spark, out.path("quarantine", "transactions")).collect()}
+    assert q == {"T2,2.0,EXTRA"}
+    assert read_table(spark, out.path("quarantine", "customers")).count() == 1
+    assert read_table(spark, out.path("quarantine", "merchants")).count() == 0
+    assert read_table(spark, out.path("bronze", "transactions")).count() == 2
