@@ -1,0 +1,15 @@
+"""Every query of the operators against its DuckDB formulation, where it has one."""
+
+import pytest
+
+from conftest import SF_CHECK
+from oracle_check import compare, duck
+from stratum.llm import queries
+
+SQL = queries.oracle()
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_sql(spark, name):
+    r = compare(spark, SF_CHECK, name, queries.build()[name], SQL[name], duck(SF_CHECK))
+    assert r["status"] == "match", r

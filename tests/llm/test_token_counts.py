@@ -1,0 +1,65 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratum.llm import token_counts
+from stratum.llm.queries import vocabulary
+
+PATH = vocabulary("word_bpe_49k.json")
+LETTERS = "aàbcÉ'’s tlre vmd DLLŁ1²½_!?.,;\n\t\xa0\x85\x1c\u0301\u200b\u3000中文ßΣςIİı😀Кд٣ªºﬁΩⅧ"
+
+
+@pytest.fixture(scope="module")
+def count():
+    return token_counts.PrefixCounter(PATH)
+
+
+def library(count, text):
+    return len(count.library.encode(text, add_special_tokens=False).ids)
+
+
+def test_counts_equal_the_library(count, check_docs):
+    for r in list(check_docs.values())[:400]:
+        assert count.count(r["text"]) == library(count, r["text"])
+
+
+def test_random_texts(count):
+    rnd = random.Random(1)
+    for _ in range(3000):
+        text = "".join(rnd.choice(LETTERS) for _ in range(rnd.randint(0, 30)))
+        if rnd.random() < 0.2:
+            text += "<|endoftext|>" + text[:4] + "<|startoftext|>"
+        assert count.count(text) == library(count, text), text
+
+
+def test_every_prefix(count):
+    rnd = random.Random(2)
+    for _ in range(150):
+        text = count.normalised("".join(rnd.choice(LETTERS + "'re'll" * 3) for _ in range(rnd.randint(0, 25))))
+        assert list(count.prefix_counts(text)) == [library(count, text[:k]) for k in range(len(text) + 1)], text
+
+
+def test_long_word(count):
+    word = "abcdefghij" * 400
+    assert count.count(word) == library(count, word)
+
+
+def test_frame(docs_of, count):
+    rows = [(1, None), (2, ""), (3, "Hello there"), (3, "Hello there"), (4, "word " * 3000), (None, "x")]
+    got = {(r[0], r[1], r[2], r[3]) for r in token_counts.count_tokens(docs_of(rows), PATH).collect()}
+    want = {(i, len(t or ""), library(count, t or ""), library(count, t or "") > 2048) for i, t in rows}
+    assert got == want
+    assert token_counts.count_tokens(docs_of([]), PATH).count() == 0
+
+
+def test_truncation_without_encoding(docs_of, count):
+    rows = [(1, "the quick brown foxes jumped"), (2, ""), (3, "unbelievably long wordiness")]
+    tables = token_counts.prefix_tables(docs_of(rows), PATH)
+    for r in tables.select("doc_id", "normalised", F.expr(token_counts.tokens_before("7")).alias("n"),
+                           F.expr(token_counts.longest_within("3")).alias("cut")).collect():
+        assert r.n == library(count, r.normalised[:7])
+        best = max(k for k in range(len(r.normalised) + 1) if library(count, r.normalised[:k]) <= 3)
+        assert r.cut == best
+    text = "the quick brown foxes jumped"
+    assert text[:count.cut(text, 3)] == "the quick brown"
