@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import exact_dedup
+from stratum.llm import exact_dedup, quality
 from stratum.llm.common import stored, table
+from stratum.llm.queries import quality_model
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score is below one half go."""
+    return quality.keep(docs, quality_model(spark, docs, sf_dir), at_least=0.5)
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.without_copies(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup_stage)]
+STAGES = [("quality", quality_stage), ("exact_dedup", exact_dedup_stage)]
 
 ORACLE_SQL = None
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import exact_dedup, pii, token_counts
+from stratum.llm import exact_dedup, langid, pii, quality, token_counts
 from stratum.llm.common import table
 
 #: Folder of the public vocabulary files; every node has it at the same place.
@@ -27,6 +27,29 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), limit=2048)
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Rows that nothing is learned from; results on them show what was learned."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = langid.fit(docs.where(~held_out()))
+    return langid.predict(docs, net).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
+    """Word vectors from all of ``docs``; labels only of rows that are not held out."""
+    return quality.fit(docs, table(spark, sf_dir, "labels").where(~held_out()))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality_model(spark, docs, sf_dir))
+    return scored.select("doc_id", held_out().alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.detect(table(spark, sf_dir, "documents"))
     written = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
@@ -43,6 +66,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
+    "op4_language_id": op4_language_id,
+    "op9_quality": op9_quality,
     "op10_pii": op10_pii,
 }
 
