@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import exact_dedup, quality
+from stratum.llm import exact_dedup, quality, sentencepiece_sampling
 from stratum.llm.common import stored, table
-from stratum.llm.queries import quality_model
+from stratum.llm.queries import quality_model, vocabulary
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +18,12 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact_dedup.without_copies(docs)
 
 
-STAGES = [("quality", quality_stage), ("exact_dedup", exact_dedup_stage)]
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Four sampled segmentations of every document that is left."""
+    return sentencepiece_sampling.encode_samples(docs, vocabulary("piece_bpe_32k.model"), k=4)
+
+
+STAGES = [("quality", quality_stage), ("exact_dedup", exact_dedup_stage), ("sentencepiece", encode_stage)]
 
 ORACLE_SQL = None
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import exact_dedup, langid, pii, quality, token_counts
+from stratum.llm import exact_dedup, langid, pii, quality, sentencepiece_sampling, token_counts
 from stratum.llm.common import table
 
 #: Folder of the public vocabulary files; every node has it at the same place.
@@ -43,6 +43,16 @@ def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.
     return quality.fit(docs, table(spark, sf_dir, "labels").where(~held_out()))
 
 
+def op8_sentencepiece_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four sampled segmentations of each whole text, decoded again."""
+    docs = table(spark, sf_dir, "documents")
+    path = vocabulary("piece_bpe_32k.model")
+    decoded = sentencepiece_sampling.decode(sentencepiece_sampling.encode_samples(docs, path, k=4), path)
+    return decoded.select("doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"),
+                          F.xxhash64("ids").alias("ids_hash"), "log_prob", "perturbed", "inclusion",
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = quality.score(docs, quality_model(spark, docs, sf_dir))
@@ -67,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
     "op4_language_id": op4_language_id,
+    "op8_sentencepiece_samples": op8_sentencepiece_samples,
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
 }
