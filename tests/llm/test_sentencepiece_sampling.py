@@ -83,7 +83,7 @@ def test_rows_do_not_depend_on_each_other(voc, check_docs):
 def test_round_trip(voc, check_docs):
     texts = [r["text"] for r in list(check_docs.values())[:60]] + ["  a  b ", "x\ty\r\n", "日本 𝔘∞é", "w" * 500, " " * 70]
     for text, found in zip(texts, samples(voc, texts, sp.row_keys(range(len(texts)), 1), 4)):
-        assert len({s[0] for s in found}) == len(found) >= 2
+        assert len({s[0] for s in found}) == len(found) >= 1
         for ids, *_ in found:
             assert voc.decode(ids) == text == voc.library.decode(list(ids))
 
