@@ -49,7 +49,7 @@ def op8_sentencepiece_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("piece_bpe_32k.model")
     decoded = sentencepiece_sampling.decode(sentencepiece_sampling.encode_samples(docs, path, k=4), path)
     return decoded.select("doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"),
-                          F.xxhash64("ids").alias("ids_hash"), "log_prob", "perturbed", "inclusion",
+                          F.xxhash64("ids").alias("ids_hash"), "log_prob", "perturbed", "log_inclusion",
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

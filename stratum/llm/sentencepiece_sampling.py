@@ -11,9 +11,9 @@ open prefix, and every path it completes is the next sample.  Only the path of a
 sample is opened node by node; the siblings along it stay one entry each (their
 joint probability, and their largest perturbed value under the parent's).
 
-Each sample has its log probability, its perturbed value, and an inclusion score:
-the probability that its perturbed value exceeds the (k+1)-th largest one, 1 where
-there is none.  All random numbers are hashes of (row key, sample, place), so that they do
+Each sample has its log probability, its perturbed value, and an inclusion score,
+the log of the probability that its perturbed value exceeds the (k+1)-th largest
+one, 0 where there is none (a log, for a long text's is too small for a double).  All random numbers are hashes of (row key, sample, place), so that they do
 not depend on partitions or on other rows.
 
 No piece crosses into a run of spaces, so the lattice is a chain of small
@@ -22,7 +22,7 @@ are searched side by side in numpy.  A word of over ``LONGEST`` characters is
 cut there.  A character without a piece is spelled in byte pieces.
 
 Defined results: a NULL or empty text has one segmentation, of no piece, with
-inclusion 1; a text with fewer than k segmentations gives all of them; repeated rows give
+log inclusion 0; a text with fewer than k segmentations gives all of them; repeated rows give
 repeated samples; only the key and text columns are read; an empty table gives an empty
 result.  A literal U+2581 reads as a space, as in the vocabulary's library.
 """
@@ -378,7 +378,7 @@ class Search:
 
 
 def sample_slice(texts: list[str], keys: np.ndarray, k: int, voc: Vocabulary):
-    """Per sample: (ids, bounds, rows that have it, log probability, perturbed value, inclusion)."""
+    """Per sample: (ids, bounds, rows that have it, log probability, perturbed value, log inclusion)."""
     search = Search([voc.units(t) for t in texts], keys, voc)
     found, bound = search.top(k)
     out = []
@@ -394,8 +394,9 @@ def sample_slice(texts: list[str], keys: np.ndarray, k: int, voc: Vocabulary):
             ids[_ranges(starts[bare], size[bare])] = np.concatenate(spelled)
             bounds = np.r_[0, np.cumsum(size)][bounds]
             piece = ids
-        with np.errstate(over="ignore"):
-            inclusion = np.where(np.isneginf(bound), 1.0, -np.expm1(-np.exp(np.minimum(log_prob - bound, 700))))
+        far = np.minimum(np.where(np.isneginf(bound), 700, log_prob - bound), 700)
+        with np.errstate(divide="ignore"):
+            inclusion = np.where(far < -30, far, np.log(-np.expm1(-np.exp(np.maximum(far, -40)))))
         out.append((piece, bounds, alive, log_prob, value, inclusion))
     return out
 
@@ -404,12 +405,12 @@ def row_keys(ids: list, seed: int) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(str(i), seed) for i in ids], np.uint64)
 
 
-SAMPLES = "sample int, ids array<int>, log_prob double, perturbed double, inclusion double"
+SAMPLES = "sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double"
 
 
 def encode_samples(df: DataFrame, path: str, k: int = 4, seed: int = 17, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """Up to ``k`` rows per input row, best first: id, sample (from 1), ids, log_prob, perturbed, inclusion."""
+    """Up to ``k`` rows per input row, best first: id, sample (from 1), ids, log_prob, perturbed, log_inclusion."""
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -422,7 +423,7 @@ def encode_samples(df: DataFrame, path: str, k: int = 4, seed: int = 17, id_col:
                 batch = pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(np.full(len(texts), number, np.int32)), lists, pa.array(log_prob),
                      pa.array(value), pa.array(inclusion)],
-                    names=[id_col, "sample", "ids", "log_prob", "perturbed", "inclusion"])
+                    names=[id_col, "sample", "ids", "log_prob", "perturbed", "log_inclusion"])
                 yield batch.filter(pa.array(alive))
 
     return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, {SAMPLES}")
