@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import exact_dedup, quality, sentencepiece_sampling
+from stratum.llm import exact_dedup, near_dedup, quality, sentencepiece_sampling
 from stratum.llm.common import stored, table
 from stratum.llm.queries import quality_model, vocabulary
 
@@ -18,12 +18,18 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact_dedup.without_copies(docs)
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates stays."""
+    return near_dedup.one_of_each(docs)
+
+
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Four sampled segmentations of every document that is left."""
     return sentencepiece_sampling.encode_samples(docs, vocabulary("piece_bpe_32k.model"), k=4)
 
 
-STAGES = [("quality", quality_stage), ("exact_dedup", exact_dedup_stage), ("sentencepiece", encode_stage)]
+STAGES = [("quality", quality_stage), ("exact_dedup", exact_dedup_stage),
+          ("near_dedup", near_dedup_stage), ("sentencepiece", encode_stage)]
 
 ORACLE_SQL = None
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import exact_dedup, langid, pii, quality, sentencepiece_sampling, token_counts
+from stratum.llm import exact_dedup, langid, near_dedup, pii, quality, sentencepiece_sampling, token_counts
 from stratum.llm.common import table
 
 #: Folder of the public vocabulary files; every node has it at the same place.
@@ -43,6 +43,10 @@ def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.
     return quality.fit(docs, table(spark, sf_dir, "labels").where(~held_out()))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op8_sentencepiece_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four sampled segmentations of each whole text, decoded again."""
     docs = table(spark, sf_dir, "documents")
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
     "op4_language_id": op4_language_id,
+    "op5_near_dedup": op5_near_dedup,
     "op8_sentencepiece_samples": op8_sentencepiece_samples,
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
