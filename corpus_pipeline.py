@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import exact_dedup, near_dedup, quality, sentencepiece_sampling
+from stratum.llm import decontaminate, exact_dedup, near_dedup, quality, sentencepiece_sampling
 from stratum.llm.common import stored, table
 from stratum.llm.queries import quality_model, vocabulary
 
@@ -23,13 +23,19 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return near_dedup.one_of_each(docs)
 
 
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.without_benchmark(docs, table(spark, sf_dir, "benchmark"))
+
+
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Four sampled segmentations of every document that is left."""
     return sentencepiece_sampling.encode_samples(docs, vocabulary("piece_bpe_32k.model"), k=4)
 
 
 STAGES = [("quality", quality_stage), ("exact_dedup", exact_dedup_stage),
-          ("near_dedup", near_dedup_stage), ("sentencepiece", encode_stage)]
+          ("near_dedup", near_dedup_stage), ("decontaminate", decontaminate_stage),
+          ("sentencepiece", encode_stage)]
 
 ORACLE_SQL = None
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import exact_dedup, langid, near_dedup, pii, quality, sentencepiece_sampling, token_counts
+from stratum.llm import decontaminate, exact_dedup, langid, near_dedup, pii, quality, sentencepiece_sampling, token_counts
 from stratum.llm.common import table
 
 #: Folder of the public vocabulary files; every node has it at the same place.
@@ -47,6 +47,10 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(table(spark, sf_dir, "documents"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_sentencepiece_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four sampled segmentations of each whole text, decoded again."""
     docs = table(spark, sf_dir, "documents")
@@ -82,12 +86,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op4_language_id": op4_language_id,
     "op5_near_dedup": op5_near_dedup,
+    "op6_decontaminate": op6_decontaminate,
     "op8_sentencepiece_samples": op8_sentencepiece_samples,
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
 }
 
 ORACLE = {
+    # every window that begins with a shingle of an item is compared with that item, without fingerprints
+    "op6_decontaminate": """
+        WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
+             ds AS (SELECT doc_id, list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) AS s
+                    FROM dw WHERE len(w) >= 5),
+             iw AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM benchmark),
+             it AS (SELECT item_id, len(w) AS n_words,
+                           list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) AS t
+                    FROM iw WHERE len(w) >= 5),
+             pos AS (SELECT doc_id, generate_subscripts(s, 1) AS start, unnest(s) AS g FROM ds),
+             seed AS (SELECT DISTINCT item_id, n_words, t, unnest(t) AS g FROM it),
+             win AS (SELECT pos.doc_id, start, item_id, n_words, t, s[start:start + n_words - 5] AS v
+                     FROM pos JOIN seed USING (g) JOIN ds ON ds.doc_id = pos.doc_id),
+             cv AS (SELECT doc_id, start, item_id, g, count(*) AS c
+                    FROM (SELECT doc_id, start, item_id, unnest(v) AS g FROM win) GROUP BY ALL),
+             ct AS (SELECT item_id, g, count(*) AS c FROM (SELECT item_id, unnest(t) AS g FROM it) GROUP BY ALL),
+             both_ AS (SELECT doc_id, start, item_id, sum(least(cv.c, ct.c)) AS b
+                       FROM cv JOIN ct USING (item_id, g) GROUP BY ALL),
+             sim AS (SELECT doc_id, item_id, start, n_words, CAST(b AS DOUBLE) / (len(v) + len(t) - b) AS similarity
+                     FROM win JOIN both_ USING (doc_id, start, item_id))
+        SELECT doc_id, item_id, similarity, CAST(start - 1 AS INTEGER) AS start_word, CAST(n_words AS INTEGER) AS n_words
+        FROM sim WHERE similarity >= 0.8
+        QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1""",
     "op1_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
              g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
