@@ -54,9 +54,8 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_sentencepiece_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four sampled segmentations of each whole text, decoded again."""
     docs = table(spark, sf_dir, "documents")
-    path = vocabulary("piece_bpe_32k.model")
-    decoded = sentencepiece_sampling.decode(sentencepiece_sampling.encode_samples(docs, path, k=4), path)
-    return decoded.select("doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"),
+    found = sentencepiece_sampling.encode_samples(docs, vocabulary("piece_bpe_32k.model"), k=4, decoded=True)
+    return found.select("doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"),
                           F.xxhash64("ids").alias("ids_hash"), "log_prob", "perturbed", "log_inclusion",
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 

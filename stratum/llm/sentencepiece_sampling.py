@@ -44,7 +44,7 @@ from stratum.llm.common import mix64, text_slices, uniform
 SPACE = "▁"
 LONGEST = 64
 SHIFT, SHARPNESS = 10.0, 1.0
-SLICE = 1 << 20
+SLICE = 1 << 19  # bytes of text searched side by side; arrays take about 400 bytes per character
 _UNITS = re.compile(f"{SPACE}{{0,16}}[^{SPACE}\n]{{1,{LONGEST - 16}}}|{SPACE}{{1,16}}|\n")
 
 
@@ -135,24 +135,30 @@ class Lattice:
             more = node[at] + depth < end[at]
             at, state = at[more], state[more]
         bare = np.flatnonzero(~single)  # no piece for the character: its bytes, as one edge
-        starts.append(node[bare])
-        stops.append(node[bare] + 1)
-        pieces.append(-1 - chars[bare])
-        start, stop, piece = map(np.concatenate, (starts, stops, pieces))
-        order = np.argsort(start * (LONGEST + 1) + (LONGEST - (stop - start)))  # a node's longest piece first
-        self.start, self.stop, self.piece = start[order], stop[order], piece[order]
+        starts[:0], stops[:0], pieces[:0] = [node[bare]], [node[bare] + 1], [-1 - chars[bare]]
+        # each list has a node once at most, and longer pieces come later: lay them out by node, longest first
+        n = int(self.last[-1]) + 1 if len(units) else 0
+        degree = np.zeros(n, np.int64)
+        for x in starts:
+            degree[x] += 1
+        self.edges = np.r_[0, np.cumsum(degree)]
+        free = self.edges[:-1].copy()
+        self.start = np.repeat(np.arange(n), degree)
+        self.stop, self.piece = np.empty(len(self.start), np.int64), np.empty(len(self.start), np.int64)
+        for x, y, z in zip(reversed(starts), reversed(stops), reversed(pieces)):
+            at = free[x]
+            self.stop[at], self.piece[at] = y, z
+            free[x] += 1
         weight = voc.weight[np.maximum(self.piece, 0)]
         spelled = np.flatnonzero(self.piece < 0)
         letters, of = np.unique(self.piece[spelled], return_inverse=True)
         sums = [voc.weight[voc.byte_ids[list(chr(-1 - c).encode())]].sum() for c in letters.tolist()]
         weight[spelled] = np.array(sums)[of] if len(sums) else 0.0
-        n = int(self.last[-1]) + 1 if len(units) else 0
-        self.edges = np.searchsorted(self.start, np.arange(n + 1))
         # backward sums, from the places next to a unit's end to those furthest from it
         beta, value = np.zeros(n), np.empty(len(self.start))
         left = np.repeat(self.last, sizes + 1) - np.arange(n)
         far = left[self.start]
-        by = np.argsort(far, kind="stable")
+        by = np.argsort(far.astype(np.uint8), kind="stable")  # at most LONGEST
         bounds = np.searchsorted(far[by], np.arange(1, int(left.max(initial=0)) + 2))
         for a, b in zip(bounds[:-1], bounds[1:]):
             rows = by[a:b]
@@ -253,9 +259,15 @@ class Search:
         if not items:
             z = np.zeros(0, np.int64)
             return z, z, z
-        item, edge, place = map(np.concatenate, (items, edges, places))
-        order = np.argsort(item, kind="stable")
-        return item[order], edge[order], place[order]
+        count = np.zeros(len(row), np.int64)
+        for x in items:
+            count[x] += 1
+        free = np.cumsum(count) - count
+        edge, place = np.empty(int(count.sum()), np.int64), np.empty(int(count.sum()), np.int64)
+        for x, e, at in zip(items, edges, places):
+            edge[free[x]], place[free[x]] = e, at
+            free[x] += 1
+        return np.repeat(np.arange(len(row)), count), edge, place
 
     def top(self, k: int):
         """For each sample in turn: (paths, rows that have it, log probability, perturbed value); then the bound
@@ -408,9 +420,10 @@ def row_keys(ids: list, seed: int) -> np.ndarray:
 SAMPLES = "sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double"
 
 
-def encode_samples(df: DataFrame, path: str, k: int = 4, seed: int = 17, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
-    """Up to ``k`` rows per input row, best first: id, sample (from 1), ids, log_prob, perturbed, log_inclusion."""
+def encode_samples(df: DataFrame, path: str, k: int = 4, seed: int = 17, decoded: bool = False,
+                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Up to ``k`` rows per input row, best first: id, sample (from 1), ids, log_prob, perturbed, log_inclusion;
+    with ``decoded`` also the text that the ids decode to."""
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -420,13 +433,16 @@ def encode_samples(df: DataFrame, path: str, k: int = 4, seed: int = 17, id_col:
             for number, (ids, bounds, alive, log_prob, value, inclusion) in enumerate(
                     sample_slice(texts, keys, k, voc), 1):
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
-                batch = pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(np.full(len(texts), number, np.int32)), lists, pa.array(log_prob),
-                     pa.array(value), pa.array(inclusion)],
-                    names=[id_col, "sample", "ids", "log_prob", "perturbed", "log_inclusion"])
-                yield batch.filter(pa.array(alive))
-
-    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, {SAMPLES}")
+                columns = {id_col: part.column(0), "sample": pa.array(np.full(len(texts), number, np.int32)),
+                           "ids": lists, "log_prob": pa.array(log_prob), "perturbed": pa.array(value),
+                           "log_inclusion": pa.array(inclusion)}
+                if decoded:
+                    columns["decoded"] = pa.array([voc.decode(ids[a:b].tolist()) for a, b in zip(bounds, bounds[1:])],
+                                                  pa.string())
+                yield pa.RecordBatch.from_pydict(columns).filter(pa.array(alive))
+
+    return df.select(id_col, text_col).mapInArrow(
+        run, f"`{id_col}` {id_type}, {SAMPLES}" + ", decoded string" * decoded)
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
