@@ -234,14 +234,21 @@ class _Index(dict):
 
 def training_sample(df: DataFrame, lang_col: str, per_language: int, max_bytes: int, id_col: str,
                     text_col: str) -> tuple[list[str], list[str]]:
-    """Texts and languages of a bounded sample, by a hash order of ids, so that it does not depend on partitions."""
-    ids = df.where(F.col(lang_col).isNotNull() & (F.octet_length(text_col) <= max_bytes)).select(
-        F.col(lang_col).alias("lang"), F.col(id_col).alias("id"))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    picked = ids.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).select("id", "lang")
-    rows = (df.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-            .join(F.broadcast(picked), ["id", "lang"], "left_semi").orderBy("id", "lang", "text").collect())
-    return [r.text for r in rows], [r.lang for r in rows]
+    """Texts and languages of a bounded sample, by a hash order of ids, so that it does not depend on partitions.
+
+    Counts per language give the share of its hash range that holds about twice the rows wanted; only
+    those rows are ranked, so the ranking's size does not grow with the table.
+    """
+    rows = df.where(F.col(lang_col).isNotNull() & (F.octet_length(text_col) <= max_bytes)).select(
+        F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
+    share = rows.groupBy("lang").agg(F.ceil((1 << 30) * F.least(F.lit(1.0), (2 * per_language + 50) / F.count("*")))
+                                     .alias("until"))
+    first = Window.partitionBy("lang").orderBy("place", "id", "text")
+    picked = (rows.withColumn("place", place).join(F.broadcast(share), "lang").where("place < until")
+              .withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
+              .orderBy("lang", "n").select("text", "lang").collect())
+    return [r.text for r in picked], [r.lang for r in picked]
 
 
 def fit(df: DataFrame, lang_col: str = "lang", per_language: int = 300, max_bytes: int = 20_000,
