@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import decontaminate, exact_dedup, langid, near_dedup, pii, quality, sentencepiece_sampling, token_counts
+from stratum.llm import chat, decontaminate, exact_dedup, langid, near_dedup, pii, quality, sentencepiece_sampling, token_counts
 from stratum.llm.common import table
 
 #: Folder of the public vocabulary files; every node has it at the same place.
@@ -27,6 +27,15 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), limit=2048)
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts are made of control strings."""
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.format_conversations(rows, vocabulary("byte_bpe_50k.json")))
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Rows that nothing is learned from; results on them show what was learned."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
@@ -83,6 +92,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
+    "op3_chat_format": op3_chat_format,
     "op4_language_id": op4_language_id,
     "op5_near_dedup": op5_near_dedup,
     "op6_decontaminate": op6_decontaminate,
@@ -92,6 +102,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE = {
+    "op3_chat_format": r"""
+        WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+             e AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(replace(role || chr(10) || text,
+                       '\', '##'), '<\|', '<!|', 'g'), '<(/?s>)', '<!\1', 'g'), '\[(/?INST\])', '[!\1', 'g') AS longer
+                   FROM c)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(length('<|turn|><|text|><|end|>') + length(longer) - 1) AS BIGINT) AS formatted_chars
+        FROM e GROUP BY conv_id""",
     # every window that begins with a shingle of an item is compared with that item, without fingerprints
     "op6_decontaminate": """
         WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
