@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import chat, decontaminate, exact_dedup, langid, near_dedup, pii, quality, sentencepiece_sampling, token_counts
+from stratum.llm import chat, decontaminate, exact_dedup, langid, near_dedup, pii, quality, sentencepiece_sampling, token_counts, warc
 from stratum.llm.common import table
 
 #: Folder of the public vocabulary files; every node has it at the same place.
@@ -60,6 +60,47 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def page_captures(pages: DataFrame) -> DataFrame:
+    """Every page as a full response and a later (sometimes earlier) not-modified revisit, as WARC record rows.
+    How the revisit names what it saw, its validators, goes round by page."""
+    html, day = F.coalesce("html", F.lit("")), F.lit(86_400)
+    at = F.lit(1_704_067_200) + F.col("page_id") * 7_919 % (30 * day)
+    tag = F.concat(F.lit('"'), F.substring(F.md5(html), 1, 16), F.lit('"'))
+    seen = F.concat(at.cast("string"), F.lit(" GMT"))
+
+    def head(name: str, value: Column | str) -> Column:
+        return F.struct(F.lit(name).alias("name"), (F.lit(value) if isinstance(value, str) else value).alias("value"))
+
+    again = at + (F.col("page_id") % 11 - 2) * 3_600
+    turn = F.col("page_id") % 5
+    validator = (F.when(turn == 0, F.array(head("ETag", tag)))
+                 .when(turn == 1, F.array(head("etag", F.concat(F.lit("W/"), tag))))
+                 .when(turn == 2, F.array(head("Last-Modified", seen)))
+                 .when(turn == 3, F.array(head("ETag", '"other"'))).otherwise(F.array().cast(warc.HEADERS)))
+    full = pages.select(
+        (F.col("page_id") * 2).alias("record_id"), F.lit("response").alias("type"), "url",
+        F.timestamp_seconds(at).alias("date"), F.lit(200).alias("status"),
+        F.array(head("Content-Type", "text/html"), head("Date", at.cast("string")), head("ETag", tag),
+                head("Last-Modified", seen), head("Cache-Control", "max-age=60")).alias("headers"),
+        html.alias("payload"))
+    short = pages.select(
+        (F.col("page_id") * 2 + 1).alias("record_id"), F.lit("revisit").alias("type"), "url",
+        F.timestamp_seconds(again).alias("date"), F.lit(304).alias("status"),
+        F.concat(validator, F.array(head("Date", again.cast("string")), head("cache-control", "max-age=120"),
+                                    head("Content-Length", "0"), head("X-Seen", "again"))).alias("headers"),
+        F.lit(None).cast("string").alias("payload"))
+    return full.unionByName(short)
+
+
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures of all pages, written as WARC records, read again, and their revisits resolved."""
+    records = warc.read_records(warc.write_records(page_captures(table(spark, sf_dir, "pages"))))
+    lines = F.array_join(F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), h["value"])), "\n")
+    return warc.resolve_revisits(records).select(
+        "record_id", "canonical", "base_id", "outcome", "status", F.sha2(lines, 256).alias("headers_sha256"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"))
+
+
 def op8_sentencepiece_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four sampled segmentations of each whole text, decoded again."""
     docs = table(spark, sf_dir, "documents")
@@ -96,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_near_dedup": op5_near_dedup,
     "op6_decontaminate": op6_decontaminate,
+    "op7_warc_revisits": op7_warc_revisits,
     "op8_sentencepiece_samples": op8_sentencepiece_samples,
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
@@ -114,6 +156,37 @@ ORACLE = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                CAST(sum(length('<|turn|><|text|><|end|>') + length(longer) - 1) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op7_warc_revisits": r"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, 1704067200 + page_id * 7919 % 2592000 AS ts,
+                          '"' || substr(md5(coalesce(html, '')), 1, 16) || '"' AS tag,
+                          regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest
+                   FROM pages),
+             q AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^[^/?]*')), '^www\.', ''),
+                                            ':(80|443)?$', '')
+                          || regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS place,
+                          list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'), lambda x:
+                              x <> '' AND NOT regexp_matches(x, '^(utm_[^=&]*|ref|fbclid|gclid|sessionid)(=|$)'))) AS args
+                   FROM p),
+             r AS (SELECT *, place || CASE WHEN len(args) > 0 THEN '?' || array_to_string(args, '&') ELSE '' END AS canonical
+                   FROM q),
+             v AS (SELECT page_id, canonical, ts + (page_id % 11 - 2) * 3600 AS again, page_id % 5 AS turn, tag, ts FROM r),
+             j AS (SELECT v.*, b.page_id AS bp, b.ts AS b_at, b.tag AS b_tag, b.html
+                   FROM v LEFT JOIN r b ON v.canonical = b.canonical AND b.ts < v.again
+                   QUALIFY row_number() OVER (PARTITION BY v.page_id ORDER BY b.ts DESC NULLS LAST, b.page_id DESC) = 1),
+             k AS (SELECT *, CASE WHEN bp IS NULL THEN 'no-base'
+                                  WHEN turn IN (0, 1) AND tag <> b_tag OR turn = 2 AND ts <> b_at OR turn = 3
+                                  THEN 'validator-mismatch' ELSE 'resolved' END AS outcome FROM j),
+             h AS (SELECT *, 'Content-Type: text/html' || chr(10)
+                          || CASE WHEN turn IN (0, 1) THEN '' ELSE 'ETag: ' || b_tag || chr(10) END
+                          || 'Last-Modified: ' || b_at || ' GMT' || chr(10)
+                          || CASE turn WHEN 0 THEN 'ETag: ' || tag || chr(10) WHEN 1 THEN 'etag: W/' || tag || chr(10) ELSE '' END
+                          || 'Date: ' || again || chr(10) || 'cache-control: max-age=120' AS headers FROM k)
+        SELECT page_id * 2 + 1 AS record_id, canonical, bp * 2 AS base_id, outcome,
+               CASE WHEN outcome = 'resolved' THEN 200 END AS status,
+               CASE WHEN outcome = 'resolved' THEN sha256(headers) END AS headers_sha256,
+               CASE WHEN outcome = 'resolved' THEN CAST(strlen(html) AS BIGINT) END AS payload_bytes,
+               CASE WHEN outcome = 'resolved' THEN sha256(html) END AS payload_sha256
+        FROM h""",
     # every window that begins with a shingle of an item is compared with that item, without fingerprints
     "op6_decontaminate": """
         WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
