@@ -8,11 +8,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratum.session import scratch_path
 
 #: Text bytes that a Python worker takes in hand at once; a longer single text is a slice of its own.
 SLICE_BYTES = 4 << 20
+#: Narrow tables of at most so many rows are broadcast, after being counted.
+BROADCAST_ROWS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +30,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored table as one side of a join: broadcast if it has at most ``most_rows`` rows, else left to
+    Spark's shuffle joins.  For rows of a few dozen bytes, so that the larger side stays where it is."""
+    return F.broadcast(df) if df.count() <= most_rows else df
+
+
 def text_slices(batches: Iterable[pa.RecordBatch], text_at: int = 1,
                 limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Cut Arrow batches into runs of at most ``limit`` text bytes; a NULL text reads as ''."""

@@ -15,7 +15,7 @@ At the similarity asked for, 0.8, a bit differs with probability 0.15, so finger
 
 Work is per distinct text (a 128-bit key), so copies cost nothing but their
 row in the result.  Positions of all texts meet the items' shingles by a hash join with the small
-side broadcast when it has at most ``BROADCAST_ROWS`` rows, and by a shuffle join beyond.
+side broadcast after its rows are counted (:func:`small_side`), and by a shuffle join beyond.
 
 Defined results: a NULL or empty text matches nothing; an item of fewer than five
 words is no evidence and matches nothing; repeated rows give repeated results;
@@ -27,11 +27,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import stored
+from stratum.llm.common import small_side, stored
 
 SHINGLE, SIMILARITY = 5, 0.8
 BITS, RADIUS = 64, 19
-BROADCAST_ROWS = 1_000_000
 
 
 def text_key(text: str | Column) -> Column:
@@ -81,14 +80,13 @@ def matches(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id:
     bench = stored(with_shingles(items.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")))
                    .distinct(), "bench-items").where("hashes is not null")
     seeds = stored(bench.select(F.explode("hashes").alias("hash"), "n_words").distinct(), "bench-seeds")
-    if seeds.count() <= BROADCAST_ROWS:
-        seeds = F.broadcast(seeds)
     texts = docs.select(text_key(docs[text_col]).alias("key"), docs[text_col].alias("text"))
     places = with_shingles(texts).select("key", F.posexplode_outer("hashes").alias("start", "hash"))
-    hits = stored(places.join(seeds, "hash").groupBy("key").agg(F.collect_set(F.struct("start", "n_words")).alias("at")),
+    hits = stored(places.join(small_side(seeds), "hash").groupBy("key").agg(F.collect_set(F.struct("start", "n_words")).alias("at")),
                   "bench-hits")
-    # the few texts with a hit are read again, once each
-    found = texts.join(hits.select("key"), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    # the texts with a hit are read again, and only they are shuffled, while their keys can be broadcast
+    hit = small_side(stored(hits.select("key"), "bench-hit-keys"))
+    found = texts.join(hit, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
     windows = (with_shingles(found).drop("n_words").join(hits, "key")
                .select("key", "hashes", F.explode("at").alias("w"))
                .select("key", F.col("w.start").alias("start"), F.col("w.n_words").alias("n_words"), F.expr(
@@ -110,10 +108,10 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     """One row per document and benchmark item found in it: doc_id, item_id, similarity, start_word, n_words."""
     found = stored(matches(docs, items, text_col, **options), "bench-matches")
     rows = docs.select(F.col(id_col).alias("doc_id"), text_key(docs[text_col]).alias("key"))
-    return rows.join(found, "key").drop("key")
+    return rows.join(small_side(found), "key").drop("key")
 
 
 def without_benchmark(docs: DataFrame, items: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, with all their columns, in whose text no benchmark item is found."""
     found = stored(matches(docs, items, text_col, **options).select(F.col("key").alias("__key")).distinct(), "bench-keys")
-    return docs.join(found, text_key(docs[text_col]) == found["__key"], "left_anti")
+    return docs.join(small_side(found), text_key(docs[text_col]) == found["__key"], "left_anti")

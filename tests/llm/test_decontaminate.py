@@ -104,7 +104,7 @@ def test_frame_edges(docs_of, items_of):
 
 def test_same_result_without_broadcast(docs_of, items_of, monkeypatch):
     item = "one two three four five six seven eight nine ten"
-    monkeypatch.setattr(dc, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(dc, "small_side", lambda df: df)
     assert found(dc.contaminated(docs_of([(1, item), (2, "no")]), items_of([(0, item)]))) == {(1, 0): 1.0}
 
 
