@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import stored
+from stratum.llm.common import small_side, stored
 
 
 def content_hash(text: Column) -> Column:
@@ -64,15 +64,15 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` (all columns) that stay; a repeated row (same id, same text) stays once."""
     told = stored(exact_groups(df, id_col, text_col).select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), "kept"), "exact-decided")
+        F.col("doc_id").alias("__id"), F.substring(F.unhex("text_sha256"), 1, 16).alias("__sha"), "kept"), "exact-decided")
     gone = stored(told.where("not kept").select("__id", "__sha").distinct(), "exact-dropped")
     repeated = told.where("kept").groupBy("__id", "__sha").count().where("count > 1").select("__id", "__sha")
 
     def same(other: DataFrame) -> Column:
-        sha = F.sha2(F.coalesce(df[text_col], F.lit("")), 256)
+        sha = F.substring(F.unhex(F.sha2(F.coalesce(df[text_col], F.lit("")), 256)), 1, 16)
         return df[id_col].eqNullSafe(other["__id"]) & (sha == other["__sha"])
 
-    left = df.join(gone, same(gone), "left_anti")
+    left = df.join(small_side(gone), same(gone), "left_anti")
     if repeated.isEmpty():
         return left
     twice = stored(repeated, "exact-repeated")

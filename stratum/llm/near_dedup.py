@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm import dart_minhash, shingles
-from stratum.llm.common import mix64, stored, text_slices
+from stratum.llm.common import mix64, small_side, stored, text_slices
 from stratum.llm.components import components
 
 BANDS, ROWS = 20, 4
@@ -196,7 +196,7 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      .where("least < most").select("bucket", "least"), "near-buckets")
     members = stored(placed.join(buckets, "bucket"), "near-members")
     involved = stored(members.select("node").distinct(), "near-involved")
-    texts = df.select(F.col(id_col).alias("node"), F.col(text_col).alias("text")).join(involved, "node")
+    texts = df.select(F.col(id_col).alias("node"), F.col(text_col).alias("text")).join(small_side(involved), "node")
     # rows with one id are one node: several texts of an id give several rows, any of which may link it
     cells = stored(cell_sets(texts.select("node", "text")).distinct(), "near-cells")
     pairs = members.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
@@ -222,4 +222,4 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``df``, with all their columns, that stay."""
     gone = stored(near_classes(df, id_col, text_col, threshold).where("not kept").select(
         F.col("doc_id").alias("__gone")).distinct(), "near-gone")
-    return df.join(gone, df[id_col] == gone["__gone"], "left_anti")
+    return df.join(small_side(gone), df[id_col] == gone["__gone"], "left_anti")
