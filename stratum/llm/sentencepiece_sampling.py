@@ -17,8 +17,8 @@ one, 0 where there is none (a log, for a long text's is too small for a double).
 not depend on partitions or on other rows.
 
 No piece crosses into a run of spaces, so the lattice is a chain of small
-lattices, one per word; equal words in a slice of rows share one, and all rows of a slice
-are searched side by side in numpy.  A word of over ``LONGEST`` characters is
+lattices, one per word; equal words share one, and all rows of a slice are
+searched side by side in numpy.  A word of over ``LONGEST`` characters is
 cut there.  A character without a piece is spelled in byte pieces.
 
 Defined results: a NULL or empty text has one segmentation, of no piece, with
@@ -32,7 +32,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +44,7 @@ from stratum.llm.common import mix64, text_slices, uniform
 SPACE = "▁"
 LONGEST = 64
 SHIFT, SHARPNESS = 10.0, 1.0
+KNOWN_UNITS = 200_000
 SLICE = 1 << 19  # bytes of text searched side by side; arrays take about 400 bytes per character
 _UNITS = re.compile(f"{SPACE}{{0,16}}[^{SPACE}\n]{{1,{LONGEST - 16}}}|{SPACE}{{1,16}}|\n")
 
@@ -70,6 +71,9 @@ class Vocabulary:
             else:
                 normal.append(i)
                 self.bytes_of[i] = piece.encode()
+        self.byte_sizes = np.array(list(map(len, self.bytes_of)), np.int64)
+        self.byte_starts = np.cumsum(self.byte_sizes) - self.byte_sizes
+        self.byte_table = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         rank = np.empty(len(normal))
         rank[np.argsort([-lib.get_score(i) for i in normal], kind="stable")] = np.arange(len(normal))
         self.weight = np.full(n, -SHARPNESS * np.log(len(normal) + SHIFT))
@@ -93,6 +97,14 @@ class Vocabulary:
     def units(self, text: str) -> list[str]:
         return _UNITS.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
+    def decode_many(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """The texts of segmentations that lie end to end."""
+        size = self.byte_sizes[ids]
+        data = self.byte_table[_ranges(self.byte_starts[ids], size)].tobytes()
+        cuts = np.r_[0, np.cumsum(size)][bounds].tolist()
+        texts = [data[a:b].decode("utf-8", "replace").replace(SPACE, " ") for a, b in zip(cuts, cuts[1:])]
+        return [t[1:] if t.startswith(" ") else t for t in texts]
+
     def decode(self, ids: Iterable[int]) -> str:
         """The text of a segmentation."""
         text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
@@ -143,8 +155,8 @@ class Lattice:
             degree[x] += 1
         self.edges = np.r_[0, np.cumsum(degree)]
         free = self.edges[:-1].copy()
-        self.start = np.repeat(np.arange(n), degree)
-        self.stop, self.piece = np.empty(len(self.start), np.int64), np.empty(len(self.start), np.int64)
+        self.start = np.repeat(np.arange(n, dtype=np.int32), degree)
+        self.stop, self.piece = np.empty(len(self.start), np.int32), np.empty(len(self.start), np.int32)
         for x, y, z in zip(reversed(starts), reversed(stops), reversed(pieces)):
             at = free[x]
             self.stop[at], self.piece[at] = y, z
@@ -170,11 +182,12 @@ class Lattice:
                 top = np.maximum.reduceat(v, heads)
                 width = np.diff(np.r_[heads, len(rows)])
                 beta[s[heads]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, width)), heads))
-        self.total = beta
         self.log_p = np.minimum(value - beta[self.start], 0.0) if n else value
         p = np.exp(self.log_p)
-        sums = np.cumsum(p)
-        self.upto = sums - np.r_[0.0, sums][self.edges[self.start]]  # cumulative probability within the node
+        self.upto = p.copy()  # cumulative probability within the node
+        for step in range(1, int(degree.max(initial=0))):
+            at = self.edges[:-1][degree > step] + step
+            self.upto[at] += self.upto[at - 1]
         self.log_rest = np.where(p < 1 - 1e-12, np.log1p(-np.minimum(p, 1 - 1e-12)), -np.inf)
         self.log_rest[np.diff(self.edges)[self.start] == 1] = -np.inf
 
@@ -193,8 +206,9 @@ class Paths:
     """One complete path per row, rows end to end: edges, log probability before each edge, and for each place
     the largest perturbed value among the siblings left open there (-inf: none)."""
 
-    def __init__(self, bounds, edge, place, unit, before, open_):
+    def __init__(self, bounds, edge, place, unit, before, open_, log_prob):
         self.bounds, self.edge, self.place, self.unit, self.before, self.open = bounds, edge, place, unit, before, open_
+        self.log_prob = log_prob
 
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -224,14 +238,50 @@ class _Index(dict):
         return n
 
 
+class Known:
+    """Per worker: the lattices of the units seen so far, dropped when they are too many (they are only a memo)."""
+
+    def __init__(self, voc: Vocabulary):
+        self.voc = voc
+        self.forget()
+
+    def forget(self) -> None:
+        self.index, self.lattice, self.room = _Index(), None, {}
+
+    def numbers(self, texts: list[list[str]], count: int) -> np.ndarray:
+        """The units of all texts by number; unknown ones are entered."""
+        if len(self.index) > KNOWN_UNITS:
+            self.forget()
+        before = len(self.index)
+        units = np.fromiter(map(self.index.__getitem__, chain.from_iterable(texts)), np.int64, count)
+        if len(self.index) > before or self.lattice is None:
+            new = Lattice(list(islice(self.index, before, None)), self.voc)
+            self.lattice = new if self.lattice is None else self.joined(self.lattice, new)
+        return units
+
+    def joined(self, old: Lattice, new: Lattice) -> Lattice:
+        """The units of both as one; arrays grow in room that is doubled now and then."""
+        out, nodes, edges = object.__new__(Lattice), len(old.edges) - 1, len(old.stop)
+        for name, shift in (("first", nodes), ("last", nodes), ("start", nodes), ("stop", nodes), ("piece", 0),
+                            ("log_p", 0), ("upto", 0), ("log_rest", 0), ("edges", edges)):
+            a, b = getattr(old, name), getattr(new, name)
+            n = len(a) - (name == "edges")  # the end of the last node's edges is the next one's beginning
+            room = self.room.get(name)
+            if room is None or len(room) < n + len(b):
+                room = self.room[name] = np.empty(2 * (n + len(b)), a.dtype)
+                room[:n] = a[:n]
+            np.add(b, b.dtype.type(shift), out=room[n:n + len(b)])
+            setattr(out, name, room[:n + len(b)])
+        return out
+
+
 class Search:
     """Gumbel top-k over the segmentations of many rows side by side."""
 
-    def __init__(self, texts: list[list[str]], keys: np.ndarray, voc: Vocabulary):
-        index = _Index()
+    def __init__(self, texts: list[list[str]], keys: np.ndarray, known: Known):
         count = np.fromiter(map(len, texts), np.int64, len(texts))
-        self.units = np.fromiter(map(index.__getitem__, chain.from_iterable(texts)), np.int64, int(count.sum()))
-        self.lat = Lattice(list(index), voc)
+        self.units = known.numbers(texts, int(count.sum()))
+        self.lat = known.lattice
         self.row_end = np.cumsum(count)
         self.row_start = self.row_end - count
         size = self.lat.last - self.lat.first
@@ -242,14 +292,14 @@ class Search:
 
     def walk(self, row: np.ndarray, unit: np.ndarray, node: np.ndarray, sample: int):
         """Sample on from each node to the end of its unit: (item, edge, place) in order of item and place."""
-        lat, item = self.lat, np.arange(len(row))
+        lat, item, key = self.lat, np.arange(len(row)), self.keys[row]
         stop, base = lat.last[self.units[unit]], self.offset[unit] - lat.first[self.units[unit]]
         items, edges, places = [], [], []
         live = node < stop
         item, node = item[live], node[live]
         while len(item):
             place = base[item] + node
-            e = lat.choose(node, _draw(self.keys[row[item]], sample, 1, place))
+            e = lat.choose(node, _draw(key[item], sample, 1, place))
             items.append(item)
             edges.append(e)
             places.append(place)
@@ -278,7 +328,7 @@ class Search:
         best = -np.log(-np.log(_draw(self.keys, 0, 2, np.zeros(n, np.int64))))
         bounds = np.r_[0, np.searchsorted(rows[item], np.arange(n), side="right")]
         path = self.finish(np.arange(n), bounds, edge, place, item, best, 0, np.zeros(n, np.int64))
-        out, alive = [(path, np.ones(n, bool), self.log_prob(path), best)], np.ones(n, bool)
+        out, alive = [(path, np.ones(n, bool), path.log_prob, best)], np.ones(n, bool)
         barred = [np.full((n, 0), -1)]  # edges already taken at the place where a path left an older one
         branch = [np.full(n, -1)]
         for sample in range(1, k + 1):
@@ -287,24 +337,21 @@ class Search:
             if sample == k or not alive.any():
                 break
             made = self.open_entry(out, barred, branch, value, of, at, alive, sample)
-            out.append((made, alive, self.log_prob(made), np.where(alive, value, -np.inf)))
+            out.append((made, alive, made.log_prob, np.where(alive, value, -np.inf)))
         return out, value
 
-    def log_prob(self, path: Paths) -> np.ndarray:
-        return np.r_[0.0, np.cumsum(self.lat.log_p[path.edge])][path.bounds[1:]] - \
-            np.r_[0.0, np.cumsum(self.lat.log_p[path.edge])][path.bounds[:-1]]
-
     def finish(self, row, bounds, edge, place, unit, value, sample, fresh_from) -> Paths:
         """Log probabilities along the paths, and the open siblings from ``fresh_from`` on."""
         size = np.diff(bounds)
         log_p = self.lat.log_p[edge]
         sums = np.r_[0.0, np.cumsum(log_p)]
         before = sums[:-1] - np.repeat(sums[bounds[:-1]], size)
-        open_ = _under(before + self.lat.log_rest[edge], np.repeat(value, size),
-                       _draw(np.repeat(self.keys, size), sample, 3, place))
-        local = np.arange(len(edge)) - np.repeat(bounds[:-1], size)
-        open_[local < np.repeat(fresh_from, size)] = -np.inf
-        return Paths(bounds, edge, place, unit, before, open_)
+        fresh = np.flatnonzero(np.arange(len(edge)) - np.repeat(bounds[:-1], size) >= np.repeat(fresh_from, size))
+        row = np.repeat(np.arange(len(size)), size)[fresh]
+        open_ = np.full(len(edge), -np.inf)
+        open_[fresh] = _under(before[fresh] + self.lat.log_rest[edge[fresh]], value[row],
+                              _draw(self.keys[row], sample, 3, place[fresh]))
+        return Paths(bounds, edge, place, unit, before, open_, sums[bounds[1:]] - sums[bounds[:-1]])
 
     def best_open(self, paths: list[Paths]):
         """Per row the largest open value: (value, which path, index in its arrays)."""
@@ -389,9 +436,9 @@ class Search:
         return made
 
 
-def sample_slice(texts: list[str], keys: np.ndarray, k: int, voc: Vocabulary):
+def sample_slice(texts: list[str], keys: np.ndarray, k: int, voc: Vocabulary, known: Known | None = None):
     """Per sample: (ids, bounds, rows that have it, log probability, perturbed value, log inclusion)."""
-    search = Search([voc.units(t) for t in texts], keys, voc)
+    search = Search([voc.units(t) for t in texts], keys, known or Known(voc))
     found, bound = search.top(k)
     out = []
     for path, alive, log_prob, value in found:
@@ -428,18 +475,19 @@ def encode_samples(df: DataFrame, path: str, k: int = 4, seed: int = 17, decoded
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc = vocabulary(path)
+        known = Known(voc)
         for part, texts in text_slices(batches, limit=SLICE):
             keys = row_keys(part.column(0).to_pylist(), seed)
             for number, (ids, bounds, alive, log_prob, value, inclusion) in enumerate(
-                    sample_slice(texts, keys, k, voc), 1):
+                    sample_slice(texts, keys, k, voc, known), 1):
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
                 columns = {id_col: part.column(0), "sample": pa.array(np.full(len(texts), number, np.int32)),
                            "ids": lists, "log_prob": pa.array(log_prob), "perturbed": pa.array(value),
                            "log_inclusion": pa.array(inclusion)}
                 if decoded:
-                    columns["decoded"] = pa.array([voc.decode(ids[a:b].tolist()) for a, b in zip(bounds, bounds[1:])],
-                                                  pa.string())
-                yield pa.RecordBatch.from_pydict(columns).filter(pa.array(alive))
+                    columns["decoded"] = pa.array(voc.decode_many(ids, bounds), pa.string())
+                batch = pa.RecordBatch.from_pydict(columns)
+                yield batch if alive.all() else batch.filter(pa.array(alive))
 
     return df.select(id_col, text_col).mapInArrow(
         run, f"`{id_col}` {id_type}, {SAMPLES}" + ", decoded string" * decoded)
