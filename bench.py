@@ -7,9 +7,8 @@ once and writes the silver tables (shared scratch space under
 ``spark.checkpoint.dir``); gold and fraud queries then read the stored silver
 tables, as the gold jobs do.  Every query runs to completion through the
 ``noop`` sink (all rows produced, nothing collected).  A warm-up pass on
-sf0.001 runs first; the suite then runs twice at the target scale and each
-query reports its steady-state (faster) time; the first pass's total is
-reported as ``cold_total``.
+sf0.001 runs first; the suite then runs twice at the target scale; the second pass
+is the number, and the first stands beside it as ``first_pass``.
 """
 
 from __future__ import annotations
@@ -35,11 +34,11 @@ WARM_DIR = "/root/testdata/sf0.001"
 
 def write_silver(spark, d, root):
     """Raw views -> bronze -> silver for all three entities, written as tables."""
-    write_table(silver.silver_transactions(bronze.bronze_transactions(view(spark, d, "transactions_located"))),
+    write_table(silver.silver_transactions(bronze.bronze_transactions(view(spark, d, "transactions_located", int(CPUS)))),
                 f"{root}/transactions")
-    write_table(silver.silver_merchants(bronze.bronze_merchants(view(spark, d, "merchants_raw"))),
+    write_table(silver.silver_merchants(bronze.bronze_merchants(view(spark, d, "merchants_raw", int(CPUS)))),
                 f"{root}/merchants")
-    write_table(silver.silver_customers(bronze.bronze_customers(view(spark, d, "customers_raw"))),
+    write_table(silver.silver_customers(bronze.bronze_customers(view(spark, d, "customers_raw", int(CPUS)))),
                 f"{root}/customers")
 
 
@@ -86,7 +85,7 @@ def main():
     run_all(spark, WARM_DIR)
     cold, _ = run_all(spark, SF_DIR)
     warm, root = run_all(spark, SF_DIR)
-    times = {k: min(cold[k], warm[k]) for k in cold}
+    times = warm
     n_tx = read_table(spark, f"{root}/transactions").count()
     sf = SF_DIR.rsplit("sf", 1)[-1]
     out = {
@@ -94,10 +93,14 @@ def main():
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "first_pass": cold,
         "cold_total": round(sum(cold.values()), 3),
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "scored_transactions": n_tx,
-        "fraud_rows_per_sec": round(n_tx / times["fraud_scores_transactions"], 1),
+        # the published figure is for seven indicators: about 28,600 rows a second
+        "seven_indicator_rows_per_sec": round(n_tx / times["fraud_seven_indicators"], 1),
+        "seven_indicator_with_silver_rows_per_sec": round(
+            n_tx / (times["fraud_seven_indicators"] + times["bronze_silver_write"]), 1),
     }
     print(json.dumps(out))
     spark.stop()

@@ -82,9 +82,12 @@ def main():
                                  "spark.sql.adaptive.skewJoin.enabled": "true",
                                  # keep the 16 hash partitions as planned, so task
                                  # sizes show the key distribution, not AQE's merging
-                                 "spark.sql.adaptive.coalescePartitions.enabled": "false"})
+                                 "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                                 # no broadcast: as with a customer table of real size
+                                 "spark.sql.autoBroadcastJoinThreshold": "-1",
+                                 "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
     root = scratch_path(spark, "skew")
-    tx = silver.silver_transactions(bronze.bronze_transactions(view(spark, sf_dir, "transactions_located")))
+    tx = silver.silver_transactions(bronze.bronze_transactions(view(spark, sf_dir, "transactions_located", 8)))
     hot = tx.withColumn("customer_id", F.when(F.col("status") == "completed", F.lit("CUST_HOT"))
                         .otherwise(F.col("customer_id")))
     write_table(hot, root)

@@ -3,8 +3,8 @@
 Raw feeds are read with every field as a string; these casts then type them
 without ever failing a job (ANSI mode aborts on one bad ``cast``):
 
-* boolean: ``true/false`` and ``1/0`` (feeds write flags as 1/0)
-* date: ISO text, or epoch milliseconds (pandas' JSON date format)
+* boolean: ``true/false``, ``1/0`` and ``1.0/0.0`` (feeds write flags as numbers)
+* date: ISO text, or epoch milliseconds of whole UTC days (pandas' JSON date format)
 * int: ``1234`` or ``1234.0`` (a float column with gaps)
 * double, timestamp: plain ``try_cast``
 """
@@ -21,7 +21,9 @@ def _try_cast(c: Column, type_name: str) -> Column:
 
 
 def lenient_bool(c: Column) -> Column:
-    return _try_cast(F.trim(c), "boolean")
+    """``true/false``, ``1/0``, and ``1.0/0.0`` (a flag column with gaps)."""
+    number = _try_cast(F.trim(c), "double")
+    return F.coalesce(_try_cast(F.trim(c), "boolean"), F.when(number == 1, True).when(number == 0, False))
 
 
 EPOCH_DAY = "1970-01-01"
@@ -30,12 +32,13 @@ MILLIS_PER_DAY = 86_400_000
 
 def lenient_date(c: Column) -> Column:
     """ISO date text, or epoch milliseconds of a UTC midnight (pandas' JSON
-    dates); the day count is taken in UTC, whatever the session zone."""
+    dates); the day count is taken in UTC, whatever the session zone.  Any
+    other integer, such as ``20240101``, is no date."""
     s = F.trim(c)
     millis = _try_cast(s, "bigint")
-    days = F.floor(millis / F.lit(MILLIS_PER_DAY)).try_cast("int")
-    return F.coalesce(_try_cast(s, "date"),
-                      F.when(millis.isNotNull(), F.date_add(F.lit(EPOCH_DAY).cast("date"), days)))
+    days = F.when(millis % MILLIS_PER_DAY == 0, F.floor(millis / F.lit(MILLIS_PER_DAY)).try_cast("int"))
+    return F.when(millis.isNull(), _try_cast(s, "date")).otherwise(
+        F.date_add(F.lit(EPOCH_DAY).cast("date"), days))
 
 
 def lenient_int(c: Column) -> Column:
@@ -70,14 +73,16 @@ def lenient_cast(c: Column, dtype: T.DataType) -> Column:
 def type_strings(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
     """Project string columns named like ``schema`` to its types.
 
-    Fields missing from ``df`` become typed NULLs; ``keep`` names extra
+    Names are compared without case; of columns that differ only by case the
+    first counts.  Fields missing from ``df`` become typed NULLs; ``keep`` names extra
     columns carried through unchanged (lineage, corrupt-record text).
     """
     cols = []
     present = set(df.columns)
+    by_name = {c.lower(): c for c in reversed(df.columns)}
     for f in schema.fields:
-        if f.name in present:
-            cols.append(lenient_cast(F.col(f"`{f.name}`"), f.dataType).alias(f.name))
+        if f.name.lower() in by_name:
+            cols.append(lenient_cast(df[f"`{by_name[f.name.lower()]}`"], f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     cols += [F.col(f"`{k}`") for k in keep if k in present]

@@ -1,13 +1,11 @@
 """Aggregate and scalar helpers shared by gold and fraud.
 
-Sums of money are exact: each value is counted in whole units of the scale
-(cents for money), summed as ``bigint`` and reported back as ``double``.  The
-result is the same on every partitioning, retry and engine (a ``double`` sum
-depends on the order rows arrive in), and a ``bigint`` sum runs as fast as a
-``double`` one (a ``decimal(18,2)`` sum widens to ``decimal(28,2)`` and runs
-on big-decimal arithmetic, about 2x slower).  A group total overflows only
-past 9.2e16 currency units, and then the job fails under ANSI instead of
-wrapping.  NaN / infinite values are left out of sums, averages and counts.
+Sums of doubles lose nothing and do not depend on the order of rows.  Each value goes
+to one of four parts, by what holds it exactly: whole cents as integers (the usual case,
+and as fast as a plain sum), up to 16 decimals, or up to 1e24 with cents as decimals, and
+whatever is left (NaN, infinities, larger or finer values) as a double.  The exact
+parts are added exactly and rounded once; the double part is added last, so NaN and
+infinities give what a plain sum gives.
 """
 
 from __future__ import annotations
@@ -16,24 +14,59 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MONEY_SCALE = 2      # currency amounts
-SCORE_SCALE = 6      # scores and ratios in [0, 1]
+_LOW = 1 << 20  # cents are summed in two halves, so that no sum of integers overflows
 
 
-def units(c: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """``c`` in whole units of ``10^-scale`` as bigint (HALF_UP); NULL when not finite."""
+def exact_parts(c: Column | str) -> Column:
+    """Aggregate: the parts of an exact sum and the number of values, as one struct."""
+    v = (F.col(c) if isinstance(c, str) else c).cast("double")
+    rounded, size = F.rint(v * 100.0), F.abs(v)
+    whole = (size < 9e13) & (rounded / 100.0 == v)
+    cents = F.when(whole, rounded.cast("bigint"))
+    fine_value, big_value = v.try_cast("decimal(28,16)"), v.try_cast("decimal(28,2)")
+    fine = ~whole & (size < 1e12) & F.coalesce(fine_value.cast("double") == v, F.lit(False))
+    big = ~whole & ~fine & (size < 1e24) & F.coalesce(big_value.cast("double") == v, F.lit(False))
+    return F.struct(
+        F.sum(F.shiftright(cents, 20)).alias("high"), F.sum(cents.bitwiseAND(F.lit(_LOW - 1))).alias("low"),
+        F.sum(F.when(fine, fine_value)).alias("fine"), F.sum(F.when(big, big_value)).alias("big"),
+        F.sum(F.when(~whole & ~fine & ~big, v)).alias("rest"), F.count(v).alias("n"))
+
+
+def add_parts(c: Column | str) -> Column:
+    """Aggregate: the parts of several exact sums added up."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.cast("double") * F.lit(10.0 ** scale)).try_cast("bigint")
+    return F.struct(*[F.sum(c[f]).alias(f) for f in ("high", "low", "fine", "big", "rest", "n")])
+
+
+def total(parts: Column, times: Column | None = None) -> Column:
+    """The sum, as double, that parts stand for, ``times`` over; NULL when there are no values."""
+    def part(name: str, kind: str) -> Column:
+        return F.coalesce(parts[name].cast(kind), F.lit(0).cast(kind))
+
+    coarse = ((part("high", "decimal(20,0)") * F.lit(_LOW).cast("decimal(7,0)") + part("low", "decimal(20,0)"))
+              * F.lit(0.01).cast("decimal(2,2)") + part("big", "decimal(38,2)"))
+    both = F.coalesce((coarse.try_cast("decimal(37,16)") + parts["fine"].try_cast("decimal(37,16)")).cast("double"),
+                      coarse.cast("double") + parts["fine"].cast("double"))
+    if times is not None:
+        coarse, both = coarse * times.cast("decimal(10,0)"), both * times.cast("double")
+    exact = F.when(parts["fine"].isNull(), coarse.cast("double")).otherwise(both)
+    rest = parts["rest"] if times is None else parts["rest"] * times.cast("double")
+    return F.when(parts["n"] > 0, F.when(rest.isNull(), exact).otherwise(exact + rest))
+
+
+def mean(parts: Column) -> Column:
+    """The average, as double, that parts stand for; NULL when there are no values."""
+    return F.try_divide(total(parts), parts["n"].cast("double"))
 
 
-def exact_sum(c: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """Exact sum, as double; NULL when there are no values."""
-    return F.sum(units(c, scale)).cast("double") / F.lit(10.0 ** scale)
+def exact_sum(c: Column | str) -> Column:
+    """Aggregate: the sum as double; NULL when there are no values."""
+    return total(exact_parts(c))
 
 
-def exact_avg(c: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """``avg`` = exact sum / count of the values summed, as double."""
-    return F.try_divide(exact_sum(c, scale), F.count(units(c, scale)).cast("double"))
+def exact_avg(c: Column | str) -> Column:
+    """Aggregate: the sum over the number of values, as double."""
+    return mean(exact_parts(c))
 
 
 def ratio(num: Column | str, den: Column | str) -> Column:

@@ -18,33 +18,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.functions.metrics import MONEY_SCALE, epoch_seconds, exact_avg
+from stratum.functions.metrics import add_parts, epoch_seconds, exact_parts, mean
 from stratum.operators.windows import join_on_nullsafe, trailing_sum
 
+# fixed values: output columns
 SCORED_COLUMNS = ["transaction_hour", "txn_count_1h", "customer_avg_amount", "is_high_velocity",
                   "is_unusual_hour", "is_high_amount", "fraud_score", "risk_level"]
 HIGH_RISK_COLUMNS = ["transaction_id", "customer_id", "transaction_date", "amount",
                      "fraud_score", "risk_level", "is_fraud"]
 
 
+DAY = 86_400
+
+
+def averages_by_day(base: DataFrame, key: str, amount: str, avg_out: str) -> DataFrame:
+    """(key, _day, average over all the key's rows) for every day on which a key has rows (``_sec``).
+
+    Sums are taken per (key, day) in the map tasks, rolled up per key, and handed back to the key's days, so
+    that what is joined to them next is spread over a key's days: no task gets all rows of a hot key.
+    """
+    daily = base.groupBy(key, F.floor(F.col("_sec") / DAY).alias("_day")).agg(exact_parts(amount).alias("_parts"))
+    overall = daily.groupBy(key).agg(add_parts("_parts").alias("_all"))
+    averages = overall.select(key, mean(F.col("_all")).alias(avg_out))
+    # at most one row per key and day on the larger side
+    return join_on_nullsafe(daily.select(key, "_day"), averages, [key], "left")
+
+
 def with_window_features(df: DataFrame, *, key: str = "customer_id", ts: str = "transaction_date",
                          id_col: str = "transaction_id", amount: str = "amount",
                          window_seconds: int = 3600, count_out: str = "txn_count_1h",
-                         avg_out: str = "customer_avg_amount", amount_scale: int = MONEY_SCALE) -> DataFrame:
+                         avg_out: str = "customer_avg_amount") -> DataFrame:
     """Add the trailing count and the whole-history average per key.
 
     Plan: rows -> per (key, second) counts (partial aggregate) -> bucketed
-    range window; rows -> per key average (partial aggregate); the two
-    results are joined, then joined back to the rows on (key, second) -- the
-    only shuffle of whole rows.
+    range window; rows -> per (key, day) average; the two results are joined on
+    (key, day), then joined back to the rows on (key, second) -- the only
+    shuffle of whole rows.
     """
     sec = epoch_seconds(F.col(ts), df.schema[ts].dataType)
     base = df.withColumn("_sec", sec)
     per_sec = base.groupBy(key, "_sec").agg(F.count(id_col).alias("_n"))
-    counts = trailing_sum(per_sec, key, "_sec", "_n", window_seconds, count_out)
-    # per key: a partial aggregate, so each task ships one row per customer
-    averages = base.groupBy(key).agg(exact_avg(amount, amount_scale).alias(avg_out))
-    stats = join_on_nullsafe(counts, averages, [key], "left")
+    counts = trailing_sum(per_sec, key, "_sec", "_n", window_seconds, count_out).withColumn(
+        "_day", F.floor(F.col("_sec") / DAY))
+    stats = join_on_nullsafe(counts, averages_by_day(base, key, amount, avg_out), [key, "_day"], "left").drop("_day")
     out = join_on_nullsafe(base, stats, [key, "_sec"], "left")
     return out.drop("_sec")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,49 +14,24 @@ def invalid_rows(flagged: DataFrame) -> DataFrame:
     return flagged.filter(~F.col("is_valid"))
 
 
-def issue_counts(flagged: DataFrame, **labels: str) -> DataFrame:
-    """Rows per fired check name, plus a ``*`` row counting invalid rows.
-
-    One aggregation pass: ``explode`` the issues (an invalid row contributes
-    once per issue and once to ``*``), then a partial + final count.
-    """
-    names = F.concat(F.col("quality_issues"),
-                     F.when(~F.col("is_valid"), F.array(F.lit("*"))).otherwise(F.array().cast("array<string>")))
-    out = (
-        flagged.select(F.explode(names).alias("check_name"))
-        .groupBy("check_name").agg(F.count(F.lit(1)).alias("n_rows"))
-    )
-    for k, v in reversed(list(labels.items())):
-        out = out.select(F.lit(v).alias(k), *out.columns)
-    return out
-
-
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def _tag(layer: str):
-    # one-argument lambda: a two-argument one would receive the element index
-    return lambda c: F.struct(F.lit(layer).alias("layer"), c.alias("check_name"))
-
-
 def layered_issue_counts(df: DataFrame, entity: str, layers: dict) -> DataFrame:
-    """Issue counts of several rule sets over one frame, in a single pass.
+    """Issue counts of several rule sets over one frame, in a single aggregation.
 
-    ``layers`` maps a layer label to ``(rules, null_guard)``.  Each row emits
-    one ``(layer, check_name)`` per fired check plus ``(layer, '*')`` if the
-    layer flagged it; one aggregation counts them all.
+    ``layers`` maps a layer label to ``(rules, null_guard)``.  Every check is one conditional
+    count of the same pass, and so is ``(layer, '*')``, the rows that the layer flags; the one row
+    of counts is then turned into a row per check that fired.
     """
-    from stratum.functions.rules import issues_expr
+    from stratum.functions.rules import firing
 
-    empty = F.array().cast("array<string>")
-    tagged = []
+    counted = []
     for layer, (rule_list, null_guard) in layers.items():
-        issues = issues_expr(df.columns, rule_list, null_guard=null_guard)
-        names = F.concat(issues, F.when(F.size(issues) > 0, F.array(F.lit("*"))).otherwise(empty))
-        tagged.append(F.transform(names, _tag(layer)))
-    return (
-        df.select(F.inline(F.concat(*tagged)))
-        .groupBy("layer", "check_name").agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(F.lit(entity).alias("entity"), "layer", "check_name", "n_rows")
-    )
+        checks = firing(df.columns, rule_list, null_guard=null_guard)
+        any_ = [("*", reduce(or_, [F.coalesce(c, F.lit(False)) for _, c in checks]))] if checks else []
+        counted += [F.struct(F.lit(layer).alias("layer"), F.lit(name).alias("check_name"),
+                             F.count_if(fires).alias("n_rows")) for name, fires in [*checks, *any_]]
+    return (df.agg(F.array(*counted).alias("counts")).select(F.inline("counts")).where("n_rows > 0")
+            .select(F.lit(entity).alias("entity"), "layer", "check_name", "n_rows"))

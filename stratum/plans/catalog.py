@@ -16,12 +16,12 @@ from stratum import schemas
 from stratum.functions import rules
 from stratum.functions.casts import conform
 from stratum.operators import bronze, fraud, fraud_extended, gold, reports, silver
-from stratum.plans.flow import Feeds, Layout, run_all_layers
+from stratum.plans.flow import Feeds, Layout, run_all_layers, run_fraud
 from stratum.plans.present import present
 from stratum.session import scratch_path, session_key
 from stratum.sources import feeds
 from stratum.sources.adapters import view
-from stratum.sources.tables import export_json_lines, export_monthly_csv, read_table
+from stratum.sources.tables import export_json_lines, export_monthly_csv, read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +74,68 @@ def _invalid_counts(spark, d):
     ])
 
 
+def _wide_amounts(tx: DataFrame) -> DataFrame:
+    """Amounts that whole cents do not hold: 1e17, thousandths, and infinite ones for failed transactions at a till."""
+    end = F.right("transaction_id", F.lit(1))
+    till = (F.col("status") == "failed") & (F.col("channel") == "pos")
+    return tx.withColumn("amount", F.when(till, F.lit(float("inf"))).when(end.isin("0", "1"), F.lit(1e17))
+                         .when(end.isin("2", "3"), F.lit(0.004)).otherwise(F.col("amount")))
+
+
+def _fraud_wide(spark, d):
+    end = F.right("transaction_id", F.lit(1))
+    events = _events(spark, d).withColumn("amount", F.when(end == "0", F.lit(1e17)).when(end == "1", F.lit(0.004))
+                                          .otherwise(F.col("amount")))
+    return fraud.fraud_scores(events, window_seconds=CHECK_WINDOW, velocity_min=CHECK_VELOCITY,
+                              amount_factor=CHECK_FACTOR)
+
+
+def _negative_balances(spark, d):
+    customers = _silver_customers(spark, d)
+    return gold.customer_metrics(customers.withColumn("account_balance", -F.abs("account_balance") - 1))
+
+
+def _user_rule(spark, d):
+    """A user's rule beside the specified ones."""
+    rule = rules.Rule("credit_limit", "credit_limit_over_500", lambda c: c > 500)
+    plain = _silver_customers(spark, d).drop("quality_issues", "is_valid", "quality_check_timestamp")
+    return rules.silver_customer_flags(plain, stamp=False, extra=[rule]).select(
+        "customer_id", "credit_limit", "quality_issues")
+
+
+def _flags_gaps(spark, d):
+    """The rules on keys, over rows some of whose keys are NULL."""
+    parts = []
+    for entity, name, schema, key, flag in (
+            ("customers", "customers_raw", schemas.CUSTOMERS, "customer_id", rules.silver_customer_flags),
+            ("merchants", "merchants_raw", schemas.MERCHANTS, "merchant_id", rules.silver_merchant_flags),
+            ("transactions", "transactions_raw", schemas.TRANSACTIONS, "transaction_id", rules.silver_transaction_flags)):
+        raw = conform(view(spark, d, name), schema).withColumn("row_key", F.col(key))
+        gaps = raw.withColumn(key, F.when(F.right(key, F.lit(1)) != "7", F.col(key)))
+        parts.append(flag(gaps, stamp=False).select(
+            F.lit(entity).alias("entity"), "row_key", F.array_join(F.filter(
+                "quality_issues", lambda x: x.startswith("null_")), ",").alias("key_issues")))
+    return reports.union_all(parts)
+
+
+def _malformed(spark, d):
+    """All transactions as lines of a feed with an undeclared column; some lack a field, some have one too many."""
+    key = (session_key(spark), d, "malformed")
+    if key not in _RUNS:
+        root = scratch_path(spark, "malformed")
+        end, line = F.right("transaction_id", F.lit(1)), F.concat_ws(
+            ",", "transaction_id", "customer_id", F.col("card_last_4").cast("string"))
+        lines = (view(spark, d, "transactions_raw").where("customer_id is not null and card_last_4 is not null")
+                 .select(F.when(end == "3", line).when(end == "5", F.concat(line, F.lit(",x,LOST")))
+                         .otherwise(F.concat(line, F.lit(",x"))).alias("value")))
+        # one column whose name is the header line: every file of the feed begins with it
+        lines.toDF("Transaction_ID,customer_id,card_last_4,undeclared").write.option("header", True).option(
+            "sep", "\u0001").option("quote", "").csv(root)
+        _RUNS[key] = root
+    feed = feeds.read_csv_feed(spark, _RUNS[key], schemas.TRANSACTIONS, required=("transaction_id",))
+    return feed.select("transaction_id", F.col(feeds.CORRUPT).alias("malformed_text"))
+
+
 def _events(spark, d):
     return view(spark, d, "events_tx")
 
@@ -115,11 +177,21 @@ def build() -> dict[str, Query]:
         "fraud_seven_indicators_default": lambda s, d: present(_seven(s, d)),
         "fraud_seven_alerts": lambda s, d: present(fraud_extended.alerts(_seven(s, d, **SEVEN_CHECK))),
         "fraud_seven_summary": lambda s, d: present(fraud_extended.summary(_seven(s, d, **SEVEN_CHECK))),
+        "gold_transaction_metrics_wide_values": lambda s, d: present(
+            gold.transaction_metrics(_wide_amounts(_silver_transactions(s, d)))),
+        "gold_merchant_performance_wide_values": lambda s, d: present(
+            gold.merchant_performance(_wide_amounts(_silver_transactions(s, d)), _silver_merchants(s, d))),
+        "fraud_scores_wide_values": lambda s, d: present(_fraud_wide(s, d)),
+        "gold_customer_metrics_negative": lambda s, d: present(_negative_balances(s, d)),
+        "silver_customers_user_rule": lambda s, d: present(_user_rule(s, d)),
+        "silver_flags_gaps": _flags_gaps,
         **build_io(),
     }
 
 
 # ---- feeds written to shared scratch space and ingested back -----------------
+# Queries of one session and folder share one stored run: the tables are read-only, and a
+# new session starts anew.
 _RUNS: dict[tuple[str, str, str], object] = {}
 
 
@@ -160,6 +232,11 @@ def _json_roundtrip(spark, d):
     return present(bronze.bronze_customers(feeds.without_corrupt(feed)))
 
 
+def _merchant_roundtrip(spark, d):
+    feed = feeds.read_json_feed(spark, _feeds(spark, d).merchants, schemas.MERCHANTS)
+    return present(bronze.bronze_merchants(feeds.without_corrupt(feed)))
+
+
 def _csv_roundtrip(spark, d):
     feed = feeds.read_csv_feed(spark, _feeds(spark, d).transactions, schemas.TRANSACTIONS)
     return present(bronze.bronze_transactions(feeds.without_corrupt(feed)))
@@ -172,10 +249,29 @@ def _stored(name: str) -> Query:
     return q
 
 
+def _stored_fraud(name: str) -> Query:
+    """The seven-indicator outputs as the job stores them, over located transactions."""
+    def q(spark, d):
+        key = (session_key(spark), d, "fraud")
+        if key not in _RUNS:
+            out = Layout(scratch_path(spark, "fraud"))
+            write_table(silver.silver_transactions(bronze.bronze_transactions(
+                view(spark, d, "transactions_located"))), out.path("silver", "transactions"), out.fmt)
+            write_table(_silver_customers(spark, d), out.path("silver", "customers"), out.fmt)
+            run_fraud(spark, out, **SEVEN_CHECK)
+            _RUNS[key] = out
+        return present(read_table(spark, _RUNS[key].path("gold", name), _RUNS[key].fmt))
+    return q
+
+
 def build_io() -> dict[str, Query]:
     return {
         "bronze_customers_json_roundtrip": _json_roundtrip,
+        "bronze_merchants_json_roundtrip": _merchant_roundtrip,
         "bronze_transactions_csv_roundtrip": _csv_roundtrip,
+        "bronze_transactions_malformed": _malformed,
+        "full_run_fraud_alerts": _stored_fraud("fraud_detection_alerts"),
+        "full_run_fraud_summary": _stored_fraud("fraud_detection_summary"),
         "full_run_customer_metrics": _stored("customer_metrics"),
         "full_run_transaction_metrics": _stored("transaction_metrics"),
         "full_run_merchant_performance": _stored("merchant_performance"),
@@ -203,5 +299,5 @@ def _streamed(entity: str) -> Query:
             ingest.run_to_completion(query)
             _RUNS[key] = f"{root}/table"
         table = read_table(spark, _RUNS[key])
-        return present(table.drop("batch_id") if "batch_id" in table.columns else table)
+        return present(table.drop("ingest", "batch_id", feeds.CORRUPT))
     return q

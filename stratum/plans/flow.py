@@ -43,7 +43,7 @@ def run_bronze(spark: SparkSession, src: Feeds, out: Layout) -> None:
     jobs = [
         ("customers", feeds.read_json_feed(spark, src.customers, schemas.CUSTOMERS), bronze.bronze_customers),
         ("merchants", feeds.read_json_feed(spark, src.merchants, schemas.MERCHANTS), bronze.bronze_merchants),
-        ("transactions", feeds.read_csv_feed(spark, src.transactions, schemas.TRANSACTIONS),
+        ("transactions", feeds.read_csv_feed(spark, src.transactions, schemas.TRANSACTIONS, required=("transaction_id",)),
          bronze.bronze_transactions),
     ]
     for entity, feed, to_bronze in jobs:
@@ -61,7 +61,9 @@ def run_silver(spark: SparkSession, out: Layout) -> None:
                 out.path("silver", "merchants"), out.fmt)
     tx = silver.silver_transactions(read_table(spark, out.path("bronze", "transactions"), out.fmt))
     if out.partition_transactions_by_day:
-        tx = tx.withColumn("event_day", F.to_date("transaction_date"))
+        # one day's rows come together first (a hot day is split again by Spark), so that a day
+        # has few files however many tasks wrote the table
+        tx = tx.withColumn("event_day", F.to_date("transaction_date")).hint("rebalance", "event_day")
         write_table(tx, out.path("silver", "transactions"), out.fmt, partition_by=("event_day",))
     else:
         write_table(tx, out.path("silver", "transactions"), out.fmt)

@@ -6,8 +6,8 @@ make both engines produce identical values:
 
 * issues are ``concat_ws(',', case when <fires> then '<name>' end, ...)``
   (NULL branches are skipped; no issue gives ``''``);
-* money is summed in whole cents (scores in millionths) as integers, then
-  divided back; averages are that sum divided by the count;
+* sums are of decimals, which hold the test values exactly; averages are that
+  sum divided by the count of values;
 * DuckDB's HUGEINT sums and BIGINT hours are cast back to BIGINT / INTEGER.
 """
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from stratum.sources.adapters import with_views
 
+# fixed values below: rule names, patterns and value lists of the output contract
 EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 
 BRONZE_CUSTOMERS = rf"""
@@ -125,24 +126,22 @@ def _metric_flags(metrics: list[str]) -> str:
     return "concat_ws(',', " + ", ".join(parts) + ")"
 
 
-def _units(col: str, scale: int) -> str:
-    return f"try_cast(round(cast({col} as double) * {10 ** scale}.0) as bigint)"
+def _dec_sum(col: str, scale: int = 2, over: str = "") -> str:
+    """The exact sum of values that have ``scale`` decimals; the cast fails on a value it cannot hold."""
+    if scale > 6:  # through text, whose digits both engines read alike
+        return f"cast(cast(sum(cast(cast({col} as varchar) as decimal(38, {scale}))){over} as varchar) as double)"
+    return f"cast(sum(cast({col} as decimal(38, {scale}))){over} as double)"
 
 
 def _dec_avg(col: str, scale: int = 2, over: str = "") -> str:
-    u = _units(col, scale)
-    return f"(cast(sum({u}){over} as double) / {10 ** scale}.0) / nullif(count({u}){over}, 0)"
-
-
-def _dec_sum(col: str, scale: int = 2) -> str:
-    return f"cast(sum({_units(col, scale)}) as double) / {10 ** scale}.0"
+    return f"({_dec_sum(col, scale, over)} / nullif(count({col}){over}, 0))"
 
 
 GOLD_CUSTOMER = f"""
 select customer_segment, city, count(customer_id) as customer_count,
  {_dec_avg('risk_score', 6)} as avg_risk_score,
  {_dec_avg('account_balance')} as avg_balance,
- {_dec_avg('credit_limit')} as avg_credit_limit,
+ {_dec_avg('credit_limit', 16)} as avg_credit_limit,
  {_dec_sum('account_balance')} as total_balance
 from silver_customers group by customer_segment, city
 """
@@ -186,6 +185,20 @@ def _flagged(body_cte: str, metrics: list[str]) -> str:
             f"{_metric_flags(metrics)} as quality_issues from {body_cte}")
 
 
+# amounts that whole cents do not hold: 1e17, thousandths, and infinite ones for failed transactions at a till
+WIDE_AMOUNT = """case when status = 'failed' and channel = 'pos' then cast('infinity' as double)
+  when right(transaction_id, 1) in ('0', '1') then 1e17 when right(transaction_id, 1) in ('2', '3') then 0.004
+  else amount end"""
+WIDE_TX = ("silver_transactions", f"select * replace ({WIDE_AMOUNT} as amount) from plain_transactions")
+_WIDE_SUM = ("case when bool_or(isinf({0})) then cast('infinity' as double) else "
+             "cast(sum(cast(case when isinf({0}) then 0 else {0} end as decimal(38, 4))) as double) end")
+
+
+def _wide(sql: str, col: str) -> str:
+    total = _WIDE_SUM.format(col)
+    return sql.replace(_dec_avg(col), f"({total} / count({col}))").replace(_dec_sum(col), total)
+
+
 BRONZE_C = [("bronze_customers", BRONZE_CUSTOMERS)]
 BRONZE_M = [("bronze_merchants", BRONZE_MERCHANTS)]
 BRONZE_T = [("bronze_transactions", BRONZE_TRANSACTIONS)]
@@ -279,6 +292,30 @@ def invalid_counts_sql() -> str:
     return with_views("\nunion all\n".join(rows), "customers_raw", "merchants_raw", "transactions_raw")
 
 
+def silver_flags_gaps_sql() -> str:
+    """Rules on keys: every key NULL in some rows, all rules of the entity evaluated."""
+    parts = []
+    for entity, view, key, others in (
+            ("customers", "customers_raw", "customer_id", ["first_name", "last_name"]),
+            ("merchants", "merchants_raw", "merchant_id", []),
+            ("transactions", "transactions_raw", "transaction_id", ["customer_id", "merchant_id"])):
+        gone = f"right({key}, 1) = '7'"
+        hits = [f"case when {gone} or {key} is null then 'null_{key}' end",
+                *[f"case when {c} is null then 'null_{c}' end" for c in others]]
+        parts.append(f"select '{entity}' as entity, {key} as row_key, concat_ws(',', {', '.join(hits)}) as key_issues "
+                     f"from {view}")
+    return with_views("\nunion all\n".join(parts), "customers_raw", "merchants_raw", "transactions_raw")
+
+
+def malformed_sql() -> str:
+    """Every transaction is one line of a feed; lines whose id ends in 3 lack their last field, those in 5 have one too many."""
+    return with_views(
+        "select transaction_id, case right(transaction_id, 1) when '3' then line when '5' then line || ',x,LOST' end "
+        "as malformed_text from (select transaction_id, concat_ws(',', transaction_id, customer_id, "
+        "cast(card_last_4 as varchar)) as line from transactions_raw where customer_id is not null "
+        "and card_last_4 is not null) l", "transactions_raw")
+
+
 def build() -> dict[str, str]:
     """Oracle SQL per checked query name."""
     out = {
@@ -305,12 +342,35 @@ def build() -> dict[str, str]:
         "gold_merchant_performance": with_views(_flagged("g", MERCHANT_METRICS), "merchants_raw",
                                                 "transactions_raw",
                                                 ctes=SILVER_M + SILVER_T + [("g", GOLD_MERCHANT)]),
+        "gold_transaction_metrics_wide_values": with_views(
+            _flagged("g", TRANSACTION_METRICS), "transactions_raw", ctes=BRONZE_T + [
+                ("plain_transactions", SILVER_TRANSACTIONS), WIDE_TX, ("g", _wide(GOLD_TRANSACTION, "amount"))]),
+        "gold_merchant_performance_wide_values": with_views(
+            _flagged("g", MERCHANT_METRICS), "merchants_raw", "transactions_raw", ctes=SILVER_M + BRONZE_T + [
+                ("plain_transactions", SILVER_TRANSACTIONS), WIDE_TX, ("g", _wide(GOLD_MERCHANT, "t.amount"))]),
+        "fraud_scores_wide_values": fraud_sql(86400, 5, 3.0).replace("from events_tx\n", (
+            "from (select * replace (case right(cast(transaction_id as varchar), 1) when '0' then 1e17 when '1' then 0.004 "
+            "else amount end as amount) from events_tx) w\n")).replace(_dec_avg(
+                "amount", over=" over (partition by customer_id)"), _dec_avg(
+                "amount", 4, over=" over (partition by customer_id)")),
+        "silver_flags_gaps": silver_flags_gaps_sql(),
+        "gold_customer_metrics_negative": with_views(
+            _flagged("g", CUSTOMER_METRICS), "customers_raw", ctes=BRONZE_C + [
+                ("plain_customers", SILVER_CUSTOMERS),
+                ("silver_customers", "select * replace (-abs(account_balance) - 1 as account_balance) from plain_customers"),
+                ("g", GOLD_CUSTOMER)]),
+        "silver_customers_user_rule": with_views(
+            "select customer_id, credit_limit, concat_ws(',', nullif(quality_issues, ''), "
+            "case when credit_limit > 500 then 'credit_limit_over_500' end) as quality_issues from silver_customers",
+            "customers_raw", ctes=SILVER_C),
+        "bronze_transactions_malformed": malformed_sql(),
         "fraud_scores": fraud_sql(86400, 5, 3.0),
         "fraud_scores_default": fraud_sql(3600, 5, 5.0),
         "fraud_high_risk": fraud_high_risk_sql(86400, 5, 3.0),
     }
     # ingestion round trips and the full run must reproduce the direct results
     out["bronze_customers_json_roundtrip"] = out["bronze_customers_flags"]
+    out["bronze_merchants_json_roundtrip"] = out["bronze_merchants_default"]
     out["bronze_transactions_csv_roundtrip"] = out["bronze_transactions_flags"]
     out["full_run_customer_metrics"] = out["gold_customer_metrics"]
     out["full_run_transaction_metrics"] = out["gold_transaction_metrics"]
@@ -322,6 +382,7 @@ def build() -> dict[str, str]:
     out["fraud_seven_indicators_default"] = seven_indicator_query("select * from scored")
     out["fraud_seven_alerts"] = seven_indicator_query(SEVEN_ALERTS, **SEVEN_CHECK)
     out["fraud_seven_summary"] = seven_indicator_query(SEVEN_SUMMARY, **SEVEN_CHECK)
+    out["full_run_fraud_alerts"], out["full_run_fraud_summary"] = out["fraud_seven_alerts"], out["fraud_seven_summary"]
     return out
 
 

@@ -78,5 +78,3 @@ CSV_SOURCE_TAG = "azure_csv"
 TRANSACTIONS_CARD_TEXT = T.StructType([
     T.StructField(f.name, S, True) if f.name == "card_last_4" else f for f in TRANSACTIONS.fields
 ])
-
-ENTITY_SCHEMAS = {"customers": CUSTOMERS, "merchants": MERCHANTS, "transactions": TRANSACTIONS}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,9 +38,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private folder created
-    and registered, so lineage cuts and scratch tables always go to storage
-    every executor can reach.
+    A session without one gets a private folder if its master is local, as in tests;
+    on a cluster that folder would be another one on every machine, so there it is an error.
     """
     root = None
     try:
@@ -58,6 +58,8 @@ def checkpoint_root(spark: SparkSession) -> str:
                 root = sc.getCheckpointDir()
             except Exception:
                 root = None
+    if not root and sc is not None and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="stratum-ckpt-")
         if sc is not None:

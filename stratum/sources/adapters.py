@@ -80,39 +80,20 @@ VIEWS = {
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
-# The tables that carry the volume.  The driver writes each table as one file
-# with a single row group, so its scan is a single task; these are spread
-# over the session's cores when the scan has fewer partitions than that.
-FACT_TABLES = {"lineitem", "events"}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, partitions: int | None = None) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in FACT_TABLES:
-        df = rebalance(df)
-    return df
+    return df.repartition(partitions) if partitions else df
 
 
-def rebalance(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer partitions than the cluster has cores.
+def view(spark: SparkSession, sf_dir: str, name: str, partitions: int | None = None) -> DataFrame:
+    """One adapter view as a Spark DataFrame over the parquet tables.
 
-    Planning only (no job): a large input already has at least that many
-    splits and is returned unchanged, so no shuffle is added at scale.
+    ``partitions`` deals the tables out to so many tasks first: the test tables are
+    files of one row group, which one task would read.
     """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            return df.repartition(target)
-    except Exception:  # no RDD API (e.g. a Connect session): leave the scan as is
-        pass
-    return df
-
-
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One adapter view as a Spark DataFrame over the parquet tables."""
     text = VIEWS[name]
     tables = set(_PLACEHOLDER.findall(text))
-    frames = {t: table(spark, sf_dir, t) for t in tables}
+    frames = {t: table(spark, sf_dir, t, partitions) for t in tables}
     return spark.sql(text, **frames)
 
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 import csv
 import io
 import re
+from collections.abc import Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,17 +49,14 @@ def _split_header(line: str, sep: str) -> list[str]:
     return [c.strip() for c in row]
 
 
-def feed_headers(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
-    """Distinct first lines of the files under ``path`` -> the files having each.
-
-    One distributed pass over the text (no CSV parsing): within a scan task
-    rows come in file order, so the first line of a file is the row with the
-    smallest id among that file's first split.  The per-file minimum is a
-    partial aggregate (one row per file per task), and the driver receives
-    one ``(file, header)`` row per file -- the same listing Spark's file index
-    already keeps on the driver.
+def _first_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, header) of every file under ``path``: its first line that is not blank.
+
+    Within a scan task rows come in file order, so that line is the row with the
+    smallest id in the file's first split; the minimum is a partial aggregate
+    (one row per file and task).
     """
-    first_lines = (
+    return (
         spark.read.text(path)
         .select(
             F.col("_metadata.file_path").alias("file"),
@@ -66,13 +64,25 @@ def feed_headers(spark: SparkSession, path: str | list[str]) -> dict[str, list[s
             "value",
             F.monotonically_increasing_id().alias("rid"),
         )
-        .filter(F.col("block_start") == 0)
+        .filter((F.col("block_start") == 0) & (F.trim(F.regexp_replace("value", "\ufeff", "")) != ""))
         .groupBy("file")
         .agg(F.min_by("value", "rid").alias("header"))
     )
+
+
+def feed_headers(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """Distinct header lines of the files under ``path`` -> the paths to read for each.
+
+    The driver gets the distinct headers.  While there is one, its files are ``path``
+    itself; only a feed whose layout has drifted needs the files of each layout by name.
+    """
+    first = _first_lines(spark, path)
+    found = [r["header"] for r in first.select("header").distinct().collect()]
+    if len(found) <= 1:
+        return {h: [path] if isinstance(path, str) else list(path) for h in found}
     groups: dict[str, list[str]] = {}
-    for r in first_lines.toLocalIterator():
-        groups.setdefault(r["header"], []).append(r["file"])
+    for r in first.toLocalIterator():
+        groups.setdefault(r["header"], []).append(literal_path(r["file"]))
     return {h: sorted(files) for h, files in groups.items()}
 
 
@@ -87,31 +97,37 @@ def literal_path(uri: str) -> str:
 
 
 def _unique(names: list[str]) -> list[str]:
+    """Header names as column names: blank ones named, repeated ones (without case) numbered."""
     seen: dict[str, int] = {}
     out = []
     for n in names:
         n = n or "_blank"
-        if n in seen:
-            seen[n] += 1
-            out.append(f"{n}__{seen[n]}")
-        else:
-            seen[n] = 0
-            out.append(n)
+        k = seen[n.lower()] = seen.get(n.lower(), -1) + 1
+        out.append(f"{n}__{k}" if k else n)
     return out
 
 
 def read_csv_feed(spark: SparkSession, path: str | list[str], schema: T.StructType,
-                  sep: str = ",", multi_line: bool = False) -> DataFrame:
-    """CSV files with a header line -> ``schema`` columns, bound by header name.
+                  sep: str = ",", multi_line: bool = False, required: Sequence[str] = (),
+                  header: str | None = None) -> DataFrame:
+    """CSV files with a header line -> ``schema`` columns, bound by header name, without case.
 
     Declared fields a file lacks are NULL; columns a file has but the schema
     does not are dropped.  A row with too many or too few fields keeps its
-    text in ``_corrupt_record``.
+    text in ``_corrupt_record``.  A header that lacks a ``required`` column fails
+    the read: all its rows would lack their key.  Passing the known ``header`` line
+    of a feed of one layout saves the pass that looks for headers.
     """
-    groups = feed_headers(spark, path)
+    if header is not None:
+        groups = {header: [path] if isinstance(path, str) else list(path)}
+    else:
+        groups = feed_headers(spark, path)
     parts = []
-    for header, files in sorted(groups.items()):
-        names = _unique(_split_header(header, sep))
+    for line, files in sorted(groups.items()):
+        names = _unique(_split_header(line, sep))
+        lacking = {r.lower() for r in required} - {n.lower() for n in names}
+        if lacking:
+            raise ValueError(f"a feed file lacks {', '.join(sorted(lacking))}: header {line!r}, files {files[:3]}")
         df = (
             spark.read.schema(string_schema(names, CORRUPT))
             .option("header", True)
@@ -120,7 +136,9 @@ def read_csv_feed(spark: SparkSession, path: str | list[str], schema: T.StructTy
             .option("multiLine", multi_line)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
-            .csv([literal_path(f) for f in files])
+            # all fields are parsed, so that a row is judged on all of them, wanted or not
+            .option("columnPruning", False)
+            .csv(files)
             .select("*", F.col("_metadata.file_path").alias(SOURCE))
         )
         parts.append(type_strings(df, schema, keep=(SOURCE, CORRUPT)))
@@ -131,12 +149,7 @@ def read_csv_feed(spark: SparkSession, path: str | list[str], schema: T.StructTy
 
 
 def quarantine(feed: DataFrame) -> DataFrame:
-    """Malformed records with every parsed field, their file and their text.
-
-    All columns are kept on purpose: Spark judges a CSV row malformed only
-    on the columns a query requests, so a narrow projection would let rows
-    with extra or missing fields through.
-    """
+    """Malformed records with every parsed field, their file and their text."""
     return feed.filter(F.col(CORRUPT).isNotNull())
 
 

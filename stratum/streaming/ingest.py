@@ -12,12 +12,16 @@ then stop) or without it for a continuously running ingest.
   columns by position.  So the stream only *lists* new files (``binaryFile``
   with just the path selected: contents are never read), and each
   micro-batch reads its files with the by-name batch reader.  A micro-batch
-  overwrites its own ``batch_id=<n>`` folder, so a retried batch replaces
-  its earlier attempt instead of duplicating it.
+  overwrites its own folder, ``ingest=<checkpoint>/batch_id=<n>``, so a retried
+  batch replaces its earlier attempt instead of duplicating it, and an ingest
+  with another checkpoint, which counts its batches from 0, touches no other's.
+
+Every file below the feed's path is taken, as by the batch readers.
 """
 
 from __future__ import annotations
 
+import hashlib
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,7 +57,8 @@ def json_to_bronze(spark: SparkSession, feed_path: str, schema: T.StructType, to
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.json(feed_path).select("*", F.col("_metadata.file_path").alias(feeds.SOURCE))
-    typed = type_strings(raw, schema, keep=(feeds.SOURCE,))
+    # malformed text stays in the table, where :func:`stratum.sources.feeds.quarantine` finds it
+    typed = type_strings(raw, schema, keep=(feeds.SOURCE, feeds.CORRUPT))
     writer = (to_bronze(typed).writeStream.format(fmt).outputMode("append")
               .option("checkpointLocation", checkpoint))
     return _trigger(writer, available_now, interval).start(table_path)
@@ -64,10 +69,11 @@ def csv_to_bronze(spark: SparkSession, feed_path: str, schema: T.StructType, to_
                   max_files_per_trigger: int = 1000, available_now: bool = True,
                   interval: str = "1 minute") -> StreamingQuery:
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true"))
+              .option("recursiveFileLookup", "true"))
     # bounds the file names one micro-batch hands to the driver
     reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     files = reader.load(feed_path).select("path")
+    ingest_id = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
         # as many paths as files in this micro-batch (bounded by maxFilesPerTrigger)
@@ -75,7 +81,7 @@ def csv_to_bronze(spark: SparkSession, feed_path: str, schema: T.StructType, to_
         if not paths:
             return
         feed = feeds.read_csv_feed(batch.sparkSession, paths, schema)
-        write_table(to_bronze(feeds.without_corrupt(feed)), f"{table_path}/batch_id={batch_id}", fmt)
+        write_table(to_bronze(feed), f"{table_path}/ingest={ingest_id}/batch_id={batch_id}", fmt)
 
     writer = files.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint)
     return _trigger(writer, available_now, interval).start()

@@ -49,7 +49,7 @@ def test_merchant_performance_matches_row_join_with_duplicate_merchants(spark):
 def test_transaction_metrics_fraud_count_null_group(spark):
     out = gold.transaction_metrics(_tx(spark), stamp=False)
     rows = {(r["transaction_day"].day, r["status"]): r for r in out.collect()}
-    # the only row of this group has is_fraud NULL: the count is NULL and flagged
+    # one of the group's two flags is NULL, the other false: the count is 0
     r = rows[(2, "completed")]
     assert r["transaction_count"] == 2 and r["fraud_count"] == 0
     r = rows[(1, "completed")]
@@ -157,3 +157,40 @@ def test_bronze_keeps_corrupt_text_and_quarantine_from_table(spark):
     assert read_table(spark, out.path("quarantine", "customers")).count() == 1
     assert read_table(spark, out.path("quarantine", "merchants")).count() == 0
     assert read_table(spark, out.path("bronze", "transactions")).count() == 2
+
+
+def _amounts(spark, groups):
+    rows = [(f"T{g}-{i}", "C", "M1", dt.datetime(2024, 1, 1 + g), float(v), "completed", False)
+            for g, values in enumerate(groups) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "transaction_id string, customer_id string, merchant_id string, "
+                                       "transaction_date timestamp, amount double, status string, is_fraud boolean"
+                                 ).withColumn("channel", F.lit("online"))
+
+
+def test_sums_lose_nothing(spark):
+    import math
+    from fractions import Fraction
+
+    import numpy as np
+    rng = np.random.default_rng(1)
+    groups = [[1e17, 5.0], [0.004, 0.004], [math.inf, 1.0], [math.nan, 2.0], [math.inf, -math.inf], [1e300, 1.0],
+              [0.1] * 10, [1e16, 0.004, 0.01, 3.5], [1 / 3, 2 / 3], [9e13, 0.01, -9e13], [5e-324, 1e-9],
+              list(np.round(rng.normal(0, 1e9, 300), 2)), list(rng.normal(0, 1, 50)), [1.0, -1.0]]
+    out = {r["transaction_day"].day - 1: r for r in
+           gold.transaction_metrics(_amounts(spark, groups).repartition(5), stamp=False).collect()}
+    merchants = spark.createDataFrame([("M1", "One", "Retail", "PERU")] * 3,
+                                      "merchant_id string, merchant_name string, category string, country string")
+    for g, values in enumerate(groups):
+        plain, got = sum(values), out[g]["total_amount"]
+        if math.isfinite(plain):
+            exact = float(sum(map(Fraction, map(float, values))))
+            # exact where decimals hold the values; a plain double sum elsewhere
+            short = g not in (5, 8, 12)
+            if short:
+                exact = float(sum(Fraction(repr(float(v))) for v in values))
+            assert got == exact if short else math.isclose(got, exact, rel_tol=1e-12), (g, got, exact)
+            assert math.isclose(out[g]["avg_amount"], got / len(values), rel_tol=1e-15, abs_tol=0)
+        else:
+            assert got == plain or math.isnan(got) and math.isnan(plain), g
+    r = gold.merchant_performance(_amounts(spark, [[1e17, 5.0, 0.25]]), merchants, stamp=False).first()
+    assert r["total_revenue"] == float(3 * (10 ** 17 + Fraction(21, 4))) and r["transaction_count"] == 9

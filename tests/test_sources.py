@@ -5,6 +5,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratum import schemas
 from stratum.sources import feeds
@@ -143,3 +144,84 @@ def test_card_as_text_keeps_leading_zeros(spark, tmp):
         card_as_text=True).collect()}
     assert parity == {"T1": (123, False), "T2": (1234, True), "T3": (12345, False), "T4": (None, True)}
     assert text == {"T1": ("0123", True), "T2": ("1234", True), "T3": ("12345", False), "T4": (None, True)}
+
+
+def _feed(spark, files):
+    import os
+    import tempfile
+
+    from stratum.session import checkpoint_root, local_path
+    base = local_path(checkpoint_root(spark))
+    os.makedirs(base, exist_ok=True)
+    root = tempfile.mkdtemp(prefix="stratum-feed-", dir=base)
+    for name, text in files.items():
+        with open(f"{root}/{name}", "w") as f:
+            f.write(text)
+    return root
+
+
+def test_undeclared_column_keeps_malformed_text(spark):
+    root = _feed(spark, {"a.csv": "merchant_id,merchant_name,category,zzz\nM1,a,Retail,x\nM2,a,Retail,x,LOST\nM3,a\n"})
+    rows = feeds.read_csv_feed(spark, root, schemas.MERCHANTS).select("merchant_id", feeds.CORRUPT).collect()
+    assert {r[0]: r[1] for r in rows} == {"M1": None, "M2": "M2,a,Retail,x,LOST", "M3": "M3,a"}
+    assert feeds.quarantine(feeds.read_csv_feed(spark, root, schemas.MERCHANTS)).count() == 2
+
+
+def test_blank_first_line_and_header_case(spark):
+    root = _feed(spark, {"a.csv": "\n  \nMerchant_ID,Category\nM1,Retail\n", "b.csv": "category,merchant_id\nUtilities,M2\n"})
+    got = {r.merchant_id: r.category for r in feeds.read_csv_feed(spark, root, schemas.MERCHANTS).collect()}
+    assert got == {"M1": "Retail", "M2": "Utilities"}
+    known = _feed(spark, {"a.csv": "merchant_id,category\nM1,Retail\n"})
+    assert feeds.read_csv_feed(spark, known, schemas.MERCHANTS, header="merchant_id,category").count() == 1
+
+
+def test_missing_key_column_fails(spark):
+    root = _feed(spark, {"a.csv": "merchant,category\nM1,Retail\n"})
+    with pytest.raises(ValueError, match="merchant_id"):
+        feeds.read_csv_feed(spark, root, schemas.MERCHANTS, required=("merchant_id",))
+
+
+def test_one_layout_is_read_by_its_folder(spark):
+    root = _feed(spark, {f"{i}.csv": "merchant_id\nM\n" for i in range(5)})
+    assert feeds.feed_headers(spark, root) == {"merchant_id": [root]}
+
+
+def test_lenient_casts_of_numbers(spark):
+    from stratum.functions.casts import lenient_bool, lenient_date
+    df = spark.createDataFrame([("20240101",), ("1704067200000",), ("2024-01-01",), ("1.0",), ("0.0",), ("0.5",), ("x",)],
+                               "s string")
+    dates = {r.s: r.d for r in df.select("s", lenient_date(F.col("s")).alias("d")).collect()}
+    assert dates["20240101"] is None and dates["x"] is None
+    assert str(dates["1704067200000"]) == str(dates["2024-01-01"]) == "2024-01-01"
+    flags = {r.s: r.b for r in df.select("s", lenient_bool(F.col("s")).alias("b")).collect()}
+    assert (flags["1.0"], flags["0.0"], flags["0.5"]) == (True, False, None)
+
+
+def test_day_partitions_have_few_files(spark):
+    import os
+
+    from stratum.plans.flow import Layout, run_silver
+    from stratum.session import local_path, scratch_path
+    from stratum.sources.tables import write_table
+    out = Layout(scratch_path(spark, "days"), partition_transactions_by_day=True)
+    rows = [(f"T{i}", "C", "M", f"2024-01-{1 + i % 20:02} 10:00:00", 1.0, "USD", "online", "completed") for i in range(2000)]
+    tx = spark.createDataFrame(rows, "transaction_id string, customer_id string, merchant_id string, transaction_date string, "
+                                     "amount double, currency string, channel string, status string").repartition(16)
+    from stratum.operators import bronze
+    write_table(bronze.bronze_transactions(tx), out.path("bronze", "transactions"))
+    write_table(bronze.bronze_customers(spark.createDataFrame([], "customer_id string")), out.path("bronze", "customers"))
+    write_table(bronze.bronze_merchants(spark.createDataFrame([], "merchant_id string")), out.path("bronze", "merchants"))
+    run_silver(spark, out)
+    root = local_path(out.path("silver", "transactions"))
+    files = [f for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")]
+    assert 20 <= len(files) <= 25
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from stratum import session
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(master="spark://host:7077", getConf=lambda: conf, getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(SimpleNamespace(conf=conf, sparkContext=sc))
