@@ -10,7 +10,7 @@ infinities give what a plain sum gives.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,10 +32,11 @@ def exact_parts(c: Column | str) -> Column:
         F.sum(F.when(~whole & ~fine & ~big, v)).alias("rest"), F.count(v).alias("n"))
 
 
-def add_parts(c: Column | str) -> Column:
-    """Aggregate: the parts of several exact sums added up."""
+def add_parts(c: Column | str, window: WindowSpec | None = None) -> Column:
+    """Aggregate (or, with ``window``, window function): the parts of several exact sums added up."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.struct(*[F.sum(c[f]).alias(f) for f in ("high", "low", "fine", "big", "rest", "n")])
+    sums = {f: F.sum(c[f]) for f in ("high", "low", "fine", "big", "rest", "n")}
+    return F.struct(*[(s.over(window) if window is not None else s).alias(f) for f, s in sums.items()])
 
 
 def total(parts: Column, times: Column | None = None) -> Column:

@@ -15,7 +15,7 @@ the two cut-offs.  Both window quantities are computed skew-safe (see
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.functions.metrics import add_parts, epoch_seconds, exact_parts, mean
@@ -34,14 +34,12 @@ DAY = 86_400
 def averages_by_day(base: DataFrame, key: str, amount: str, avg_out: str) -> DataFrame:
     """(key, _day, average over all the key's rows) for every day on which a key has rows (``_sec``).
 
-    Sums are taken per (key, day) in the map tasks, rolled up per key, and handed back to the key's days, so
-    that what is joined to them next is spread over a key's days: no task gets all rows of a hot key.
+    Sums are taken per (key, day) in the map tasks, then added over the days of each key, so that what is joined
+    to them next is spread over a key's days: no task gets all rows of a hot key, only its days.
     """
     daily = base.groupBy(key, F.floor(F.col("_sec") / DAY).alias("_day")).agg(exact_parts(amount).alias("_parts"))
-    overall = daily.groupBy(key).agg(add_parts("_parts").alias("_all"))
-    averages = overall.select(key, mean(F.col("_all")).alias(avg_out))
-    # at most one row per key and day on the larger side
-    return join_on_nullsafe(daily.select(key, "_day"), averages, [key], "left")
+    over_days = add_parts("_parts", Window.partitionBy(key))
+    return daily.withColumn("_all", over_days).select(key, "_day", mean(F.col("_all")).alias(avg_out))
 
 
 def with_window_features(df: DataFrame, *, key: str = "customer_id", ts: str = "transaction_date",

@@ -164,7 +164,7 @@ def test_undeclared_column_keeps_malformed_text(spark):
     root = _feed(spark, {"a.csv": "merchant_id,merchant_name,category,zzz\nM1,a,Retail,x\nM2,a,Retail,x,LOST\nM3,a\n"})
     rows = feeds.read_csv_feed(spark, root, schemas.MERCHANTS).select("merchant_id", feeds.CORRUPT).collect()
     assert {r[0]: r[1] for r in rows} == {"M1": None, "M2": "M2,a,Retail,x,LOST", "M3": "M3,a"}
-    assert feeds.quarantine(feeds.read_csv_feed(spark, root, schemas.MERCHANTS)).count() == 2
+    assert len(feeds.quarantine(feeds.read_csv_feed(spark, root, schemas.MERCHANTS)).collect()) == 2
 
 
 def test_blank_first_line_and_header_case(spark):
