@@ -17,8 +17,8 @@ one, 0 where there is none (a log, for a long text's is too small for a double).
 not depend on partitions or on other rows.
 
 No piece crosses into a run of spaces, so the lattice is a chain of small
-lattices, one per word; equal words share one, and all rows of a slice are
-searched side by side in numpy.  A word of over ``LONGEST`` characters is
+lattices, one per word; equal words in a slice of rows share one, and all rows
+of a slice are searched side by side in numpy.  A word of over ``LONGEST`` characters is
 cut there.  A character without a piece is spelled in byte pieces.
 
 Defined results: a NULL or empty text has one segmentation, of no piece, with
@@ -32,7 +32,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +44,7 @@ from stratum.llm.common import mix64, text_slices, uniform
 SPACE = "▁"
 LONGEST = 64
 SHIFT, SHARPNESS = 10.0, 1.0
-KNOWN_UNITS = 200_000
-SLICE = 1 << 19  # bytes of text searched side by side; arrays take about 400 bytes per character
+SLICE = 1 << 18  # bytes of text searched side by side; arrays take about 400 bytes per character
 _UNITS = re.compile(f"{SPACE}{{0,16}}[^{SPACE}\n]{{1,{LONGEST - 16}}}|{SPACE}{{1,16}}|\n")
 
 
@@ -238,50 +237,14 @@ class _Index(dict):
         return n
 
 
-class Known:
-    """Per worker: the lattices of the units seen so far, dropped when they are too many (they are only a memo)."""
-
-    def __init__(self, voc: Vocabulary):
-        self.voc = voc
-        self.forget()
-
-    def forget(self) -> None:
-        self.index, self.lattice, self.room = _Index(), None, {}
-
-    def numbers(self, texts: list[list[str]], count: int) -> np.ndarray:
-        """The units of all texts by number; unknown ones are entered."""
-        if len(self.index) > KNOWN_UNITS:
-            self.forget()
-        before = len(self.index)
-        units = np.fromiter(map(self.index.__getitem__, chain.from_iterable(texts)), np.int64, count)
-        if len(self.index) > before or self.lattice is None:
-            new = Lattice(list(islice(self.index, before, None)), self.voc)
-            self.lattice = new if self.lattice is None else self.joined(self.lattice, new)
-        return units
-
-    def joined(self, old: Lattice, new: Lattice) -> Lattice:
-        """The units of both as one; arrays grow in room that is doubled now and then."""
-        out, nodes, edges = object.__new__(Lattice), len(old.edges) - 1, len(old.stop)
-        for name, shift in (("first", nodes), ("last", nodes), ("start", nodes), ("stop", nodes), ("piece", 0),
-                            ("log_p", 0), ("upto", 0), ("log_rest", 0), ("edges", edges)):
-            a, b = getattr(old, name), getattr(new, name)
-            n = len(a) - (name == "edges")  # the end of the last node's edges is the next one's beginning
-            room = self.room.get(name)
-            if room is None or len(room) < n + len(b):
-                room = self.room[name] = np.empty(2 * (n + len(b)), a.dtype)
-                room[:n] = a[:n]
-            np.add(b, b.dtype.type(shift), out=room[n:n + len(b)])
-            setattr(out, name, room[:n + len(b)])
-        return out
-
-
 class Search:
     """Gumbel top-k over the segmentations of many rows side by side."""
 
-    def __init__(self, texts: list[list[str]], keys: np.ndarray, known: Known):
+    def __init__(self, texts: list[list[str]], keys: np.ndarray, voc: Vocabulary):
+        index = _Index()
         count = np.fromiter(map(len, texts), np.int64, len(texts))
-        self.units = known.numbers(texts, int(count.sum()))
-        self.lat = known.lattice
+        self.units = np.fromiter(map(index.__getitem__, chain.from_iterable(texts)), np.int64, int(count.sum()))
+        self.lat = Lattice(list(index), voc)
         self.row_end = np.cumsum(count)
         self.row_start = self.row_end - count
         size = self.lat.last - self.lat.first
@@ -436,9 +399,9 @@ class Search:
         return made
 
 
-def sample_slice(texts: list[str], keys: np.ndarray, k: int, voc: Vocabulary, known: Known | None = None):
+def sample_slice(texts: list[str], keys: np.ndarray, k: int, voc: Vocabulary):
     """Per sample: (ids, bounds, rows that have it, log probability, perturbed value, log inclusion)."""
-    search = Search([voc.units(t) for t in texts], keys, known or Known(voc))
+    search = Search([voc.units(t) for t in texts], keys, voc)
     found, bound = search.top(k)
     out = []
     for path, alive, log_prob, value in found:
@@ -475,11 +438,10 @@ def encode_samples(df: DataFrame, path: str, k: int = 4, seed: int = 17, decoded
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc = vocabulary(path)
-        known = Known(voc)
         for part, texts in text_slices(batches, limit=SLICE):
             keys = row_keys(part.column(0).to_pylist(), seed)
             for number, (ids, bounds, alive, log_prob, value, inclusion) in enumerate(
-                    sample_slice(texts, keys, k, voc, known), 1):
+                    sample_slice(texts, keys, k, voc), 1):
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
                 columns = {id_col: part.column(0), "sample": pa.array(np.full(len(texts), number, np.int32)),
                            "ids": lists, "log_prob": pa.array(log_prob), "perturbed": pa.array(value),
