@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from stratum.session import scratch_path
 
 #: Text bytes that a Python worker takes in hand at once; a longer single text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Narrow tables of at most so many rows are broadcast, after being counted.
 BROADCAST_ROWS = 1_000_000
 

@@ -34,7 +34,7 @@ from stratum.llm.common import mix64, stored, text_slices
 SLOTS, DIM, NONZERO, WINDOW = 8192, 64, 2, 2
 BLOCK = 64  # slots that travel together
 REPEAT = 0  # the slot of a word that equals the one before it
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 MEASURES = 4
 _WORDS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 

@@ -10,7 +10,7 @@ import xxhash
 from stratum.llm.common import mix64
 
 SIZE = 5
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 _WORD = re.compile(r"\w+")
 _BASE = np.uint64(0x100000001B3)
 
