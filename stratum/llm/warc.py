@@ -131,10 +131,15 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     """
     known = records.select("record_id", "type", canonical_url(F.col("url")).alias("canonical"),
                            F.unix_micros("date").alias("at"), "status", "headers", "payload")
-    full = known.where((F.col("type") == "response") & (F.coalesce("status", F.lit(0)) != 304))
-    asks = known.where(F.col("type") == "revisit").select("record_id", "canonical", "at", "headers")
+    # records are parsed once for what the as-of join needs, and once for payloads
+    light = stored(known.where("type in ('response', 'revisit')").select(
+        "record_id", "type", "canonical", "at", "status",
+        F.when(F.col("type") == "revisit", F.col("headers")).alias("headers")), "warc-light")
+    responds = (F.col("type") == "response") & (F.coalesce("status", F.lit(0)) != 304)
+    full = known.where(responds)
+    asks = light.where("type = 'revisit'").select("record_id", "canonical", "at", "headers")
     placed = F.col("canonical").isNotNull() & F.col("at").isNotNull()
-    told = with_base(asks.where(placed), full.select("record_id", "canonical", "at")).unionByName(
+    told = with_base(asks.where(placed), light.where(responds).select("record_id", "canonical", "at")).unionByName(
         asks.where(~placed).withColumn("base_id", F.lit(None).cast(full.schema["record_id"].dataType)))
     base = full.where("record_id is not null").select(
         F.col("record_id").alias("base_id"), F.col("status").alias("base_status"),
