@@ -19,7 +19,8 @@ not depend on partitions or on other rows.
 No piece crosses into a run of spaces, so the lattice is a chain of small
 lattices, one per word; equal words in a slice of rows share one, and all rows
 of a slice are searched side by side in numpy.  A word of over ``LONGEST`` characters is
-cut there.  A character without a piece is spelled in byte pieces.
+cut further only between two characters that no piece has side by side, so that every
+segmentation stays possible.  A character without a piece is spelled in byte pieces.
 
 Defined results: a NULL or empty text has one segmentation, of no piece, with
 log inclusion 0; a text with fewer than k segmentations gives all of them; repeated rows give
@@ -45,7 +46,7 @@ SPACE = "▁"
 LONGEST = 64
 SHIFT, SHARPNESS = 10.0, 1.0
 SLICE = 1 << 18  # bytes of text searched side by side; arrays take about 400 bytes per character
-_UNITS = re.compile(f"{SPACE}{{0,16}}[^{SPACE}\n]{{1,{LONGEST - 16}}}|{SPACE}{{1,16}}|\n")
+_UNITS = re.compile(f"{SPACE}*+[^{SPACE}\n]+|{SPACE}+|\n")
 
 
 class Vocabulary:
@@ -78,11 +79,14 @@ class Vocabulary:
         self.weight = np.full(n, -SHARPNESS * np.log(len(normal) + SHIFT))
         self.weight[normal] = -SHARPNESS * np.log(rank + SHIFT)
         nodes, steps = {"": 0}, {}
-        ends = {}
+        ends, pairs = {}, {-1}
         for i in normal:
             piece = lib.id_to_piece(i)
             if SPACE in piece.lstrip(SPACE):
                 raise ValueError(f"a piece crosses a space: {piece!r}")
+            if "\n" in piece and piece != "\n":
+                raise ValueError(f"a piece crosses a line end: {piece!r}")
+            pairs.update(ord(a) << 21 | ord(b) for a, b in zip(piece, piece[1:]))
             for k in range(1, len(piece) + 1):
                 if piece[:k] not in nodes:
                     nodes[piece[:k]] = len(nodes)
@@ -90,11 +94,23 @@ class Vocabulary:
             ends[nodes[piece]] = i
         self.keys = np.array(sorted(steps), np.int64)
         self.child = np.array([steps[k] for k in self.keys.tolist()], np.int64)
+        self.pairs = np.array(sorted(pairs), np.int64)  # characters that some piece has side by side
         self.piece_at = np.full(len(nodes), -1, np.int64)
         self.piece_at[list(ends)] = list(ends.values())
 
     def units(self, text: str) -> list[str]:
-        return _UNITS.findall(SPACE + text.replace(" ", SPACE)) if text else []
+        units = _UNITS.findall(SPACE + text.replace(" ", SPACE)) if text else []
+        if max(map(len, units), default=0) > LONGEST:
+            units = list(chain.from_iterable(self.parts(u) if len(u) > LONGEST else (u,) for u in units))
+        return units
+
+    def parts(self, unit: str) -> list[str]:
+        """A long unit cut at all places that no piece can cross."""
+        chars = np.frombuffer(unit.encode("utf-32-le"), np.uint32).astype(np.int64)
+        pair = chars[:-1] << 21 | chars[1:]
+        found = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        cuts = [0, *(np.flatnonzero(self.pairs[found] != pair) + 1).tolist(), len(unit)]
+        return [unit[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def decode_many(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
         """The texts of segmentations that lie end to end."""
@@ -169,7 +185,7 @@ class Lattice:
         beta, value = np.zeros(n), np.empty(len(self.start))
         left = np.repeat(self.last, sizes + 1) - np.arange(n)
         far = left[self.start]
-        by = np.argsort(far.astype(np.uint8), kind="stable")  # at most LONGEST
+        by = np.argsort(far.astype(np.min_scalar_type(int(left.max(initial=0)))), kind="stable")  # small types sort fast
         bounds = np.searchsorted(far[by], np.arange(1, int(left.max(initial=0)) + 2))
         for a, b in zip(bounds[:-1], bounds[1:]):
             rows = by[a:b]

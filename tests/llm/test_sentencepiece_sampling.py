@@ -88,6 +88,54 @@ def test_round_trip(voc, check_docs):
             assert voc.decode(ids) == text == voc.library.decode(list(ids))
 
 
+def sums(voc, text):
+    """The log of the summed weights of all segmentations, and of those without a piece over each place."""
+    lib, norm = voc.library, sp.SPACE + text.replace(" ", sp.SPACE)
+    edges = []
+    for at in range(len(norm)):
+        ids = ((end, lib.piece_to_id(norm[at:end])) for end in range(at + 1, min(len(norm), at + 16) + 1))
+        out = [(end, voc.weight[i]) for end, i in ids if i != lib.unk_id()]
+        if not out or out[0][0] > at + 1:
+            out.append((at + 1, sum(voc.weight[voc.byte_ids[b]] for b in norm[at].encode())))
+        edges.append(out)
+    beta, alpha = np.full(len(norm) + 1, -np.inf), np.full(len(norm) + 1, -np.inf)
+    beta[-1] = alpha[0] = 0
+    for at in reversed(range(len(norm))):
+        beta[at] = np.logaddexp.reduce([w + beta[end] for end, w in edges[at]])
+    for at in range(len(norm)):
+        for end, w in edges[at]:
+            alpha[end] = np.logaddexp(alpha[end], alpha[at] + w)
+    return beta[0], alpha + beta
+
+
+LONG = ["https://example.com/" + "international" * 15, "identifier" * 20, " " * 200, "x" + " " * 70 + "word",
+        "QmFzZTY0" * 25 + "==", "日本語のテキスト" * 25, "∞" * 200, "-" * 200 + "\n" + "=" * 200]
+
+
+@pytest.mark.parametrize("text", LONG)
+def test_long_runs_keep_every_segmentation(voc, text):
+    """log_prob is normalised over the whole text's lattice, and each place has a piece over it as often as it should."""
+    total, through = sums(voc, text)
+    n = 3000
+    crossed = np.zeros(len(through))
+    for drawn in samples(voc, [text] * n, sp.row_keys(range(n), 7), 2):
+        for ids, p, _, _ in drawn:
+            assert p == pytest.approx(sum(voc.weight[list(ids)]) - total, abs=1e-6)
+        places = np.cumsum([0] + [len(voc.bytes_of[i]) for i in drawn[0][0]])
+        crossed += 1 - np.isin(np.cumsum([0] + [len(c.encode()) for c in sp.SPACE + text.replace(" ", sp.SPACE)]), places)
+    assert np.abs(crossed / n - (1 - np.exp(through - total))).max() < 0.05
+
+
+def test_long_units_are_cut_only_where_no_piece_crosses(voc):
+    pieces = [voc.library.id_to_piece(i) for i in range(voc.library.get_piece_size())]
+    for text in LONG:
+        units = voc.units(text)
+        assert "".join(units) == sp.SPACE + text.replace(" ", sp.SPACE)
+        for a, b in zip(units, units[1:]):
+            assert not any(a[-1] + b[0] in p for p in pieces)
+    assert len(voc.units(LONG[1])) == 1 and max(map(len, voc.units(LONG[0]))) > 190
+
+
 def test_frame_edges(docs_of):
     rows = [(1, None), (2, ""), (3, "hello world"), (3, "hello world"), (4, "long text " * 30_000), (None, "a")]
     got = sp.encode_samples(docs_of(rows), PATH, k=3).collect()
