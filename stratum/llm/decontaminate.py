@@ -3,7 +3,8 @@
 All in DataFrame operations.  Texts become hashes of their runs of five words
 (shingles).  For a benchmark item of n words, a document's windows of n words that
 begin with one of the item's shingles get a 64-bit SimHash of their shingles, each
-weighted by how often it occurs.  (Other windows are not needed: moved right to its
+weighted by how often it occurs: the n-th occurrence of a shingle counts as a vector of its own
+(:func:`unit_cells`), so that a run of one word cannot outvote the rest.  (Other windows are not needed: moved right to its
 first shingle of the item, a window keeps all it shares with the item, so its similarity does not
 fall.)  The 64 bits are cut into RADIUS + 1 blocks; two fingerprints that differ in at most RADIUS
 bits agree in one block at least, so an equi-join on (window size, block number,
@@ -57,6 +58,14 @@ def simhash(hashes: str) -> Column:
             if(2 * size(filter({hashes}, h -> shiftright(h, b) & 1 = 1)) > size({hashes}), 1L, 0L), b))""")
 
 
+def unit_cells(hashes: str) -> Column:
+    """The shingles with their repeats told apart: the first occurrence as it is, a later one hashed with its number.
+    Two arrays share as many cells as their weighted intersection counts."""
+    return F.expr(f"""
+        if(size(array_distinct({hashes})) = size({hashes}), {hashes}, transform({hashes}, (h, i) ->
+            if(array_position({hashes}, h) = i + 1, h, xxhash64(h, size(filter(slice({hashes}, 1, i), x -> x = h))))))""")
+
+
 def blocks(fingerprint: str) -> Column:
     """The fingerprint cut into RADIUS + 1 blocks, each with its number."""
     n = RADIUS + 1
@@ -91,8 +100,10 @@ def matches(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id:
                .select("key", "hashes", F.explode("at").alias("w"))
                .select("key", F.col("w.start").alias("start"), F.col("w.n_words").alias("n_words"), F.expr(
                    f"slice(hashes, w.start + 1, w.n_words - {SHINGLE - 1})").alias("window")))
-    windows = stored(windows.withColumn("print", simhash("window")), "bench-windows")
-    index = bench.select("item_id", "n_words", F.col("hashes").alias("item"), simhash("hashes").alias("item_print"))
+    windows = stored(windows.withColumn("cells", unit_cells("window")).withColumn("print", simhash("cells")).drop("cells"),
+                     "bench-windows")
+    index = (bench.select("item_id", "n_words", F.col("hashes").alias("item"), unit_cells("hashes").alias("cells"))
+             .select("item_id", "n_words", "item", simhash("cells").alias("item_print")))
     asked = windows.select("key", "start", "n_words", "print", F.explode(blocks("print")).alias("b"))
     given = index.select("item_id", "item", "n_words", "item_print", F.explode(blocks("item_print")).alias("b"))
     near = (asked.join(given, ["n_words", "b"]).where(F.bit_count(F.expr("print ^ item_print")) <= RADIUS)

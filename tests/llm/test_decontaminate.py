@@ -88,6 +88,32 @@ def test_edited_passages_equal_brute_force(docs_of, items_of):
         assert got[k] == v
 
 
+def test_unit_cells_share_what_the_weights_share(spark):
+    rnd = random.Random(4)
+    pairs = [tuple([rnd.randint(0, 6) for _ in range(rnd.randint(0, 30))] for _ in range(2)) for _ in range(200)]
+    df = spark.createDataFrame(pairs, "a array<long>, b array<long>")
+    for r in df.select("a", "b", dc.unit_cells("a").alias("x"), dc.unit_cells("b").alias("y")).collect():
+        assert len(set(r.x)) == len(r.x) == len(r.a)
+        assert len(set(r.x) & set(r.y)) == sum((Counter(r.a) & Counter(r.b)).values())
+
+
+def test_runs_of_one_word_beside_a_passage(docs_of, items_of):
+    """Item and document end in runs of different words; what they share is over the threshold."""
+    rnd = random.Random(5)
+    items, docs = [], []
+    for i in range(30):
+        n = rnd.choice((55, 120, 200))
+        run = int(n * 0.11)
+        words = [f"w{i}x{j}" for j in range(n + 4 - run)]
+        items.append((i, " ".join(words + ["so"] * run)))
+        docs.append((i, " ".join(["before"] * 9 + words + ["very"] * (run + 9))))
+        docs.append((100 + i, " ".join(words + [f"v{j}" for j in range(run)])))
+    got, want = found(dc.contaminated(docs_of(docs), items_of(items))), brute(docs, items)
+    assert len(want) == 60 and set(got) == set(want)
+    for k, v in want.items():
+        assert got[k] == v
+
+
 def test_frame_edges(docs_of, items_of):
     item = "one two three four five six seven eight nine ten"
     docs = [(1, None), (2, ""), (3, item), (3, item), (4, f"so {item}, yes"), (5, "x " * 50_000 + item), (6, "one two"),
