@@ -29,8 +29,8 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Four sampled segmentations of every document that is left."""
-    return sentencepiece_sampling.encode_samples(docs, vocabulary("piece_bpe_32k.model"), k=4)
+    """Four sampled segmentations of every document that is left, and the texts they decode to."""
+    return sentencepiece_sampling.encode_samples(docs, vocabulary("piece_bpe_32k.model"), k=4, decoded=True)
 
 
 STAGES = [("quality", quality_stage), ("exact_dedup", exact_dedup_stage),

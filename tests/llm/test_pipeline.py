@@ -69,6 +69,13 @@ def test_awkward_tables(spark, awkward):
     assert set(first) == {2, 4, 5, 8, None} and first[4] == 0
 
 
+def test_encode_stage_decodes(spark, awkward):
+    docs = table(spark, awkward, "documents")
+    got = corpus_pipeline.encode_stage(spark, docs, awkward).collect()
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert {r.doc_id for r in got} == set(texts) and all(r.decoded == texts[r.doc_id] for r in got)
+
+
 def test_empty_tables(spark, awkward, tmp_path):
     empty = tmp_path / "empty"
     for name in ("documents", "benchmark", "labels"):
