@@ -28,6 +28,13 @@ DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+# How many characters an IBAN has in each country of the ISO 13616 registry.
+IBAN_SIZES = {
+    c: n for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in countries.split()}
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 # Words that raise a span's score, and the scores themselves.
 CONTEXT = {
@@ -109,10 +116,26 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
             yield m.span()
 
 
+def _iban_size(run: str) -> int:
+    """How much of a run of groups is an IBAN from its start on: as long as its country's are, else (a country that
+    the registry lacks) the longest that the checksum confirms; 0 for none."""
+    end, known = len(run), IBAN_SIZES.get(run[:2])
+    while end > 0:
+        number = run[:end].replace(" ", "")
+        if (len(number) == known if known else len(number) >= 15) and mod97(number):
+            return end
+        end = run.rfind(" ", 0, end)
+    return 0
+
+
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    for m in IBAN.finditer(text):
-        if mod97(m.group().replace(" ", "")):
-            yield m.span()
+    # the pattern takes words after the number too, and may begin before it
+    at = 0
+    while m := IBAN.search(text, at):
+        size = _iban_size(m.group())
+        if size:
+            yield m.start(), m.start() + size
+        at = m.start() + (size or 1)
 
 
 def find_spans(text: str) -> list[tuple[str, int, int, float]]:

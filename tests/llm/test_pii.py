@@ -50,6 +50,33 @@ def test_added_spans_and_scores():
     assert not [s for s in pii.find_spans("part 123-45-6789 of GB82 WEST 1234 5698 7654 33") if s[0] in ("ssn", "iban")]
 
 
+def ibans(text):
+    return [text[s:e] for kind, s, e, _ in pii.find_spans(text) if kind == "iban"]
+
+
+def test_iban_before_words_and_numbers():
+    # examples of the registry, one or two per length
+    for iban in ("NO9386011117947", "BE68539007547034", "NL91ABNA0417164300", "MK07250120000058984", "AT611904300234573201",
+                 "CH9300762011623852957", "DE89370400440532013000", "GB82WEST12345698765432", "AE070331234567890123456",
+                 "ES9121000418450200051332", "PT50000201231234567890154", "IS140159260076545510730339",
+                 "FR1420041010050500013M02606", "PL61109010140000071219812874", "BR1800360305000010009795493C1",
+                 "KW81CBKU0000000000001234560101", "MT84MALT011000012345MTLCAST001S", "LC55HEMM000100010012001200023015"):
+        grouped = " ".join(iban[i:i + 4] for i in range(0, len(iban), 4))
+        for written in (iban, grouped):
+            for after in ("", " BIC COBADEFF", " EUR 100", " 100", " 2024 0001", " A", " IBAN BIC SWIFT", " and", ", so", " " + iban):
+                for before in ("", "IBAN ", "REF 1 ", "DE12 CODE 12345678 "):
+                    found = ibans(before + written + after)
+                    assert found[0] == written and len(found) == 1 + (after == " " + iban), (before, written, after)
+    assert ibans("DE89370400440532013001 BIC COBADEFF") == ibans("DE89370400440532013000EUR 100") == []
+    assert ibans("GB82 WEST 1234 5698 7654 3 2") == ["GB82 WEST 1234 5698 7654 3 2"]
+
+
+def test_iban_of_an_unlisted_country_is_the_longest_that_holds():
+    rest = "1234567890123456"
+    check = next(f"{n:02}" for n in range(2, 99) if pii.mod97(f"ZZ{n:02}{rest}"))
+    assert ibans(f"bank ZZ{check} {rest} EUR") == [f"ZZ{check} {rest}"]
+
+
 def test_linear_on_long_runs():
     for text in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "+1 " * 100_000, "@" * 300_000, "a@b" * 100_000):
         pii.find_spans(text)
