@@ -82,6 +82,11 @@ def test_linear_on_long_runs():
         pii.find_spans(text)
 
 
+def test_address_parts_of_many_zeros():
+    for text, end in (("1.2.3." + "0" * 5000, 5006), ("0" * 5000 + "255.2.3.4", 5009), ("1.2.3." + "0" * 5000 + "256", None)):
+        assert [x[1:3] for x in pii.find_spans(text) if x[0] == "ip"] == ([(0, end)] if end else [])
+
+
 def test_frame(docs_of):
     rows = [(1, None), (2, ""), (3, "call +1 (212) 555-0199 or bob@x.org"), (3, "call +1 (212) 555-0199 or bob@x.org"),
             (None, "10.0.0.1")]
