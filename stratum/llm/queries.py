@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import chat, decontaminate, exact_dedup, langid, near_dedup, pii, quality, sentencepiece_sampling, token_counts, warc
+from stratum.llm import chat, decontaminate, exact_dedup, langid, near_dedup, pii, quality, sentencepiece_sampling, token_counts, url_filter, warc
 from stratum.llm.common import table
 
 #: Folder of the public vocabulary files; every node has it at the same place.
@@ -130,6 +130,19 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join(written, ",").alias("spans"))
 
 
+#: Fixed values of the query: which hosts and paths are allowed or blocked whatever their words are.
+URL_RULES = [url_filter.Rule("org", "/", "allow"), url_filter.Rule("example.org", "/es/", "block"),
+             url_filter.Rule("example.org", "/en/1", "block"), url_filter.Rule("com", "/fr/", "allow"),
+             url_filter.Rule("com", "/de/", "block")]
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by rules, else by its words."""
+    judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict", "judged.n_strict",
+                         "judged.n_soft", "judged.weight")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
@@ -141,9 +154,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece_samples": op8_sentencepiece_samples,
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
+    "op11_url_filter": op11_url_filter,
 }
 
+_TERMS = ", ".join(f"{{'t': '{t.text}', 'w': {t.weight}}}" for t in url_filter.VOCABULARY)
+_AZ = f"'{url_filter.UPPER}', '{url_filter.LOWER}'"
+
 ORACLE = {
+    # one regular expression per term instead of an automaton; every strict hit has both neighbours looked at
+    "op11_url_filter": f"""
+        WITH u AS (SELECT page_id, translate(coalesce(url, ''), {_AZ}) AS low,
+                          CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+                   FROM pages),
+             v AS (SELECT page_id, low, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), {_AZ}), '') AS host,
+                          coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
+             w AS (SELECT *, list_filter([{{'h': 'example.org', 'p': '/en/1', 'v': 'block'}}, {{'h': 'example.org', 'p': '/es/', 'v': 'block'}},
+                                          {{'h': 'com', 'p': '/fr/', 'v': 'allow'}}, {{'h': 'com', 'p': '/de/', 'v': 'block'}},
+                                          {{'h': 'org', 'p': '/', 'v': 'allow'}}],
+                                         lambda r: (host = r.h OR ends_with(host, '.' || r.h)) AND starts_with(path, r.p))[1] AS r,
+                          list_transform(list_filter([{_TERMS}], lambda t: regexp_matches(low, '(^|[^a-z0-9])' || t.t || '([^a-z0-9]|$)')),
+                                         lambda t: t.w) AS found,
+                          len(string_split_regex(regexp_replace(low, '[^a-z0-9]', '  ', 'g'),
+                              '(^| )({"|".join(t.text for t in url_filter.VOCABULARY if t.strict)})( |$)')) - 1 AS n_strict
+                   FROM v)
+        SELECT page_id, host, path, r.h || r.p AS rule, CAST(n_strict AS INTEGER) AS n_strict,
+               CAST(len(list_filter(found, lambda x: x < {url_filter.REJECT})) AS INTEGER) AS n_soft,
+               CAST(coalesce(list_sum(found), 0) AS INTEGER) AS weight,
+               coalesce(r.v, CASE WHEN list_sum(found) >= {url_filter.REJECT} THEN 'block' ELSE 'allow' END) AS verdict
+        FROM w""",
     "op3_chat_format": r"""
         WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
                    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
