@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import chat, decontaminate, exact_dedup, langid, near_dedup, pii, quality, sentencepiece_sampling, token_counts, url_filter, warc
+from stratum.llm import chat, decontaminate, exact_dedup, langid, merkle, near_dedup, pii, quality, sentencepiece_sampling, token_counts, url_filter, warc
 from stratum.llm.common import table
 
 #: Folder of the public vocabulary files; every node has it at the same place.
@@ -143,6 +143,22 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "judged.n_soft", "judged.weight")
 
 
+#: Fixed values of the query: the fields of a leaf, in order.
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest of all documents by language, and every document's proof, some of a document changed since."""
+    one_more = F.col("n_chars").cast("decimal(20,0)") + 1
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    rows = merkle.leaves(table(spark, sf_dir, "documents"), LEAF_FIELDS, changed={"n_chars": one_more}, where=tampered)
+    made = merkle.manifest(rows)
+    root = F.lit(made.root).cast("string")
+    return merkle.proofs(made, with_steps=False).select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", root.alias("root"), "proof_sha256", "folded_root",
+        (F.col("folded_root") == root).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
@@ -155,12 +171,61 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
     "op11_url_filter": op11_url_filter,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 _TERMS = ", ".join(f"{{'t': '{t.text}', 'w': {t.weight}}}" for t in url_filter.VOCABULARY)
 _AZ = f"'{url_filter.UPPER}', '{url_filter.LOWER}'"
 
+_WRITTEN = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+_LEAF = " || ".join(_WRITTEN.format(f) for f in LEAF_FIELDS)
+_CRC = ("xor(4294967295, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)), "
+        "lambda c, x: list_reduce([xor(c, x), 1, 2, 3, 4, 5, 6, 7, 8], lambda a, i: xor(a >> 1, (a & 1) * 3988292384)), 4294967295))")
+
 ORACLE = {
+    # all nodes by level, siblings by their places, and the changed leaves folded level by level
+    "op12_merkle_manifest": f"""
+        WITH RECURSIVE d AS (
+            SELECT row_number() OVER () AS k, doc_id, lang, sha256({_LEAF}) AS leaf,
+                   CASE WHEN doc_id IS NOT NULL AND {_CRC} % 7 = 0
+                        THEN sha256({_LEAF.replace("n_chars", "(CAST(n_chars AS HUGEINT) + 1)")}) END AS claim
+            FROM documents),
+        leaves AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, k) - 1 AS pos,
+                          count(*) OVER (PARTITION BY lang) AS n FROM d),
+        nodes(lang, lvl, pos, n, h) AS (
+            SELECT lang, 0, pos, n, leaf FROM leaves
+            UNION ALL
+            SELECT lang, lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+            FROM nodes WHERE n > 1 GROUP BY lang, lvl, pos // 2, (n + 1) // 2),
+        subroots AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+                     FROM nodes WHERE n = 1),
+        upper_(lvl, pos, n, h) AS (
+            SELECT 0, pos, n, subroot FROM subroots
+            UNION ALL
+            SELECT lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+            FROM upper_ WHERE n > 1 GROUP BY lvl, pos // 2, (n + 1) // 2),
+        low AS (SELECT k, string_agg(s.h, '' ORDER BY s.lvl) AS p FROM leaves l JOIN nodes s
+                ON l.lang IS NOT DISTINCT FROM s.lang AND s.n > 1 AND s.pos = xor(l.pos >> s.lvl, 1) GROUP BY k),
+        high AS (SELECT r.lang, string_agg(s.h, '' ORDER BY s.lvl) AS p FROM subroots r JOIN upper_ s
+                 ON s.n > 1 AND s.pos = xor(r.pos >> s.lvl, 1) GROUP BY r.lang),
+        f(k, lang, lvl, pos, n, h) AS (
+            SELECT k, lang, 0, pos, n, coalesce(claim, leaf) FROM leaves
+            UNION ALL
+            SELECT f.k, f.lang, f.lvl + 1, f.pos // 2, (f.n + 1) // 2,
+                   sha256(CASE WHEN f.pos % 2 = 1 THEN s.h || f.h ELSE f.h || coalesce(s.h, '') END)
+            FROM f LEFT JOIN nodes s ON f.lang IS NOT DISTINCT FROM s.lang AND s.lvl = f.lvl AND s.pos = xor(f.pos, 1)
+            WHERE f.n > 1),
+        g(k, lvl, pos, n, h) AS (
+            SELECT f.k, 0, r.pos, r.n, f.h FROM f JOIN subroots r ON f.lang IS NOT DISTINCT FROM r.lang WHERE f.n = 1
+            UNION ALL
+            SELECT g.k, g.lvl + 1, g.pos // 2, (g.n + 1) // 2,
+                   sha256(CASE WHEN g.pos % 2 = 1 THEN s.h || g.h ELSE g.h || coalesce(s.h, '') END)
+            FROM g LEFT JOIN upper_ s ON s.lvl = g.lvl AND s.pos = xor(g.pos, 1) WHERE g.n > 1),
+        top AS (SELECT h AS root FROM upper_ WHERE n = 1)
+        SELECT l.doc_id, l.leaf, r.subroot, top.root, sha256(coalesce(low.p, '') || coalesce(high.p, '')) AS proof_sha256,
+               g.h AS folded_root, g.h = top.root AS verified
+        FROM leaves l JOIN subroots r ON l.lang IS NOT DISTINCT FROM r.lang CROSS JOIN top
+        JOIN g ON g.k = l.k AND g.n = 1 LEFT JOIN low ON low.k = l.k LEFT JOIN high ON l.lang IS NOT DISTINCT FROM high.lang""",
     # one regular expression per term instead of an automaton; every strict hit has both neighbours looked at
     "op11_url_filter": f"""
         WITH u AS (SELECT page_id, translate(coalesce(url, ''), {_AZ}) AS low,
