@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import chat, decontaminate, exact_dedup, langid, merkle, near_dedup, pii, quality, sentencepiece_sampling, token_counts, url_filter, warc
+from stratum.llm import chat, decontaminate, exact_dedup, langid, lexical_search, merkle, near_dedup, pii, quality, sentencepiece_sampling, token_counts, url_filter, warc
 from stratum.llm.common import table
 
 #: Folder of the public vocabulary files; every node has it at the same place.
@@ -159,6 +159,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("folded_root") == root).alias("verified"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
@@ -172,6 +177,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": op10_pii,
     "op11_url_filter": op11_url_filter,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 _TERMS = ", ".join(f"{{'t': '{t.text}', 'w': {t.weight}}}" for t in url_filter.VOCABULARY)
@@ -182,7 +188,24 @@ _LEAF = " || ".join(_WRITTEN.format(f) for f in LEAF_FIELDS)
 _CRC = ("xor(4294967295, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)), "
         "lambda c, x: list_reduce([xor(c, x), 1, 2, 3, 4, 5, 6, 7, 8], lambda a, i: xor(a >> 1, (a & 1) * 3988292384)), 4294967295))")
 
+_SPLIT = "regexp_extract_all(translate(text, " + _AZ + r"), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
 ORACLE = {
+    # every document that shares a term with an item is scored
+    "op13_lexical_search": f"""
+        WITH d AS (SELECT row_number() OVER () AS k, doc_id, {_SPLIT} AS w FROM documents),
+             dn AS (SELECT k, doc_id, w, len(w) AS n FROM d WHERE len(w) > 0),
+             s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM dn),
+             it AS (SELECT DISTINCT item_id, unnest({_SPLIT}) AS t FROM benchmark),
+             tf AS (SELECT k, t, count(*) AS tf FROM (SELECT k, unnest(w) AS t FROM dn) JOIN (SELECT DISTINCT t FROM it) USING (t)
+                    GROUP BY k, t),
+             wt AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, s GROUP BY t, docs),
+             m AS (SELECT k, doc_id, 100 - 90 + (90 * n * docs) // terms AS m FROM dn, s),
+             sc AS (SELECT item_id, k, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+                    FROM tf JOIN wt USING (t) JOIN it USING (t) JOIN m USING (k) GROUP BY item_id, k, doc_id)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+               doc_id, score
+        FROM sc WHERE score > 0 QUALIFY rank <= 10""",
     # all nodes by level, siblings by their places, and the changed leaves folded level by level
     "op12_merkle_manifest": f"""
         WITH RECURSIVE d AS (
