@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.functions.metrics import add_parts, epoch_seconds, exact_parts, mean
+from stratum.functions.metrics import add_parts, epoch_seconds, mean, part_sums, split_values, with_totals
 from stratum.operators.windows import join_on_nullsafe, trailing_sum
 
 # fixed values: output columns
@@ -37,9 +37,10 @@ def averages_by_day(base: DataFrame, key: str, amount: str, avg_out: str) -> Dat
     Sums are taken per (key, day) in the map tasks, then added over the days of each key, so that what is joined
     to them next is spread over a key's days: no task gets all rows of a hot key, only its days.
     """
-    daily = base.groupBy(key, F.floor(F.col("_sec") / DAY).alias("_day")).agg(exact_parts(amount).alias("_parts"))
-    over_days = add_parts("_parts", Window.partitionBy(key))
-    return daily.withColumn("_all", over_days).select(key, "_day", mean(F.col("_all")).alias(avg_out))
+    by_day = split_values(base.select(key, "_sec", amount), {"_amount": amount}).groupBy(
+        key, F.floor(F.col("_sec") / DAY).alias("_day"))
+    summed = by_day.agg(*part_sums("_amount")).withColumns(add_parts("_amount", Window.partitionBy(key)))
+    return with_totals(summed, ["_amount"]).select(key, "_day", mean("_amount").alias(avg_out))
 
 
 def with_window_features(df: DataFrame, *, key: str = "customer_id", ts: str = "transaction_date",

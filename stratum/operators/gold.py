@@ -16,7 +16,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions import rules
-from stratum.functions.metrics import exact_avg, exact_parts, exact_sum, mean, ratio, total
+from stratum.functions.metrics import mean, part_sums, ratio, split_values, total, with_totals
+
+
+@dataclass(frozen=True)
+class Total:
+    """A metric: the exact sum of a column."""
+
+    column: str
+
+    def value(self) -> Column:
+        return total(self.column)
+
+
+@dataclass(frozen=True)
+class Mean(Total):
+    """A metric: the exact average of a column."""
+
+    def value(self) -> Column:
+        return mean(self.column)
 
 
 @dataclass(frozen=True)
@@ -24,7 +42,7 @@ class MetricTable:
     """What a metric table holds; aliases are fixed values of the output."""
 
     keys: list[str]
-    aggregates: dict[str, Column]
+    aggregates: dict[str, Column | Total]
     ratios: dict[str, tuple[str, str]] = field(default_factory=dict)
     order: list[Column] | None = None
 
@@ -39,8 +57,13 @@ class MetricTable:
         return rules.gold_metric_flags(sorted_, self.metrics(), stamp=stamp)
 
     def build(self, rows: DataFrame, stamp: bool) -> DataFrame:
-        grouped = rows.groupBy(*self.keys).agg(*[c.alias(n) for n, c in self.aggregates.items()])
-        return self.finish(grouped, stamp)
+        """Each summed column is added up once, however many metrics come of it."""
+        summed = {m.column: m.column for m in self.aggregates.values() if isinstance(m, Total)}
+        plain = {n: m for n, m in self.aggregates.items() if not isinstance(m, Total)}
+        grouped = split_values(rows, summed).groupBy(*self.keys).agg(
+            *[c.alias(n) for n, c in plain.items()], *[p for c in summed for p in part_sums(c)])
+        return self.finish(with_totals(grouped, summed).select(*self.keys, *[
+            F.col(n) if n in plain else m.value().alias(n) for n, m in self.aggregates.items()]), stamp)
 
 
 def _distinct(col: str, approx: bool) -> Column:
@@ -50,16 +73,17 @@ def _distinct(col: str, approx: bool) -> Column:
 def customer_table() -> MetricTable:
     return MetricTable(["customer_segment", "city"], {
         "customer_count": F.count("customer_id"),
-        **{f"avg_{short}": exact_avg(long) for short, long in (
-            ("risk_score", "risk_score"), ("balance", "account_balance"), ("credit_limit", "credit_limit"))},
-        "total_balance": exact_sum("account_balance")})
+        "avg_risk_score": Mean("risk_score"),
+        "avg_balance": Mean("account_balance"),
+        "avg_credit_limit": Mean("credit_limit"),
+        "total_balance": Total("account_balance")})
 
 
 def transaction_table(approx_distinct: bool = False) -> MetricTable:
     return MetricTable(["transaction_day", "status", "channel"], {
         "transaction_count": F.count("transaction_id"),
         "unique_customers": _distinct("customer_id", approx_distinct),
-        "total_amount": exact_sum("amount"), "avg_amount": exact_avg("amount"), "max_amount": F.max("amount"),
+        "total_amount": Total("amount"), "avg_amount": Mean("amount"), "max_amount": F.max("amount"),
         # all-NULL flags give NULL (then flagged null_fraud_count), not 0
         "fraud_count": F.sum(F.col("is_fraud").cast("int"))}, {"fraud_rate": ("fraud_count", "transaction_count")})
 
@@ -68,7 +92,7 @@ def merchant_table(times: Column) -> MetricTable:
     """Aggregates as they follow from one row per merchant, which stands for ``times`` joined rows each."""
     return MetricTable(["merchant_id", "merchant_name", "category", "country"], {
         "transaction_count": F.col("_rows") * times, "unique_customers": F.col("_customers"),
-        "total_revenue": total(F.col("_amount"), times), "avg_transaction_value": mean(F.col("_amount")),
+        "total_revenue": total("_amount", many=True), "avg_transaction_value": mean("_amount"),
         "successful_transactions": F.col("_completed") * times, "failed_transactions": F.col("_failed") * times},
         {"success_rate": ("successful_transactions", "transaction_count")},
         [F.col("total_revenue").desc(), F.col("merchant_id")])
@@ -97,12 +121,12 @@ def merchant_performance(silver_transactions: DataFrame, silver_merchants: DataF
     merchant side multiplies its counts and sums by ``k``, exactly as the
     row-level join would.
     """
-    per_merchant = silver_transactions.groupBy("merchant_id").agg(
+    per_merchant = split_values(silver_transactions, {"_amount": "amount"}).groupBy("merchant_id").agg(
         F.count("transaction_id").alias("_rows"),
         _distinct("customer_id", approx_distinct).alias("_customers"),
-        exact_parts("amount").alias("_amount"),
+        *part_sums("_amount"),
         *[F.count_if(F.col("status") == s).alias(f"_{s}") for s in ("completed", "failed")])
     spec = merchant_table(F.col("_times"))
     merchants = silver_merchants.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("_times"))
-    joined = per_merchant.join(merchants, "merchant_id", "inner")
+    joined = with_totals(per_merchant.join(merchants, "merchant_id", "inner"), ["_amount"], F.col("_times"))
     return spec.finish(joined.select(*spec.keys, *[c.alias(n) for n, c in spec.aggregates.items()]), stamp)

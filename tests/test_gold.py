@@ -175,6 +175,7 @@ def test_sums_lose_nothing(spark):
     rng = np.random.default_rng(1)
     groups = [[1e17, 5.0], [0.004, 0.004], [math.inf, 1.0], [math.nan, 2.0], [math.inf, -math.inf], [1e300, 1.0],
               [0.1] * 10, [1e16, 0.004, 0.01, 3.5], [1 / 3, 2 / 3], [9e13, 0.01, -9e13], [5e-324, 1e-9],
+              [1e-20, 123456789012345.678, 1e-11], [0.012345678901234567] * 3 + [1e9], [1.5e23, 0.125, -1.5e23],
               list(np.round(rng.normal(0, 1e9, 300), 2)), list(rng.normal(0, 1, 50)), [1.0, -1.0]]
     out = {r["transaction_day"].day - 1: r for r in
            gold.transaction_metrics(_amounts(spark, groups).repartition(5), stamp=False).collect()}
@@ -194,3 +195,33 @@ def test_sums_lose_nothing(spark):
             assert got == plain or math.isnan(got) and math.isnan(plain), g
     r = gold.merchant_performance(_amounts(spark, [[1e17, 5.0, 0.25]]), merchants, stamp=False).first()
     assert r["total_revenue"] == float(3 * (10 ** 17 + Fraction(21, 4))) and r["transaction_count"] == 9
+
+
+def test_sums_do_not_depend_on_the_order_of_rows(spark):
+    import random
+    r = random.Random(3)
+    values = [r.choice([r.random() / 3, r.random() * 1e-6, r.gauss(0, 1e9), 1e13 + r.random(), r.random() * 100]) for _ in range(20_000)]
+    sums = set()
+    for rows in (values, sorted(values), sorted(values, key=abs, reverse=True)):
+        df = spark.createDataFrame([(float(v), "a", "b", str(i)) for i, v in enumerate(rows)],
+                                   "account_balance double, customer_segment string, city string, customer_id string")
+        for parts in (1, 7):
+            df = df.repartition(parts).withColumns({"risk_score": F.lit(0.5), "credit_limit": F.col("account_balance") / 7})
+            got = gold.customer_metrics(df, stamp=False).first()
+            sums.add((got["total_balance"], got["avg_balance"], got["avg_credit_limit"]))
+    assert len(sums) == 1
+    from fractions import Fraction
+    assert sums.pop()[0] == float(sum(Fraction(repr(v)) for v in values))
+
+
+def test_a_sum_is_named_once_in_the_plan(spark):
+    df = spark.createDataFrame([(1.0, "a", "b", "c", 2.0, 0.5)], "account_balance double, customer_segment string, city string, "
+                               "customer_id string, credit_limit double, risk_score double")
+    plan = gold.customer_metrics(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 12_000, len(plan)
+
+
+def test_column_names_that_clash_with_parts(spark):
+    df = spark.createDataFrame([(2.0, "a", "b", "c", 2.0, 0.5, 9)], "account_balance double, customer_segment string, city string, "
+                               "customer_id string, credit_limit double, risk_score double, risk_score__cents int")
+    assert gold.customer_metrics(df).first()["avg_risk_score"] == 0.5
