@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.functions.metrics import add_parts, epoch_seconds, mean, part_sums, split_values, with_totals
-from stratum.operators.windows import join_on_nullsafe, trailing_sum
+from stratum.operators.windows import join_on_nullsafe, metric_bucket, trailing_metrics
 
 # fixed values: output columns
 SCORED_COLUMNS = ["transaction_hour", "txn_count_1h", "customer_avg_amount", "is_high_velocity",
@@ -28,19 +28,16 @@ HIGH_RISK_COLUMNS = ["transaction_id", "customer_id", "transaction_date", "amoun
                      "fraud_score", "risk_level", "is_fraud"]
 
 
-DAY = 86_400
+def averages_by_bucket(base: DataFrame, key: str, amount: str, avg_out: str, windows: list[int]) -> DataFrame:
+    """(key, _bucket, average over all the key's rows) for every bucket of time in which a key has rows (``_sec``).
 
-
-def averages_by_day(base: DataFrame, key: str, amount: str, avg_out: str) -> DataFrame:
-    """(key, _day, average over all the key's rows) for every day on which a key has rows (``_sec``).
-
-    Sums are taken per (key, day) in the map tasks, then added over the days of each key, so that what is joined
-    to them next is spread over a key's days: no task gets all rows of a hot key, only its days.
+    Sums are taken per (key, bucket) in the map tasks, then added over the buckets of each key: no task gets all
+    rows of a hot key, only a row for each of its buckets.
     """
-    by_day = split_values(base.select(key, "_sec", amount), {"_amount": amount}).groupBy(
-        key, F.floor(F.col("_sec") / DAY).alias("_day"))
-    summed = by_day.agg(*part_sums("_amount")).withColumns(add_parts("_amount", Window.partitionBy(key)))
-    return with_totals(summed, ["_amount"]).select(key, "_day", mean("_amount").alias(avg_out))
+    by_bucket = split_values(base.select(key, "_sec", amount), {"_amount": amount}).groupBy(
+        key, metric_bucket(F.col("_sec"), windows).alias("_bucket"))
+    summed = by_bucket.agg(*part_sums("_amount")).withColumns(add_parts("_amount", Window.partitionBy(key)))
+    return with_totals(summed, ["_amount"]).select(key, "_bucket", mean("_amount").alias(avg_out))
 
 
 def with_window_features(df: DataFrame, *, key: str = "customer_id", ts: str = "transaction_date",
@@ -50,16 +47,13 @@ def with_window_features(df: DataFrame, *, key: str = "customer_id", ts: str = "
     """Add the trailing count and the whole-history average per key.
 
     Plan: rows -> per (key, second) counts (partial aggregate) -> bucketed
-    range window; rows -> per (key, day) average; the two results are joined on
-    (key, day), then joined back to the rows on (key, second) -- the only
-    shuffle of whole rows.
+    range window, into whose partitions the key's average comes as one row a bucket; the result is
+    joined back to the rows on (key, second) -- the only shuffle of whole rows.
     """
     sec = epoch_seconds(F.col(ts), df.schema[ts].dataType)
     base = df.withColumn("_sec", sec)
-    per_sec = base.groupBy(key, "_sec").agg(F.count(id_col).alias("_n"))
-    counts = trailing_sum(per_sec, key, "_sec", "_n", window_seconds, count_out).withColumn(
-        "_day", F.floor(F.col("_sec") / DAY))
-    stats = join_on_nullsafe(counts, averages_by_day(base, key, amount, avg_out), [key, "_day"], "left").drop("_day")
+    average = averages_by_bucket(base, key, amount, avg_out, [window_seconds])
+    stats = trailing_metrics(base, key, "_sec", counts=[(id_col, count_out, window_seconds)], spread=average)
     out = join_on_nullsafe(base, stats, [key, "_sec"], "left")
     return out.drop("_sec")
 

@@ -4,13 +4,15 @@ A plain ``Window.partitionBy(key)`` puts every row of a key into one task; if
 one customer holds a third of all rows, one task sorts a third of the data.
 The operators here keep every task bounded:
 
-* Rows are first reduced to one row per ``(key, second)`` (a partial
-  aggregate, combined map-side, so a hot key never moves as rows).
-* Trailing range windows run over that per-second table, partitioned by
-  ``(key, time bucket)``.  A bucket is ``4 x window`` wide and the last
-  ``window`` seconds of each bucket are copied into the next one, so each
-  frame is complete inside its partition, and a partition holds at most
-  ``5 x window`` distinct seconds whatever the data volume.
+* Rows are first reduced to one row per ``(key, second)`` and, for distinct
+  counts, per value (a partial aggregate, combined map-side, so a hot key never
+  moves as rows).
+* Trailing windows run over these, partitioned by ``(key, time bucket)``.  A bucket is
+  four windows wide, a day at least, and what a window may look back on is copied from
+  each bucket into the next one, so each frame is complete inside its partition, and a
+  partition holds at most a bucket's and a window's distinct seconds whatever the data volume.
+* Values of a whole key (an average, a risk) come into the same partitions as one row a
+  bucket, so no join on the key alone is needed.
 * Results go back to rows by an equi-join on ``(key, second)``: hashing on
   the pair spreads a hot key over all its seconds, and AQE's skew-join split
   handles a single hot second.
@@ -26,10 +28,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_FACTOR = 4
+DAY = 86_400
+#: Stands for the second of rows that have none: far before any time stamp, so a group of its own.
+UNTIMED = -(1 << 50)
+#: Stands before all seconds of a bucket, for values that all of them share.
+HEAD = -(1 << 51)
 
 
-def _bucket(sec: Column, width: int) -> Column:
-    return F.floor(sec / F.lit(width)).cast("bigint")
+def bucket_width(window_seconds: int) -> int:
+    """Seconds in a bucket for windows of up to ``window_seconds``."""
+    return max(int(window_seconds) * BUCKET_FACTOR, DAY)
+
+
+def bucket_of(sec: Column, width: int) -> Column:
+    return F.floor(F.coalesce(sec, F.lit(UNTIMED)) / F.lit(width)).cast("bigint")
 
 
 def trailing_sum(per_sec: DataFrame, key: str, sec: str, value: str, window_seconds: int,
@@ -43,24 +55,25 @@ def trailing_sum(per_sec: DataFrame, key: str, sec: str, value: str, window_seco
     w = int(window_seconds)
     if w < 0:
         raise ValueError("window_seconds must be >= 0")
-    width = max(w, 1) * BUCKET_FACTOR
-    b = _bucket(F.col(sec), width)
-    # each row once for its own bucket and, if it is in the bucket's last `w`
-    # seconds, once more for the next bucket -- one pass, no second scan
-    spill = F.col(sec).isNotNull() & (F.col(sec) >= (b + 1) * F.lit(width) - F.lit(w))
-    copies = F.array_compact(F.array(
-        F.struct(b.alias("_bucket"), F.lit(True).alias("_own")),
-        F.when(spill, F.struct((b + 1).alias("_bucket"), F.lit(False).alias("_own"))),
-    ))
     frame = Window.partitionBy(key, "_bucket").orderBy(sec).rangeBetween(-w, 0)
     return (
-        per_sec.select(key, sec, value, F.inline(copies))
+        per_sec.select(key, sec, value, F.inline(_copies(F.col(sec), bucket_width(w), w)))
         .withColumn(out, F.sum(value).over(frame))
         .filter(F.col("_own"))
         .select(key, sec, out)
     )
 
 
+def _copies(sec: Column, width: int, w: int) -> Column:
+    """Array of (_bucket, _own): a row's own bucket and, in that bucket's last ``w`` seconds, the next one
+    too -- one pass, no second scan."""
+    b = bucket_of(sec, width)
+    spill = sec.isNotNull() & (sec >= (b + 1) * F.lit(width) - F.lit(w))
+    return F.array_compact(F.array(
+        F.struct(b.alias("_bucket"), F.lit(True).alias("_own")),
+        F.when(spill, F.struct((b + 1).alias("_bucket"), F.lit(False).alias("_own")))))
+
+
 def join_on_nullsafe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Equi-join on ``keys`` treating NULL = NULL; keeps the left key columns."""
     renamed = right
@@ -91,119 +104,105 @@ def trailing_distinct_many(rows: DataFrame, key: str, sec: str, items: list[tupl
 
 def trailing_metrics(rows: DataFrame, key: str, sec: str,
                      distinct: list[tuple[str, str, int]] = (),
-                     counts: list[tuple[str, str, int]] = ()) -> DataFrame:
+                     counts: list[tuple[str, str, int]] = (),
+                     spread: DataFrame | None = None) -> DataFrame:
     """Trailing-window metrics of each ``(key, sec)`` in one pass over the data.
 
     * ``distinct``: ``(item, out, w)`` -- distinct non-NULL ``item`` values of
       the key with ``sec' in [sec - w, sec]``;
     * ``counts``: ``(column, out, w)`` -- non-NULL ``column`` values of the key
-      in the same kind of window (a range-window ``count``).
+      in the same kind of window (a range-window ``count``);
+    * ``spread``: ``(key, _bucket, columns...)``, at most one row a ``(key, _bucket)``, with
+      ``_bucket`` by :func:`metric_bucket` -- columns that every second of the key in that bucket gets.
 
     Exact, and every task stays bounded whatever one key or item holds:
 
-    1. occurrences = distinct ``(key, tag, value, sec)`` (a partial aggregate;
-       ``tag`` says which metric a value belongs to);
+    1. occurrences = ``(key, sec, tag, value)`` with the counts of that second (a partial
+       aggregate; tag 0 is the second itself, the others say which distinct metric a value belongs to);
     2. a distinct value's occurrence at ``s`` *covers* ``[s, end)`` with
        ``end = min(next, s + w + 1)``, ``next`` being the value's next
        occurrence; ``next`` only matters within ``w``, so a ``lead`` over
        ``(key, tag, value, bucket)`` partitions (plus the first ``w + 1``
        seconds of the next bucket) finds it.  Covers of one value never
-       overlap, so the count at ``t`` is the number of covers containing
-       ``t``.  A plain count is a cover of weight ``n`` (rows in that second)
-       over ``[s, s + w + 1)``;
+       overlap, so the count at ``t`` is the number of covers containing ``t``;
     3. only covers starting in ``[t - w, t]`` can contain ``t`` and any cover
        starting earlier has closed by ``t``; so within a ``(key, bucket)``
-       partition -- the bucket's own covers plus the covers of the previous
-       bucket's last ``w`` seconds -- the metric at ``t`` is the running sum
-       of cover starts (+) and ends (-) up to ``t``, per tag.  The events are
+       partition -- the bucket's own covers plus those that reach into it from the previous
+       bucket -- a distinct count at ``t`` is the running sum of cover starts (+) and ends (-) up
+       to ``t``, and a plain count is a range frame over the same rows in the same order.  The events are
        first netted per second (a partial aggregate), so a window partition
        holds at most one row per second of its span.
 
-    Buckets are ``4 x`` the largest window; copies are made for the largest
-    window (a copied cover that closes before the next bucket starts nets to
-    zero there).  Rows with a NULL ``sec`` are peers of each other.  Returns
-    ``(key, sec, out...)`` for every ``(key, sec)`` present in ``rows``.
+    Rows with a NULL ``sec`` are peers of each other.  Returns
+    ``(key, sec, out..., spread columns...)`` for every ``(key, sec)`` present in ``rows``.
     """
-    specs = [("distinct", it, o, int(w)) for it, o, w in distinct] + \
-            [("count", c, o, int(w)) for c, o, w in counts]
-    if not specs:
+    if not distinct and not counts:
         raise ValueError("no metric requested")
-    if any(w < 0 for *_, w in specs):
+    if any(w < 0 for *_, w in [*distinct, *counts]):
         raise ValueError("window seconds must be >= 0")
-    w_max = max(w for *_, w in specs)
-    width = max(w_max, 1) * BUCKET_FACTOR
-    outs = [o for _, _, o, _ in specs]
-    timed = rows.filter(F.col(sec).isNotNull())
-    b = _bucket(F.col(sec), width)
-
-    def ev(bucket, t, d):
-        return F.struct(bucket.alias("_bucket"), t.alias("_t"), d.alias("_d"), F.lit(False).alias("_ask"))
-
-    nb = F.col("_bucket") + 1
-    spill = F.col(sec) >= (F.col("_bucket") + 1) * F.lit(width) - F.lit(w_max)
-
-    def cover_events(covers: DataFrame) -> DataFrame:
-        # a cover's start and end, in its own bucket and -- when it starts in
-        # the bucket's last w_max seconds -- in the next one too
-        return covers.select(key, "_tag", F.inline(F.array_compact(F.array(
-            ev(F.col("_bucket"), F.col(sec), F.col("_n")), ev(F.col("_bucket"), F.col("_end"), -F.col("_n")),
-            F.when(spill, ev(nb, F.col(sec), F.col("_n"))), F.when(spill, ev(nb, F.col("_end"), -F.col("_n"))),
-        ))))
-
-    parts = []
-    dist = [(i, it, w) for i, (kind, it, _, w) in enumerate(specs) if kind == "distinct"]
-    if dist:
-        tagged = F.array_compact(F.array(*[
-            F.when(F.col(it).isNotNull(), F.struct(F.lit(i).alias("_tag"), F.lit(w).alias("_w"),
-                                                   F.col(it).cast("string").alias("_v")))
-            for i, it, w in dist]))
-        occ = timed.select(key, sec, F.inline(tagged)).distinct()
-        look_back = F.col(sec) < b * F.lit(width) + F.lit(w_max) + F.lit(1)
-        occ_copies = F.array_compact(F.array(
-            F.struct(b.alias("_bucket"), F.lit(True).alias("_own")),
-            F.when(look_back, F.struct((b - 1).alias("_bucket"), F.lit(False).alias("_own"))),
-        ))
-        nxt = Window.partitionBy(key, "_tag", "_v", "_bucket").orderBy(sec)
-        last = F.col(sec) + F.col("_w") + 1
-        covers = (
-            occ.select(key, "_tag", "_w", "_v", sec, F.inline(occ_copies))
-            .withColumn("_next", F.lead(sec).over(nxt))
-            .filter(F.col("_own"))
-            .select(key, "_tag", sec, "_bucket", F.least(F.coalesce(F.col("_next"), last), last).alias("_end"),
-                    F.lit(1).cast("bigint").alias("_n"))
-        )
-        parts.append(cover_events(covers))
-    cnt = [(i, c, w) for i, (kind, c, _, w) in enumerate(specs) if kind == "count"]
-    if cnt:
-        per_sec = timed.groupBy(key, sec).agg(*[F.count(c).alias(f"_c{i}") for i, c, _ in cnt])
-        weighted = per_sec.select(key, sec, F.inline(F.array(*[
-            F.struct(F.lit(i).alias("_tag"), F.col(f"_c{i}").alias("_n"), (F.col(sec) + w + 1).alias("_end"))
-            for i, _, w in cnt])))
-        parts.append(cover_events(weighted.filter(F.col("_n") > 0).withColumn("_bucket", b)))
-    asked = (timed.select(key, sec).distinct()
-             .select(key, F.lit(-1).alias("_tag"), b.alias("_bucket"), F.col(sec).alias("_t"),
-                     F.lit(0).cast("bigint").alias("_d"), F.lit(True).alias("_ask")))
-    events = parts[0]
-    for p in parts[1:]:
-        events = events.unionByName(p)
-    net = (
-        events.unionByName(asked)
-        .groupBy(key, "_bucket", "_t")
-        .agg(F.max(F.col("_ask").cast("int")).alias("_ask"),
-             *[F.sum(F.when(F.col("_tag") == i, F.col("_d")).otherwise(0)).alias(f"_d{i}")
-               for i in range(len(specs))])
-    )
-    upto = Window.partitionBy(key, "_bucket").orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)
-    timed_out = (
-        net.select(key, "_t", "_ask", *[F.sum(f"_d{i}").over(upto).cast("bigint").alias(o)
-                                         for i, o in enumerate(outs)])
-        .filter(F.col("_ask") == 1)
-        .select(key, F.col("_t").alias(sec), *outs)
-    )
-    untimed = (
-        rows.filter(F.col(sec).isNull()).groupBy(key)
-        .agg(*[(F.count_distinct(c) if kind == "distinct" else F.count(c)).alias(o)
-               for kind, c, o, _ in specs])
-        .select(key, F.lit(None).cast("bigint").alias(sec), *outs)
-    )
-    return timed_out.unionByName(untimed)
+    w_max = max(int(w) for *_, w in [*distinct, *counts])
+    w_count = max([int(w) for *_, w in counts], default=0)
+    width = bucket_width(w_max)
+    ns = [f"_n{i}" for i in range(len(counts))]
+
+    def tag(i: int, w: int, value: Column, numbers: list[Column]) -> Column:
+        return F.struct(F.lit(i).alias("_tag"), F.lit(w).alias("_w"), value.alias("_v"),
+                        *[n.cast("bigint").alias(name) for n, name in zip(numbers, ns)])
+
+    zeros = [F.lit(0)] * len(ns)
+    tags = [tag(0, 0, F.lit(None).cast("string"), [F.when(F.col(c).isNotNull(), 1).otherwise(0) for c, *_ in counts])]
+    tags += [F.when(F.col(it).isNotNull(), tag(i, int(w), F.col(it).cast("string"), zeros))
+             for i, (it, _, w) in enumerate(distinct, 1)]
+    tagged = rows.select(key, F.coalesce(F.col(sec), F.lit(UNTIMED)).alias("_s"),
+                         F.inline(F.array_compact(F.array(*tags)) if len(tags) > 1 else F.array(*tags)))
+    occurrences = tagged.groupBy(key, "_s", "_tag", "_w", "_v").agg(*[F.sum(n).alias(n) for n in ns]) if ns else tagged.distinct()
+
+    s, b = F.col("_s"), bucket_of(F.col("_s"), width)
+    if distinct:
+        look_back = (F.col("_tag") > 0) & (s < b * F.lit(width) + F.lit(w_max + 1))
+        homes = F.array_compact(F.array(
+            F.struct(b.alias("_home"), F.lit(True).alias("_own")),
+            F.when(look_back, F.struct((b - 1).alias("_home"), F.lit(False).alias("_own")))))
+        last = s + F.col("_w") + 1
+        covers = (occurrences.select("*", F.inline(homes))
+                  .withColumn("_next", F.lead("_s").over(Window.partitionBy(key, "_tag", "_v", "_home").orderBy("_s")))
+                  .filter(F.col("_own")).withColumn("_end", F.least(F.coalesce(F.col("_next"), last), last)))
+        net = _netted(covers, key, ns, len(distinct), width, w_count)
+    else:  # one row a second already
+        net = occurrences.select(key, s.alias("_t"), *ns, F.inline(_copies(s, width, w_count))).withColumnRenamed("_own", "_ask")
+    shared = [c for c in spread.columns if c not in (key, "_bucket")] if spread is not None else []
+    if spread is not None:
+        net = net.unionByName(spread.withColumns({"_t": F.lit(HEAD).cast("bigint"), "_ask": F.lit(False)}),
+                              allowMissingColumns=True)
+    seconds = Window.partitionBy(key, "_bucket").orderBy("_t")
+    upto = seconds.rowsBetween(Window.unboundedPreceding, 0)
+    found = {o: F.sum(f"_n{i}").over(seconds.rangeBetween(-int(w), 0)) for i, (_, o, w) in enumerate(counts)}
+    found |= {o: F.sum(f"_d{i}").over(upto) for i, (_, o, _) in enumerate(distinct, 1)}
+    outs = [*[o for _, o, _ in distinct], *[o for _, o, _ in counts]]
+    return (net.select(key, "_t", "_ask", *[c.alias(o) for o, c in found.items()],
+                       *[F.max(c).over(upto).alias(c) for c in shared])
+            .filter("_ask").select(key, F.nullif(F.col("_t"), F.lit(UNTIMED).cast("bigint")).alias(sec), *outs, *shared))
+
+
+def _netted(covers: DataFrame, key: str, ns: list[str], n_distinct: int, width: int, w_count: int) -> DataFrame:
+    """(key, _bucket, _t, _ask, counts, _d...): what starts (+) and ends (-) in each second of a bucket."""
+    def ev(bucket: Column, t: Column, d: int, ask: bool = False) -> Column:
+        return F.struct(bucket.alias("_bucket"), t.alias("_t"), F.lit(d).cast("bigint").alias("_d"), F.lit(ask).alias("_ask"))
+
+    s, home, end, is_second = F.col("_s"), F.col("_home"), F.col("_end"), F.col("_tag") == 0
+    border = (home + 1) * F.lit(width)  # where the next bucket begins
+    seen_next = F.when(is_second, s >= border - F.lit(w_count)).otherwise(end > border)
+    events = [F.when(is_second, ev(home, s, 0, True)).otherwise(ev(home, s, 1)),
+              F.when(~is_second & (end < border), ev(home, end, -1)),
+              F.when(seen_next, ev(home + 1, s, 1)), F.when(seen_next & ~is_second, ev(home + 1, end, -1))]
+    return (covers.select(key, "_tag", *ns, F.inline(F.array_compact(F.array(*events))))
+            .groupBy(key, "_bucket", "_t")
+            .agg(F.max("_ask").alias("_ask"),
+                 *[F.sum(n).alias(n) for n in ns],
+                 *[F.sum(F.when(F.col("_tag") == i, F.col("_d")).otherwise(0)).alias(f"_d{i}")
+                   for i in range(1, n_distinct + 1)]))
+
+
+def metric_bucket(sec: Column, windows: list[int]) -> Column:
+    """The bucket that :func:`trailing_metrics` with these windows puts a second into."""
+    return bucket_of(sec, bucket_width(max(int(w) for w in windows)))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stratum.operators import fraud
+from stratum.operators import fraud, windows
 from stratum.operators.windows import trailing_sum
 
 EPOCH = dt.datetime(2024, 1, 1)
@@ -115,17 +115,19 @@ def test_high_risk_projection_and_order(spark):
 
 def test_window_partitions_are_bounded(spark):
     # a single key holding every row: no window partition exceeds 5 x window distinct seconds
-    rows = [(i, "hot", None, EPOCH + dt.timedelta(seconds=i * 7), 1.0) for i in range(3000)]
+    rows = [(i, "hot", None, EPOCH + dt.timedelta(seconds=i * 70), 1.0) for i in range(5000)]
     df = _frame(spark, rows)
     sec = F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', transaction_date)")
     per_sec = df.groupBy("customer_id", sec.alias("s")).agg(F.count("transaction_id").alias("n"))
     w = 300
-    width = w * 4
-    sizes = (per_sec.withColumn("b", F.floor(F.col("s") / width))
-             .groupBy("customer_id", "b").count().agg(F.max("count")).collect()[0][0])
-    assert sizes <= width
+    # the operator's own partitions: what its window node reads
+    sizes = (per_sec.select("customer_id", F.inline(windows._copies(F.col("s"), windows.bucket_width(w), w)))
+             .groupBy("customer_id", "_bucket").count().agg(F.max("count")).collect()[0][0])
+    assert sizes <= windows.bucket_width(w) + w
+    plan = trailing_sum(per_sec, "customer_id", "s", "n", w, "t")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(customer_id" in plan and "_bucket" in plan.split("hashpartitioning(customer_id", 1)[1].split(")")[0]
     got = trailing_sum(per_sec, "customer_id", "s", "n", w, "t").agg(F.max("t")).collect()[0][0]
-    assert got == w // 7 + 1
+    assert got == w // 70 + 1
 
 
 @pytest.mark.parametrize("window", [0, 1, 500, 3600])
@@ -255,3 +257,42 @@ def test_trailing_metrics_counts_and_mixed_windows(spark):
             want = (len({r[2] for r in mine if s - 40 <= r[1] <= s and r[2] is not None}),
                     sum(1 for r in mine if s - 300 <= r[1] <= s and r[3] is not None))
         assert got[(k, s)] == want, (k, s)
+
+
+def test_seven_indicator_plan(spark):
+    """Few scans and exchanges from stored tables, with broadcasts off."""
+    import re
+    from stratum.operators.fraud_extended import seven_indicator_scores
+    from stratum.session import scratch_path
+    root = scratch_path(spark, "t-plan")
+    spark.createDataFrame([(1, "a", EPOCH, 1.0, "m", 0.5, 0.5)], "transaction_id long, customer_id string, transaction_date "
+                          "timestamp_ntz, amount double, merchant_id string, location_lat double, location_lon double"
+                          ).write.parquet(f"{root}/t")
+    spark.createDataFrame([("a", 0.9)], "customer_id string, risk_score double").write.parquet(f"{root}/c")
+    limits = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = [spark.conf.get(k, None) for k in limits]
+    try:
+        for k in limits:
+            spark.conf.set(k, "-1")
+        plan = seven_indicator_scores(spark.read.parquet(f"{root}/t"), spark.read.parquet(f"{root}/c")
+                                      )._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in zip(limits, before):
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(re.findall("FileScan", plan)) <= 4 and len(re.findall("Exchange", plan)) <= 9
+
+
+def test_values_spread_to_all_seconds_of_a_key(spark):
+    from stratum.operators.windows import metric_bucket, trailing_metrics
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["a", "b", None]), None if rnd.random() < 0.1 else rnd.randrange(-400000, 900000)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "k string, s long")
+    spread = df.groupBy("k", metric_bucket(F.col("s"), [50]).alias("_bucket")).agg(F.lit(7).alias("x")).withColumn(
+        "x", F.when(F.col("k") == "a", F.col("x")))
+    got = trailing_metrics(df, "k", "s", counts=[("k", "c", 50)], spread=spread).collect()
+    assert {(r["k"], r["s"]) for r in got} == set(rows) and len(got) == len(set(rows))
+    for r in got:
+        assert r["x"] == (7 if r["k"] == "a" else None)
+        peers = [1 for k, s in rows if k == r["k"] and k is not None and (
+            s is None if r["s"] is None else s is not None and r["s"] - 50 <= s <= r["s"])]
+        assert r["c"] == len(peers)
