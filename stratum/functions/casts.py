@@ -70,21 +70,30 @@ def lenient_cast(c: Column, dtype: T.DataType) -> Column:
     return _try_cast(c, dtype.simpleString())
 
 
-def type_strings(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
+def type_strings(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = (), failed: str | None = None) -> DataFrame:
     """Project string columns named like ``schema`` to its types.
 
     Names are compared without case; of columns that differ only by case the
     first counts.  Fields missing from ``df`` become typed NULLs; ``keep`` names extra
-    columns carried through unchanged (lineage, corrupt-record text).
+    columns carried through unchanged (lineage, corrupt-record text).  ``failed`` names a
+    ``map<string,string>`` column that keeps the text of every field that has one but no value of its
+    type, by field; NULL for rows without any.
     """
-    cols = []
+    cols, lost = [], []
     present = set(df.columns)
     by_name = {c.lower(): c for c in reversed(df.columns)}
     for f in schema.fields:
         if f.name.lower() in by_name:
-            cols.append(lenient_cast(df[f"`{by_name[f.name.lower()]}`"], f.dataType).alias(f.name))
+            text = df[f"`{by_name[f.name.lower()]}`"]
+            value = lenient_cast(text, f.dataType)
+            cols.append(value.alias(f.name))
+            if not isinstance(f.dataType, T.StringType):
+                lost.append(F.when(text.isNotNull() & value.isNull(), F.struct(F.lit(f.name).alias("key"), text.alias("value"))))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+    if failed:
+        entries = F.array_compact(F.array(*lost)) if lost else F.lit(None).cast("array<struct<key:string,value:string>>")
+        cols.append(F.when(F.size(entries) > 0, F.map_from_entries(entries)).alias(failed))
     cols += [F.col(f"`{k}`") for k in keep if k in present]
     return df.select(*cols)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum import schemas
-from stratum.functions import rules
+from stratum.functions import rules, stamps
 from stratum.functions.casts import conform
 
 LINEAGE = ("ingestion_timestamp", "source_file", "data_source")
@@ -18,19 +18,19 @@ def with_lineage(df: DataFrame, schema: T.StructType, source_tag: str) -> DataFr
 
     ``source_file`` comes from a ``source_file`` column the reader carried
     (``_metadata.file_path``); frames built in memory get NULL.  A
-    ``_corrupt_record`` column, if present, is kept after ``data_source``.
+    ``_corrupt_record`` and a ``_bad_fields`` column, if present, are kept after ``data_source``.
     """
-    typed = conform(df, schema, keep=("source_file", "_corrupt_record"))
+    typed = conform(df, schema, keep=("source_file", "_corrupt_record", "_bad_fields"))
     src = F.col("source_file") if "source_file" in typed.columns else F.lit(None).cast("string")
-    # a reader's malformed-record text rides along (NULL for good rows), so the
+    # a reader's malformed-record text and bad fields ride along (NULL for good rows), so the
     # quarantine can be cut from the stored bronze table without re-reading the feed
-    corrupt = [F.col("_corrupt_record")] if "_corrupt_record" in typed.columns else []
+    kept = [F.col(c) for c in ("_corrupt_record", "_bad_fields") if c in typed.columns]
     return typed.select(
         *[F.col(f"`{f.name}`") for f in schema.fields],
-        F.current_timestamp().alias("ingestion_timestamp"),
+        stamps.stamp().alias("ingestion_timestamp"),
         src.alias("source_file"),
         F.lit(source_tag).alias("data_source"),
-        *corrupt,
+        *kept,
     )
 
 

@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.functions import rules
+from stratum.functions import rules, stamps
 from stratum.functions.metrics import mean, part_sums, ratio, split_values, total, with_totals
 
 
@@ -52,7 +52,7 @@ class MetricTable:
     def finish(self, grouped: DataFrame, stamp: bool) -> DataFrame:
         """Ratios, time stamp, order and flags of a frame that has keys and aggregates."""
         named = grouped.withColumns({r: ratio(a, b) for r, (a, b) in self.ratios.items()} | {
-            "calculated_at": F.current_timestamp()})
+            "calculated_at": stamps.stamp()})
         sorted_ = named.orderBy(*(self.order or self.keys))
         return rules.gold_metric_flags(sorted_, self.metrics(), stamp=stamp)
 
@@ -130,3 +130,30 @@ def merchant_performance(silver_transactions: DataFrame, silver_merchants: DataF
     merchants = silver_merchants.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("_times"))
     joined = with_totals(per_merchant.join(merchants, "merchant_id", "inner"), ["_amount"], F.col("_times"))
     return spec.finish(joined.select(*spec.keys, *[c.alias(n) for n, c in spec.aggregates.items()]), stamp)
+
+
+#: log2 of a sketch's registers: 4,096 of them, a standard error of about 1.6 % of a count.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def daily_customer_sketches(silver_transactions: DataFrame) -> DataFrame:
+    """Per (day, status, channel): transactions, and a sketch of the distinct customers (some kB at most).
+
+    Stored once a day, sketches add up to any longer period without reading the transactions again, which
+    counts of distinct customers do not.
+    """
+    day = F.date_trunc("day", F.col("transaction_date"))
+    return silver_transactions.groupBy(day.alias("transaction_day"), "status", "channel").agg(
+        F.count("transaction_id").alias("transaction_count"),
+        F.hll_sketch_agg("customer_id", F.lit(SKETCH_BITS)).alias("customers_sketch"))
+
+
+def unique_customers_over(sketches: DataFrame, period: str = "month") -> DataFrame:
+    """Per (period, status, channel): transactions, and the estimated distinct customers, from daily sketches.
+
+    The estimate is within three standard errors (``3 * SKETCH_ERROR``) of the exact count in 99.7 % of cases.
+    """
+    return sketches.groupBy(F.date_trunc(period, F.col("transaction_day")).alias("period"), "status", "channel").agg(
+        F.sum("transaction_count").alias("transaction_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("customers_sketch")).alias("unique_customers"))

@@ -16,7 +16,8 @@ from stratum import schemas
 from stratum.functions import rules
 from stratum.functions.casts import conform
 from stratum.operators import bronze, fraud, fraud_extended, gold, reports, silver
-from stratum.plans.flow import Feeds, Layout, run_all_layers, run_fraud
+from stratum.operators.ranking import with_rank
+from stratum.plans.flow import BRONZE, Feeds, Layout, read_feed, refresh_transactions, run_all_layers, run_fraud
 from stratum.plans.present import present
 from stratum.session import scratch_path, session_key
 from stratum.sources import feeds
@@ -60,18 +61,17 @@ def _unfiltered_tx_flags(spark, d):
     return rules.silver_transaction_flags(raw, stamp=False)
 
 
+ISSUE_LAYERS = [
+    ("customers", schemas.CUSTOMERS, {"bronze": (rules.BRONZE_CUSTOMER_RULES, True), "silver_rules": (rules.SILVER_CUSTOMER_RULES, False)}),
+    ("transactions", schemas.TRANSACTIONS, {"bronze": (rules.BRONZE_TRANSACTION_RULES, True),
+                                            "silver_rules": (rules.SILVER_TRANSACTION_RULES, False)}),
+    ("merchants", schemas.MERCHANTS, {"silver_rules": (rules.SILVER_MERCHANT_RULES, False)}),
+]
+
+
 def _invalid_counts(spark, d):
-    c = conform(view(spark, d, "customers_raw"), schemas.CUSTOMERS)
-    m = conform(view(spark, d, "merchants_raw"), schemas.MERCHANTS)
-    t = conform(view(spark, d, "transactions_raw"), schemas.TRANSACTIONS)
-    return reports.union_all([
-        reports.layered_issue_counts(c, "customers", {
-            "bronze": (rules.BRONZE_CUSTOMER_RULES, True), "silver_rules": (rules.SILVER_CUSTOMER_RULES, False)}),
-        reports.layered_issue_counts(t, "transactions", {
-            "bronze": (rules.BRONZE_TRANSACTION_RULES, True),
-            "silver_rules": (rules.SILVER_TRANSACTION_RULES, False)}),
-        reports.layered_issue_counts(m, "merchants", {"silver_rules": (rules.SILVER_MERCHANT_RULES, False)}),
-    ])
+    return reports.union_all([reports.layered_issue_counts(conform(view(spark, d, f"{entity}_raw"), schema), entity, layers)
+                              for entity, schema, layers in ISSUE_LAYERS])
 
 
 def _wide_amounts(tx: DataFrame) -> DataFrame:
@@ -123,9 +123,9 @@ def _malformed(spark, d):
     key = (session_key(spark), d, "malformed")
     if key not in _RUNS:
         root = scratch_path(spark, "malformed")
-        end, line = F.right("transaction_id", F.lit(1)), F.concat_ws(
-            ",", "transaction_id", "customer_id", F.col("card_last_4").cast("string"))
-        lines = (view(spark, d, "transactions_raw").where("customer_id is not null and card_last_4 is not null")
+        end, line = F.right("transaction_id", F.lit(1)), F.concat_ws(",", "transaction_id", *[
+            F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("customer_id", "card_last_4")])
+        lines = (view(spark, d, "transactions_raw")
                  .select(F.when(end == "3", line).when(end == "5", F.concat(line, F.lit(",x,LOST")))
                          .otherwise(F.concat(line, F.lit(",x"))).alias("value")))
         # one column whose name is the header line: every file of the feed begins with it
@@ -136,6 +136,104 @@ def _malformed(spark, d):
     return feed.select("transaction_id", F.col(feeds.CORRUPT).alias("malformed_text"))
 
 
+# Texts that no cast takes, by field; they stand in the rows whose id ends in the digit.
+BAD_CUSTOMER_TEXT = {"1": ("date_of_birth", "31/12/1999"), "2": ("is_active", "maybe"), "3": ("risk_score", "n/a")}
+BAD_TRANSACTION_TEXT = {"1": ("card_last_4", "12x4"), "2": ("is_fraud", "perhaps"), "3": ("processing_fee", "1.5 PEN")}
+
+
+def _replaced(df: DataFrame, key: str, bad: dict[str, tuple[str, str]]) -> DataFrame:
+    """All columns as text, with the bad texts in their rows."""
+    end, text = F.right(key, F.lit(1)), df.select([F.col(c).cast("string").alias(c) for c in df.columns])
+    return text.withColumns({c: F.when(end == digit, t).otherwise(F.col(c)) for digit, (c, t) in bad.items()})
+
+
+def _cast_issues(spark, d):
+    """All customers (JSON) and transactions (CSV) as feeds with bad fields and malformed lines, as bronze stores them:
+    each bad field with its text, and each malformed line."""
+    key = (session_key(spark), d, "cast-issues")
+    if key not in _RUNS:
+        root = scratch_path(spark, "cast-issues")
+        customers = _replaced(view(spark, d, "customers_raw").select(
+            "customer_id", "date_of_birth", "risk_score", "is_active"), "customer_id", BAD_CUSTOMER_TEXT)
+        broken = F.concat(F.lit('{"customer_id":"'), "customer_id", F.lit('","city":'))
+        customers.select(F.when(F.right("customer_id", F.lit(1)) == "4", broken).otherwise(
+            F.to_json(F.struct(*customers.columns)))).write.text(f"{root}/customers")
+        tx = _replaced(view(spark, d, "transactions_raw").select(
+            "transaction_id", "card_last_4", "is_fraud", "processing_fee"), "transaction_id", BAD_TRANSACTION_TEXT)
+        lines = tx.select(F.when(F.right("transaction_id", F.lit(1)) == "4", F.concat("transaction_id", F.lit(",1234,true,0.5,MORE")))
+                          .otherwise(F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in tx.columns])).alias("value"))
+        lines.toDF(",".join(tx.columns)).write.option("header", True).option("sep", "\u0001").option("quote", "").csv(
+            f"{root}/transactions")
+        for entity in ("customers", "transactions"):
+            write_table(BRONZE[entity][1](read_feed(spark, entity, f"{root}/{entity}")), f"{root}/bronze/{entity}")
+        _RUNS[key] = root
+    parts = []
+    for entity, name in (("customers", "customer_id"), ("transactions", "transaction_id")):
+        stored = read_table(spark, f"{_RUNS[key]}/bronze/{entity}")
+        parts += [feeds.bad_fields(stored, name).select(F.lit(entity).alias("entity"), "row_key", "field", "text"),
+                  feeds.quarantine(stored).select(F.lit(entity).alias("entity"), F.lit(None).cast("string").alias("row_key"),
+                                                  F.lit("malformed").alias("field"), F.col(feeds.CORRUPT).alias("text"))]
+    return reports.union_all(parts)
+
+
+def _counted_writes(spark, d):
+    """The issue counts of all layers' rules, taken while the rows are written."""
+    root = scratch_path(spark, "counted")
+    return reports.union_all([
+        reports.write_with_issue_counts(conform(view(spark, d, f"{entity}_raw"), schema), f"{root}/{entity}", entity, layers)
+        for entity, schema, layers in ISSUE_LAYERS])
+
+
+def _monthly_customers(spark, d):
+    """Distinct customers per month from stored daily sketches, beside the exact count."""
+    out = _full_run(spark, d)
+    estimated = gold.unique_customers_over(read_table(spark, out.path("gold", "customer_sketches"), out.fmt))
+    exact = read_table(spark, out.path("silver", "transactions"), out.fmt).groupBy(
+        F.date_trunc("month", "transaction_date").alias("period"), "status", "channel").agg(
+        F.count_distinct("customer_id").alias("exact_customers"))
+    off = F.abs(F.col("unique_customers") - F.col("exact_customers"))
+    both = estimated.join(exact, [estimated[c].eqNullSafe(exact[c]) for c in ("period", "status", "channel")]).select(
+        estimated["period"], estimated["status"], estimated["channel"], "transaction_count", "exact_customers",
+        (off <= F.ceil(3 * gold.SKETCH_ERROR * F.col("exact_customers"))).alias("within_error"))
+    return present(both)
+
+
+AUDIT = {"bronze": ("ingestion_timestamp",), "silver": ("processed_timestamp", "quality_check_timestamp"),
+         "gold": ("calculated_at", "quality_check_timestamp")}
+AUDITED = [("bronze", "customers"), ("bronze", "merchants"), ("bronze", "transactions"), ("silver", "customers"),
+           ("silver", "merchants"), ("silver", "transactions"), ("gold", "customer_metrics"),
+           ("gold", "transaction_metrics"), ("gold", "merchant_performance")]
+
+
+def _stamps(spark, d):
+    """Every audit column of a full run: its rows, and whether they all hold the stamp of the first layer."""
+    out = _full_run(spark, d)
+    tables = {t: read_table(spark, out.path(*t), out.fmt) for t in AUDITED}
+    run = tables["bronze", "customers"].agg(F.min("ingestion_timestamp").alias("run_at"))
+    parts = [t.join(F.broadcast(run)).agg(F.count("*").alias("n_rows"), F.coalesce(F.bool_and(F.col(c) == F.col("run_at")),
+                                                                                  F.lit(False)).alias("one_stamp"))
+             .select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), F.lit(c).alias("audit_column"), "n_rows", "one_stamp")
+             for (layer, name), t in tables.items() for c in AUDIT[layer]]
+    return reports.union_all(parts)
+
+
+def _refreshed(spark, d):
+    """Daily metrics after a first run over the transactions up to mid 1997 and a refresh with the others."""
+    key = (session_key(spark), d, "refresh")
+    if key not in _RUNS:
+        root = scratch_path(spark, "refresh-feeds")
+        tx = view(spark, d, "transactions_raw")
+        early = F.coalesce(F.col("transaction_date") < F.lit("1997-06-15 12"), F.lit(False))
+        export_monthly_csv(tx.filter(early), f"{root}/first", "transaction_date", legacy_types=True)
+        export_monthly_csv(tx.filter(~early), f"{root}/second", "transaction_date", legacy_types=True)
+        src = _feeds(spark, d)
+        out = run_all_layers(spark, Feeds(src.customers, src.merchants, f"{root}/first"),
+                             Layout(scratch_path(spark, "refreshed"), partition_transactions_by_day=True))
+        refresh_transactions(spark, f"{root}/second", out)
+        _RUNS[key] = out
+    return present(read_table(spark, _RUNS[key].path("gold", "transaction_metrics")).drop("metric_day"))
+
+
 def _events(spark, d):
     return view(spark, d, "events_tx")
 
@@ -185,6 +283,13 @@ def build() -> dict[str, Query]:
         "gold_customer_metrics_negative": lambda s, d: present(_negative_balances(s, d)),
         "silver_customers_user_rule": lambda s, d: present(_user_rule(s, d)),
         "silver_flags_gaps": _flags_gaps,
+        "invalid_counts_at_write": _counted_writes,
+        # the order that each operator leaves its rows in, as a column
+        "gold_customer_metrics_ranked": lambda s, d: present(with_rank(gold.customer_metrics(_silver_customers(s, d)))),
+        "gold_transaction_metrics_ranked": lambda s, d: present(with_rank(gold.transaction_metrics(_silver_transactions(s, d)))),
+        "gold_merchant_performance_ranked": lambda s, d: present(with_rank(
+            gold.merchant_performance(_silver_transactions(s, d), _silver_merchants(s, d)))),
+        "fraud_high_risk_ranked": lambda s, d: present(with_rank(fraud.high_risk(_fraud_checked(s, d)))),
         **build_io(),
     }
 
@@ -270,6 +375,10 @@ def build_io() -> dict[str, Query]:
         "bronze_merchants_json_roundtrip": _merchant_roundtrip,
         "bronze_transactions_csv_roundtrip": _csv_roundtrip,
         "bronze_transactions_malformed": _malformed,
+        "bronze_cast_issues": _cast_issues,
+        "gold_monthly_customers": _monthly_customers,
+        "full_run_stamps": _stamps,
+        "refreshed_transaction_metrics": _refreshed,
         "full_run_fraud_alerts": _stored_fraud("fraud_detection_alerts"),
         "full_run_fraud_summary": _stored_fraud("fraud_detection_summary"),
         "full_run_customer_metrics": _stored("customer_metrics"),
@@ -299,5 +408,5 @@ def _streamed(entity: str) -> Query:
             ingest.run_to_completion(query)
             _RUNS[key] = f"{root}/table"
         table = read_table(spark, _RUNS[key])
-        return present(table.drop("ingest", "batch_id", feeds.CORRUPT))
+        return present(table.drop("ingest", "batch_id", feeds.CORRUPT, feeds.BAD))
     return q

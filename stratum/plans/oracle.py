@@ -311,9 +311,47 @@ def malformed_sql() -> str:
     """Every transaction is one line of a feed; lines whose id ends in 3 lack their last field, those in 5 have one too many."""
     return with_views(
         "select transaction_id, case right(transaction_id, 1) when '3' then line when '5' then line || ',x,LOST' end "
-        "as malformed_text from (select transaction_id, concat_ws(',', transaction_id, customer_id, "
-        "cast(card_last_4 as varchar)) as line from transactions_raw where customer_id is not null "
-        "and card_last_4 is not null) l", "transactions_raw")
+        "as malformed_text from (select transaction_id, concat_ws(',', transaction_id, coalesce(customer_id, ''), "
+        "coalesce(cast(card_last_4 as varchar), '')) as line from transactions_raw) l", "transactions_raw")
+
+
+def cast_issues_sql() -> str:
+    """Rows whose id ends in 1, 2 or 3 hold a bad text in one field; those in 4 are malformed lines."""
+    parts = []
+    for entity, key, bad, line in (
+            ("customers", "customer_id", [("1", "date_of_birth", "31/12/1999"), ("2", "is_active", "maybe"), ("3", "risk_score", "n/a")],
+             """'{"customer_id":"' || customer_id || '","city":'"""),
+            ("transactions", "transaction_id", [("1", "card_last_4", "12x4"), ("2", "is_fraud", "perhaps"),
+                                                ("3", "processing_fee", "1.5 PEN")], "transaction_id || ',1234,true,0.5,MORE'")):
+        parts += [f"select '{entity}' as entity, {key} as row_key, '{field}' as field, '{text}' as text from {entity}_raw "
+                  f"where right({key}, 1) = '{digit}'" for digit, field, text in bad]
+        parts.append(f"select '{entity}' as entity, cast(null as varchar) as row_key, 'malformed' as field, {line} as text "
+                     f"from {entity}_raw where right({key}, 1) = '4'")
+    return with_views("\nunion all\n".join(parts), "customers_raw", "transactions_raw")
+
+
+def stamps_sql() -> str:
+    tables = [("bronze", "customers", "bronze_customers"), ("bronze", "merchants", "bronze_merchants"),
+              ("bronze", "transactions", "bronze_transactions"), ("silver", "customers", "silver_customers"),
+              ("silver", "merchants", "silver_merchants"), ("silver", "transactions", "silver_transactions"),
+              ("gold", "customer_metrics", "gc"), ("gold", "transaction_metrics", "gt"), ("gold", "merchant_performance", "gm")]
+    columns = {"bronze": ["ingestion_timestamp"], "silver": ["processed_timestamp", "quality_check_timestamp"],
+               "gold": ["calculated_at", "quality_check_timestamp"]}
+    parts = [f"select '{layer}' as layer, '{name}' as table_name, '{c}' as audit_column, count(*) as n_rows, true as one_stamp from {cte}"
+             for layer, name, cte in tables for c in columns[layer]]
+    return with_views("\nunion all\n".join(parts), "customers_raw", "merchants_raw", "transactions_raw",
+                      ctes=SILVER_C + SILVER_M + SILVER_T + [("gc", GOLD_CUSTOMER), ("gt", GOLD_TRANSACTION), ("gm", GOLD_MERCHANT)])
+
+
+def ranked(sql: str, order: str) -> str:
+    return f"select *, row_number() over (order by {order}) as rank from ({sql}) unranked"
+
+
+MONTHLY_CUSTOMERS = """
+select date_trunc('month', transaction_date) as period, status, channel, count(transaction_id) as transaction_count,
+ count(distinct customer_id) as exact_customers, true as within_error
+from silver_transactions group by 1, 2, 3
+"""
 
 
 def build() -> dict[str, str]:
@@ -368,6 +406,16 @@ def build() -> dict[str, str]:
         "fraud_scores_default": fraud_sql(3600, 5, 5.0),
         "fraud_high_risk": fraud_high_risk_sql(86400, 5, 3.0),
     }
+    out["invalid_counts_at_write"] = out["invalid_counts"]
+    out["bronze_cast_issues"] = cast_issues_sql()
+    out["full_run_stamps"] = stamps_sql()
+    out["gold_monthly_customers"] = with_views(MONTHLY_CUSTOMERS, "transactions_raw", ctes=SILVER_T)
+    out["refreshed_transaction_metrics"] = out["gold_transaction_metrics"]
+    for name, order in (("gold_customer_metrics", "customer_segment nulls first, city nulls first"),
+                        ("gold_transaction_metrics", "transaction_day nulls first, status nulls first, channel nulls first"),
+                        ("gold_merchant_performance", "total_revenue desc nulls last, merchant_id nulls first"),
+                        ("fraud_high_risk", "fraud_score desc nulls last, transaction_id nulls first")):
+        out[f"{name}_ranked"] = ranked(out[name], order)
     # ingestion round trips and the full run must reproduce the direct results
     out["bronze_customers_json_roundtrip"] = out["bronze_customers_flags"]
     out["bronze_merchants_json_roundtrip"] = out["bronze_merchants_default"]

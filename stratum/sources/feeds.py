@@ -4,7 +4,9 @@ Both readers read every declared field as text and type it afterwards with
 :mod:`stratum.functions.casts`, so a feed that writes flags as ``1``/``0``,
 dates as epoch milliseconds or ints as ``1234.0`` still loads.  The reader
 keeps ``source_file`` (``_metadata.file_path``) and the malformed-record text
-(``_corrupt_record``), which :func:`quarantine` routes to its own table.
+(``_corrupt_record``), which :func:`quarantine` routes to its own table, and
+``_bad_fields``, the text of each field that has no value of its type in an otherwise good
+row, which :func:`bad_fields` lists.
 
 CSV is bound by header *name*, file by file: a glob of files whose headers
 differ (columns added, dropped or reordered over time) is read per distinct
@@ -29,10 +31,11 @@ from stratum.operators.reports import union_all
 
 CORRUPT = "_corrupt_record"
 SOURCE = "source_file"
+BAD = "_bad_fields"
 
 
 def read_json_feed(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """JSON lines -> ``schema`` columns + ``source_file`` + ``_corrupt_record``."""
+    """JSON lines -> ``schema`` columns + ``_bad_fields``, ``source_file`` and ``_corrupt_record``."""
     text_schema = string_schema(schema.fieldNames(), CORRUPT)
     raw = (
         spark.read.schema(text_schema)
@@ -41,7 +44,7 @@ def read_json_feed(spark: SparkSession, path: str | list[str], schema: T.StructT
         .json(path)
         .select("*", F.col("_metadata.file_path").alias(SOURCE))
     )
-    return type_strings(raw, schema, keep=(SOURCE, CORRUPT))
+    return type_strings(raw, schema, keep=(SOURCE, CORRUPT), failed=BAD)
 
 
 def _split_header(line: str, sep: str) -> list[str]:
@@ -86,6 +89,15 @@ def feed_headers(spark: SparkSession, path: str | list[str]) -> dict[str, list[s
     return {h: sorted(files) for h, files in groups.items()}
 
 
+def first_header(spark: SparkSession, path: str | list[str], lines: int = 1000) -> str:
+    """The header of one file of a feed, from its first lines alone: for a feed whose files all have one layout."""
+    # a limit stops its scan where it has enough; blank lines before a header count among ``lines``
+    for r in spark.read.text(path).limit(lines).toLocalIterator():
+        if r["value"].replace("\ufeff", "").strip():
+            return r["value"].replace("\ufeff", "")
+    raise ValueError(f"no header within {lines} lines of {path}")
+
+
 _GLOB_CHARS = re.compile(r"([\\\[\]{}*?])")
 
 
@@ -116,7 +128,8 @@ def read_csv_feed(spark: SparkSession, path: str | list[str], schema: T.StructTy
     does not are dropped.  A row with too many or too few fields keeps its
     text in ``_corrupt_record``.  A header that lacks a ``required`` column fails
     the read: all its rows would lack their key.  Passing the known ``header`` line
-    of a feed of one layout saves the pass that looks for headers.
+    of a feed of one layout (see :func:`first_header`) saves the pass that looks for headers; every file's header is
+    then compared with it while the file is parsed, and one that differs fails the job instead of being misread.
     """
     if header is not None:
         groups = {header: [path] if isinstance(path, str) else list(path)}
@@ -131,7 +144,7 @@ def read_csv_feed(spark: SparkSession, path: str | list[str], schema: T.StructTy
         df = (
             spark.read.schema(string_schema(names, CORRUPT))
             .option("header", True)
-            .option("enforceSchema", True)
+            .option("enforceSchema", header is None)  # else Spark compares each file's header
             .option("sep", sep)
             .option("multiLine", multi_line)
             .option("mode", "PERMISSIVE")
@@ -141,10 +154,10 @@ def read_csv_feed(spark: SparkSession, path: str | list[str], schema: T.StructTy
             .csv(files)
             .select("*", F.col("_metadata.file_path").alias(SOURCE))
         )
-        parts.append(type_strings(df, schema, keep=(SOURCE, CORRUPT)))
+        parts.append(type_strings(df, schema, keep=(SOURCE, CORRUPT), failed=BAD))
     if not parts:
         empty = spark.createDataFrame([], string_schema(schema.fieldNames(), CORRUPT))
-        return type_strings(empty.withColumn(SOURCE, F.lit(None).cast("string")), schema, keep=(SOURCE, CORRUPT))
+        return type_strings(empty.withColumn(SOURCE, F.lit(None).cast("string")), schema, keep=(SOURCE, CORRUPT), failed=BAD)
     return union_all(parts)
 
 
@@ -153,5 +166,11 @@ def quarantine(feed: DataFrame) -> DataFrame:
     return feed.filter(F.col(CORRUPT).isNotNull())
 
 
+def bad_fields(feed: DataFrame, key: str) -> DataFrame:
+    """(row_key, field, text, source_file): one row per field whose text has no value of its type."""
+    return feed.filter(F.col(BAD).isNotNull()).select(
+        F.col(f"`{key}`").alias("row_key"), F.explode(BAD).alias("field", "text"), SOURCE)
+
+
 def without_corrupt(feed: DataFrame) -> DataFrame:
-    return feed.drop(CORRUPT)
+    return feed.drop(CORRUPT, BAD)

@@ -1,8 +1,10 @@
 """Stored tables and feed exports.
 
 * :func:`read_table` / :func:`write_table`: the layer hand-off.  Full refresh
-  (``overwrite``) with schema merging; the format is a setting (``parquet``
-  by default, ``delta`` where its jars are on the classpath).
+  (``overwrite``); the format is a setting (``parquet`` by default, ``delta`` where its jars are on the
+  classpath).  ``delta`` merges schemas when it writes, Parquet when it reads (``merge_schema``).
+* :func:`replace_partitions`: only the partitions that the new rows lie in are written anew.
+* :func:`write_counted`: a write that counts conditions on its rows as they pass, without another pass.
 * :func:`export_monthly_csv` / :func:`export_json_lines`: write entity frames
   as raw feeds (one CSV folder per ``yyyy-MM`` of the event time; JSON
   lines).  ``legacy_types`` encodes values the way pandas-made feeds do:
@@ -12,27 +14,50 @@
 
 from __future__ import annotations
 
-from typing import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_FORMAT = "parquet"
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, merge_schema: bool = False) -> DataFrame:
+    """``merge_schema``: columns of all of a Parquet table's files, at the price of reading every file's footer."""
+    reader = spark.read.format(fmt)
+    return (reader.option("mergeSchema", True) if merge_schema else reader).load(path)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, mode: str = "overwrite",
                 merge_schema: bool = True, partition_by: Sequence[str] = ()) -> None:
-    w = df.write.format(fmt).mode(mode).option("mergeSchema", str(merge_schema).lower())
+    w = df.write.format(fmt).mode(mode)
+    if merge_schema and fmt == "delta":
+        w = w.option("mergeSchema", True)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = DEFAULT_FORMAT) -> None:
+    """Write ``df`` over the partitions that its rows lie in; all others stay as they are, file by file.
+
+    ``df`` must not read from ``path``: store what was read of it first.
+    """
+    df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
+
+
+def write_counted(df: DataFrame, path: str, counts: Mapping[str, Column], fmt: str = DEFAULT_FORMAT, **how) -> dict[str, int]:
+    """:func:`write_table`, and for each of ``counts`` how many rows its condition held for, counted by the tasks that
+    write (a retried or repeated task counts once)."""
+    if not counts:
+        write_table(df, path, fmt, **how)
+        return {}
+    seen = Observation()
+    write_table(df.observe(seen, *[F.count_if(c).alias(n) for n, c in counts.items()]), path, fmt, **how)
+    return {n: int(v) for n, v in seen.get.items()}
+
+
 def _legacy(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
@@ -57,8 +82,8 @@ def export_monthly_csv(df: DataFrame, path: str, time_col: str, legacy_types: bo
                        time_format: str = "yyyy-MM-dd HH:mm:ss", mode: str = "overwrite") -> None:
     """One folder per month of ``time_col`` (``year_month=yyyy-MM``), header on.
 
-    Range-partitioned by (month, time) before writing, so a month has as
-    many files as tasks its rows span.
+    Range-partitioned by (month, time, row) before writing, so a month has as
+    many files as tasks its rows span, and one busy second spreads over tasks too.
     """
     dtype = df.schema[time_col].dataType
     ts = F.col(time_col) if not isinstance(dtype, T.StringType) else F.try_to_timestamp(F.col(time_col))
@@ -70,7 +95,7 @@ def export_monthly_csv(df: DataFrame, path: str, time_col: str, legacy_types: bo
     # contiguous time ranges per task: each task writes one or two months'
     # files (not one per month per task), and a large month still spreads
     # over several tasks
-    out = out.repartitionByRange(F.col("year_month"), F.col(time_col))
+    out = out.repartitionByRange(F.col("year_month"), F.col(time_col), F.xxhash64(*[F.col(f"`{c}`") for c in out.columns]))
     (out.write.mode(mode).partitionBy("year_month").option("header", True)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .option("dateFormat", "yyyy-MM-dd").csv(path))

@@ -22,7 +22,7 @@ Every file below the feed's path is taken, as by the batch readers.
 from __future__ import annotations
 
 import hashlib
-from typing import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,7 +58,7 @@ def json_to_bronze(spark: SparkSession, feed_path: str, schema: T.StructType, to
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.json(feed_path).select("*", F.col("_metadata.file_path").alias(feeds.SOURCE))
     # malformed text stays in the table, where :func:`stratum.sources.feeds.quarantine` finds it
-    typed = type_strings(raw, schema, keep=(feeds.SOURCE, feeds.CORRUPT))
+    typed = type_strings(raw, schema, keep=(feeds.SOURCE, feeds.CORRUPT), failed=feeds.BAD)
     writer = (to_bronze(typed).writeStream.format(fmt).outputMode("append")
               .option("checkpointLocation", checkpoint))
     return _trigger(writer, available_now, interval).start(table_path)
@@ -67,7 +67,9 @@ def json_to_bronze(spark: SparkSession, feed_path: str, schema: T.StructType, to
 def csv_to_bronze(spark: SparkSession, feed_path: str, schema: T.StructType, to_bronze: ToBronze,
                   table_path: str, checkpoint: str, fmt: str = DEFAULT_FORMAT,
                   max_files_per_trigger: int = 1000, available_now: bool = True,
-                  interval: str = "1 minute") -> StreamingQuery:
+                  interval: str = "1 minute", required: Sequence[str] = ()) -> StreamingQuery:
+    """A file whose header lacks a ``required`` column fails its micro-batch, and with it the query, before any of the
+    batch's rows are written; the batch is taken up again once the file is mended or gone."""
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("recursiveFileLookup", "true"))
     # bounds the file names one micro-batch hands to the driver
@@ -80,7 +82,7 @@ def csv_to_bronze(spark: SparkSession, feed_path: str, schema: T.StructType, to_
         paths = sorted(feeds.literal_path(r["path"]) for r in batch.collect())
         if not paths:
             return
-        feed = feeds.read_csv_feed(batch.sparkSession, paths, schema)
+        feed = feeds.read_csv_feed(batch.sparkSession, paths, schema, required=required)
         write_table(to_bronze(feed), f"{table_path}/ingest={ingest_id}/batch_id={batch_id}", fmt)
 
     writer = files.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint)
