@@ -1,12 +1,13 @@
 """Exact deduplication by 128-bit content hash, with bytes compared inside the groups.
 
-Spark groups rows by (hash, text): copies collapse inside each map task before
-anything is shuffled, so a text that holds a third of all rows costs one row per
-task, and texts that share a hash without being equal stay apart, byte by byte.
-What leaves that aggregation is one small row per distinct text; texts move once.
+Spark groups rows by their hash alone: 16 bytes and an id a row, combined inside each
+map task, so a text that holds a third of all rows costs one row per task.  Only the texts
+of hashes with two rows or more are then grouped by (hash, text): copies collapse in the
+map tasks again, and texts that share a hash without being equal stay apart, byte by byte.
+Most texts of a corpus are alone, and never move.
 Rows then learn their group by a join of hashes against the groups of two and
 more, which are stored first, so that Spark knows their size (broadcast only
-under its own limit, else a shuffle join that AQE splits at a hot hash).
+after their rows are counted, else a shuffle join that AQE splits at a hot hash).
 
 Defined results: a NULL text equals the empty text; rows with equal text and
 equal id are one document repeated, all marked alike; a NULL id never wins against
@@ -39,14 +40,14 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pick = {"max": F.max, "min": F.min}[keep]
     rows = df.select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
     hashed = rows.withColumn("h", hash_of(F.col("text")))
-    classes = (hashed.groupBy("h", "text").agg(pick("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-               .select("h", "keep_id", "group_size"))
-    per_hash = (classes.groupBy("h").agg(F.count("*").alias("texts"), pick("keep_id").alias("keep_id"),
-                                         F.sum("group_size").alias("group_size")))
     # a hash of one row needs no join
-    groups = stored(per_hash.where("texts > 1 or group_size > 1"), "exact-groups")
+    several = stored(hashed.groupBy("h").agg(pick("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+                     .where("group_size > 1"), "exact-several")
+    texts = (hashed.join(small_side(several.select("h")), "h", "left_semi").groupBy("h", "text").agg(F.lit(1))
+             .groupBy("h").agg(F.count("*").alias("texts")))
+    groups = stored(several.join(texts, "h"), "exact-groups")
     light = hashed.select("doc_id", "h", F.sha2("text", 256).alias("text_sha256"))
-    out = light.join(groups.where("texts = 1").drop("texts"), "h", "left")
+    out = light.join(small_side(groups.where("texts = 1").drop("texts")), "h", "left")
     collided = groups.where("texts > 1").select("h")
     if not collided.isEmpty():  # different texts under one hash: those rows are told apart by their text
         inside = hashed.join(collided, "h", "left_semi")

@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 from stratum.llm import chat, decontaminate, exact_dedup, langid, lexical_search, merkle, near_dedup, pii, quality, sentencepiece_sampling, token_counts, url_filter, warc
 from stratum.llm.common import table
 
-#: Folder of the public vocabulary files; every node has it at the same place.
-VOCABULARIES = os.environ.get("STRATUM_VOCABULARIES", "/opt/tokenizers")
+#: Folder of the public vocabulary files, where every node has them at another place than their package's.
+VOCABULARIES = os.environ.get("STRATUM_VOCABULARIES")
 
 
 def vocabulary(name: str) -> str:
-    return f"{VOCABULARIES}/{name}"
+    if VOCABULARIES:
+        return f"{VOCABULARIES}/{name}"
+    import public_tokenizers
+    return public_tokenizers.path(name)
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,7 +337,10 @@ ORACLE = {
              sim AS (SELECT doc_id, item_id, start, n_words, CAST(b AS DOUBLE) / (len(v) + len(t) - b) AS similarity
                      FROM win JOIN both_ USING (doc_id, start, item_id))
         SELECT doc_id, item_id, similarity, CAST(start - 1 AS INTEGER) AS start_word, CAST(n_words AS INTEGER) AS n_words
-        FROM sim WHERE similarity >= 0.8
+        FROM (SELECT * FROM sim WHERE similarity >= 0.8 UNION ALL BY NAME
+              SELECT doc_id, item_id, 1.0 AS similarity, unnest(list_filter(range(1, len(dw.w) - len(iw.w) + 2),
+                  lambda i: dw.w[i:i + len(iw.w) - 1] = iw.w)) AS start, len(iw.w) AS n_words
+              FROM dw JOIN iw ON len(iw.w) BETWEEN 1 AND 4 AND list_has_all(dw.w, iw.w))
         QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1""",
     "op1_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),

@@ -120,14 +120,39 @@ def test_frame_edges(docs_of, items_of):
             (None, item), (7, "a a a a a a a a a a")]
     items = [(0, item), (1, None), (2, ""), (3, "one two"), (4, "a a a a a a a a"), (None, item), (0, item)]
     got = Counter((r.doc_id, r.item_id) for r in dc.contaminated(docs_of(docs), items_of(items)).collect())
-    assert got == Counter({(d, i): n for d, n in ((3, 2), (4, 1), (5, 1), (None, 1)) for i in (0, None)} | {(7, 4): 1})
+    assert got == Counter({(d, i): n for d, n in ((3, 2), (4, 1), (5, 1), (None, 1)) for i in (0, 3, None)} | {(7, 4): 1, (6, 3): 1})
     clean = dc.without_benchmark(docs_of(docs), items_of(items))
     assert clean.columns == ["doc_id", "text", "kept", "n_tokens"]
-    assert sorted(r.doc_id for r in clean.collect()) == [1, 2, 6]
+    assert sorted(r.doc_id for r in clean.collect()) == [1, 2]
     assert dc.contaminated(docs_of([]), items_of(items)).count() == 0
     assert dc.contaminated(docs_of(docs), items_of([])).count() == 0
 
 
+def test_short_items_match_where_their_words_stand(docs_of, items_of):
+    docs = [(1, "Big red; dog"), (2, "big dog red"), (3, "the big red dog big red dog"), (4, "red"), (5, "bigred dog"), (6, "x " * 30_000 + "RED")]
+    items = [(1, "big red dog"), (2, "Red!"), (3, "dog big red dog"), (4, "..."), (5, "red dog big red dog")]
+    rows = {(r.doc_id, r.item_id): (r.similarity, r.start_word, r.n_words)
+            for r in dc.contaminated(docs_of(docs), items_of(items)).collect()}
+    assert rows == {(1, 1): (1.0, 0, 3), (3, 1): (1.0, 1, 3), (1, 2): (1.0, 1, 1), (2, 2): (1.0, 2, 1), (3, 2): (1.0, 2, 1),
+                    (4, 2): (1.0, 0, 1), (6, 2): (1.0, 30_000, 1), (3, 3): (1.0, 3, 4), (3, 5): (1.0, 2, 5)}
+
+
+def test_a_window_is_compared_with_its_own_items_only(spark, docs_of, items_of):
+    """Items of one length and no common shingle: a candidate row for each block of a window and its item at most."""
+    rnd = random.Random(8)
+    items = [(i, " ".join(f"w{i}x{rnd.randint(0, 9)}" for _ in range(20))) for i in range(30)]
+    docs = [(i, t) for i, t in items]
+    bench = dc.with_shingles(items_of(items).select("item_id", "text")).where("hashes is not null")
+    windows = bench.select(F.monotonically_increasing_id().alias("key"), F.lit(0).alias("start"), "n_words",
+                           F.array(F.struct("item_id")).alias("items"), dc.simhash(dc_cells()).alias("print"))
+    assert dc.candidates(windows, bench).count() == 30 * (dc.RADIUS + 1)
+    assert len(found(dc.contaminated(docs_of(docs), items_of(items)))) == 30
+
+
+def dc_cells():
+    return "transform(hashes, (h, i) -> if(array_position(hashes, h) = i + 1, h, xxhash64(h, size(filter(slice(hashes, 1, i), x -> x = h)))))"
+
+
 def test_same_result_without_broadcast(docs_of, items_of, monkeypatch):
     item = "one two three four five six seven eight nine ten"
     monkeypatch.setattr(dc, "small_side", lambda df: df)
