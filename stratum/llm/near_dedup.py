@@ -18,7 +18,8 @@ Nothing is capped: a bucket of any size is worked off in blocks.  Texts of 0.8 s
 probability 1 - (1 - 0.8**4)**20 = 0.99997.
 
 Defined results: texts without any word are in one class only with equal texts; a
-text of one to four words has one shingle; rows with one id are one node; a row
+text of one to four words has one shingle; rows of one id with the same words are one node, with different words
+several, each in its own class; a row
 without id is in no class (NULL); an empty table gives an empty result.  Only the id and
 text columns are read.
 """
@@ -30,7 +31,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm import dart_minhash, shingles
@@ -183,9 +184,41 @@ def links_between(members: DataFrame, cells: DataFrame, threshold: float) -> Dat
     return rows.groupBy("bucket", "i", "j").applyInArrow(run, out.schema)
 
 
+def text_key(text: Column) -> Column:
+    """128 bits of a text, NULL as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
 def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  threshold: float = SIMILARITY) -> DataFrame:
     """One row per input row: (doc_id, class_id, kept); the least id of a class is its name and stays."""
+    found = _classes(df, id_col, text_col, threshold)
+    return found.select("doc_id", "class_id", "kept")
+
+
+def _classes(df: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
+    """(doc_id, class_id, kept, text_key): ``text_key`` is that of the row's text where ids repeat with different
+    texts, else NULL."""
+    ids = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("h"))
+    twice = ids.groupBy("id").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a < b")
+    if twice.isEmpty():
+        return _by_id(df, id_col, text_col, threshold).withColumn("text_key", F.lit(None).cast("binary"))
+    # every (id, text) gets a number of its own, in the order of the ids
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("text_key"))
+    order = rows.where("id is not null").select("id", "text_key").distinct().orderBy("id", "text_key")
+    numbers = stored(order.withColumn("number", F.monotonically_increasing_id()), "near-numbers")
+    numbered = rows.join(numbers, ["id", "text_key"], "left").select("number", "text", "id", "text_key")
+    classes = stored(_by_id(numbered, "number", "text", threshold).distinct(), "near-by-number")
+    name = numbers.select(F.col("number").alias("class_id"), F.col("id").alias("class_name"))
+    told = numbers.join(classes.withColumnRenamed("doc_id", "number"), "number").join(name, "class_id")
+    found = stored(told.select("id", "text_key", F.col("class_name").alias("class_id"), "kept"), "near-named")
+    out = rows.drop("text").join(found, ["id", "text_key"], "left")
+    return out.select(F.col("id").alias("doc_id"), "class_id", F.coalesce("kept", F.lit(True)).alias("kept"), "text_key")
+
+
+def _by_id(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 threshold: float = SIMILARITY) -> DataFrame:
+    """:func:`near_classes` of a table whose ids have one text each."""
     sketch = stored(sketches(df, id_col, text_col), "near-sketches")
     # (node, bands) of each distinct word sequence: copies collapse in the map tasks
     nodes = sketch.groupBy("words").agg(F.min("doc_id").alias("node"), F.count("*").alias("n"),
@@ -220,6 +253,9 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 threshold: float = SIMILARITY) -> DataFrame:
     """The rows of ``df``, with all their columns, that stay."""
-    gone = stored(near_classes(df, id_col, text_col, threshold).where("not kept").select(
-        F.col("doc_id").alias("__gone")).distinct(), "near-gone")
-    return df.join(small_side(gone), df[id_col] == gone["__gone"], "left_anti")
+    gone = stored(_classes(df, id_col, text_col, threshold).where("not kept").select(
+        F.col("doc_id").alias("__gone"), F.col("text_key").alias("__text")).distinct(), "near-gone")
+    same = df[id_col] == gone["__gone"]
+    if not gone.where("__text is not null").isEmpty():
+        same = same & (text_key(df[text_col]) == gone["__text"])
+    return df.join(small_side(gone), same, "left_anti")

@@ -173,33 +173,43 @@ class PrefixCounter:
                         break
         return out
 
-    def words(self, text: str) -> tuple[list[str], int]:
-        """The words of a text after normalisation, and how many special strings stood between them."""
-        specials = 0
-        if self._special and "<|" in text and (parts := self._special.split(text))[1:]:
-            out: list[str] = []
-            for p in parts:
-                out += self.words(p)[0]
-            return out, len(parts) - 1
+    def words(self, text: str) -> list[str]:
+        """The words of a text after normalisation; special strings count as ordinary text."""
         if text.isascii() or not _UNUSUAL.search(text):
             text = text.lower()
-            return (_WORDS if "'" in text else _PLAIN_WORDS).findall(text), specials
+            return (_WORDS if "'" in text else _PLAIN_WORDS).findall(text)
         text = self.library.normalizer.normalize_str(text)
         back = {c: b for b, c in enumerate(self.letters)}
-        return [bytes(back[c] for c in w).decode("utf-8") for w, _ in
-                self.library.pre_tokenizer.pre_tokenize_str(text)], specials
+        return [bytes(back[c] for c in w).decode("utf-8") for w, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
+
+    def segments(self, text: str) -> list[tuple[str, str]]:
+        """The text cut at its special strings, as they stand in it: (what is before, special string), the last without one.
+        Only then is it normalised, so that a string that lower-casing makes look special is not."""
+        if not self._special or "<|" not in text:
+            return [(text, "")]
+        return list(zip(self._special.split(text), [*self._special.findall(text), ""]))
 
     def count(self, text: str) -> int:
-        words, specials = self.words(text)
-        return sum(map(self.totals.__getitem__, words)) + specials
+        return sum(sum(map(self.totals.__getitem__, self.words(part))) + bool(special) for part, special in self.segments(text))
 
     def normalised(self, text: str) -> str:
-        return self.library.normalizer.normalize_str(text)
+        return "".join(self.library.normalizer.normalize_str(part) + special for part, special in self.segments(text))
 
     def prefix_counts(self, text: str) -> np.ndarray:
-        """Tokens of each prefix of a normalised text, at lengths 0 to len(text); no special strings inside."""
+        """Tokens of each prefix of the normalised text, at lengths 0 to its length.  A prefix that ends inside a special
+        string ends in ordinary text."""
+        tables, total = [], 0
+        for part, special in self.segments(text):
+            part = self.library.normalizer.normalize_str(part)
+            table = total + self.plain_counts(part + special)
+            total = int(table[len(part)]) + bool(special)
+            tables.append(table[:-1] if special else table)  # the whole special string is the next table's first place
+        return np.concatenate(tables)
+
+    def plain_counts(self, text: str) -> np.ndarray:
+        """Tokens of each prefix of a normalised text without special strings."""
         out, at, total = np.zeros(len(text) + 1, np.int32), 0, 0
-        for word in self.words(text)[0]:
+        for word in self.words(text):
             start = text.index(word, at)
             out[at:start + 1] = total
             table = self.long_counts(self.spelled(word))
@@ -212,16 +222,22 @@ class PrefixCounter:
         return out
 
     def cut(self, text: str, budget: int) -> int:
-        """The longest prefix (characters of the normalised text) of at most ``budget`` tokens, cut after a word."""
-        words, _ = self.words(text)
-        totals = np.cumsum([self.totals[w] for w in words])
-        n = int(np.searchsorted(totals, budget, side="right"))
-        if n == len(words):
-            return len(text)
-        at = 0
-        for w in words[:n]:
-            at = text.index(w, at) + len(w)
-        return at
+        """The longest prefix (characters of the normalised text) of at most ``budget`` tokens that ends after a word or a
+        special string; the whole text if it has no more."""
+        done, spent = 0, 0
+        for part, special in self.segments(text):
+            words = self.words(part)
+            totals = np.cumsum([self.totals[w] for w in words], dtype=np.int64)
+            n = int(np.searchsorted(totals, budget - spent, side="right"))
+            part = self.library.normalizer.normalize_str(part)
+            if n < len(words) or special and spent + (int(totals[-1]) if n else 0) + 1 > budget:
+                at = 0
+                for w in words[:n]:
+                    at = part.index(w, at) + len(w)
+                return done + at
+            spent += (int(totals[-1]) if n else 0) + bool(special)
+            done += len(part) + len(special)
+        return done
 
 
 class _Totals(dict):
@@ -246,19 +262,21 @@ def counter(path: str) -> PrefixCounter:
 
 def count_tokens(df: DataFrame, path: str, limit: int = 2048, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """Per row: id, n_bytes (UTF-8), n_tokens, over_limit (more than ``limit`` tokens)."""
+    """Per row: id, n_bytes (UTF-8), n_tokens, over_limit (more than ``limit`` tokens), and cut_chars: where the
+    normalised text is to be cut to hold ``limit`` tokens at most (after a word; NULL where it need not be)."""
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(path).count
+        c = counter(path)
         for part, texts in text_slices(batches):
-            n = np.fromiter(map(count, texts), np.int64, len(texts))
+            n = np.fromiter(map(c.count, texts), np.int64, len(texts))
+            cuts = pa.array([c.cut(t, limit) if m > limit else None for t, m in zip(texts, n.tolist())], pa.int64())
             size = pa.array([len(t) if t.isascii() else len(t.encode()) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column(0), size, pa.array(n), pa.array(n > limit)],
-                                             names=[id_col, "n_bytes", "n_tokens", "over_limit"])
+            yield pa.RecordBatch.from_arrays([part.column(0), size, pa.array(n), pa.array(n > limit), cuts],
+                                             names=[id_col, "n_bytes", "n_tokens", "over_limit", "cut_chars"])
 
     return df.select(id_col, text_col).mapInArrow(
-        run, f"`{id_col}` {id_type}, n_bytes long, n_tokens long, over_limit boolean")
+        run, f"`{id_col}` {id_type}, n_bytes long, n_tokens long, over_limit boolean, cut_chars long")
 
 
 def prefix_tables(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -270,7 +288,7 @@ def prefix_tables(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
         c = counter(path)
         for part, texts in text_slices(batches, limit=1 << 20):
             norm = [c.normalised(t) for t in texts]
-            counts = pa.array([c.prefix_counts(t) for t in norm], pa.list_(pa.int32()))
+            counts = pa.array([c.prefix_counts(t) for t in texts], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(norm, pa.string()), counts],
                                              names=[id_col, "normalised", "prefix_counts"])
 

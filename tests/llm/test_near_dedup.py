@@ -160,6 +160,19 @@ def test_frame_edges(docs_of):
     assert near_dedup.near_classes(docs_of([])).count() == 0
 
 
+def test_one_id_with_several_texts(docs_of):
+    """Each text of an id has its own class; no text without a copy is lost."""
+    a, b, c = "a b c d e f g", "q r s t u v w", "k l m n o p"
+    rows = [(3, a), (5, a), (5, b), (5, b), (7, c), (7, None), (9, b), (None, a), (9, "z")]
+    got = Counter((r.doc_id, r.class_id, r.kept) for r in near_dedup.near_classes(docs_of(rows)).collect())
+    assert got == Counter([(3, 3, True), (5, 3, False), (5, 5, True), (5, 5, True), (7, 7, True), (7, 7, True), (9, 5, False),
+                           (None, None, True), (9, 9, True)])
+    kept = near_dedup.one_of_each(docs_of(rows))
+    assert kept.columns == ["doc_id", "text", "kept", "n_tokens"]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(
+        [(3, a), (5, b), (5, b), (7, c), (7, None), (None, a), (9, "z")])
+
+
 def test_query_equals_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_CHECK}/documents.parquet").collect()]
     got = {r.doc_id: r.class_id for r in op5_near_dedup(spark, SF_CHECK).collect()}

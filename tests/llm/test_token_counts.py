@@ -40,6 +40,23 @@ def test_every_prefix(count):
         assert list(count.prefix_counts(text)) == [library(count, text[:k]) for k in range(len(text) + 1)], text
 
 
+def test_every_prefix_of_texts_with_special_strings(count):
+    rnd = random.Random(3)
+    for i in range(120):
+        parts = ["".join(rnd.choice("ab é'll 1,<|end") for _ in range(rnd.randint(0, 9))) for _ in range(rnd.randint(1, 4))]
+        text = count.normalised(rnd.choice(["<|endoftext|>", "<|startoftext|>", "<|endoftext|><|endoftext|>"]).join(parts))
+        want = [library(count, text[:k]) for k in range(len(text) + 1)]
+        assert list(count.prefix_counts(text)) == want, text
+        for budget in range(0, want[-1] + 2):
+            at = count.cut(text, budget)
+            assert library(count, text[:at]) <= budget and (at == len(text)) == (want[-1] <= budget), (text, budget)
+    text = "hello world<|endoftext|>again here"
+    assert count.prefix_counts(text)[-1] == count.count(text) == 5
+    assert text[:count.cut(text, 3)] == "hello world<|endoftext|>" and text[:count.cut(text, 2)] == "hello world"
+    upper = "a<|ENDOFTEXT|>b"
+    assert count.count(upper) == library(count, upper) == count.prefix_counts(upper)[-1]
+
+
 def test_long_word(count):
     word = "abcdefghij" * 400
     assert count.count(word) == library(count, word)
@@ -50,6 +67,8 @@ def test_frame(docs_of, count):
     got = {(r[0], r[1], r[2], r[3]) for r in token_counts.count_tokens(docs_of(rows), PATH).collect()}
     want = {(i, len(t or ""), library(count, t or ""), library(count, t or "") > 2048) for i, t in rows}
     assert got == want
+    cuts = {r.doc_id: r.cut_chars for r in token_counts.count_tokens(docs_of(rows), PATH).collect()}
+    assert cuts[4] == 2048 * 5 - 1 and cuts[3] is None
     assert token_counts.count_tokens(docs_of([]), PATH).count() == 0
 
 
