@@ -121,6 +121,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every span of every text, and beside the spans their scores in hundredths, in the same order."""
     found = pii.detect(table(spark, sf_dir, "documents"))
     written = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
     base = F.transform(F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS)),
@@ -130,7 +131,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return found.select("doc_id", *map(count, pii.BASE_KINDS), F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
-                        F.array_join(written, ",").alias("spans"))
+                        F.array_join(written, ",").alias("spans"),
+                        F.array_join(F.transform("spans", lambda s: F.round(s["score"] * 100).cast("int").cast("string")), ",")
+                        .alias("scores"))
 
 
 #: Fixed values of the query: which hosts and paths are allowed or blocked whatever their words are.

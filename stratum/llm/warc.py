@@ -6,10 +6,9 @@ an as-of join.  A revisit is resolved if its validators agree with that response
 comparison, else Last-Modified; none: nothing to check), and takes that response's status
 and payload, and its headers with those that a 304 may update replaced by the revisit's.
 
-The as-of join keeps to narrow rows (URL, time, id) and splits a URL by hours: the
-latest response of each (URL, hour) is aggregated first, and carried on over the hours that
-have none; inside an hour it is a running maximum.  So a URL that holds a third of all
-records is spread over its hours.  Payloads meet their revisits last, by record id, in a join
+The as-of join keeps to narrow rows (URL, time, id), one a time of a URL, and splits a URL by hours and
+seconds (:func:`with_base`), so a URL that holds a third of all records, or a busy hour of one, is spread.
+Payloads meet their revisits last, by record id, in a join
 of a stored table that Spark splits where many revisits share one response.
 
 Records are read from and written to WARC/1.1 bytes, one record per row; names of headers are
@@ -104,24 +103,35 @@ def read_records(raw: DataFrame) -> DataFrame:
         F.when(F.col("type") == "response", F.expr("substr(rest, 1, greatest(length(rest) - 4, 0))")).alias("payload"))
 
 
-def with_base(revisits: DataFrame, responses: DataFrame, hours: int = 1) -> DataFrame:
+def with_base(revisits: DataFrame, responses: DataFrame) -> DataFrame:
     """``revisits`` (canonical, at, ...) with ``base_id``: the record_id of the latest response (record_id,
-    canonical, at) before each; times in microseconds."""
-    kind = responses.schema["record_id"].dataType
-    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in revisits.schema if f.name not in ("canonical", "at")]
-    both = (revisits.select("*", F.lit(None).cast(kind).alias("full"), F.lit(True).alias("asks"))
-            .unionByName(responses.where("canonical is not null and at is not null and record_id is not null").select(
-                "canonical", "at", *blank, F.col("record_id").alias("full"), F.lit(False).alias("asks")))
-            .withColumn("hour", F.floor(F.col("at") / (hours * 3_600_000_000))))
-    inside = Window.partitionBy("canonical", "hour").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
-    so_far = Window.partitionBy("canonical").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
-    newest = F.max(F.when(~F.col("asks"), F.struct("at", "full")))
-    # one row per URL and hour: the response that the hours before it left behind
-    carried = (both.groupBy("canonical", "hour").agg(newest.alias("last"))
-               .withColumn("left", F.last("last", ignorenulls=True).over(so_far))
-               .select("canonical", "hour", F.col("left.full").alias("carried")))
-    found = both.withColumn("own", newest.over(inside)["full"]).where("asks").join(carried, ["canonical", "hour"], "left")
-    return found.select(*revisits.columns, F.coalesce("own", "carried").alias("base_id"))
+    canonical, at) before each; times in microseconds.
+
+    Only times move: all that a URL has at one time is one row (a partial aggregate), and the latest response is looked for
+    inside a second, among an hour's seconds, then among a URL's hours, so that no window holds more than one of
+    these, however busy a URL or an hour is.  The revisits themselves are joined to their times once.
+    """
+    known = responses.where("canonical is not null and at is not null and record_id is not null")
+    times = (known.select("canonical", "at", F.col("record_id").alias("full"), F.lit(False).alias("asks"))
+             .unionByName(revisits.select("canonical", "at", F.lit(None).cast(known.schema["record_id"].dataType).alias("full"),
+                                          F.lit(True).alias("asks")))
+             .groupBy("canonical", "at").agg(F.max("full").alias("full"), F.max("asks").alias("asks"))
+             .withColumns({"second": F.floor(F.col("at") / 1_000_000), "hour": F.floor(F.col("at") / 3_600_000_000),
+                           "here": F.when(F.col("full").isNotNull(), F.struct("at", "full"))}))
+
+    def before(rows: DataFrame, within: list[str], order: str, out: str) -> DataFrame:
+        earlier = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn(out, F.max("here").over(earlier))
+
+    seconds = times.groupBy("canonical", "hour", "second").agg(F.max("here").alias("here"))
+    hours = times.groupBy("canonical", "hour").agg(F.max("here").alias("here"))
+    # what earlier seconds of the hour, and earlier hours, leave behind
+    left = (before(seconds, ["canonical", "hour"], "second", "in_hour").drop("here")
+            .join(before(hours, ["canonical"], "hour", "so_far").drop("here"), ["canonical", "hour"]))
+    found = (before(times, ["canonical", "second"], "at", "in_second").where("asks").drop("hour", "here", "full")
+             .join(left, ["canonical", "second"])
+             .select("canonical", "at", F.coalesce("in_second", "in_hour", "so_far")["full"].alias("base_id")))
+    return revisits.join(stored(found, "warc-bases"), ["canonical", "at"]).select(*revisits.columns, "base_id")
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
