@@ -386,6 +386,7 @@ def build_io() -> dict[str, Query]:
         "full_run_merchant_performance": _stored("merchant_performance"),
         "bronze_customers_stream": _streamed("customers"),
         "bronze_transactions_stream": _streamed("transactions"),
+        "stream_trailing_counts": _streamed_counts,
     }
 
 
@@ -410,3 +411,24 @@ def _streamed(entity: str) -> Query:
         table = read_table(spark, _RUNS[key])
         return present(table.drop("ingest", "batch_id", feeds.CORRUPT, feeds.BAD))
     return q
+
+
+def _streamed_counts(spark, d):
+    """The trailing count of every event, from a stream: a first run over the feed, a second one once a far later row has
+    moved the watermark over all of it."""
+    from stratum.streaming import ingest
+    from stratum.streaming.velocity import trailing_counts
+
+    key = (session_key(spark), d, "stream-counts")
+    if key not in _RUNS:
+        root = scratch_path(spark, "stream-counts")
+        events = _events(spark, d).select("transaction_id", "customer_id", F.col("transaction_date").cast("timestamp").alias("transaction_date"))
+        last = events.limit(0).unionByName(spark.sql("select timestamp'2200-01-01' as transaction_date"), allowMissingColumns=True)
+        for rows in (events, last):
+            rows.write.mode("append").parquet(f"{root}/feed")
+            stream = spark.readStream.schema(events.schema).parquet(f"{root}/feed")
+            query = (trailing_counts(stream, CHECK_WINDOW, "3650 days").writeStream.format("parquet").option("path", f"{root}/out")
+                     .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+            ingest.run_to_completion(query)
+        _RUNS[key] = f"{root}/out"
+    return read_table(spark, _RUNS[key])

@@ -407,6 +407,11 @@ def build() -> dict[str, str]:
         "fraud_high_risk": fraud_high_risk_sql(86400, 5, 3.0),
     }
     out["invalid_counts_at_write"] = out["invalid_counts"]
+    out["stream_trailing_counts"] = with_views(
+        "select cast(customer_id as varchar) as customer_id, cast(transaction_id as varchar) as transaction_id, "
+        "cast(floor(epoch(transaction_date)) as bigint) as second, count(transaction_id) over (partition by customer_id "
+        "order by cast(floor(epoch(transaction_date)) as bigint) range between 86400 preceding and current row) as txn_count "
+        "from events_tx where transaction_date is not null", "events_tx")
     out["bronze_cast_issues"] = cast_issues_sql()
     out["full_run_stamps"] = stamps_sql()
     out["gold_monthly_customers"] = with_views(MONTHLY_CUSTOMERS, "transactions_raw", ctes=SILVER_T)
