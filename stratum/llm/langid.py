@@ -4,7 +4,7 @@ The network reads a word's bytes from both ends (two GRUs), gives every byte
 position a distribution over the learned languages, and a document's
 probabilities are the mean over its letter positions.  It is trained here, in
 numpy, by backpropagation through time.  The recurrence starts anew at white
-space and after ``SPAN`` bytes, so equal words have equal labels wherever they
+space and, in words of over ``SPAN`` bytes, between characters, so equal words have equal labels wherever they
 stand: each worker runs the network once per distinct word and pools a document's
 positions from those results, over its whole text.
 
@@ -34,7 +34,6 @@ SPAN = 32
 CACHE_ENTRIES = 300_000
 UNDETERMINED = "und"
 _LETTER = regex.compile(r"\p{L}")
-_PIECES = regex.compile(rf"\S{{1,{SPAN}}}")
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -139,17 +138,33 @@ def packed(words: list[bytes], steps: int) -> np.ndarray:
     return np.frombuffer(b"".join(w.ljust(steps, b"\0") for w in words), np.uint8).reshape(len(words), steps)
 
 
-def letter_bytes(data: np.ndarray) -> np.ndarray:
-    """Bytes that can belong to a letter: ASCII letters and all of a multi-byte character."""
-    return (data >= 128) | ((data | 32) - np.uint8(97) < 26)
+def pieces(word: bytes) -> list[bytes]:
+    """A word's bytes in runs of at most ``SPAN``, cut between characters; nothing is left out."""
+    out, start = [], 0
+    while len(word) - start > SPAN:
+        end = start + SPAN
+        while word[end] & 0xC0 == 0x80:  # inside a character
+            end -= 1
+        out.append(word[start:end])
+        start = end
+    return [*out, word[start:]]
+
+
+def letter_mask(data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which bytes of packed words belong to a letter: ASCII letters, and all bytes of other characters that are letters."""
+    mask = (np.arange(data.shape[1]) < sizes[:, None]) & ((data | 32) - np.uint8(97) < 26)
+    for row in np.flatnonzero((data >= 128).any(1)):
+        word = data[row, :sizes[row]].tobytes().decode()
+        mask[row, :sizes[row]] = np.repeat([c.isalpha() for c in word], [len(c.encode()) for c in word])
+    return mask
 
 
 def train(texts: list[str], labels: list[str], hidden: int = 12, steps: int = 500, batch: int = 512,
           rate: float = 0.01, seed: int = 7) -> BiGru | None:
     """Fit the network on words of labelled texts, drawn with equal weight per language."""
     langs = sorted(set(labels))
-    pools = [[p.encode()[:SPAN] for t, l in zip(texts, labels) if l == lang for p in _PIECES.findall(t)
-              if _LETTER.search(p)] for lang in langs]
+    pools = [[p for t, l in zip(texts, labels) if l == lang for w in t.split() if _LETTER.search(w)
+              for p in pieces(w.encode())] for lang in langs]
     langs, pools = [l for l, p in zip(langs, pools) if p], [p for p in pools if p]
     if not langs:
         return None
@@ -162,7 +177,7 @@ def train(texts: list[str], labels: list[str], hidden: int = 12, steps: int = 50
         words = [pools[k][rng.integers(len(pools[k]))] for k in label]
         sizes = np.fromiter(map(len, words), np.int64, batch)
         data = packed(words, int(sizes.max()))
-        mask = ((np.arange(data.shape[1]) < sizes[:, None]) & letter_bytes(data)).astype(np.float32)
+        mask = letter_mask(data, sizes).astype(np.float32)
         _, g = net.gradients(data, sizes, label, mask)
         lr = rate * min(1.0, 2 * (1 - step / (steps + 1)))
         for k, p in net.params.items():
@@ -192,13 +207,12 @@ class Pooled:
             self.sums = grown
         owners, words = [], []
         for i, w in enumerate(new):
-            b = w.encode()
-            for s in range(0, len(b), SPAN):
-                owners.append(at + i)
-                words.append(b[s:s + SPAN])
+            own = pieces(w.encode())
+            owners += [at + i] * len(own)
+            words += own
         owner = np.array(owners, np.int64)
         for block, data, size, p in self.net.positions(words):
-            mask = (np.arange(data.shape[1]) < size[:, None]) & letter_bytes(data)
+            mask = letter_mask(data, size)
             np.add.at(self.sums[:, :-1], owner[block], (p * mask[:, :, None]).sum(1))
             np.add.at(self.sums[:, -1], owner[block], mask.sum(1))
 
@@ -210,8 +224,6 @@ class Pooled:
         look = self.index.__getitem__
         for text in texts:
             words = text.split()
-            if max(map(len, words), default=0) > SPAN:
-                words = _PIECES.findall(text)
             ids.append(np.fromiter(map(look, words), np.int64, len(words)))
             counts.append(len(words))
         new = list(self.index)[known:] if len(self.index) > known else []
@@ -297,15 +309,14 @@ def position_runs(net: BiGru, text: str) -> list[dict]:
     for word in regex.splititer(r"(\s+)", text):
         b = word.encode()
         if word.strip():
-            for s in range(0, len(b), SPAN):
-                words.append(b[s:s + SPAN])
-                starts.append(at + s)
+            own = pieces(b)
+            words += own
+            starts += (at + np.cumsum([0, *map(len, own[:-1])])).tolist()
         at += len(b)
-    for block, _, size, p in net.positions(words):
-        best = p.argmax(2)
+    for block, packed_words, size, p in net.positions(words):
+        best = np.where(letter_mask(packed_words, size), p.argmax(2), -1)
         for row, i in enumerate(block):
             label[starts[i]:starts[i] + size[row]] = best[row, :size[row]]
-    label[~letter_bytes(data)] = -1
     edges = np.flatnonzero(np.diff(label)) + 1
     return [{"start": int(s), "end": int(e), "lang": net.langs[label[s]]}
             for s, e in zip([0, *edges], [*edges, len(label)]) if e > s and label[s] >= 0]

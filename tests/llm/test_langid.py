@@ -1,3 +1,5 @@
+import unicodedata
+
 import numpy as np
 import pytest
 
@@ -16,7 +18,7 @@ def test_gradients_equal_finite_differences():
     net = small_net()
     words, size = [b"abc", b"de", b"fghij"], np.array([3, 2, 5])
     data, label = langid.packed(words, 5), np.array([0, 1, 2])
-    mask = ((np.arange(5) < size[:, None]) & langid.letter_bytes(data)).astype(float)
+    mask = langid.letter_mask(data, size).astype(float)
     _, g = net.gradients(data, size, label, mask)
     for k, p in net.params.items():
         at = np.unravel_index(np.argmax(abs(g[k])), g[k].shape)
@@ -28,19 +30,29 @@ def test_gradients_equal_finite_differences():
         assert g[k][at] == pytest.approx((sides[0] - sides[1]) / (2 * e), rel=1e-2)
 
 
+def letters(text):
+    """Which bytes of a text belong to a letter."""
+    return [unicodedata.category(c)[0] == "L" for c in text for _ in c.encode()]
+
+
+def test_pieces_lose_nothing_and_cut_between_characters():
+    for word in ("", "x" * 31, "x" * 33, "é" * 50, "x" + "漢" * 40, "😀" * 9, "a😀" * 30):
+        cut = langid.pieces(word.encode())
+        assert b"".join(cut) == word.encode() and all(len(p) <= langid.SPAN for p in cut)
+        assert "".join(p.decode() for p in cut) == word
+
+
 def test_pooled_equals_one_word_at_a_time():
     net = langid.BiGru.fresh(["a", "b"], 5, np.random.default_rng(1))
-    texts = ["Hello wörld 42 again", "", "x" * 100 + " y", "  \n", "Hello Hello"]
+    texts = ["Hello wörld 42 again", "", "x" * 100 + " y", "  \n", "Hello Hello", "漢字" * 40 + "é" * 33 + "—€—", "— €"]
     got = langid.Pooled(net).documents(texts)
     for text, row in zip(texts, got):
         total, n = np.zeros(2), 0
-        for word in langid._PIECES.findall(text):
-            b = word.encode()
-            for s in range(0, len(b), langid.SPAN):
-                piece = b[s:s + langid.SPAN]
-                (_, data, _, p), = net.positions([piece])
-                mask = langid.letter_bytes(data)[0]
-                total, n = total + p[0][mask].sum(0), n + mask.sum()
+        for word in text.split():
+            for piece in langid.pieces(word.encode()):
+                (_, _, _, p), = net.positions([piece])
+                mask = letters(piece.decode())
+                total, n = total + p[0][mask].sum(0), n + sum(mask)
         assert row == pytest.approx(total / max(n, 1), abs=1e-4)
 
 
@@ -56,10 +68,10 @@ def test_forgetting_changes_nothing(monkeypatch):
 
 def test_position_runs_cover_letters():
     net = langid.BiGru.fresh(["a", "b"], 5, np.random.default_rng(1))
-    text = "Hé, 12 word"
+    text = "Hé, 12 word — 5€ " + "漢字" * 30
     runs = langid.position_runs(net, text)
     covered = {i for r in runs for i in range(r["start"], r["end"])}
-    assert covered == set(np.flatnonzero(langid.letter_bytes(np.frombuffer(text.encode(), np.uint8))))
+    assert covered == set(np.flatnonzero(letters(text)))
     assert langid.position_runs(net, "") == []
 
 
