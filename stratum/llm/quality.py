@@ -199,10 +199,10 @@ class Model:
 def fit(df: DataFrame, labels: DataFrame, label_col: str = "quality", sample: int = 6000, id_col: str = "doc_id",
         text_col: str = "text", **options) -> Model:
     """Word vectors from all rows of ``df``; the network from at most ``sample`` labelled rows, the first in a
-    hash order of their ids."""
+    hash order of their ids; an id with several labels has the greatest."""
     vectors = word_vectors(df, text_col)
-    some = (labels.where(F.col(label_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).alias("y"))
-            .dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(sample))
+    some = (labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("y"))
+            .orderBy(F.xxhash64("id"), "id").limit(sample))
     # the labelled ids are at most ``sample`` rows, so their join may be broadcast
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(some), "id")
     shape = f"array<float>"
@@ -216,7 +216,7 @@ def fit(df: DataFrame, labels: DataFrame, label_col: str = "quality", sample: in
 
     y_type = rows.schema["y"].dataType.simpleString()
     id_type = rows.schema["id"].dataType.simpleString()
-    got = rows.select("id", "y", "text").mapInArrow(run, f"id {id_type}, y {y_type}, x {shape}").orderBy("id").collect()
+    got = rows.select("id", "y", "text").mapInArrow(run, f"id {id_type}, y {y_type}, x {shape}").orderBy("id", "x").collect()
     x = np.array([r.x for r in got], np.float32).reshape(-1, DIM + MEASURES)
     return Model(vectors, train(x, np.array([float(r.y) for r in got]), **options))
 

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -25,6 +27,42 @@ def test_word_vectors_equal_brute_force(docs_of):
     assert not quality.word_vectors(docs_of([])).any()
 
 
+def brute_score(text, model):
+    """One document, word by word and unit by unit."""
+    n, net = quality.DIM, model.network
+    ids = quality.slots_of(text, quality._Slots()).tolist()
+    x = [0.0] * (n + quality.MEASURES)
+    if ids:
+        for i in ids:
+            for d in range(n):
+                x[d] += float(model.vectors[i, d]) / len(ids)
+        x[n:] = [math.sqrt(sum(v * v for v in x[:n])), sum(i == quality.REPEAT for i in ids) / len(ids),
+                 sum(c.isupper() for c in text) / len(text), math.log(1 + len(ids)) / 10]
+    z = [(v - m) / s for v, m, s in zip(x, net.mean, net.scale)]
+    hidden = [math.tanh(sum(a * net.w1[i, j] for i, a in enumerate(z)) + net.b1[j]) for j in range(len(net.b1))]
+    logit = sum(h * w for h, w in zip(hidden, net.w2)) + net.b2
+    return 1 / (1 + math.exp(-logit / net.temperature))
+
+
+def test_scores_equal_brute_force(docs_of, spark):
+    rows = [(i, f"some plain words number{i} here and there") for i in range(15)]
+    rows += [(i, f"BAD bad bad {i}!! bad bad") for i in range(15, 30)] + [(30, None), (31, ""), (32, "Ünï çode 42 ... X"), (33, "w " * 70_000)]
+    labels = spark.createDataFrame([(i, int(i < 15)) for i in range(30)], "doc_id long, quality int")
+    model = quality.fit(docs_of(rows), labels)
+    got = {r.doc_id: r.score for r in quality.score(docs_of(rows), model).collect()}
+    assert model.network.temperature > 0
+    for i, text in rows:
+        assert got[i] == pytest.approx(brute_score(text or "", model), abs=2e-4), i
+
+
+def test_an_id_with_several_labels_has_the_greatest(docs_of, spark):
+    rows = [(i, "good plain words here" if i < 9 else "bad!! bad!!") for i in range(18)]
+    one = spark.createDataFrame([(i, int(i < 9)) for i in range(18)], "doc_id long, quality int")
+    more = one.unionByName(spark.createDataFrame([(i, 0) for i in range(9)] * 3, "doc_id long, quality int")).repartition(5)
+    a, b = quality.fit(docs_of(rows), one), quality.fit(docs_of(rows), more)
+    assert (a.network.w1 == b.network.w1).all() and a.network.temperature == b.network.temperature
+
+
 def test_temperature_calibrates():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(4000, 6))
