@@ -1,4 +1,12 @@
-"""The corpus pipeline: five filtering and encoding stages over ``documents``."""
+"""The corpus pipeline: five filtering and encoding stages over ``documents``.
+
+Each stage takes the rows that its predecessor left, with all their columns, and is defined as its operator is:
+a NULL text counts as empty in every stage; rows are told apart by id and text, so rows of one id with
+different texts are judged each for itself, and rows equal in both are one document, of which the exact stage keeps one;
+a NULL id never wins over another id; ties go to the largest id in the exact stage and to the least in the near one; of
+columns beyond those of ``documents`` all are kept by the filtering stages, whatever their names; an empty table goes
+through all stages and gives an empty result.  Without a usable label every document has the same score of one half and stays.
+"""
 
 from __future__ import annotations
 
