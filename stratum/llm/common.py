@@ -32,7 +32,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def small_side(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
     """A stored table as one side of a join: broadcast if it has at most ``most_rows`` rows, else left to
-    Spark's shuffle joins.  For rows of a few dozen bytes, so that the larger side stays where it is."""
+    Spark's shuffle joins.  For rows of a few dozen bytes (keys, ids, counts: 100 MB at most by default), so that the
+    larger side stays where it is; callers with longer rows pass a smaller bound."""
     return F.broadcast(df) if df.count() <= most_rows else df
 
 

@@ -15,7 +15,11 @@ def components(links: DataFrame) -> DataFrame:
     label; paths shorten by more than half a round.  Every round is written to the shared
     folder, so that a lost executor costs a round at most.  Minima are taken in each map task before
     a shuffle, and joins are of stored tables, which Spark splits at a hot node.
+
+    Defined results: a link of a node to itself makes a component of its own; repeated and reversed links count once;
+    links with a NULL end are left out; without links there are no rows.
     """
+    links = links.where("a is not null and b is not null")
     both = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))),
                   "component-links")
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")),

@@ -123,6 +123,9 @@ def test_components(spark):
            components.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: find(x) for x in parent}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    odd = [(7, 7), (1, 2), (2, 1), (1, 2), (None, 1), (5, None)]
+    assert {tuple(r) for r in components.components(spark.createDataFrame(odd, "a long, b long")).collect()} == {
+        (7, 7), (1, 1), (2, 1)}
 
 
 def near_copies(n, words, seed):
