@@ -135,9 +135,10 @@ def block_links(sets: list[np.ndarray], component: np.ndarray, threshold: float)
     owner, column = owner[order], np.unique(column[order], return_inverse=True)[1]
     both = np.zeros((len(sets), len(sets)), np.float32)
     width = max(1, (4 << 20) // max(1, len(sets)))  # 16 MB of matrix at a time
-    for at in range(0, int(column.max(initial=-1)) + 1, width):
+    columns = int(column.max(initial=-1)) + 1
+    for at in range(0, columns, width):
         a, b = np.searchsorted(column, [at, at + width])
-        m = np.zeros((len(sets), width), np.float32)
+        m = np.zeros((len(sets), min(width, columns - at)), np.float32)  # most groups have few columns
         m[owner[a:b], column[a:b] - at] = 1
         both += m @ m.T
     similar = both >= threshold * (sizes[:, None] + sizes - both)
