@@ -225,3 +225,39 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
     sc = SimpleNamespace(master="spark://host:7077", getConf=lambda: conf, getCheckpointDir=lambda: None)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.checkpoint_root(SimpleNamespace(conf=conf, sparkContext=sc))
+
+
+ODD_TEXTS = [None, "", " ", "1", " 12 ", "+7", "-7", "1234.0", "12.5", "1e3", "1E3 ", ".5", "5.", "1.e2", "1d", "2F", "0x1p3", "0x", "12x4", "1.5 PEN",
+             "NaN", "nan", "inf", "+inf", "-Infinity", "infinite", "\t3", "3\n", "4\x7f", "\x014", "1_0", "١", "3000000000", "9007199254740993",
+             "9223372036854775808", "1e30", "true", " TRUE", "t\t", "yes", "N", "no", "maybe", "1.0", "0.0", "-0", "00", "31/12/1999", "1999-06-15",
+             "86400000", "20240101", "1 2", "--1", "e5", "1e", " 1", "1 "]
+
+
+def test_guarded_casts_take_what_plain_ones_take(spark):
+    from pyspark.sql import types as T
+    from stratum.functions import casts
+
+    rows = spark.createDataFrame([(i, s) for i, s in enumerate(ODD_TEXTS)], "i int, s string").withColumn("t", F.trim("s"))
+    d = F.col("t").try_cast("double")
+    number = {k: F.coalesce(F.col("t").try_cast(k), F.when(d == F.floor(d), d.try_cast(k))) for k in ("int", "bigint")}
+    plain = {"double": F.col("s").try_cast("double"), **number,
+             "boolean": F.coalesce(F.col("t").try_cast("boolean"), F.when(d == 1, True).when(d == 0, False)),
+             "date": F.when(F.col("t").try_cast("bigint").isNull(), F.col("t").try_cast("date")).otherwise(casts.lenient_date(F.col("s")))}
+    kinds = {"double": T.DoubleType(), "int": T.IntegerType(), "bigint": T.LongType(), "boolean": T.BooleanType(), "date": T.DateType()}
+    for name, dtype in kinds.items():
+        pairs = rows.select("s", plain[name].cast("string").alias("p"), casts.lenient_cast(F.col("s"), dtype).cast("string").alias("g"))
+        assert [(r.s, r.g) for r in pairs.collect()] == [(r.s, r.p) for r in pairs.collect()], name
+
+
+def test_fields_are_cast_once_and_only_where_a_cast_can_hold(spark):
+    """A failed try_cast of text raises and catches an error in Spark; each cast stood in a plan three times or more."""
+    from pyspark.sql import types as T
+    from stratum.functions.casts import type_strings
+
+    schema = T.StructType([T.StructField("fee", T.DoubleType()), T.StructField("n", T.IntegerType())])
+    df = spark.range(3).selectExpr("case id when 0 then '1.5 PEN' when 1 then '2' end as fee", "'1234.0' as n", "id")
+    typed = type_strings(df.localCheckpoint(), schema, keep=("id",), failed="bad")
+    plan = typed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast(fee") == 1 and "RLIKE(fee" in plan
+    assert [(r.fee, r.n, r.bad, r.id) for r in typed.orderBy("id").collect()] == [
+        (None, 1234, {"fee": "1.5 PEN"}, 0), (2.0, 1234, None, 1), (None, 1234, None, 2)]
