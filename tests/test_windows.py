@@ -296,3 +296,22 @@ def test_values_spread_to_all_seconds_of_a_key(spark):
         peers = [1 for k, s in rows if k == r["k"] and k is not None and (
             s is None if r["s"] is None else s is not None and r["s"] - 50 <= s <= r["s"])]
         assert r["c"] == len(peers)
+
+
+def test_windows_of_distinct_values_move_rows_twice(spark):
+    """Once to reduce them, once to their buckets; the windows and their netting stay there (five exchanges before)."""
+    import re
+    from stratum.operators.windows import trailing_metrics
+    df = spark.createDataFrame([("a", 5, "x", "y")], "k string, s long, u string, v string").localCheckpoint()
+    plan = trailing_metrics(df, "k", "s", distinct=[("u", "nu", 50), ("v", "nv", 90)], counts=[("u", "c", 40)]
+                            )._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("Exchange", plan)) <= 2
+
+
+def test_a_value_reaches_over_a_border_of_buckets(spark):
+    """Values and counts of a bucket's last seconds are in the next bucket's windows, once, and not in the one after."""
+    from stratum.operators.windows import DAY, trailing_metrics
+    rows = [("a", DAY - 1, "x"), ("a", DAY, "x"), ("a", DAY + 1, "y"), ("a", DAY + 60, None), ("a", 2 * DAY, "y"), (None, None, "z")]
+    df = spark.createDataFrame(rows * 2, "k string, s long, v string")
+    got = {r.s: (r.n, r.c) for r in trailing_metrics(df, "k", "s", distinct=[("v", "n", 60)], counts=[("v", "c", 59)]).collect()}
+    assert got == {DAY - 1: (1, 2), DAY: (1, 4), DAY + 1: (2, 6), DAY + 60: (2, 2), 2 * DAY: (1, 2), None: (1, 2)}
