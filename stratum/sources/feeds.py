@@ -67,7 +67,7 @@ def _first_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
             "value",
             F.monotonically_increasing_id().alias("rid"),
         )
-        .filter((F.col("block_start") == 0) & (F.trim(F.regexp_replace("value", "\ufeff", "")) != ""))
+        .filter((F.col("block_start") == 0) & (F.ltrim("value", F.lit("\ufeff ")) != ""))
         .groupBy("file")
         .agg(F.min_by("value", "rid").alias("header"))
     )
@@ -79,14 +79,17 @@ def feed_headers(spark: SparkSession, path: str | list[str]) -> dict[str, list[s
     The driver gets the distinct headers.  While there is one, its files are ``path``
     itself; only a feed whose layout has drifted needs the files of each layout by name.
     """
-    first = _first_lines(spark, path)
-    found = [r["header"] for r in first.select("header").distinct().collect()]
-    if len(found) <= 1:
-        return {h: [path] if isinstance(path, str) else list(path) for h in found}
-    groups: dict[str, list[str]] = {}
-    for r in first.toLocalIterator():
-        groups.setdefault(r["header"], []).append(literal_path(r["file"]))
-    return {h: sorted(files) for h, files in groups.items()}
+    first = _first_lines(spark, path).persist()  # a row a file; the text is read once for headers and names
+    try:
+        found = [r["header"] for r in first.select("header").distinct().collect()]
+        if len(found) <= 1:
+            return {h: [path] if isinstance(path, str) else list(path) for h in found}
+        groups: dict[str, list[str]] = {}
+        for r in first.toLocalIterator():
+            groups.setdefault(r["header"], []).append(literal_path(r["file"]))
+        return {h: sorted(files) for h, files in groups.items()}
+    finally:
+        first.unpersist()
 
 
 def first_header(spark: SparkSession, path: str | list[str], lines: int = 1000) -> str:

@@ -204,3 +204,25 @@ def test_csv_stream_refuses_a_file_without_its_key(spark):
     with pytest.raises(Exception, match="transaction_id"):
         ingest.run_to_completion(query)
     assert not os.path.exists(f"{root}/table")
+
+
+def test_a_query_exports_only_the_feed_it_reads(spark, monkeypatch):
+    from stratum.plans import catalog
+    asked = []
+    monkeypatch.setattr(catalog, "_RUNS", {})
+    monkeypatch.setattr(catalog, "export_json_lines", lambda df, path, **k: asked.append(path.rsplit("/", 1)[1]))
+    monkeypatch.setattr(catalog, "export_monthly_csv", lambda df, path, *a, **k: asked.append("transactions"))
+    catalog._feed(spark, SF_SMALL, "customers")
+    assert asked == ["customers"]
+    catalog._feeds(spark, SF_SMALL)
+    assert asked == ["customers", "merchants", "transactions", "transactions"]
+
+
+def test_headers_are_looked_for_in_one_pass(spark, monkeypatch):
+    from stratum.sources import feeds
+    root = _folder(spark, {"feed/a.csv": "﻿ \n﻿k,v\n1,2\n", "feed/b.csv": "v,k\n3,4\n", "feed/c.csv": "\n\n"})
+    seen, first_lines = [], feeds._first_lines
+    monkeypatch.setattr(feeds, "_first_lines", lambda *a: seen.append(first_lines(*a)) or seen[-1])
+    found = feeds.feed_headers(spark, f"{root}/feed")
+    assert sorted(h.replace("﻿", "") for h in found) == ["k,v", "v,k"]
+    assert [len(files) for files in found.values()] == [1, 1] and not seen[0].is_cached
