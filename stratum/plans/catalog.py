@@ -421,7 +421,7 @@ def _streamed_counts(spark, d):
     """The trailing count of every event, from a stream: a first run over the feed, a second one once a far later row has
     moved the watermark over all of it."""
     from stratum.streaming import ingest
-    from stratum.streaming.velocity import trailing_counts
+    from stratum.streaming.velocity import shards_for, trailing_counts
 
     key = (session_key(spark), d, "stream-counts")
     if key not in _RUNS:
@@ -430,8 +430,10 @@ def _streamed_counts(spark, d):
         last = events.limit(0).unionByName(spark.sql("select timestamp'2200-01-01' as transaction_date"), allowMissingColumns=True)
         for rows in (events, last):
             rows.write.mode("append").parquet(f"{root}/feed")
+            if rows is events:  # a stream's shards stay as they are
+                shards = shards_for(read_table(spark, f"{root}/feed").count())
             stream = spark.readStream.schema(events.schema).parquet(f"{root}/feed")
-            query = (trailing_counts(stream, CHECK_WINDOW, "3650 days").writeStream.format("parquet").option("path", f"{root}/out")
+            query = (trailing_counts(stream, CHECK_WINDOW, "3650 days", shards=shards).writeStream.format("parquet").option("path", f"{root}/out")
                      .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
             ingest.run_to_completion(query)
         _RUNS[key] = f"{root}/out"

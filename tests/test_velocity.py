@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stratum.session import local_path, scratch_path
 from stratum.streaming.ingest import run_to_completion
-from stratum.streaming.velocity import trailing_counts
+from stratum.streaming.velocity import SHARD_ROWS, SHARDS, shards_for, trailing_counts
 
 START = 1_704_067_200
 SCHEMA = "transaction_id string, customer_id string, transaction_date timestamp"
@@ -70,3 +70,26 @@ def test_late_rows_and_gaps_are_left_out(spark):
     feed.add([("END", "x", 900_000)])
     assert feed.run() == {("A", "c", 100): 1, (None, "c", 101): 2, ("B", "c", 101): 2, ("C", "c", 200): 2, ("D", "c", 195): 1,
                           ("E", "c", 5000): 1}
+
+
+def test_state_is_kept_by_shard_not_by_key(spark):
+    rows = [(f"T{i}", f"c{i % 300}" if i % 7 else None, 40 * (i // 300) + i % 11) for i in range(1500)]
+    feed = Feed(spark, 60, "1 hour")
+    feed.add(rows)
+    events = spark.readStream.schema(SCHEMA).csv(f"{feed.root}/feed")
+
+    def run():
+        query = (trailing_counts(events, 60, "1 hour", shards=3).writeStream.format("parquet").option("path", f"{feed.root}/out")
+                 .option("checkpointLocation", f"{feed.root}/ckpt").trigger(availableNow=True).start())
+        run_to_completion(query)
+        return query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    assert 1 <= run() <= 3  # one bucket
+    feed.add([("END", "x", 900_000)])
+    assert run() == 1  # the last row's group
+    got = {(r.transaction_id, r.customer_id, r.second - START): r.txn_count for r in spark.read.parquet(f"{feed.root}/out").collect()}
+    assert got == brute(rows, 60)
+
+
+def test_shards_grow_with_the_rows():
+    assert shards_for(0) == shards_for(SHARD_ROWS * SHARDS) == SHARDS < shards_for(SHARD_ROWS * SHARDS + 1)
