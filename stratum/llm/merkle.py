@@ -13,7 +13,9 @@ subroots, in order of the group, are the leaves of a tree of the same kind, whos
 * **Proofs** go from the upper tiers down: a block's own path to the root, worked out in the tier above, is joined to its
   row, and all siblings inside are taken by address.  Leaves are not shuffled again.
 
-Every tier is written to the shared folder, so a lost executor costs one tier's tasks.  The driver gets the root.
+Every tier is written to the shared folder, so a lost executor costs one tier's tasks.  The rows in their order, read twice
+and then done with, are kept by Spark on the executors' disks instead: a file a partition would be many small ones, and each
+costs an executor a process or two that sets its mode.  The driver gets the root.
 
 Defined results: a NULL field is written ``-``, another one as its byte count, ``:``, and its value; an empty text is thus
 another leaf than a NULL one.  NULL ids stand before all others, rows of one id by their leaf; rows that are equal in
@@ -24,11 +26,13 @@ its group's subroot, a lone subroot the root.  An empty table has no root and no
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -123,20 +127,26 @@ def leaves(df: DataFrame, fields: Sequence[str], id_col: str = "doc_id", group_c
                      leaf_digest(list(quoted.values())).alias("leaf"), claim.alias("claim"))
 
 
-def numbered(rows: DataFrame, name: str) -> DataFrame:
-    """``rows`` with ``pos``, their place within ``tree`` by (id, leaf) from 0, and ``n``, the rows of the tree."""
+@contextmanager
+def numbered(rows: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``rows`` with ``pos``, their place within ``tree`` by (id, leaf) from 0, and ``n``, the rows of the tree; to be used
+    inside the ``with`` only."""
     order = [F.col("tree"), F.col("id").asc_nulls_first(), F.col("leaf")]
     dealt = stored(rows.withColumn("tie", F.monotonically_increasing_id()), f"{name}-rows")
     ranged = dealt.repartitionByRange(*order, "tie").sortWithinPartitions(*order, "tie").drop("tie")
-    ranked = stored(ranged.withColumn("row", F.monotonically_increasing_id()), f"{name}-ranked")
+    # the order is total and its ranges are drawn once, so a lost partition comes back with the same numbers
+    ranked = ranged.withColumn("row", F.monotonically_increasing_id()).persist(StorageLevel.DISK_ONLY)
     part = F.shiftright("row", 33)
     spans = ranked.groupBy("tree", part.alias("part")).agg(F.min("row").alias("first"), F.count("*").alias("rows"))
     by_tree = Window.partitionBy("tree")
     before = F.sum("rows").over(by_tree.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     offsets = stored(spans.select("tree", "part", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift"),
                                   F.sum("rows").over(by_tree).alias("n")), f"{name}-offsets")
-    return (ranked.withColumn("part", part).join(small_side(offsets), ["tree", "part"])
-            .select(*rows.columns, (F.col("row") + F.col("shift")).alias("pos"), "n"))
+    try:
+        yield (ranked.withColumn("part", part).join(small_side(offsets), ["tree", "part"])
+               .select(*rows.columns, (F.col("row") + F.col("shift")).alias("pos"), "n"))
+    finally:
+        ranked.unpersist()
 
 
 # ---- blocks ----------------------------------------------------------------------
@@ -196,11 +206,12 @@ class Manifest:
 
 def manifest(rows: DataFrame, height: int = HEIGHT) -> Manifest:
     """The manifest of rows as :func:`leaves` gives them."""
-    groups = forest(numbered(rows, "merkle-leaves"), height, "merkle-group")
+    with numbered(rows, "merkle-leaves") as leaves_:
+        groups = forest(leaves_, height, "merkle-group")
     found = tops(groups, height).withColumnRenamed("root", "leaf")
     # one tree over the groups; the order is the group's name, so it stands in the place of the id
-    ranked = stored(numbered(found.select(F.lit("").alias("tree"), F.col("tree").alias("id"), "leaf"), "merkle-subroots"),
-                    "merkle-subroot-order")
+    with numbered(found.select(F.lit("").alias("tree"), F.col("tree").alias("id"), "leaf"), "merkle-subroots") as placed:
+        ranked = stored(placed, "merkle-subroot-order")
     top = forest(ranked.select("tree", "pos", "n", F.lit(None).cast("long").alias("id"), "leaf",
                                F.lit(None).cast("string").alias("claim")), height, "merkle-top")
     root = tops(top, height).first()

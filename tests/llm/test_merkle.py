@@ -1,3 +1,4 @@
+import glob
 import hashlib
 import random
 import zlib
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratum.llm import merkle
+from stratum.session import checkpoint_root, local_path
 
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 
@@ -136,3 +138,20 @@ def test_layout_and_siblings_of_a_block():
     # a block of a taller tree: its last node stays alone up to the block's root
     nodes, root = merkle.lay_out(row[:1], 3)
     assert root == sha(sha(sha(row[0]))) and list(merkle.siblings(nodes, 3, 1)) == [(0, ["-", "-", "-"])]
+
+
+def test_numbered_rows_are_no_file_a_range(spark):
+    conf = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    root, kept = local_path(checkpoint_root(spark)), spark.sparkContext._jsc.getPersistentRDDs().size()
+    written = set(glob.glob(f"{root}/stratum/**/part-*", recursive=True))
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.createDataFrame(rows(500, ["en"]), "doc_id long, source string, lang string, n_chars long, text string")
+        merkle.manifest(merkle.leaves(df.coalesce(1), FIELDS), 10)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(set(glob.glob(f"{root}/stratum/**/part-*", recursive=True)) - written) < 20
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
