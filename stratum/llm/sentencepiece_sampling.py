@@ -37,6 +37,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 
@@ -46,7 +47,12 @@ SPACE = "▁"
 LONGEST = 64
 SHIFT, SHARPNESS = 10.0, 1.0
 SLICE = 1 << 18  # bytes of text searched side by side; arrays take about 400 bytes per character
-_UNITS = re.compile(f"{SPACE}*+[^{SPACE}\n]+|{SPACE}+|\n")
+KEPT = 1 << 21  # nodes of lattices that a worker keeps from slice to slice; a slice that needs more has its own
+_UNITS = re.compile(" *+[^ \n]+| +|\n")
+
+
+def _code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.replace(" ", SPACE).encode("utf-32-le"), np.uint32).astype(np.int64)
 
 
 class Vocabulary:
@@ -71,9 +77,7 @@ class Vocabulary:
             else:
                 normal.append(i)
                 self.bytes_of[i] = piece.encode()
-        self.byte_sizes = np.array(list(map(len, self.bytes_of)), np.int64)
-        self.byte_starts = np.cumsum(self.byte_sizes) - self.byte_sizes
-        self.byte_table = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self.shown = pa.array([b.replace(SPACE.encode(), b" ") for b in self.bytes_of], pa.large_binary())
         rank = np.empty(len(normal))
         rank[np.argsort([-lib.get_score(i) for i in normal], kind="stable")] = np.arange(len(normal))
         self.weight = np.full(n, -SHARPNESS * np.log(len(normal) + SHIFT))
@@ -92,33 +96,70 @@ class Vocabulary:
                     nodes[piece[:k]] = len(nodes)
                     steps[nodes[piece[:k - 1]] << 21 | ord(piece[k - 1])] = nodes[piece[:k]]
             ends[nodes[piece]] = i
-        self.keys = np.array(sorted(steps), np.int64)
-        self.child = np.array([steps[k] for k in self.keys.tolist()], np.int64)
+        self.deepest = max((len(piece) for piece in nodes), default=0)
+        self.lattice = Lattice(self)  # kept over slices, see Search
+        # the trie's steps, each at the first free slot from its key's hash on
+        self.bits = (4 * len(steps) + 4).bit_length()
+        self.keys, self.child = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, -1, np.int64)
+        key, child = np.array(list(steps), np.int64), np.array(list(steps.values()), np.int64)
+        slot = self.slots(key)
+        while len(key):
+            _, one = np.unique(slot, return_index=True)
+            one = one[self.keys[slot[one]] < 0]
+            self.keys[slot[one]], self.child[slot[one]] = key[one], child[one]
+            key, child, slot = (np.delete(x, one) for x in (key, child, slot))
+            slot = (slot + 1) & ((1 << self.bits) - 1)
         self.pairs = np.array(sorted(pairs), np.int64)  # characters that some piece has side by side
         self.piece_at = np.full(len(nodes), -1, np.int64)
         self.piece_at[list(ends)] = list(ends.values())
 
+    def slots(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def step(self, state: np.ndarray, char: np.ndarray) -> np.ndarray:
+        """The trie's next states, -1 where no piece goes on so."""
+        key = state << 21 | char
+        slot = self.slots(key)
+        child, held = self.child[slot], self.keys[slot]
+        child[held != key] = -1
+        more = np.flatnonzero((held != key) & (held >= 0))
+        while len(more):
+            slot[more] = at = (slot[more] + 1) & (len(self.keys) - 1)
+            held = self.keys[at]
+            hit = held == key[more]
+            child[more[hit]] = self.child[at[hit]]
+            more = more[~hit & (held >= 0)]
+        return child
+
     def units(self, text: str) -> list[str]:
-        units = _UNITS.findall(SPACE + text.replace(" ", SPACE)) if text else []
+        return [u.replace(" ", SPACE) for u in self.words(text)]
+
+    def words(self, text: str) -> list[str]:
+        """The units, with plain spaces."""
+        units = _UNITS.findall(" " + text.replace(SPACE, " ")) if text else []
         if max(map(len, units), default=0) > LONGEST:
             units = list(chain.from_iterable(self.parts(u) if len(u) > LONGEST else (u,) for u in units))
         return units
 
     def parts(self, unit: str) -> list[str]:
         """A long unit cut at all places that no piece can cross."""
-        chars = np.frombuffer(unit.encode("utf-32-le"), np.uint32).astype(np.int64)
+        chars = _code_points(unit)
         pair = chars[:-1] << 21 | chars[1:]
         found = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
         cuts = [0, *(np.flatnonzero(self.pairs[found] != pair) + 1).tolist(), len(unit)]
         return [unit[a:b] for a, b in zip(cuts, cuts[1:])]
 
-    def decode_many(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+    def decode_many(self, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
         """The texts of segmentations that lie end to end."""
-        size = self.byte_sizes[ids]
-        data = self.byte_table[_ranges(self.byte_starts[ids], size)].tobytes()
-        cuts = np.r_[0, np.cumsum(size)][bounds].tolist()
-        texts = [data[a:b].decode("utf-8", "replace").replace(SPACE, " ") for a, b in zip(cuts, cuts[1:])]
-        return [t[1:] if t.startswith(" ") else t for t in texts]
+        data = self.shown.take(pa.array(ids))  # the pieces' texts, end to end
+        cuts = np.frombuffer(data.buffers()[1], np.int64, len(ids) + 1, data.offset * 8)[bounds]
+        texts = pa.Array.from_buffers(pa.large_utf8(), len(bounds) - 1, [None, pa.py_buffer(cuts), data.buffers()[2]])
+        try:
+            texts.validate(full=True)
+        except pa.ArrowInvalid:  # byte pieces that spell no character
+            raw = pa.Array.from_buffers(pa.large_binary(), len(texts), texts.buffers()).to_pylist()
+            texts = pa.array([t.decode("utf-8", "replace") for t in raw], pa.large_utf8())
+        return pc.if_else(pc.starts_with(texts, " "), pc.utf8_slice_codeunits(texts, 1), texts).cast(pa.string())
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of a segmentation."""
@@ -131,99 +172,190 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+class _Index(dict):
+    """Units numbered in the order they are first seen; ``unseen`` lists those that came since it was emptied."""
+
+    def __init__(self):
+        self.unseen: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        n = self[unit] = len(self)
+        self.unseen.append(unit)
+        return n
+
+
 class Lattice:
     """Lattices of distinct units, end to end: nodes are the places between characters, and each node's
-    edges lie together, with their probabilities given the node."""
-
-    def __init__(self, units: list[str], voc: Vocabulary):
+    edges lie together, with their probabilities given the node.  A unit's lattice does not depend on the others,
+    so units are added as texts bring them, and kept."""
+
+    def __init__(self, voc: Vocabulary):
+        self.voc, self.index = voc, _Index()
+        self.room = {name: np.empty(0, kind) for name, kind in (
+            ("first", np.int64), ("last", np.int64), ("edges", np.int64), ("stop", np.int64), ("piece", np.int32),
+            ("log_p", np.float64), ("upto", np.float64))}
+        self.first, self.last, _, self.stop, self.piece, self.log_p, self.upto = self.room.values()
+        self.edges, self.uses = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.append("edges", np.zeros(1, np.int64))
+
+    def append(self, name: str, values: np.ndarray) -> None:
+        """Values after those of an array, which has room to spare."""
+        size = len(getattr(self, name))
+        room = self.room[name]
+        if size + len(values) > len(room):
+            room = np.empty(max(size + len(values), len(room) + len(room) // 2), room.dtype)
+            room[:size] = getattr(self, name)
+            self.room[name] = room
+        room[size:size + len(values)] = values
+        setattr(self, name, room[:size + len(values)])
+
+    def numbers(self, texts: list[list[str]], total: int) -> np.ndarray:
+        """The numbers of all units of texts; the lattices of unseen ones are still to be added."""
+        return np.fromiter(map(self.index.__getitem__, chain.from_iterable(texts)), np.int64, total)
+
+    def full(self) -> bool:
+        """Whether the unseen units would make the lattices kept from earlier slices too large."""
+        more = len(self.index.unseen) + sum(map(len, self.index.unseen))
+        return 1 < len(self.edges) and len(self.edges) + more > KEPT
+
+    def note(self, of: np.ndarray) -> None:
+        """Count the slices that have each unit."""
+        now = np.zeros(len(self.first), np.int32)
+        now[of] = 1
+        now[:len(self.uses)] += self.uses
+        self.uses = now
+
+    def shed(self) -> None:
+        """Half the room at most stays taken, by the units of most slices; those of one slice go."""
+        size = self.last - self.first + 1
+        order = np.argsort(-self.uses, kind="stable")
+        keep = np.sort(order[(np.cumsum(size[order]) <= KEPT // 2) & (self.uses[order] > 1)])
+        names, size, first = list(self.index), size[keep], self.first[keep]
+        begin, count = self.edges[first], self.edges[self.last[keep]] - self.edges[first]
+        at, to = _ranges(begin, count), np.cumsum(size) - size
+        degree = np.diff(self.edges)[_ranges(first, size)]
+        kept = {"first": to, "last": to + size - 1, "edges": np.r_[0, np.cumsum(degree)],
+                "stop": self.stop[at] + np.repeat(to - first, count), "piece": self.piece[at], "log_p": self.log_p[at],
+                "upto": self.upto[at]}
+        large = len(self.edges) > KEPT
+        for name, values in kept.items():
+            if large:
+                self.room[name] = np.empty(0, self.room[name].dtype)
+            setattr(self, name, self.room[name][:0])
+            self.append(name, values)
+        self.uses = self.uses[keep] >> 1
+        self.index.clear()
+        self.index.unseen = []
+        self.index.update((names[i], n) for n, i in enumerate(keep.tolist()))
+
+    def add_unseen(self) -> None:
+        units, self.index.unseen = self.index.unseen, []
+        if not units:
+            return
+        voc, nodes, edges = self.voc, len(self.edges) - 1, len(self.stop)
         sizes = np.fromiter(map(len, units), np.int64, len(units))
-        chars = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.int64)
-        self.first = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]]).astype(np.int64)  # a unit's first node
-        self.last = self.first + sizes
-        unit = np.repeat(np.arange(len(units)), sizes)
-        node = np.arange(len(chars)) + unit  # the node before each character
-        end = self.last[unit]
-        starts, stops, pieces = [], [], []
+        chars = _code_points("".join(units))
+        first = np.cumsum(sizes + 1) - sizes - 1  # a unit's first node
+        last = first + sizes
+        n = int(last[-1]) + 1
+        left = np.repeat(last, sizes + 1) - np.arange(n)  # characters from each node to its unit's end
+        node = np.flatnonzero(left)  # the node before each character
+        room = left[node]
+        # per node the pieces that begin there, longest first
+        bits = max(voc.deepest - 1, 0).bit_length()
+        wide, none = 1 << bits, np.iinfo(np.int32).min
+        found = np.full(n << bits, none, np.int32)
         at, state, depth = np.arange(len(chars)), np.zeros(len(chars), np.int64), 0
-        single = np.zeros(len(chars), bool)
         while len(at):
-            key = state << 21 | chars[at + depth]
-            found = np.minimum(np.searchsorted(voc.keys, key), len(voc.keys) - 1)
-            ok = voc.keys[found] == key
-            at, state = at[ok], voc.child[found[ok]]
+            state = voc.step(state, chars[at + depth])
+            ok = np.flatnonzero(state >= 0)
+            at, state = at[ok], state[ok]
             depth += 1
             piece = voc.piece_at[state]
-            here = piece >= 0
-            starts.append(node[at[here]])
-            stops.append(node[at[here]] + depth)
-            pieces.append(piece[here])
-            if depth == 1:
-                single[at[here]] = True
-            more = node[at] + depth < end[at]
+            here = np.flatnonzero(piece >= 0)
+            found[(node[at[here]] << bits) + (wide - depth)] = piece[here]
+            more = np.flatnonzero(room[at] > depth)
             at, state = at[more], state[more]
-        bare = np.flatnonzero(~single)  # no piece for the character: its bytes, as one edge
-        starts[:0], stops[:0], pieces[:0] = [node[bare]], [node[bare] + 1], [-1 - chars[bare]]
-        # each list has a node once at most, and longer pieces come later: lay them out by node, longest first
-        n = int(self.last[-1]) + 1 if len(units) else 0
-        degree = np.zeros(n, np.int64)
-        for x in starts:
-            degree[x] += 1
-        self.edges = np.r_[0, np.cumsum(degree)]
-        free = self.edges[:-1].copy()
-        self.start = np.repeat(np.arange(n, dtype=np.int32), degree)
-        self.stop, self.piece = np.empty(len(self.start), np.int32), np.empty(len(self.start), np.int32)
-        for x, y, z in zip(reversed(starts), reversed(stops), reversed(pieces)):
-            at = free[x]
-            self.stop[at], self.piece[at] = y, z
-            free[x] += 1
-        weight = voc.weight[np.maximum(self.piece, 0)]
-        spelled = np.flatnonzero(self.piece < 0)
-        letters, of = np.unique(self.piece[spelled], return_inverse=True)
+        single = (node << bits) + (wide - 1)
+        bare = np.flatnonzero(found[single] == none)  # no piece for the character: its bytes, as one edge
+        found[single[bare]] = -1 - chars[bare]
+        cell = np.flatnonzero(found != none)
+        piece, start = found[cell], cell >> bits
+        stop = start + (wide - (cell & (wide - 1)))
+        del found, cell
+        degree = np.bincount(start, minlength=n)
+        weight = voc.weight[np.maximum(piece, 0)]
+        spelled = np.flatnonzero(piece < 0)
+        letters, of = np.unique(piece[spelled], return_inverse=True)
         sums = [voc.weight[voc.byte_ids[list(chr(-1 - c).encode())]].sum() for c in letters.tolist()]
         weight[spelled] = np.array(sums)[of] if len(sums) else 0.0
         # backward sums, from the places next to a unit's end to those furthest from it
-        beta, value = np.zeros(n), np.empty(len(self.start))
-        left = np.repeat(self.last, sizes + 1) - np.arange(n)
-        far = left[self.start]
-        by = np.argsort(far.astype(np.min_scalar_type(int(left.max(initial=0)))), kind="stable")  # small types sort fast
-        bounds = np.searchsorted(far[by], np.arange(1, int(left.max(initial=0)) + 2))
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            rows = by[a:b]
-            if len(rows):
-                v = weight[rows] + beta[self.stop[rows]]
-                value[rows] = v
-                s = self.start[rows]
-                heads = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
-                top = np.maximum.reduceat(v, heads)
-                width = np.diff(np.r_[heads, len(rows)])
-                beta[s[heads]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, width)), heads))
-        self.log_p = np.minimum(value - beta[self.start], 0.0) if n else value
-        p = np.exp(self.log_p)
-        self.upto = p.copy()  # cumulative probability within the node
-        for step in range(1, int(degree.max(initial=0))):
-            at = self.edges[:-1][degree > step] + step
-            self.upto[at] += self.upto[at - 1]
-        self.log_rest = np.where(p < 1 - 1e-12, np.log1p(-np.minimum(p, 1 - 1e-12)), -np.inf)
-        self.log_rest[np.diff(self.edges)[self.start] == 1] = -np.inf
+        beta, value = np.zeros(n), np.empty(len(start))
+        far, most = left[start], int(left.max())
+        by = np.argsort(far.astype(np.min_scalar_type(most)), kind="stable")  # small types sort fast
+        bounds = np.cumsum(np.bincount(far, minlength=most + 1))
+        begin, end, load = start[by], stop[by], weight[by]
+        heads = np.flatnonzero(np.r_[True, begin[1:] != begin[:-1]])
+        width = np.diff(np.r_[heads, len(begin)])
+        level = np.searchsorted(heads, bounds)
+        begin = begin[heads]
+        for a, b, c, d in zip(bounds[:-1].tolist(), bounds[1:].tolist(), level[:-1].tolist(), level[1:].tolist()):
+            if a < b:
+                load[a:b] += beta[end[a:b]]
+                v, h = load[a:b], heads[c:d] - a
+                top = np.maximum.reduceat(v, h)
+                beta[begin[c:d]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, width[c:d])), h))
+        value[by] = load
+        log_p = np.minimum(value - beta[start], 0.0)
+        upto, offset = np.exp(log_p), np.cumsum(degree) - degree  # cumulative probability within the node
+        more = np.flatnonzero(degree > 1)
+        for step in range(1, int(degree.max())):
+            more = more[degree[more] > step]
+            at = offset[more] + step
+            upto[at] += upto[at - 1]
+        upto[(offset + degree - 1)[degree > 0]] = np.inf  # the last edge is taken if no other is
+        self.append("first", first + nodes)
+        self.append("last", last + nodes)
+        self.append("edges", offset[1:] + edges)
+        self.append("edges", np.array([edges + len(start)]))
+        for name, values in (("stop", stop + nodes), ("piece", piece), ("log_p", log_p), ("upto", upto)):
+            self.append(name, values)
 
     def choose(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge out of each node, by its probability."""
-        e, last = self.edges[node], self.edges[node + 1] - 1
-        more = np.flatnonzero((u > self.upto[e]) & (e < last))
+        e = self.edges[node]
+        more = np.flatnonzero(u > self.upto[e])
+        u = u[more]
         while len(more):
-            e[more] += 1
-            at = e[more]
-            more = more[(u[more] > self.upto[at]) & (at < last[more])]
+            at = e[more] + 1
+            e[more] = at
+            go = np.flatnonzero(u > self.upto[at])
+            more, u = more[go], u[go]
         return e
 
 
 class Paths:
-    """One complete path per row, rows end to end: edges, log probability before each edge, and for each place
-    the largest perturbed value among the siblings left open there (-inf: none)."""
-
-    def __init__(self, bounds, edge, place, unit, before, open_, log_prob):
-        self.bounds, self.edge, self.place, self.unit, self.before, self.open = bounds, edge, place, unit, before, open_
-        self.log_prob = log_prob
+    """One complete path per row, rows end to end: edges, running sums of their log probabilities, and for each place
+    the largest perturbed value among the siblings left open there (-inf: none, or not among the largest), which is
+    known for ``drawn`` places from ``first`` on."""
+
+    def __init__(self, bounds, edge, place, unit, sums, open_, log_prob, first, drawn):
+        self.bounds, self.edge, self.place, self.unit, self.sums, self.open = bounds, edge, place, unit, sums, open_
+        self.log_prob, self.first, self.drawn = log_prob, first, drawn
+        self.top, self.where = np.full(len(bounds) - 1, -np.inf), np.zeros(len(bounds) - 1, np.int64)
+        self.changed = np.flatnonzero(drawn)  # rows whose largest open value is to be looked for
+
+    def look(self) -> None:
+        """Each row's largest open value, and the first index that has it."""
+        rows, self.changed = self.changed, np.zeros(0, np.int64)
+        if not len(rows):
+            return
+        size = self.drawn[rows]
+        index = _ranges(self.first[rows], size)
+        values = self.open[index]
+        self.top[rows] = top = np.maximum.reduceat(values, np.cumsum(size) - size)
+        hit = np.flatnonzero(values == np.repeat(top, size))[::-1]
+        self.where[np.repeat(rows, size)[hit]] = index[hit]  # the first of equals
 
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -232,35 +364,28 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - np.r_[0, ends[:-1]], size)
 
 
-def _draw(keys: np.ndarray, sample: int, purpose: int, place: np.ndarray) -> np.ndarray:
-    """Uniform numbers for (row key, sample, purpose, place)."""
-    tag = np.uint64((sample << 4 | purpose) << 40)
-    return uniform(mix64(keys ^ mix64(place.astype(np.uint64) + tag)))
+REACH = 37.0  # over -log(2 ** -53), the largest Gumbel value that a double between 0 and 1 gives
 
 
 def _under(location: np.ndarray, bound: np.ndarray, u: np.ndarray) -> np.ndarray:
-    """A Gumbel value of this location, given that it is at most ``bound``."""
+    """A Gumbel value of this location, given that it is at most ``bound``; it is below location + REACH."""
     with np.errstate(divide="ignore", invalid="ignore"):
-        value = location - np.log(np.exp(np.minimum(location - bound, 700)) - np.log(u))
+        value = location - np.log(np.exp(np.minimum(location - bound, 700)) - np.log(np.minimum(u, 1 - 2.0 ** -53)))
     return np.where(np.isneginf(location), -np.inf, value)
 
 
-class _Index(dict):
-    """Units numbered in the order they are first seen."""
-
-    def __missing__(self, unit: str) -> int:
-        n = self[unit] = len(self)
-        return n
-
-
 class Search:
     """Gumbel top-k over the segmentations of many rows side by side."""
 
     def __init__(self, texts: list[list[str]], keys: np.ndarray, voc: Vocabulary):
-        index = _Index()
         count = np.fromiter(map(len, texts), np.int64, len(texts))
-        self.units = np.fromiter(map(index.__getitem__, chain.from_iterable(texts)), np.int64, int(count.sum()))
-        self.lat = Lattice(list(index), voc)
+        self.units = voc.lattice.numbers(texts, int(count.sum()))
+        if voc.lattice.full():
+            voc.lattice.shed()
+            self.units = voc.lattice.numbers(texts, int(count.sum()))
+        self.lat = voc.lattice
+        self.lat.add_unseen()
+        self.lat.note(self.units)
         self.row_end = np.cumsum(count)
         self.row_start = self.row_end - count
         size = self.lat.last - self.lat.first
@@ -268,35 +393,36 @@ class Search:
         self.offset = chars - size[self.units]  # characters before each unit; rows differ by their key
         self.offset = self.offset - np.repeat(np.r_[self.offset, 0][np.minimum(self.row_start, len(self.offset))], count)
         self.keys = keys
+        self.longest = int(np.bincount(np.repeat(np.arange(len(keys)), count), size[self.units], len(keys)).max(initial=0))
+        self.hashed: dict[np.uint64, np.ndarray] = {}
+
+    def draw(self, keys: np.ndarray, sample: int, purpose: int, place: np.ndarray) -> np.ndarray:
+        """Uniform numbers for (row key, sample, purpose, place)."""
+        tag = np.uint64((sample << 4 | purpose) << 40)
+        if tag not in self.hashed and len(place) > self.longest:  # rows share their places: hash each but once
+            self.hashed[tag] = mix64(np.arange(self.longest + 1, dtype=np.uint64) + tag)
+        hashed = self.hashed[tag][place] if tag in self.hashed else mix64(place.astype(np.uint64) + tag)
+        return uniform(mix64(keys ^ hashed))
 
     def walk(self, row: np.ndarray, unit: np.ndarray, node: np.ndarray, sample: int):
         """Sample on from each node to the end of its unit: (item, edge, place) in order of item and place."""
         lat, item, key = self.lat, np.arange(len(row)), self.keys[row]
         stop, base = lat.last[self.units[unit]], self.offset[unit] - lat.first[self.units[unit]]
-        items, edges, places = [], [], []
-        live = node < stop
-        item, node = item[live], node[live]
-        while len(item):
-            place = base[item] + node
-            e = lat.choose(node, _draw(key[item], sample, 1, place))
+        items, edges, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        live = np.flatnonzero(node < stop)
+        while len(live):
+            if len(live) < len(item):
+                item, node, key, base, stop = (x[live] for x in (item, node, key, base, stop))
+            place = base + node
+            e = lat.choose(node, self.draw(key, sample, 1, place))
             items.append(item)
             edges.append(e)
             places.append(place)
             node = lat.stop[e]
-            live = node < stop[item]
-            item, node = item[live], node[live]
-        if not items:
-            z = np.zeros(0, np.int64)
-            return z, z, z
-        count = np.zeros(len(row), np.int64)
-        for x in items:
-            count[x] += 1
-        free = np.cumsum(count) - count
-        edge, place = np.empty(int(count.sum()), np.int64), np.empty(int(count.sum()), np.int64)
-        for x, e, at in zip(items, edges, places):
-            edge[free[x]], place[free[x]] = e, at
-            free[x] += 1
-        return np.repeat(np.arange(len(row)), count), edge, place
+            live = np.flatnonzero(node < stop)
+        item = np.concatenate(items)
+        order = np.argsort(item.astype(np.min_scalar_type(len(row))), kind="stable")  # small types sort fast
+        return item[order], np.concatenate(edges)[order], np.concatenate(places)[order]
 
     def top(self, k: int):
         """For each sample in turn: (paths, rows that have it, log probability, perturbed value); then the bound
@@ -304,9 +430,9 @@ class Search:
         lat, n = self.lat, len(self.keys)
         rows = np.repeat(np.arange(n), self.row_end - self.row_start)
         item, edge, place = self.walk(rows, np.arange(len(rows)), lat.first[self.units], 0)
-        best = -np.log(-np.log(_draw(self.keys, 0, 2, np.zeros(n, np.int64))))
+        best = -np.log(-np.log(self.draw(self.keys, 0, 2, np.zeros(n, np.int64))))
         bounds = np.r_[0, np.searchsorted(rows[item], np.arange(n), side="right")]
-        path = self.finish(np.arange(n), bounds, edge, place, item, best, 0, np.zeros(n, np.int64))
+        path = self.finish(bounds, edge, place, item, best, 0, np.zeros(n, np.int64), k)
         out, alive = [(path, np.ones(n, bool), path.log_prob, best)], np.ones(n, bool)
         barred = [np.full((n, 0), -1)]  # edges already taken at the place where a path left an older one
         branch = [np.full(n, -1)]
@@ -315,63 +441,67 @@ class Search:
             alive = alive & (value > -np.inf)
             if sample == k or not alive.any():
                 break
-            made = self.open_entry(out, barred, branch, value, of, at, alive, sample)
+            made = self.open_entry(out, barred, branch, value, of, at, alive, sample, k)
             out.append((made, alive, made.log_prob, np.where(alive, value, -np.inf)))
         return out, value
 
-    def finish(self, row, bounds, edge, place, unit, value, sample, fresh_from) -> Paths:
-        """Log probabilities along the paths, and the open siblings from ``fresh_from`` on."""
+    def finish(self, bounds, edge, place, unit, value, sample, fresh_from, k) -> Paths:
+        """Log probabilities along the paths, and the open siblings from ``fresh_from`` on.  Only a row's k largest
+        open values can be taken.  Probabilities fall along a path, so siblings are drawn from its fresh part's
+        begin on, until k values (and the branch's own, drawn anew later) are above all that the rest can reach."""
         size = np.diff(bounds)
         log_p = self.lat.log_p[edge]
         sums = np.r_[0.0, np.cumsum(log_p)]
-        before = sums[:-1] - np.repeat(sums[bounds[:-1]], size)
-        fresh = np.flatnonzero(np.arange(len(edge)) - np.repeat(bounds[:-1], size) >= np.repeat(fresh_from, size))
-        row = np.repeat(np.arange(len(size)), size)[fresh]
+        first, later, done, step = bounds[:-1] + fresh_from, size - fresh_from, np.zeros(len(size), np.int64), 64
         open_ = np.full(len(edge), -np.inf)
-        open_[fresh] = _under(before[fresh] + self.lat.log_rest[edge[fresh]], value[row],
-                              _draw(self.keys[row], sample, 3, place[fresh]))
-        return Paths(bounds, edge, place, unit, before, open_, sums[bounds[1:]] - sums[bounds[:-1]])
+        rows = np.flatnonzero(later)
+        while len(rows):
+            count = np.minimum(step, later[rows] - done[rows])
+            at, row = _ranges(first[rows] + done[rows], count), np.repeat(rows, count)
+            p = np.exp(log_p[at])
+            log_rest = np.where(p < 1 - 1e-12, np.log1p(-np.minimum(p, 1 - 1e-12)), -np.inf)
+            before = sums[at] - sums[bounds[row]]
+            open_[at] = _under(before + log_rest, value[row], self.draw(self.keys[row], sample, 3, place[at]))
+            done[rows] += count
+            step *= 2
+            rows = rows[done[rows] < later[rows]]
+            if len(rows):
+                drawn = done[rows]
+                reach = sums[first[rows] + drawn] - sums[bounds[rows]] + REACH
+                above = open_[_ranges(first[rows], drawn)] >= np.repeat(reach, drawn)
+                rows = rows[np.add.reduceat(above, np.cumsum(drawn) - drawn, dtype=np.int64) <= k]
+        return Paths(bounds, edge, place, unit, sums, open_, sums[bounds[1:]] - sums[bounds[:-1]], first, done)
 
     def best_open(self, paths: list[Paths]):
         """Per row the largest open value: (value, which path, index in its arrays)."""
         n = len(self.keys)
         value, of, at = np.full(n, -np.inf), np.full(n, -1), np.zeros(n, np.int64)
         for i, p in enumerate(paths):
-            size = np.diff(p.bounds)
-            full = np.flatnonzero(size)
-            if not len(full):
-                continue
-            heads = p.bounds[:-1][full]
-            top = np.maximum.reduceat(p.open, heads)
-            hit = np.flatnonzero(p.open == np.repeat(top, size[full]))
-            where = np.full(n, -1)
-            row_of = np.repeat(full, size[full])
-            where[row_of[hit[::-1]]] = hit[::-1]  # the first of equals
-            better = full[top > value[full]]
-            value[better] = top[np.isin(full, better)]
-            of[better], at[better] = i, where[better]
+            p.look()
+            better = np.flatnonzero(p.top > value)
+            value[better], of[better], at[better] = p.top[better], i, p.where[better]
         return value, of, at
 
-    def open_entry(self, out, barred, branch, value, of, at, alive, sample) -> Paths:
+    def open_entry(self, out, barred, branch, value, of, at, alive, sample, k) -> Paths:
         """Take the best open entry of each live row: a new edge at its place, and a fresh path from there on."""
         lat, n = self.lat, len(self.keys)
         node, unit, place, taken = (np.zeros(n, np.int64) for _ in range(4))
         bar = np.full((n, sample), -1)
-        parts = []  # (row, position, edge, place, unit)
+        heads = []
         for i, (p, *_x) in enumerate(out):
             r = np.flatnonzero(alive & (of == i))
             if not len(r):
                 continue
             j = at[r]
-            node[r], unit[r], place[r] = lat.start[p.edge[j]], p.unit[j], p.place[j]
+            node[r], unit[r], place[r] = np.searchsorted(lat.edges, p.edge[j], side="right") - 1, p.unit[j], p.place[j]
             taken[r] = j - p.bounds[:-1][r]
             p.open[j] = -np.inf
+            p.changed = r
             again = branch[i][r] == taken[r]  # the entry stands where that path itself branched off
             w = barred[i].shape[1]
             bar[r[again], :w] = barred[i][r[again]]
             bar[r, w if w < sample else sample - 1] = p.edge[j]
-            head = _ranges(p.bounds[:-1][r], taken[r])
-            parts.append((np.repeat(r, taken[r]), p.edge[head], p.place[head], p.unit[head]))
+            heads.append((r, p))
         r = np.flatnonzero(alive)
         # the new edge, by probability among those not barred
         first, degree = lat.edges[node[r]], lat.edges[node[r] + 1] - lat.edges[node[r]]
@@ -382,7 +512,7 @@ class Search:
         for c in range(bar.shape[1]):
             p[e == bar[r, c][:, None]] = 0.0
         sums = np.cumsum(p, axis=1)
-        u = _draw(self.keys[r], sample, 4, place[r]) * sums[:, -1]
+        u = self.draw(self.keys[r], sample, 4, place[r]) * sums[:, -1]
         pick = np.minimum((sums <= u[:, None]).sum(1), width - 1)
         chosen = first + pick
         rest = sums[:, -1] - p[np.arange(len(r)), pick]
@@ -394,20 +524,27 @@ class Search:
         walk_node = lat.first[self.units[walk_unit]]
         walk_node[np.r_[0, np.cumsum(later)[:-1]]] = lat.stop[chosen]
         item, edge, where = self.walk(walk_row, walk_unit, walk_node, sample)
-        parts.append((r, chosen, place[r], unit[r]))
-        parts.append((walk_row[item], edge, where, walk_unit[item]))
-        row, edge, where, units = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(row, kind="stable")  # parts are in path order within a row
-        row, edge, where, units = row[order], edge[order], where[order], units[order]
-        bounds = np.r_[0, np.searchsorted(row, np.arange(n), side="right")]
+        # older path up to its place, new edge, fresh walk, one after the other
+        walked = np.bincount(walk_row[item], minlength=n)
+        size = walked.copy()
+        size[r] += taken[r] + 1
+        bounds = np.r_[0, np.cumsum(size)]
+        edges, places, units = (np.empty(int(bounds[-1]), np.int64) for _ in range(3))
+        for rows, p in heads:
+            to, head = _ranges(bounds[rows], taken[rows]), _ranges(p.bounds[rows], taken[rows])
+            edges[to], places[to], units[to] = p.edge[head], p.place[head], p.unit[head]
+        to = bounds[r] + taken[r]
+        edges[to], places[to], units[to] = chosen, place[r], unit[r]
+        to = _ranges(to + 1, walked[r])
+        edges[to], places[to], units[to] = edge, where, walk_unit[item]
         fresh = np.zeros(n, np.int64)
         fresh[r] = taken[r]
-        made = self.finish(None, bounds, edge, where, units, value, sample, fresh)
+        made = self.finish(bounds, edges, places, units, value, sample, fresh, k)
         # at the branch itself, all edges taken so far are out
         j = bounds[:-1][r] + taken[r]
         with np.errstate(divide="ignore"):
-            location = np.where(left, made.before[j] + np.log(np.maximum(rest, 1e-300)), -np.inf)
-        made.open[j] = _under(location, value[r], _draw(self.keys[r], sample, 5, place[r]))
+            location = np.where(left, made.sums[j] - made.sums[bounds[r]] + np.log(np.maximum(rest, 1e-300)), -np.inf)
+        made.open[j] = _under(location, value[r], self.draw(self.keys[r], sample, 5, place[r]))
         barred.append(bar)
         spot = np.full(n, -1)
         spot[r] = taken[r]
@@ -417,19 +554,21 @@ class Search:
 
 def sample_slice(texts: list[str], keys: np.ndarray, k: int, voc: Vocabulary):
     """Per sample: (ids, bounds, rows that have it, log probability, perturbed value, log inclusion)."""
-    search = Search([voc.units(t) for t in texts], keys, voc)
+    search = Search([voc.words(t) for t in texts], keys, voc)
     found, bound = search.top(k)
     out = []
     for path, alive, log_prob, value in found:
         piece = search.lat.piece[path.edge]
         bounds = path.bounds
         if (bare := np.flatnonzero(piece < 0)).size:  # byte pieces in place of each character without a piece
-            spelled = [voc.byte_ids[list(chr(-1 - c).encode())] for c in piece[bare].tolist()]
+            letters, of = np.unique(piece[bare], return_inverse=True)
+            spelled = [voc.byte_ids[list(chr(-1 - c).encode())] for c in letters.tolist()]
+            width = np.fromiter(map(len, spelled), np.int64, len(spelled))
             size = np.ones(len(piece), np.int64)
-            size[bare] = list(map(len, spelled))
+            size[bare] = width[of]
             ids = np.repeat(piece, size)
             starts = np.cumsum(size) - size
-            ids[_ranges(starts[bare], size[bare])] = np.concatenate(spelled)
+            ids[_ranges(starts[bare], size[bare])] = np.concatenate(spelled)[_ranges((np.cumsum(width) - width)[of], width[of])]
             bounds = np.r_[0, np.cumsum(size)][bounds]
             piece = ids
         far = np.minimum(np.where(np.isneginf(bound), 700, log_prob - bound), 700)
@@ -463,7 +602,7 @@ def encode_samples(df: DataFrame, path: str, k: int = 4, seed: int = 17, decoded
                            "ids": lists, "log_prob": pa.array(log_prob), "perturbed": pa.array(value),
                            "log_inclusion": pa.array(inclusion)}
                 if decoded:
-                    columns["decoded"] = pa.array(voc.decode_many(ids, bounds), pa.string())
+                    columns["decoded"] = voc.decode_many(ids, bounds)
                 batch = pa.RecordBatch.from_pydict(columns)
                 yield batch if alive.all() else batch.filter(pa.array(alive))
 

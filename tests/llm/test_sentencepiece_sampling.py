@@ -153,3 +153,86 @@ def test_query_decodes_to_the_texts(spark):
     for r in got:
         assert r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
         assert r.log_inclusion <= 0 and r.log_prob <= 0 and np.isfinite(r.log_inclusion)
+
+
+def lattices_built(monkeypatch):
+    built, add = [], sp.Lattice.add_unseen
+
+    def counted(self):
+        built.extend(self.index.unseen)
+        add(self)
+
+    monkeypatch.setattr(sp.Lattice, "add_unseen", counted)
+    return built
+
+
+def equal(a, b):
+    return all(np.array_equal(x, y) for one, two in zip(a, b, strict=True) for x, y in zip(one, two, strict=True))
+
+
+def test_lattices_are_kept_from_slice_to_slice(monkeypatch):
+    built, voc, keys = lattices_built(monkeypatch), sp.Vocabulary(PATH), sp.row_keys([1, 2], 3)
+    first = sp.sample_slice(["the cat sat", "the ∞ cat"], keys, 4, voc)
+    assert sorted(built) == sorted([" the", " cat", " sat", " ∞"])
+    again = sp.sample_slice(["the cat sat", "the ∞ cat"], keys, 4, voc)
+    assert len(built) == 4 and equal(first, again)
+
+
+def test_kept_lattices_are_bounded_and_change_no_result(monkeypatch):
+    """With little room the units of most slices stay, and results are those of a worker that keeps nothing."""
+    built = lattices_built(monkeypatch)
+    monkeypatch.setattr(sp, "KEPT", 120)
+    voc = sp.Vocabulary(PATH)
+    slices = [f"common words stay {w * 3} {w * 5}é {w}" for w in "abcdefghijklmnopqrstuvwxyz"] + ["x" * 400, "common again"]
+    for n, text in enumerate(slices):
+        keys = sp.row_keys([n], 3)
+        got = sp.sample_slice([text], keys, 4, voc)
+        here = len(built)
+        assert equal(got, sp.sample_slice([text], keys, 4, sp.Vocabulary(PATH)))
+        del built[here:]
+        assert len(voc.lattice.edges) <= max(120, 60 + sum(len(u) + 1 for u in voc.words(text)) + 1)
+        assert list(voc.lattice.index.values()) == list(range(len(voc.lattice.first)))
+    assert built.count(" common") == 1 < len(slices) and len(voc.lattice.edges) < 120
+
+
+def test_siblings_out_of_reach_are_not_drawn(voc, monkeypatch, check_docs):
+    """The samples are those found when every sibling along a path is drawn; on long texts few are."""
+    texts = [r["text"] for r in list(check_docs.values())[:20]] + ["long text " * 3000, "", "a", "x" * 300, " " * 3000]
+    keys, drawn, under = sp.row_keys(range(len(texts)), 9), [], sp._under
+
+    def counted(location, bound, u):
+        drawn.append(len(location))
+        return under(location, bound, u)
+
+    monkeypatch.setattr(sp, "_under", counted)
+    few, n_few = sp.sample_slice(texts, keys, 6, voc), sum(drawn)
+    drawn.clear()
+    monkeypatch.setattr(sp, "REACH", np.inf)
+    every, n_every = sp.sample_slice(texts, keys, 6, voc), sum(drawn)
+    assert equal(few, every) and n_few < n_every / 2
+
+
+def test_under_stays_within_reach():
+    value = sp._under(np.array([-50.0, -3.0]), np.array([0.0, 0.0]), np.array([1.0, 1.0]))
+    assert (value < np.array([-50.0, -3.0]) + sp.REACH).all() and (value <= 0).all()
+
+
+def test_trie_steps(voc):
+    for i in range(0, voc.library.get_piece_size(), 7):
+        piece = voc.library.id_to_piece(i)
+        if voc.library.is_control(i) or voc.library.is_unknown(i) or voc.library.is_unused(i) or voc.library.is_byte(i):
+            continue
+        state = np.zeros(1, np.int64)
+        for c in piece:
+            state = voc.step(state, np.array([ord(c)]))
+        assert voc.piece_at[state[0]] == i
+    assert voc.step(np.zeros(2, np.int64), np.array([0x10FFFF, 0xE000])).tolist() == [-1, -1]
+
+
+def test_decode_many_is_decode(voc):
+    rows = [[], [int(voc.byte_ids[0xE2])], voc.library.encode("two  words"), [int(voc.byte_ids[b]) for b in "é∞".encode()]]
+    ids, bounds = np.array(sum(rows, []), np.int64), np.cumsum([0] + [len(r) for r in rows])
+    assert voc.decode_many(ids, bounds).to_pylist() == [voc.decode(r) for r in rows]
+    rows[1] = []
+    ids, bounds = np.array(sum(rows, []), np.int32), np.cumsum([0] + [len(r) for r in rows])
+    assert voc.decode_many(ids, bounds).to_pylist() == [voc.decode(r) for r in rows]
