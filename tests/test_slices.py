@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from stratum import schemas
-from stratum.operators import fraud_extended
+from stratum.operators import fraud, fraud_extended
 from stratum.plans import catalog, flow, slices
 from stratum.session import DROP_SHUFFLES, shuffles_dropped
 from stratum.sources.tables import read_table, write_table
@@ -104,3 +104,23 @@ def test_a_slice_reads_its_parts_alone(spark, tmp_path):
 def test_the_seven_indicator_queries_read_stored_scores(spark):
     plan = catalog.build()["fraud_seven_indicators"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_fraud_tables_of_a_run_are_written_in_slices(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(slices, "SLICE_ROWS", 400)
+    out, tx, customers = flow.Layout(str(tmp_path)), _silver(spark), _customers(spark)
+    write_table(tx, out.path("silver", "transactions"))
+    write_table(customers, out.path("silver", "customers"))
+    appended = []
+    monkeypatch.setattr(slices, "write_table", lambda df, path, fmt, mode: (appended.append((path, mode)), write_table(df, path, fmt, mode)))
+    flow.run_fraud(spark, out, **catalog.SEVEN_CHECK)
+    for name in ("fraud_scores", "fraud_detection"):
+        assert [m for p, m in appended if p == out.path("gold", name)] == ["overwrite"] + ["append"]
+    tables = {n: read_table(spark, out.path("gold", n)) for n in
+              ("fraud_scores", "fraud_alerts", "fraud_detection", "fraud_detection_alerts", "fraud_detection_summary")}
+    three = fraud.fraud_scores(tx)
+    seven = fraud_extended.seven_indicator_scores(tx, customers, **catalog.SEVEN_CHECK)
+    for name, whole in (("fraud_scores", three), ("fraud_alerts", fraud.high_risk(three)), ("fraud_detection", seven),
+                        ("fraud_detection_alerts", fraud_extended.alerts(seven)),
+                        ("fraud_detection_summary", fraud_extended.summary(seven))):
+        assert _rows(tables[name]) == _rows(whole), name
