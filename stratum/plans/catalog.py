@@ -225,8 +225,9 @@ def _refreshed(spark, d):
         root = scratch_path(spark, "refresh-feeds")
         tx = view(spark, d, "transactions_raw")
         early = F.coalesce(F.col("transaction_date") < F.lit("1997-06-15 12"), F.lit(False))
-        export_monthly_csv(tx.filter(early), f"{root}/first", "transaction_date", legacy_types=True)
-        export_monthly_csv(tx.filter(~early), f"{root}/second", "transaction_date", legacy_types=True)
+        # feeds as text take several times the tables' size: they are compressed (a file is at most a task's rows)
+        export_monthly_csv(tx.filter(early), f"{root}/first", "transaction_date", legacy_types=True, compression="gzip")
+        export_monthly_csv(tx.filter(~early), f"{root}/second", "transaction_date", legacy_types=True, compression="gzip")
         out = run_all_layers(spark, Feeds(_feed(spark, d, "customers"), _feed(spark, d, "merchants"), f"{root}/first"),
                              Layout(scratch_path(spark, "refreshed"), partition_transactions_by_day=True))
         refresh_transactions(spark, f"{root}/second", out)

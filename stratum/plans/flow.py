@@ -114,14 +114,15 @@ def refresh_transactions(spark: SparkSession, feed: str | list[str], out: Layout
     fresh = scratch_path(spark, "refresh")
     write_table(bronze.bronze_transactions(read_feed(spark, "transactions", feed)), fresh, out.fmt)
     rows = read_table(spark, fresh, out.fmt)
-    rows.write.format(out.fmt).mode("append").save(out.path("bronze", "transactions"))
+    write_table(rows, out.path("bronze", "transactions"), out.fmt, mode="append", merge_schema=False)
     silver_path, gold_path = out.path("silver", "transactions"), out.path("gold", "transaction_metrics")
     new = _by_day(silver.silver_transactions(rows))
-    new.write.format(out.fmt).mode("append").partitionBy("event_day").save(silver_path)
+    write_table(new, silver_path, out.fmt, mode="append", merge_schema=False, partition_by=("event_day",))
     days = read_table(spark, fresh, out.fmt).transform(silver.silver_transactions).select(
         F.to_date("transaction_date").alias("_day")).distinct()
     table = read_table(spark, silver_path, out.fmt)
-    touched = table.join(days, table["event_day"].eqNullSafe(days["_day"]), "left_semi").drop("event_day")
+    # the days are a row a folder at most: sent to all tasks, so that silver's rows stay where they are
+    touched = table.join(F.broadcast(days), table["event_day"].eqNullSafe(days["_day"]), "left_semi").drop("event_day")
     replace_partitions(_daily_metrics(touched), gold_path, ["metric_day"], out.fmt)
 
 

@@ -11,8 +11,9 @@ from conftest import SF_SMALL
 from stratum import schemas
 from stratum.operators import fraud, fraud_extended
 from stratum.plans import catalog, flow, slices
-from stratum.session import DROP_SHUFFLES, shuffles_dropped
-from stratum.sources.tables import read_table, write_table
+from stratum.session import DROP_SHUFFLES, session_key, shuffles_dropped
+from stratum.sources import feeds
+from stratum.sources.tables import export_monthly_csv, read_table, write_table
 
 EPOCH = dt.datetime(2024, 1, 1)
 
@@ -124,3 +125,22 @@ def test_fraud_tables_of_a_run_are_written_in_slices(spark, tmp_path, monkeypatc
                         ("fraud_detection_alerts", fraud_extended.alerts(seven)),
                         ("fraud_detection_summary", fraud_extended.summary(seven))):
         assert _rows(tables[name]) == _rows(whole), name
+
+
+def test_compressed_monthly_files_are_the_same_feed(spark, tmp_path):
+    rows = _silver(spark, n=120).withColumn("transaction_date", F.col("transaction_date").cast("string"))
+    tx = rows.select(*schemas.TRANSACTIONS.fieldNames())
+    read = {}
+    for kind in ("none", "gzip"):
+        export_monthly_csv(tx, str(tmp_path / kind), "transaction_date", legacy_types=True, compression=kind)
+        assert all(f.endswith(".csv.gz" if kind == "gzip" else ".csv") for f in spark.read.text(str(tmp_path / kind)).inputFiles())
+        read[kind] = feeds.read_csv_feed(spark, str(tmp_path / kind), schemas.TRANSACTIONS, required=("transaction_id",))
+    assert _rows(read["gzip"].drop(feeds.SOURCE)) == _rows(read["none"].drop(feeds.SOURCE))
+    assert read["gzip"].count() == tx.count()
+
+
+def test_the_refreshed_query_takes_compressed_feeds(spark):
+    catalog.build()["refreshed_transaction_metrics"](spark, SF_SMALL)
+    out = catalog._RUNS[session_key(spark), SF_SMALL, "refresh"]
+    sources = [r[0] for r in read_table(spark, out.path("bronze", "transactions")).select("source_file").distinct().collect()]
+    assert sources and all(s.endswith(".csv.gz") for s in sources)
